@@ -59,7 +59,7 @@ def ntz_to_instant(ts: Column) -> Column:
 
 def instant_to_ntz(ts: Column) -> Column:
     """Inverse of :func:`ntz_to_instant`."""
-    return F.timestampadd("MICROSECOND", F.unix_micros(ts), _epoch_ntz())
+    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch_ntz())
 
 
 def iso_timestamp(ts: Column) -> Column:

@@ -302,3 +302,24 @@ FROM (VALUES
         f"UNION ALL SELECT {present_cols()}, 'only_in_b' FROM (SELECT * FROM latest EXCEPT ALL SELECT * FROM silver)",
         _DEDUP_BOUNDED_CTES + "," + _DEDUP_LATEST_CTES),
 }
+
+_BRONZE = with_t(f"SELECT {present_cols()}, 'player_events' AS _source_name, "
+                 f"{D('event_date')} AS source_partition FROM telemetry")
+_CELLS = ("SELECT event_date, count(DISTINCT (producer_id, time_bucket(INTERVAL 60 MINUTE, ingestion_timestamp))) "
+          "AS n FROM telemetry GROUP BY event_date")
+
+ORACLE.update({
+    "bronze_full_refresh": _BRONZE,
+    "bronze_incremental": _BRONZE,
+    "bronze_second_source": (f"SELECT * REPLACE ({TS('o_orderdate')} AS o_orderdate), 'orders' AS _source_name "
+                             "FROM orders"),
+    "landing_file_counts": with_t(f"SELECT {D('event_date')} AS event_date, n AS n_files FROM ({_CELLS})"),
+    "compact": with_t(f"SELECT {D('event_date')} AS event_date, n AS files_before, 1::BIGINT AS files_after, "
+                      f"true AS compacted FROM ({_CELLS})"),
+    "stream_dedup": with_t(
+        f"SELECT DISTINCT event_id, player_id, game_id, producer_id, {TS('event_timestamp')} AS event_timestamp, "
+        f"{D('event_date')} AS event_date FROM telemetry"),
+    "stream_flush_counts": with_t(
+        f"SELECT {TS('time_bucket(INTERVAL 5 MINUTE, ingestion_timestamp)')} AS flush_start, producer_id, "
+        "count(*) AS n_rows FROM telemetry GROUP BY 1, 2"),
+})

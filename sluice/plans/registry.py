@@ -318,3 +318,152 @@ QUERIES = {
     "table_diff": table_diff,
     "table_fingerprint": table_fingerprint,
 }
+
+
+# --- Queries that write and read back tables (landing -> Bronze, streams,
+# compaction). Each works in a fresh folder under the session's shared
+# checkpoint root (spark.checkpoint.dir).
+
+from sluice.operators import ingest, maintain  # noqa: E402
+from sluice.session import scratch_path  # noqa: E402
+from sluice.sources.landing import write_flush_layout, write_landing  # noqa: E402
+from sluice.streaming import incremental, late  # noqa: E402
+from sluice.sources.telemetry import COLUMNS as TCOLUMNS  # noqa: E402
+
+
+def _landing_contract(root: str, name: str = "player_events", partition_by=("event_date",)):
+    raw = player_events_contract_dict(root)
+    raw.update({"name": name, "landing_path": name, "partition_by": list(partition_by),
+                "bronze_path": f"{root}/bronze/{name}", "checkpoint_path": f"{root}/checkpoints/{name}"})
+    return contract_from_dict(raw)
+
+
+def _bronze_view(bronze: DataFrame) -> DataFrame:
+    """Bronze rows without the per-run columns, plus the partition folder
+    each row was read from (parsed from its lineage file path)."""
+    return present(bronze.select(*TCOLUMNS, "_source_name",
+                                 F.regexp_extract("_source_file", "event_date=([^/]+)", 1)
+                                 .alias("source_partition")))
+
+
+def bronze_full_refresh(spark, sf_dir):
+    root = scratch_path(spark, "full")
+    write_landing(_t(spark, sf_dir), f"{root}/landing/player_events", ["event_date"], 3,
+                  spread_cols=["event_id", "source_sequence_number", "ingestion_timestamp"])
+    contract = _landing_contract(root)
+    res = ingest.ingest_full_refresh(spark, contract, landing_root=f"{root}/landing")
+    return _bronze_view(spark.read.parquet(res.path))
+
+
+def bronze_incremental(spark, sf_dir):
+    """Held-back date, several micro-batches, a no-op rerun, the held-back
+    date landing later, and a lost checkpoint: Bronze must still hold every
+    landed row exactly once."""
+    root = scratch_path(spark, "incr")
+    t = _t(spark, sf_dir)
+    last = t.agg(F.max("event_date")).first()[0]
+    landing = f"{root}/landing/player_events"
+    spread = ["event_id", "source_sequence_number", "ingestion_timestamp"]
+    write_landing(t.where(F.col("event_date") < F.lit(last)), landing, ["event_date"], 2, spread)
+    contract = _landing_contract(root)
+    kw = dict(landing_root=f"{root}/landing")
+    incremental.ingest_incremental(spark, contract, max_files_per_trigger=16, **kw)
+    incremental.ingest_incremental(spark, contract, **kw)                       # nothing new
+    (t.where(F.col("event_date") == F.lit(last)).write.mode("append")
+     .partitionBy("event_date").parquet(landing))                               # late partition
+    incremental.ingest_incremental(spark, contract, **kw)
+    incremental.ingest_incremental(spark, contract, checkpoint=f"{root}/checkpoints/lost", **kw)
+    return _bronze_view(incremental.read_bronze(spark, contract.bronze_path))
+
+
+def bronze_second_source(spark, sf_dir):
+    """A second source with another schema, onboarded by contract alone."""
+    root = scratch_path(spark, "orders")
+    orders = _table(spark, sf_dir, "orders")
+    write_landing(orders, f"{root}/landing/orders", ["o_orderpriority"], 2, ["o_orderkey"])
+    raw = {"name": "orders", "format": "parquet", "landing_path": "orders",
+           "bronze_path": f"{root}/bronze/orders", "checkpoint_path": f"{root}/checkpoints/orders",
+           "partition_by": ["o_orderpriority"],
+           "schema": [{"name": "o_orderkey", "type": "long"}, {"name": "o_custkey", "type": "long"},
+                      {"name": "o_totalprice", "type": "double"}],
+           "dedup_key": ["o_orderkey"],
+           "quality_rules": [{"column": "o_orderkey", "rule": "not_null"}]}
+    res = ingest.ingest_full_refresh(spark, contract_from_dict(raw), landing_root=f"{root}/landing")
+    b = spark.read.parquet(res.path)
+    return present(b.select(*orders.columns, "_source_name"))
+
+
+# Flush grid of the registered layout queries. The producer flushes every
+# 5 minutes; writing that grid costs ~0.1 s per file on a local disk, so the
+# registered queries use an hourly grid (same operators, fewer files) and
+# tests cover the 5-minute grid at sf0.001.
+REGISTERED_FLUSH_MINUTES = 60
+_LANDINGS: dict = {}
+
+
+def _flush_landing(spark, sf_dir) -> str:
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _LANDINGS:
+        root = scratch_path(spark, "flush")
+        write_flush_layout(_t(spark, sf_dir), f"{root}/landing", minutes=REGISTERED_FLUSH_MINUTES)
+        _LANDINGS[key] = f"{root}/landing"
+    return _LANDINGS[key]
+
+
+def landing_file_counts(spark, sf_dir):
+    """Files per date partition of the producer's flush-split landing tree."""
+    inv = scan.file_inventory(spark, _flush_landing(spark, sf_dir), "event_date")
+    return inv.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_files"))
+
+
+def small_files_audit(spark, sf_dir):
+    """Files, bytes, small files and predicted scan tasks of the flush-split
+    landing tree (sizes depend on the Parquet writer: no SQL oracle)."""
+    inv = scan.file_inventory(spark, _flush_landing(spark, sf_dir), "event_date")
+    return audit.file_stats(inv)
+
+
+def compact(spark, sf_dir):
+    src = _flush_landing(spark, sf_dir)
+    dst = scratch_path(spark, "compacted")
+    m = maintain.compact(spark, src, "event_date", dst=dst, target_file_bytes=128 << 20)
+    return m.select("event_date", "files_before", "files_after", "compacted")
+
+
+def _stream_landing(spark, sf_dir):
+    root = scratch_path(spark, "stream")
+    t = _t(spark, sf_dir)
+    write_landing(t, f"{root}/landing", ["event_date"], 2,
+                  ["event_id", "source_sequence_number", "ingestion_timestamp"])
+    schema = spark.read.parquet(f"{root}/landing").schema
+    return root, spark.readStream.schema(schema).parquet(f"{root}/landing")
+
+
+STREAM_DEDUP_COLUMNS = ["event_id", "player_id", "game_id", "producer_id", "event_timestamp",
+                        "event_date"]
+
+
+def stream_dedup(spark, sf_dir):
+    root, stream = _stream_landing(spark, sf_dir)
+    deduped = late.dedup_within_watermark(stream, ["event_id"], "event_timestamp", "72 hours")
+    late.run_append_query(deduped.select(*STREAM_DEDUP_COLUMNS), f"{root}/out", f"{root}/ckpt")
+    return present(spark.read.parquet(f"{root}/out").drop("sink_batch"))
+
+
+def stream_flush_counts(spark, sf_dir):
+    root, stream = _stream_landing(spark, sf_dir)
+    counts = late.flush_window_counts(stream, "ingestion_timestamp", ["producer_id"], 5, "72 hours")
+    late.run_update_query(counts, f"{root}/out", f"{root}/ckpt")
+    return present(late.read_latest(spark, f"{root}/out", ["flush_start", "producer_id"]))
+
+
+QUERIES.update({
+    "bronze_full_refresh": bronze_full_refresh,
+    "bronze_incremental": bronze_incremental,
+    "bronze_second_source": bronze_second_source,
+    "landing_file_counts": landing_file_counts,
+    "small_files_audit": small_files_audit,
+    "compact": compact,
+    "stream_dedup": stream_dedup,
+    "stream_flush_counts": stream_flush_counts,
+})
