@@ -43,7 +43,7 @@ def conformance_report(df: DataFrame, contract: SourceContract) -> DataFrame:
             aggs.append(F.count_if(F.col(c).isNull()).alias(f"n_null__{c}"))
             bad = F.lit(False)
             if c in declared and _status(actual[c], declared[c]) == "mismatch":
-                bad = F.col(c).isNotNull() & F.try_cast(F.col(c), declared[c]).isNull()
+                bad = F.col(c).isNotNull() & F.col(c).try_cast(declared[c]).isNull()
             aggs.append(F.count_if(bad).alias(f"n_bad__{c}"))
     counts = df.agg(*aggs) if aggs else df.sparkSession.range(1).drop("id")
     rows = []
@@ -66,7 +66,7 @@ def conform(df: DataFrame, contract: SourceContract) -> DataFrame:
     exprs = {}
     for name, t in declared.items():
         if name in df.columns:
-            exprs[name] = F.try_cast(F.col(name), t)
+            exprs[name] = F.col(name).try_cast(t)
         else:
             exprs[name] = F.lit(None).cast(t)
     return df.withColumns(exprs)

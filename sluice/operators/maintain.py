@@ -73,6 +73,9 @@ def compact(spark: SparkSession, src: str, part_col: str, dst: str | None = None
         part_col, F.col("n_files").alias("files_before"),
         F.col("total_bytes").alias("bytes_before"),
         F.col("n_small_files").alias("_small"))
+    # Materialise the "before" listing (one row per partition) now: the
+    # rewrite below replaces the files it describes.
+    before = before.checkpoint(eager=True)
     table = spark.read.parquet(src)
     if dst is None:
         # Few rows (one per partition): the list of partitions to rewrite.

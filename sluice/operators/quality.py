@@ -22,11 +22,13 @@ class QualityError(Exception):
 def _rule_row(spark: SparkSession, rule: AggregateRule) -> DataFrame:
     if rule.severity not in ("hard", "soft"):
         raise ContractError(f"[{rule.name}] unknown severity {rule.severity!r}")
-    result = spark.sql(rule.query)
-    if "observed" not in result.columns:
+    if "observed" not in spark.sql(rule.query).columns:
         raise ContractError(f"[{rule.name}] rule query must return a column named observed")
-    # A rule query yields one row; an aggregate over zero rows still yields one
-    # row whose value is NULL, which we report instead of crashing on it.
+    # Wrapped as a scalar subquery: exactly one report row per rule. A query
+    # with no rows gives NULL (reported, not a crash); more than one row is
+    # an error raised by Spark.
+    q = rule.query.strip().rstrip(";")
+    result = spark.sql(f"SELECT (SELECT observed FROM ({q}) AS _rule) AS observed")
     observed = F.col("observed").cast("double")
     if rule.severity == "hard":
         passed = F.coalesce(compare(rule.op, observed, float(rule.value)), F.lit(False))
@@ -89,7 +91,7 @@ def flag_violations(df: DataFrame, rules: list[RowRule],
     cast is a violation named ``<col>:type``."""
     checks = [F.when(_row_rule_violation(r), F.lit(r.name)) for r in rules]
     for c, t in (castable or {}).items():
-        checks.append(F.when(F.col(c).isNotNull() & F.try_cast(F.col(c), t).isNull(),
+        checks.append(F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(),
                              F.lit(f"{c}:type")))
     if not checks:
         return df.withColumn("_reasons", F.array().cast("array<string>"))
