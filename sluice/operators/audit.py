@@ -156,12 +156,18 @@ def table_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame
 
 
 def table_diff(a: DataFrame, b: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """Multiset difference both ways, tagged ``only_in_a`` / ``only_in_b``.
-    Empty means the two tables hold the same rows with the same counts."""
+    """Multiset difference both ways in one shuffle: rows are counted +1 in
+    ``a`` and -1 in ``b`` per distinct row; a non-zero balance is a
+    difference. Output: the row, ``side`` (``only_in_a`` / ``only_in_b``)
+    and ``n_copies`` (how many more copies that side holds). Empty means
+    equal tables. Copies are counted, never replicated, so a row repeated
+    millions of times is still one output row."""
     cols = cols or a.columns
-    a, b = a.select(*cols), b.select(*cols)
-    return (a.exceptAll(b).withColumn("side", F.lit("only_in_a"))
-            .unionByName(b.exceptAll(a).withColumn("side", F.lit("only_in_b"))))
+    signed = (a.select(*cols, F.lit(1).alias("_d"))
+              .unionByName(b.select(*cols, F.lit(-1).alias("_d"))))
+    bal = signed.groupBy(*cols).agg(F.sum("_d").alias("_n")).where(F.col("_n") != 0)
+    return bal.select(*cols, F.when(F.col("_n") > 0, "only_in_a").otherwise("only_in_b").alias("side"),
+                      F.abs("_n").cast("long").alias("n_copies"))
 
 
 def predicted_tasks(total_bytes: int, n_files: int, max_partition_bytes: int = 128 << 20,

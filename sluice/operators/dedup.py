@@ -29,6 +29,10 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
        at most partitions + groups rows);
     3. running sum of counts over earlier partitions = each slice's base;
     4. index = base + position - first position.
+
+    The numbered rows are checkpointed (shared checkpoint folder) so both
+    passes see the same positions, also after an executor is lost, and the
+    data is shuffled once.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -36,7 +40,8 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
     ranged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_pos", F.monotonically_increasing_id()))
+              .withColumn("_pos", F.monotonically_increasing_id())
+              .checkpoint(eager=True))
     stats = (ranged.groupBy("_pid", *group_cols)
              .agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n")))
     before = (Window.partitionBy(*group_cols).orderBy("_pid")

@@ -106,12 +106,19 @@ def compact(spark: SparkSession, src: str, part_col: str, dst: str | None = None
                     compacted.alias("compacted")))
 
 
-def range_bucket(col: Column, bounds: list, bits: int) -> Column:
-    """Bucket id in [0, 2^bits) from sorted quantile bounds: the number of
-    bounds the value exceeds. Bounds are a bounded literal list (2^bits - 1
-    values), so this is a pure per-row expression."""
-    arr = F.array(*[F.lit(b) for b in bounds])
-    return F.size(F.filter(arr, lambda b: col > b)).cast("long")
+def range_bucket(col: Column, bounds: list) -> Column:
+    """Bucket id = number of sorted ``bounds`` strictly below the value,
+    as a balanced CASE tree: log2(len(bounds)) comparisons per row, all in
+    generated code (NULL sorts into bucket 0)."""
+
+    def tree(lo: int, hi: int) -> Column:
+        # bounds[lo:hi] undecided; the answer lies in [lo, hi]
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(col > F.lit(bounds[mid]), tree(mid + 1, hi)).otherwise(tree(lo, mid))
+
+    return F.coalesce(tree(0, len(bounds)), F.lit(0).cast("long"))
 
 
 def interleave_bits(buckets: list[Column], bits: int) -> Column:
@@ -134,7 +141,7 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float =
     n = 1 << bits
     probs = [i / n for i in range(1, n)]
     quant = df.stat.approxQuantile(cols, probs, rel_error)
-    buckets = [range_bucket(F.col(c), sorted(set(q)), bits) for c, q in zip(cols, quant)]
+    buckets = [range_bucket(F.col(c), sorted(set(q))) for c, q in zip(cols, quant)]
     return df.withColumn("_zorder", interleave_bits(buckets, bits))
 
 

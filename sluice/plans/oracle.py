@@ -298,8 +298,10 @@ FROM (VALUES
         f"{TS('max(event_timestamp)')} AS last_event FROM silver GROUP BY player_id",
         _DEDUP_BOUNDED_CTES),
     "table_diff": with_t(
-        f"SELECT {present_cols()}, 'only_in_a' AS side FROM (SELECT * FROM silver EXCEPT ALL SELECT * FROM latest) "
-        f"UNION ALL SELECT {present_cols()}, 'only_in_b' FROM (SELECT * FROM latest EXCEPT ALL SELECT * FROM silver)",
+        f"SELECT {present_cols()}, side, count(*) AS n_copies FROM ("
+        "SELECT *, 'only_in_a' AS side FROM (SELECT * FROM silver EXCEPT ALL SELECT * FROM latest) "
+        "UNION ALL SELECT *, 'only_in_b' FROM (SELECT * FROM latest EXCEPT ALL SELECT * FROM silver)) "
+        f"GROUP BY ALL",
         _DEDUP_BOUNDED_CTES + "," + _DEDUP_LATEST_CTES),
 }
 

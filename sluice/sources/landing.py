@@ -11,14 +11,17 @@ from sluice.functions.time import floor_minutes, minute_stamp
 
 
 def write_landing(df: DataFrame, path: str, partition_by: list[str], files_per_partition: int = 3,
-                  spread_cols: list[str] | None = None, fmt: str = "parquet") -> None:
-    """About ``files_per_partition`` files in every partition directory:
-    rows are spread by a hash of ``spread_cols`` over that many writer tasks,
-    and each task writes one file per partition value it holds."""
+                  spread_cols: list[str] | None = None, fmt: str = "parquet",
+                  num_tasks: int | None = None) -> None:
+    """``files_per_partition`` files in every partition directory: rows get a
+    bucket from a hash of ``spread_cols``; the shuffle is keyed on
+    (partition values, bucket), so each (partition, bucket) cell is written
+    by exactly one task while all tasks write in parallel."""
     spread_cols = spread_cols or [c for c in df.columns if c not in partition_by][:1]
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.lit(files_per_partition))
-    (df.repartition(files_per_partition, bucket).write.mode("overwrite").format(fmt)
-     .partitionBy(*partition_by).save(path))
+    n = num_tasks or max(8, df.sparkSession.sparkContext.defaultParallelism * 2)
+    (df.withColumn("_bucket", bucket).repartition(n, *partition_by, "_bucket").drop("_bucket")
+     .write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path))
 
 
 def write_flush_layout(df: DataFrame, path: str, date_col: str = "event_date",
