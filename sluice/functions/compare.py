@@ -21,3 +21,8 @@ def compare(op: str, observed: Column, value) -> Column:
 
 def within_tolerance(observed: Column, expected: float, tolerance: float) -> Column:
     return F.abs(observed - F.lit(float(expected))) <= F.lit(float(tolerance))
+
+
+def round_cents(x: Column) -> Column:
+    """Round to 2 decimals, half-to-even (banker's rounding, like numpy)."""
+    return F.bround(x, 2)

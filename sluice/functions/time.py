@@ -16,10 +16,23 @@ def _epoch_ntz() -> Column:
     return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
+def _day_seconds(ts: Column) -> Column:
+    """Whole seconds from 1970-01-01 to the start of the minute of ``ts``,
+    from calendar fields only (no time zone is consulted, so wall-clock
+    times inside a DST gap are not shifted)."""
+    days = F.datediff(F.to_date(ts), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(ts).cast("long") * 3600 + F.minute(ts).cast("long") * 60
+
+
 def epoch_seconds(ts: Column) -> Column:
-    """Whole seconds since 1970-01-01 for a TIMESTAMP_NTZ (floor for the
-    post-epoch values we handle), without consulting the session zone."""
-    return F.timestamp_diff("SECOND", _epoch_ntz(), ts)
+    """Whole seconds since 1970-01-01 of a TIMESTAMP_NTZ wall-clock value
+    (floor), the same number ``unix_timestamp`` gives in a UTC session."""
+    return _day_seconds(ts) + F.second(ts).cast("long")
+
+
+def epoch_micros(ts: Column) -> Column:
+    frac = (F.date_part(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return _day_seconds(ts) * 1_000_000 + frac
 
 
 def seconds_between(start: Column, end: Column) -> Column:
@@ -42,29 +55,44 @@ def floor_day(ts: Column) -> Column:
 
 def floor_minutes(ts: Column, minutes: int) -> Column:
     """Start of the tumbling ``minutes`` bucket (aligned to the epoch), same
-    as ``window(ts, 'N minutes').start`` and DuckDB ``time_bucket``."""
-    return F.window(ts, f"{int(minutes)} minutes").start
+    as ``window(ts, 'N minutes').start`` in a UTC session and DuckDB
+    ``time_bucket``; computed on the wall clock, so zone-free."""
+    width = int(minutes) * 60_000_000
+    start = F.floor(epoch_micros(ts) / F.lit(width)).cast("long") * width
+    return instant_to_ntz(F.timestamp_micros(start))
 
 
 def minute_stamp(ts: Column) -> Column:
     """``yyyyMMdd'T'HHmm`` stamp used in flush file names."""
-    return F.date_format(ts, "yyyyMMdd'T'HHmm")
+    return F.format_string("%04d%02d%02dT%02d%02d", F.year(ts), F.month(ts), F.dayofmonth(ts),
+                           F.hour(ts), F.minute(ts))
 
 
 def ntz_to_instant(ts: Column) -> Column:
     """Read an NTZ wall-clock as a UTC instant (TIMESTAMP), zone-free.
     Watermarks reject NTZ, so streams convert with this first."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts))
+    return F.timestamp_micros(epoch_micros(ts))
 
 
 def instant_to_ntz(ts: Column) -> Column:
-    """Inverse of :func:`ntz_to_instant`."""
-    return F.timestamp_add("MICROSECOND", F.unix_micros(ts), _epoch_ntz())
+    """Inverse of :func:`ntz_to_instant`: the instant's UTC wall clock."""
+    us = F.unix_micros(ts)
+    day_us = F.lit(86_400_000_000)
+    days = F.floor(us / day_us).cast("long")
+    rem = us - days * day_us
+    d = F.date_add(F.lit("1970-01-01").cast("date"), days.cast("int"))
+    secs = ((rem % 60_000_000) / F.lit(1_000_000)).cast("decimal(16,6)")
+    return F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d),
+                                (rem / 3_600_000_000).cast("int"),
+                                ((rem / 60_000_000) % 60).cast("int"), secs)
 
 
 def iso_timestamp(ts: Column) -> Column:
-    """Engine-neutral text form used when results are compared across engines."""
-    return F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    """Engine-neutral text ``yyyy-MM-dd HH:mm:ss.ffffff`` used when results
+    are compared across engines (built from calendar fields: zone-free)."""
+    micros = F.pmod(epoch_micros(ts), F.lit(1_000_000))
+    return F.format_string("%04d-%02d-%02d %02d:%02d:%02d.%06d", F.year(ts), F.month(ts),
+                           F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), micros)
 
 
 def iso_date(d: Column) -> Column:

@@ -52,6 +52,15 @@ def route_late(df: DataFrame, event_col: str, ingest_col: str, on_time_s: int =
     return df.withColumn("route", route)
 
 
+def split_late(df: DataFrame, event_col: str, ingest_col: str, on_time_s: int = 300,
+               open_hours: int = 72) -> tuple[DataFrame, DataFrame]:
+    """(rows for the main table, rows late for closed partitions -> side
+    table). Both come from one routed plan; every row lands in one side."""
+    routed = route_late(df, event_col, ingest_col, on_time_s, open_hours)
+    closed = F.col("route") == "late_closed"
+    return routed.where(~closed).drop("route"), routed.where(closed).drop("route")
+
+
 def route_counts(df: DataFrame, event_col: str, ingest_col: str, on_time_s: int = 300,
                  open_hours: int = 72) -> DataFrame:
     routed = route_late(df, event_col, ingest_col, on_time_s, open_hours)
@@ -122,23 +131,26 @@ def file_stats(inventory: DataFrame, group_cols: list[str] | None = None,
 def blob_integrity(rows: DataFrame, pointer_col: str, blobs: DataFrame,
                    blob_key: str = "sha256") -> DataFrame:
     """Referential check rows -> blobs (many rows to one blob). One row:
-    rows with a pointer, distinct blobs referenced, pointers with no blob,
-    blobs nobody references, and blobs stored."""
-    ptr = rows.where(F.col(pointer_col).isNotNull()).groupBy(pointer_col) \
-              .agg(F.count(F.lit(1)).alias("_refs"))
-    store = blobs.select(F.col(blob_key).alias(pointer_col)).distinct()
-    missing = ptr.join(store, pointer_col, "left_anti")
-    orphan = store.join(ptr, pointer_col, "left_anti")
-    a = ptr.agg(F.coalesce(F.sum("_refs"), F.lit(0)).cast("long").alias("rows_with_pointer"),
-                F.count(F.lit(1)).alias("blobs_referenced"))
-    m = missing.agg(F.count(F.lit(1)).alias("missing_blobs"),
-                    F.coalesce(F.sum("_refs"), F.lit(0)).cast("long").alias("rows_missing_blob"))
-    o = orphan.agg(F.count(F.lit(1)).alias("orphan_blobs"))
-    s = store.agg(F.count(F.lit(1)).alias("blobs_stored"))
-    # Four one-row aggregates side by side: scalar subqueries, no join.
-    return a.select("*", F.lit(m.select("missing_blobs").scalar()).alias("missing_blobs"),
-                    F.lit(m.select("rows_missing_blob").scalar()).alias("rows_missing_blob"),
-                    F.lit(o.scalar()).alias("orphan_blobs"), F.lit(s.scalar()).alias("blobs_stored"))
+    rows with a pointer, distinct blobs referenced, pointers with no blob
+    (and the rows holding them), blobs nobody references, blobs stored.
+
+    Pointers are counted per blob first (a blob shared by a third of all
+    rows is one row after the map-side partial aggregate), then one full
+    outer join against the stored keys and one global aggregate."""
+    ptr = (rows.where(F.col(pointer_col).isNotNull()).groupBy(pointer_col)
+           .agg(F.count(F.lit(1)).alias("_refs")))
+    store = blobs.select(F.col(blob_key).alias(pointer_col)).distinct() \
+                 .withColumn("_stored", F.lit(True))
+    both = ptr.join(store, pointer_col, "full_outer")
+    referenced = F.col("_refs").isNotNull()
+    stored = F.col("_stored").isNotNull()
+    return both.agg(
+        F.coalesce(F.sum("_refs"), F.lit(0)).cast("long").alias("rows_with_pointer"),
+        F.count_if(referenced).alias("blobs_referenced"),
+        F.count_if(referenced & ~stored).alias("missing_blobs"),
+        F.coalesce(F.sum(F.when(~stored, F.col("_refs"))), F.lit(0)).cast("long").alias("rows_missing_blob"),
+        F.count_if(stored & ~referenced).alias("orphan_blobs"),
+        F.count_if(stored).alias("blobs_stored"))
 
 
 def attach_blob_pointer(rows: DataFrame, content_col: str, catalog: DataFrame) -> DataFrame:

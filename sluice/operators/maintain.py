@@ -141,7 +141,13 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float =
     n = 1 << bits
     probs = [i / n for i in range(1, n)]
     quant = df.stat.approxQuantile(cols, probs, rel_error)
-    buckets = [range_bucket(F.col(c), sorted(set(q))) for c, q in zip(cols, quant)]
+    buckets = []
+    for c, q in zip(cols, quant):
+        bounds = sorted(set(q))
+        # A column with few distinct values has fewer buckets than 2^bits:
+        # stretch its ids over the whole range so its high bits still split.
+        b = range_bucket(F.col(c), bounds)
+        buckets.append(F.floor(b * F.lit(n) / F.lit(len(bounds) + 1)).cast("long"))
     return df.withColumn("_zorder", interleave_bits(buckets, bits))
 
 

@@ -45,9 +45,12 @@ def _rule_row(spark: SparkSession, rule: AggregateRule) -> DataFrame:
         detail.alias("detail"))
 
 
-def evaluate_rules(table: DataFrame, rules: list[AggregateRule], view: str = "bronze") -> DataFrame:
+def evaluate_rules(table: DataFrame, rules: list[AggregateRule], view: str = "bronze",
+                   extra_views: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every rule as one row of a single report DataFrame (one Spark job for
-    all rules). Read-only over the table, so two runs give the same report."""
+    all rules). Read-only over the table, so two runs give the same report.
+    ``extra_views`` registers more views for rules that need them, e.g. the
+    table's file inventory (``bronze_files``) for a small-files rule."""
     if not rules:
         raise ContractError("no aggregate rules to evaluate")
     for r in rules:
@@ -55,6 +58,8 @@ def evaluate_rules(table: DataFrame, rules: list[AggregateRule], view: str = "br
             raise ContractError(f"[{r.name}] unknown severity {r.severity!r}")
     spark = table.sparkSession
     table.createOrReplaceTempView(view)
+    for name, df in (extra_views or {}).items():
+        df.createOrReplaceTempView(name)
     rows = [_rule_row(spark, r) for r in rules]
     return reduce(DataFrame.unionAll, rows)
 

@@ -311,6 +311,13 @@ _CELLS = ("SELECT event_date, count(DISTINCT (producer_id, time_bucket(INTERVAL
           "AS n FROM telemetry GROUP BY event_date")
 
 ORACLE.update({
+    "first_partitions": with_t(f"SELECT {D('event_date')} AS event_date FROM (SELECT DISTINCT event_date "
+                               "FROM telemetry) ORDER BY event_date LIMIT 5"),
+    "late_closed_rows": with_t(f"SELECT {present_cols()} FROM telemetry WHERE {LAG} > 72 * 3600"),
+    "document_blob_pointers": (
+        "SELECT d.doc_id, b.blob_path FROM documents d LEFT JOIN ("
+        "SELECT DISTINCT sha256(text) AS sha, 'blobs/' || sha256(text) AS blob_path FROM benchmark "
+        "WHERE text IS NOT NULL) b ON sha256(d.text) = b.sha"),
     "bronze_full_refresh": _BRONZE,
     "bronze_incremental": _BRONZE,
     "bronze_second_source": (f"SELECT * REPLACE ({TS('o_orderdate')} AS o_orderdate), 'orders' AS _source_name "

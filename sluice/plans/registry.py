@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.codes import DEVICES, EVENT_TYPES, NETWORK_TYPES, decode
 from sluice.functions.json import json_key, json_object_text
+from sluice.functions.time import minute_stamp
 from sluice.operators import audit, conformance, dedup, gold, quality, skew
 from sluice.plans.present import present
 from sluice.sources import scan
@@ -97,7 +98,7 @@ def duplicate_census(spark, sf_dir):
 def flush_bucket_layout(spark, sf_dir):
     cells = audit.flush_cells(_t(spark, sf_dir), "event_date", "producer_id",
                               "ingestion_timestamp", 5)
-    return present(cells.withColumn("flush_stamp", F.date_format("flush_start", "yyyyMMdd'T'HHmm")))
+    return present(cells.withColumn("flush_stamp", minute_stamp(F.col("flush_start"))))
 
 
 def drift_key_census(spark, sf_dir):
@@ -284,6 +285,25 @@ def defect_conformance(spark, sf_dir):
     return s.select(F.inline(F.array(*rows)))
 
 
+def first_partitions(spark, sf_dir, k: int = 5):
+    """The first ``k`` partition values in order (distinct + top-k)."""
+    return present(_t(spark, sf_dir).select("event_date").distinct().orderBy("event_date").limit(k))
+
+
+def late_closed_rows(spark, sf_dir):
+    """Side table: rows that arrived after their partition closed."""
+    _, side = audit.split_late(_t(spark, sf_dir), "event_timestamp", "ingestion_timestamp", 300, 72)
+    return present(side)
+
+
+def document_blob_pointers(spark, sf_dir):
+    """Each document gets the blob path of its text when the blob store
+    (benchmark passages) holds those exact bytes, NULL otherwise."""
+    store = scan.blob_catalog(_table(spark, sf_dir, "benchmark"), "text")
+    docs = _documents(spark, sf_dir).select("doc_id", "text")
+    return audit.attach_blob_pointer(docs, "text", store).select("doc_id", "blob_path")
+
+
 QUERIES = {
     "defect_conformance": defect_conformance,
     "drift_before_boundary": drift_before_boundary,
@@ -317,6 +337,9 @@ QUERIES = {
     "gold_player_activity": gold_player_activity,
     "table_diff": table_diff,
     "table_fingerprint": table_fingerprint,
+    "first_partitions": first_partitions,
+    "late_closed_rows": late_closed_rows,
+    "document_blob_pointers": document_blob_pointers,
 }
 
 
@@ -328,6 +351,7 @@ from sluice.operators import ingest, maintain  # noqa: E402
 from sluice.session import scratch_path  # noqa: E402
 from sluice.sources.landing import write_flush_layout, write_landing  # noqa: E402
 from sluice.streaming import incremental, late  # noqa: E402
+from sluice.functions.time import ntz_to_instant  # noqa: E402
 from sluice.sources.telemetry import COLUMNS as TCOLUMNS  # noqa: E402
 
 
@@ -457,7 +481,27 @@ def stream_flush_counts(spark, sf_dir):
     return present(late.read_latest(spark, f"{root}/out", ["flush_start", "producer_id"]))
 
 
+def zorder_layout(spark, sf_dir):
+    """Mean per-file span of (player_id, ingestion time) before and after
+    Z-order clustering of the telemetry into the same number of files.
+    File layout dependent: checked by tests, no SQL oracle."""
+    root = scratch_path(spark, "zorder")
+    t = _t(spark, sf_dir).withColumn("ingest_s", F.unix_micros(ntz_to_instant(F.col("ingestion_timestamp"))))
+    n_files = 16
+    t.repartition(n_files).write.parquet(f"{root}/plain")
+    maintain.zorder(t, ["player_id", "ingest_s"], n_files, bits=6).write.parquet(f"{root}/z")
+    out = None
+    for layout in ("plain", "z"):
+        s = maintain.file_column_spans(spark, f"{root}/{layout}", ["player_id", "ingest_s"])
+        row = s.agg(F.lit(layout).alias("layout"), F.count(F.lit(1)).alias("n_files"),
+                    F.avg("player_id_span").alias("mean_player_span"),
+                    F.avg("ingest_s_span").alias("mean_ingest_span_us"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
 QUERIES.update({
+    "zorder_layout": zorder_layout,
     "bronze_full_refresh": bronze_full_refresh,
     "bronze_incremental": bronze_incremental,
     "bronze_second_source": bronze_second_source,
