@@ -131,3 +131,15 @@ def test_stream_watermark_drops_too_late_rows(spark, tmp_root):
     q(counts, f"{tmp_root}/out", f"{tmp_root}/ck")
     got = late.read_latest(spark, f"{tmp_root}/out", ["flush_start"]).collect()
     assert sum(r.n_rows for r in got) == 2          # the 9-days-late row was dropped
+
+
+def test_cli_runs_contract_folder(spark, t, tmp_root):
+    import shutil
+    from sluice import run
+    write_landing(t, f"{tmp_root}/landing/player_events", ["event_date"], 2, ["event_id"])
+    os.makedirs(f"{tmp_root}/contracts")
+    shutil.copy(os.path.join(os.path.dirname(__file__), "..", "contracts", "player_events.yaml"),
+                f"{tmp_root}/contracts/")
+    assert run.main(["--contracts", f"{tmp_root}/contracts", "--landing-root", f"{tmp_root}/landing",
+                     "--root", tmp_root]) == 0
+    assert spark.read.parquet(f"{tmp_root}/bronze/player_events").count() == 1014
