@@ -95,5 +95,13 @@ def iso_timestamp(ts: Column) -> Column:
                            F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.second(ts), micros)
 
 
+def iso_timestamp_sql(name: str) -> str:
+    """SQL-text form of :func:`iso_timestamp` for ``selectExpr``."""
+    c = f"`{name}`"
+    return (f"format_string('%04d-%02d-%02d %02d:%02d:%02d.%06d', year({c}), month({c}), "
+            f"day({c}), hour({c}), minute({c}), second({c}), "
+            f"CAST(date_part('SECOND', {c}) * 1000000 AS BIGINT) % 1000000)")
+
+
 def iso_date(d: Column) -> Column:
     return F.date_format(d, "yyyy-MM-dd")

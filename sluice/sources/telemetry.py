@@ -12,10 +12,8 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from sluice.functions.codes import EXCEPTIONS
-from sluice.functions.time import add_hours, add_seconds
 
 # Fixed values of the derived view (FIXTURES.md section 6).
 START_DATE = dt.date(2024, 1, 1)
@@ -41,57 +39,54 @@ def read_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
+def _base_exprs() -> list[str]:
+    """The per-event projection as SQL expressions (parsed in the JVM: a
+    few Py4J calls instead of one per column-expression node)."""
+    b = f"TIMESTAMP_NTZ'{DRIFT_BOUNDARY.isoformat()} 00:00:00'"
+    excs = ", ".join(f"'{e}'" for e in EXCEPTIONS)
+    delay = (f"CASE WHEN event_id % {LATE_MODULUS} = {LATE_RESIDUE} "
+             f"THEN {NORMAL_DELAY_S} + (event_id * 104729) % {LATE_SPAN_S} "
+             f"ELSE (event_id * 7919) % {NORMAL_DELAY_S} END")
+    return [
+        "event_id",
+        "1 + event_id % 19 AS player_id",
+        f"CASE WHEN event_id % 100 < {HOT_GAME_PERCENT} THEN CAST(1 AS BIGINT) "
+        "ELSE 2 + event_id % 3 END AS game_id",
+        "CASE WHEN event_id % 200 = 0 THEN 'crash' ELSE event_type END AS event_type",
+        "ts AS event_timestamp",
+        f"ts + make_dt_interval(0, 0, 0, {delay}) AS ingestion_timestamp",
+        "1 + event_id % 3 AS producer_id",
+        "CAST(floor(event_id / 3) AS BIGINT) AS source_sequence_number",
+        f"CASE WHEN ts >= {b} THEN '{META_AFTER}' ELSE '{META_BEFORE}' END AS metadata",
+        f"CASE WHEN event_id % 200 = 0 THEN concat(element_at(array({excs}), "
+        "CAST(event_id % 3 + 1 AS INT)), ': game loop stalled') END AS stack_trace",
+        "to_date(ts) AS event_date",
+    ]
+
+
 def telemetry_base(events: DataFrame) -> DataFrame:
     """One row per event: the seeded skew, lateness, drift and crash defects."""
-    eid = F.col("event_id")
-    delay = (F.when(eid % LATE_MODULUS == LATE_RESIDUE,
-                    NORMAL_DELAY_S + (eid * 104729) % LATE_SPAN_S)
-             .otherwise((eid * 7919) % NORMAL_DELAY_S))
-    boundary = F.expr(f"TIMESTAMP_NTZ'{DRIFT_BOUNDARY.isoformat()} 00:00:00'")
-    is_crash = eid % 200 == 0
-    exc = F.element_at(F.array(*[F.lit(e) for e in EXCEPTIONS]), (eid % 3 + 1).cast("int"))
-    return events.select(
-        eid.alias("event_id"),
-        (1 + eid % 19).alias("player_id"),
-        F.when(eid % 100 < HOT_GAME_PERCENT, F.lit(1).cast("long"))
-         .otherwise(2 + eid % 3).alias("game_id"),
-        F.when(is_crash, F.lit("crash")).otherwise(F.col("event_type")).alias("event_type"),
-        F.col("ts").alias("event_timestamp"),
-        add_seconds(F.col("ts"), delay).alias("ingestion_timestamp"),
-        (1 + eid % 3).alias("producer_id"),
-        F.floor(eid / 3).cast("long").alias("source_sequence_number"),
-        F.when(F.col("ts") >= boundary, F.lit(META_AFTER)).otherwise(F.lit(META_BEFORE))
-         .alias("metadata"),
-        F.when(is_crash, F.concat(exc, F.lit(": game loop stalled"))).alias("stack_trace"),
-        F.to_date("ts").alias("event_date"),
-    )
+    return events.selectExpr(*_base_exprs())
 
 
 def telemetry(events: DataFrame, with_kind: bool = False) -> DataFrame:
     """All copies: ``orig`` for every event, ``retry`` (byte-identical),
     ``corr`` (new type, sequence + 1000) and ``escape`` (arrives 73 h later).
     ``kind`` is ground truth for tests only; operators never read it."""
-    eid = F.col("event_id")
-    kinds = F.array_compact(F.array(
-        F.lit("orig"),
-        F.when((eid % 100 == 3) & (eid % 1000 != 3), F.lit("retry")),
-        F.when(eid % 300 == 5, F.lit("corr")),
-        F.when(eid % 1000 == 3, F.lit("escape")),
-    ))
-    base = telemetry_base(events).withColumn("kind", F.explode(kinds))
-    kind = F.col("kind")
-    out = base.select(
+    kinds = ("explode(array_compact(array('orig', "
+             "CASE WHEN event_id % 100 = 3 AND event_id % 1000 <> 3 THEN 'retry' END, "
+             "CASE WHEN event_id % 300 = 5 THEN 'corr' END, "
+             "CASE WHEN event_id % 1000 = 3 THEN 'escape' END))) AS kind")
+    out = telemetry_base(events).selectExpr("*", kinds).selectExpr(
         "event_id", "player_id", "game_id",
-        F.when(kind == "corr", F.lit("match_end")).otherwise(F.col("event_type")).alias("event_type"),
+        "CASE WHEN kind = 'corr' THEN 'match_end' ELSE event_type END AS event_type",
         "event_timestamp",
-        F.when(kind == "escape", add_hours(F.col("ingestion_timestamp"), ESCAPE_SHIFT_H))
-         .otherwise(F.col("ingestion_timestamp")).alias("ingestion_timestamp"),
+        f"CASE WHEN kind = 'escape' THEN ingestion_timestamp + INTERVAL {ESCAPE_SHIFT_H} HOURS "
+        "ELSE ingestion_timestamp END AS ingestion_timestamp",
         "producer_id",
-        (F.col("source_sequence_number")
-         + F.when(kind == "corr", F.lit(CORRECTION_SEQ_SHIFT)).otherwise(F.lit(0)))
-        .alias("source_sequence_number"),
-        "metadata", "stack_trace", "event_date", "kind",
-    )
+        f"source_sequence_number + CASE WHEN kind = 'corr' THEN {CORRECTION_SEQ_SHIFT} ELSE 0 END "
+        "AS source_sequence_number",
+        "metadata", "stack_trace", "event_date", "kind")
     return out if with_kind else out.drop("kind")
 
 
