@@ -253,26 +253,49 @@ DEFECT_EXPECTATIONS = [
 
 
 def defect_conformance(spark, sf_dir):
-    """Flagship: one row per seeded defect, expected vs observed."""
+    """Flagship: one row per seeded defect, expected vs observed.
+
+    One scan: GROUPING SETS computes, in one aggregation, rows per game
+    (skew), one row per event id (duplicates), one row per flush cell
+    (small files) and the global conditional counts (lateness, crashes,
+    drift); a second, global aggregate reads the metrics off those sets."""
     t = _t(spark, sf_dir)
+    from sluice.functions.time import floor_minutes, seconds_between
     has_key = json_key(F.col("metadata"), "network_type").isNotNull()
-    lag = F.timestamp_diff("SECOND", F.col("event_timestamp"), F.col("ingestion_timestamp"))
-    top_game = t.groupBy("game_id").agg(F.count(F.lit(1)).alias("_n")).agg(F.max("_n")).scalar()
-    cells = audit.flush_cells(t, "event_date", "producer_id", "ingestion_timestamp", 5)
-    files_per_partition = cells.agg(F.count(F.lit(1)) / F.count_distinct("event_date")).scalar()
-    s = t.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("event_id").alias("events"),
-              F.count_if(lag > 300).alias("late"),
-              F.count_if(F.col("event_type") == "crash").alias("crash"),
-              F.min(F.when(has_key, F.col("event_date"))).alias("first_drift"),
-              F.count_if(has_key & (F.col("event_date") < _boundary())).alias("before"))
+    lag = seconds_between(F.col("event_timestamp"), F.col("ingestion_timestamp"))
+    keyed = t.select("game_id", "event_date", "producer_id", "event_id",
+                     floor_minutes(F.col("ingestion_timestamp"), 5).alias("_flush"),
+                     (lag > 300).alias("_late"), (F.col("event_type") == "crash").alias("_crash"),
+                     has_key.alias("_key"))
+    cols = ["game_id", "event_date", "producer_id", "_flush", "event_id"]
+    sets = {"game": ["game_id"], "cell": ["event_date", "producer_id", "_flush"],
+            "event": ["event_id"], "all": []}
+    gid = {k: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in v)
+           for k, v in sets.items()}
+    g = keyed.groupingSets(list(sets.values()), *cols).agg(
+        F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n"),
+        F.count_if("_late").alias("_late"), F.count_if("_crash").alias("_crash"),
+        F.min(F.when(F.col("_key"), F.col("event_date"))).alias("_first_drift"),
+        F.count_if(F.col("_key") & (F.col("event_date") < _boundary())).alias("_before"))
+    on = {k: F.col("_gid") == v for k, v in gid.items()}
+    s = g.agg(
+        F.max(F.when(on["all"], F.col("_n"))).alias("rows"),
+        F.max(F.when(on["all"], F.col("_late"))).alias("late"),
+        F.max(F.when(on["all"], F.col("_crash"))).alias("crash"),
+        F.max(F.when(on["all"], F.col("_before"))).alias("before"),
+        F.min(F.when(on["all"], F.col("_first_drift"))).alias("first_drift"),
+        F.count_if(on["event"]).alias("events"),
+        F.max(F.when(on["game"], F.col("_n"))).alias("top_game"),
+        F.count_if(on["cell"]).alias("cells"),
+        F.count_distinct(F.when(on["cell"], F.col("event_date"))).alias("dates"))
     observed = {
-        "hot_game_share": top_game / F.col("rows"),
+        "hot_game_share": F.col("top_game") / F.col("rows"),
         "late_rate": F.col("late") / F.col("rows"),
         "duplicate_rate": (F.col("rows") - F.col("events")) / F.col("events"),
         "first_drift_day": F.datediff(F.col("first_drift"), F.lit(START_DATE)).cast("double"),
         "drift_rows_before_boundary": F.col("before").cast("double"),
         "crash_rate": F.col("crash") / F.col("events"),
-        "flush_files_per_partition": files_per_partition.cast("double"),
+        "flush_files_per_partition": F.col("cells") / F.col("dates"),
     }
     rows = []
     for defect, metric, exp, tol in DEFECT_EXPECTATIONS:
