@@ -70,24 +70,38 @@ def dedup_latest(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataF
     return _survivor(df, keys, order_cols)
 
 
+FIRST_SEEN = "_first_seen"
+
+
 def first_seen(df: DataFrame, keys: list[str], time_col: str) -> DataFrame:
-    return df.groupBy(*keys).agg(F.min(time_col).alias("_first_seen"))
+    """Earliest arrival per key. Rows that carry a ``_first_seen`` from an
+    earlier dedup (incremental runs) contribute it too, so the window stays
+    anchored at the first copy ever seen, even if that copy was dropped."""
+    t = F.col(time_col)
+    if FIRST_SEEN in df.columns:
+        t = F.least(t, F.coalesce(F.col(FIRST_SEEN), t))
+    return df.groupBy(*keys).agg(F.min(t).alias(FIRST_SEEN))
 
 
 def _in_window(time_col: str, window_hours: int) -> Column:
     # Rows without a time cannot be shown to be outside the window.
-    return F.coalesce(F.col(time_col) <= add_hours(F.col("_first_seen"), window_hours),
+    return F.coalesce(F.col(time_col) <= add_hours(F.col(FIRST_SEEN), window_hours),
                       F.lit(True))
 
 
 def dedup_bounded(df: DataFrame, keys: list[str], order_cols: list[str], time_col: str,
-                  window_hours: int = 72) -> DataFrame:
+                  window_hours: int = 72, keep_first_seen: bool = False) -> DataFrame:
     """Uniqueness only inside ``window_hours`` of a key's first arrival:
     among rows that arrived within the window keep the highest
-    ``order_cols``; rows arriving after the window are all kept on purpose."""
+    ``order_cols``; rows arriving after the window are all kept on purpose.
+
+    ``keep_first_seen`` adds ``_first_seen`` to the output (and it is read
+    back from the input when present) so the dedup can be re-run
+    incrementally over already deduplicated rows plus new ones."""
     seen = first_seen(df, keys, time_col)
-    tagged = df.join(seen, keys, "inner").withColumn("_inw", _in_window(time_col, window_hours))
-    cols = df.columns
+    data = df.drop(FIRST_SEEN)
+    tagged = data.join(seen, keys, "inner").withColumn("_inw", _in_window(time_col, window_hours))
+    cols = data.columns + ([FIRST_SEEN] if keep_first_seen else [])
     inside = _survivor(tagged.where(F.col("_inw")).select(*cols), keys, order_cols)
     outside = tagged.where(~F.col("_inw")).select(*cols)
     return inside.unionByName(outside)

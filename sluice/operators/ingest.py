@@ -68,6 +68,13 @@ def ingest_all(spark: SparkSession, contracts: list[SourceContract],
             for c in sorted(contracts, key=lambda c: c.name)]
 
 
+def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.parquet(path)
+    except Exception:  # noqa: BLE001 - AnalysisException: path missing / no files yet
+        return None
+
+
 def reprocess_open_partitions(spark: SparkSession, table_path: str, batch: DataFrame,
                               contract: SourceContract, open_days: int = 3,
                               time_col: str = "ingestion_timestamp") -> DataFrame:
@@ -78,13 +85,22 @@ def reprocess_open_partitions(spark: SparkSession, table_path: str, batch: DataF
     Returns the batch rows that belong to closed partitions; the caller
     routes them to a side table instead of reopening history.
 
+    The table keeps ``_first_seen`` per row (earliest arrival of its key),
+    so a key whose first copy was deduplicated away in an earlier run keeps
+    its window. All copies of a key share the event time, hence the
+    partition, so re-deduplicating one partition is exact.
+
     The merged rows are checkpointed to the shared checkpoint folder before
     the overwrite, so the write never reads the files it replaces and a
     failed commit can be redone from the checkpoint."""
     part = contract.partition_by[0]
     keys, order = list(contract.dedup_key), list(contract.order_by)
     window_h = contract.dedup_window_hours or 72
-    existing = spark.read.parquet(table_path)
+    existing = _read_or_none(spark, table_path)
+    if existing is None:                       # first run: the table is the batch, deduplicated
+        merged = dedup_bounded(batch, keys, order, time_col, window_h, keep_first_seen=True)
+        write_table(merged, table_path, contract.partition_by, "overwrite", dynamic=True)
+        return batch.limit(0)
     # One scalar (the newest partition) decides the open horizon.
     newest = existing.select(part).unionByName(batch.select(part)).agg(F.max(part)).first()[0]
     horizon = F.date_sub(F.lit(newest), open_days - 1)
@@ -92,9 +108,12 @@ def reprocess_open_partitions(spark: SparkSession, table_path: str, batch: DataF
     closed_rows = batch.where(F.col(part) < horizon)
     touched = open_rows.select(part).distinct()
     current = (existing.where(F.col(part) >= horizon)          # static partition pruning
-               .join(touched, part, "left_semi")               # only partitions the batch touches
-               .select(*batch.columns))
-    merged = dedup_bounded(current.unionByName(open_rows), keys, order, time_col, window_h)
+               .join(touched, part, "left_semi"))              # only partitions the batch touches
+    if "_first_seen" not in current.columns:
+        current = current.withColumn("_first_seen", F.col(time_col))
+    current = current.select(*batch.columns, "_first_seen")
+    merged = dedup_bounded(current.unionByName(open_rows, allowMissingColumns=True), keys, order,
+                           time_col, window_h, keep_first_seen=True)
     staged = merged.checkpoint(eager=True)
     write_table(staged, table_path, contract.partition_by, "overwrite", dynamic=True)
     return closed_rows

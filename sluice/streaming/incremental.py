@@ -154,3 +154,22 @@ def ingest_incremental(spark: SparkSession, contract: SourceContract,
     if _exists(spark, bronze):
         result.total_rows = read_bronze(spark, bronze, stamped.schema).count()
     return result
+
+
+def ingest_silver_stream(spark: SparkSession, stream: DataFrame, contract: SourceContract,
+                         silver_path: str, side_path: str, checkpoint: str, open_days: int = 3,
+                         time_col: str = "ingestion_timestamp") -> None:
+    """Streaming bounded dedup that honours corrections: every micro-batch
+    is merged into the open partitions it touches with the ordered,
+    windowed dedup (``reprocess_open_partitions``); rows for closed
+    partitions are appended to ``side_path`` under their batch id."""
+    from sluice.operators.ingest import reprocess_open_partitions
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        closed = reprocess_open_partitions(batch.sparkSession, silver_path, batch, contract,
+                                           open_days, time_col)
+        closed.write.mode("overwrite").parquet(f"{side_path}/side_batch={batch_id}")
+
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()

@@ -79,3 +79,29 @@ def test_hot_duplicate_group_uses_partial_aggregation(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "partial_max" in plan
     assert out.count() == 6001 and out.where("k = 0").first().seq == 2999
+
+
+def test_incremental_bounded_dedup_keeps_first_arrival_anchor(spark, tmp_path):
+    """orig (t0) -> correction (t0+1h) -> copy of orig arriving t0+73h, in
+    three runs. The correction replaces the original, but the late copy is
+    still judged against t0 (carried as _first_seen) and is kept, as the
+    one-shot dedup of all three rows does."""
+    from sluice.operators.ingest import reprocess_open_partitions
+    from sluice.sources.contract import contract_from_dict
+    from sluice.sources.telemetry import player_events_contract_dict
+    c = contract_from_dict(player_events_contract_dict(str(tmp_path)))
+    schema = "event_id long, source_sequence_number long, ingestion_timestamp timestamp_ntz, event_date date"
+    mk = lambda seq, ts: spark.createDataFrame([(1, seq, ts, ts.date())], schema)
+    import datetime as dt
+    t0 = dt.datetime(2024, 1, 10, 12, 0, 0)
+    rows = [mk(1, t0), mk(1001, t0 + dt.timedelta(hours=1)), mk(1, t0 + dt.timedelta(hours=73))]
+    rows[2] = rows[2].withColumn("event_date", F.lit(t0.date()))
+    path = str(tmp_path / "silver")
+    for r in rows:
+        reprocess_open_partitions(spark, path, r, c, open_days=3650)
+    got = sorted((r.source_sequence_number, r.ingestion_timestamp)
+                 for r in spark.read.parquet(path).collect())
+    one_shot = dedup.dedup_bounded(rows[0].unionByName(rows[1]).unionByName(rows[2]), ["event_id"],
+                                   ORDER_COLUMNS, "ingestion_timestamp", 72)
+    want = sorted((r.source_sequence_number, r.ingestion_timestamp) for r in one_shot.collect())
+    assert got == want == [(1, t0 + dt.timedelta(hours=73)), (1001, t0 + dt.timedelta(hours=1))]
