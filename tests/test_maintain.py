@@ -70,3 +70,22 @@ def test_zorder_narrows_file_spans(spark, tmp_root):
     za, zb = mean_span(f"{tmp_root}/z")
     assert za < pa / 4 and zb < pb / 4
     assert spark.read.parquet(f"{tmp_root}/z").count() == 20000
+
+
+def test_optimize_source_zorders_within_partitions(spark, tmp_root):
+    from sluice.operators.ingest import write_table
+    from sluice.sources.contract import contract_from_dict
+    df = spark.range(0, 8000).select((F.col("id") % 4).alias("p"), (F.col("id") % 997).alias("a"),
+                                     ((F.col("id") * 7919) % 1009).alias("b"))
+    write_table(df.repartition(16), f"{tmp_root}/b", ["p"], rebalance=False)
+    c = contract_from_dict({"name": "s", "format": "parquet", "landing_path": "s",
+                            "bronze_path": f"{tmp_root}/b", "checkpoint_path": f"{tmp_root}/c",
+                            "partition_by": ["p"], "zorder_by": ["a", "b"]})
+    m = maintain.optimize_source(spark, c, f"{tmp_root}/z", target_file_bytes=8 << 10, bits=5)
+    rows = m.collect()
+    assert len(rows) == 4 and sum(r.files_before for r in rows) >= 4
+    z = spark.read.parquet(f"{tmp_root}/z")
+    assert z.count() == 8000
+    # every file holds one partition value only
+    per_file = z.groupBy(F.col("_metadata.file_path")).agg(F.count_distinct("p").alias("n"))
+    assert per_file.where("n > 1").count() == 0
