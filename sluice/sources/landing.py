@@ -13,15 +13,19 @@ from sluice.functions.time import floor_minutes, minute_stamp
 def write_landing(df: DataFrame, path: str, partition_by: list[str], files_per_partition: int = 3,
                   spread_cols: list[str] | None = None, fmt: str = "parquet",
                   num_tasks: int | None = None) -> None:
-    """``files_per_partition`` files in every partition directory: rows get a
-    bucket from a hash of ``spread_cols``; the shuffle is keyed on
-    (partition values, bucket), so each (partition, bucket) cell is written
-    by exactly one task while all tasks write in parallel."""
+    """Several files in every partition directory: rows get one of
+    ``files_per_partition`` buckets from a hash of ``spread_cols`` and are
+    rebalanced on (partition values, bucket). AQE merges small cells into
+    one task and splits a hot cell over several tasks (advisory size), so a
+    partition holding a third of the data is still written in parallel.
+    ``num_tasks`` instead fixes the task count (one task per cell)."""
     spread_cols = spread_cols or [c for c in df.columns if c not in partition_by][:1]
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in spread_cols]), F.lit(files_per_partition))
-    n = num_tasks or max(8, df.sparkSession.sparkContext.defaultParallelism * 2)
-    (df.withColumn("_bucket", bucket).repartition(n, *partition_by, "_bucket").drop("_bucket")
-     .write.mode("overwrite").format(fmt).partitionBy(*partition_by).save(path))
+    keyed = df.withColumn("_bucket", bucket)
+    keyed = (keyed.repartition(num_tasks, *partition_by, "_bucket") if num_tasks
+             else keyed.hint("rebalance", *partition_by, "_bucket"))
+    (keyed.drop("_bucket").write.mode("overwrite").format(fmt)
+     .partitionBy(*partition_by).save(path))
 
 
 def write_flush_layout(df: DataFrame, path: str, date_col: str = "event_date",

@@ -49,20 +49,26 @@ class IncrementalResult:
         return not self.batches or all(b["numInputRows"] == 0 for b in self.batches)
 
 
+REGISTRY_SCHEMA = "_source_file string, ingest_run string, ingest_batch long"
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
+    """A readable Parquet folder at ``path`` (schema given, so only the
+    folder is listed; no file is opened)."""
     try:
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true") \
-            .option("pathGlobFilter", "*.parquet").load(path).limit(1).count()
+        spark.read.schema("_x string").parquet(path)
         return True
-    except Exception:  # noqa: BLE001 - AnalysisException for a missing path
+    except Exception:  # noqa: BLE001 - AnalysisException: PATH_NOT_FOUND
         return False
 
 
 def read_registry(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """Files already ingested, per run and batch (written after the data)."""
     path = f"{bronze_path.rstrip('/')}/{REGISTRY_DIR}"
-    if not _exists(spark, path):
+    try:
+        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
+    except Exception:  # noqa: BLE001 - no registry yet
         return None
-    return spark.read.parquet(path)
 
 
 def read_bronze(spark: SparkSession, bronze_path: str, schema: T.StructType | None = None) -> DataFrame:
