@@ -34,7 +34,7 @@ def late_rate(df: DataFrame, event_col: str, ingest_col: str,
     lag = seconds_between(F.col(event_col), F.col(ingest_col))
     return df.agg(F.sum(F.when(lag > threshold_s, 1).otherwise(0)).cast("long").alias("late_rows"),
                   F.count(F.lit(1)).alias("total_rows")) \
-             .withColumn("observed", F.col("late_rows") / F.col("total_rows"))
+             .withColumn("observed", F.try_divide(F.col("late_rows"), F.col("total_rows")))
 
 
 ROUTES = ("on_time", "late_open", "late_closed")

@@ -289,13 +289,13 @@ def defect_conformance(spark, sf_dir):
         F.count_if(on["cell"]).alias("cells"),
         F.count_distinct(F.when(on["cell"], F.col("event_date"))).alias("dates"))
     observed = {
-        "hot_game_share": F.col("top_game") / F.col("rows"),
-        "late_rate": F.col("late") / F.col("rows"),
-        "duplicate_rate": (F.col("rows") - F.col("events")) / F.col("events"),
+        "hot_game_share": F.try_divide(F.col("top_game"), F.col("rows")),
+        "late_rate": F.try_divide(F.col("late"), F.col("rows")),
+        "duplicate_rate": F.try_divide(F.col("rows") - F.col("events"), F.col("events")),
         "first_drift_day": F.datediff(F.col("first_drift"), F.lit(START_DATE)).cast("double"),
         "drift_rows_before_boundary": F.col("before").cast("double"),
-        "crash_rate": F.col("crash") / F.col("events"),
-        "flush_files_per_partition": F.col("cells") / F.col("dates"),
+        "crash_rate": F.try_divide(F.col("crash"), F.col("events")),
+        "flush_files_per_partition": F.try_divide(F.col("cells"), F.col("dates")),
     }
     rows = []
     for defect, metric, exp, tol in DEFECT_EXPECTATIONS:

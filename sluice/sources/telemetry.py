@@ -139,8 +139,8 @@ def player_events_contract_dict(root: str = "") -> dict:
                        "FROM bronze"),
              "expected": 0.025, "tolerance": 0.01},
             {"name": "duplicate_rate", "severity": "soft",
-             "query": ("SELECT (COUNT(*) - COUNT(DISTINCT event_id)) / COUNT(*) AS observed "
-                       "FROM bronze"),
+             "query": ("SELECT (COUNT(*) - COUNT(DISTINCT event_id)) / NULLIF(COUNT(*), 0) "
+                       "AS observed FROM bronze"),
              "expected": 0.01, "tolerance": 0.005},
         ],
     }

@@ -70,3 +70,17 @@ def test_castability_violation(spark):
     clean, rejects = quality.quarantine(df, [], castable={"v": "bigint"})
     assert clean.count() == 2
     assert [r._reasons for r in rejects.collect()] == [["v:type"]]
+
+
+def test_checks_are_idempotent_and_empty_table_gives_null(spark, t):
+    from sluice.operators import audit
+    from sluice.sources.contract import contract_from_dict
+    from sluice.sources.telemetry import player_events_contract_dict
+    rules = list(contract_from_dict(player_events_contract_dict()).aggregate_rules)
+    a = quality.evaluate_rules(t, rules).collect()
+    b = quality.evaluate_rules(t, rules).collect()
+    assert a == b
+    empty = t.limit(0)
+    assert audit.late_rate(empty, "event_timestamp", "ingestion_timestamp").first().observed is None
+    rep = {r.name: r for r in quality.evaluate_rules(empty, rules).collect()}
+    assert rep["hot_game_share"].observed is None and rep["hot_game_share"].flag == "WARN"
