@@ -4,7 +4,8 @@ Identity is the dedup key (``event_id``); the ordering columns only pick the
 survivor. No operator here gathers a whole key group in one task: survivors
 are chosen by a combinable aggregate (map-side partials collapse a hot group
 to one row per map task), and per-key values that rows need back are joined
-on the key, where AQE splits a skewed key across tasks.
+on the key: rows of hot keys (bounded in number) join a broadcast copy of
+their per-key values map-side, the rest take a shuffle join.
 """
 
 from __future__ import annotations
@@ -13,7 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import add_hours
-from sluice.operators.skew import join_small_checked
+from sluice.operators.skew import hot_keys_from_counts, join_hot_split, join_small_checked
+
+# Keys holding at least this share of the rows are joined map-side
+# (broadcast); there can be at most 1 / HOT_SHARE of them.
+HOT_SHARE = 0.001
 
 
 def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
@@ -73,14 +78,25 @@ def dedup_latest(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataF
 FIRST_SEEN = "_first_seen"
 
 
-def first_seen(df: DataFrame, keys: list[str], time_col: str) -> DataFrame:
-    """Earliest arrival per key. Rows that carry a ``_first_seen`` from an
-    earlier dedup (incremental runs) contribute it too, so the window stays
-    anchored at the first copy ever seen, even if that copy was dropped."""
+def first_seen(df: DataFrame, keys: list[str], time_col: str, weight: str | None = None) -> DataFrame:
+    """Earliest arrival and row count per key. Rows that carry a
+    ``_first_seen`` from an earlier dedup (incremental runs) contribute it
+    too, so the window stays anchored at the first copy ever seen, even if
+    that copy was dropped. ``weight`` names a column of pre-counted rows."""
     t = F.col(time_col)
     if FIRST_SEEN in df.columns:
         t = F.least(t, F.coalesce(F.col(FIRST_SEEN), t))
-    return df.groupBy(*keys).agg(F.min(t).alias(FIRST_SEEN))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    return df.groupBy(*keys).agg(F.min(t).alias(FIRST_SEEN), n.alias("_rows"))
+
+
+def _tag_first_seen(df: DataFrame, keys: list[str], time_col: str, hot_share: float,
+                    weight: str | None = None) -> DataFrame:
+    """Rows of ``df`` with their key's ``_first_seen``; hot keys are joined
+    map-side (see :func:`join_hot_split`)."""
+    seen = first_seen(df, keys, time_col, weight)
+    hot = hot_keys_from_counts(seen, "_rows", keys, hot_share)
+    return join_hot_split(df.drop(FIRST_SEEN), seen.select(*keys, FIRST_SEEN), keys, hot)
 
 
 def _in_window(time_col: str, window_hours: int) -> Column:
@@ -90,7 +106,8 @@ def _in_window(time_col: str, window_hours: int) -> Column:
 
 
 def dedup_bounded(df: DataFrame, keys: list[str], order_cols: list[str], time_col: str,
-                  window_hours: int = 72, keep_first_seen: bool = False) -> DataFrame:
+                  window_hours: int = 72, keep_first_seen: bool = False,
+                  hot_share: float = HOT_SHARE) -> DataFrame:
     """Uniqueness only inside ``window_hours`` of a key's first arrival:
     among rows that arrived within the window keep the highest
     ``order_cols``; rows arriving after the window are all kept on purpose.
@@ -98,9 +115,9 @@ def dedup_bounded(df: DataFrame, keys: list[str], order_cols: list[str], time_co
     ``keep_first_seen`` adds ``_first_seen`` to the output (and it is read
     back from the input when present) so the dedup can be re-run
     incrementally over already deduplicated rows plus new ones."""
-    seen = first_seen(df, keys, time_col)
     data = df.drop(FIRST_SEEN)
-    tagged = data.join(seen, keys, "inner").withColumn("_inw", _in_window(time_col, window_hours))
+    tagged = _tag_first_seen(df, keys, time_col, hot_share).withColumn(
+        "_inw", _in_window(time_col, window_hours))
     cols = data.columns + ([FIRST_SEEN] if keep_first_seen else [])
     inside = _survivor(tagged.where(F.col("_inw")).select(*cols), keys, order_cols)
     outside = tagged.where(~F.col("_inw")).select(*cols)
@@ -108,7 +125,7 @@ def dedup_bounded(df: DataFrame, keys: list[str], order_cols: list[str], time_co
 
 
 def duplicate_census(df: DataFrame, keys: list[str], seq_col: str, time_col: str,
-                     window_hours: int = 72) -> DataFrame:
+                     window_hours: int = 72, hot_share: float = HOT_SHARE) -> DataFrame:
     """Extra copies by flavor, always three rows (flavor, n_rows, n_keys):
 
     * ``identical``: further copies of an in-window version (same key and
@@ -119,8 +136,8 @@ def duplicate_census(df: DataFrame, keys: list[str], seq_col: str, time_col: str
     Copies with the same key, sequence and time are counted before any
     shuffle of rows, so a key repeated millions of times costs one row."""
     pre = df.groupBy(*keys, seq_col, time_col).agg(F.count(F.lit(1)).alias("_c"))
-    seen = pre.groupBy(*keys).agg(F.min(time_col).alias("_first_seen"))
-    tagged = pre.join(seen, keys, "inner").withColumn("_inw", _in_window(time_col, window_hours))
+    tagged = _tag_first_seen(pre, keys, time_col, hot_share, weight="_c").withColumn(
+        "_inw", _in_window(time_col, window_hours))
     versions = (tagged.where(F.col("_inw")).groupBy(*keys, seq_col)
                 .agg(F.sum("_c").alias("_rows")))
     per_key = versions.groupBy(*keys).agg(

@@ -85,3 +85,27 @@ def two_phase_aggregate(df: DataFrame, keys: list[str], salt: Column,
     first = (df.withColumn("_salt", salt).groupBy(*keys, "_salt")
              .agg(*[c.alias(n) for n, c in partial.items()]))
     return first.groupBy(*keys).agg(*[c.alias(n) for n, c in final.items()])
+
+
+def join_hot_split(big: DataFrame, per_key: DataFrame, keys: list[str],
+                   hot: DataFrame) -> DataFrame:
+    """Inner equi-join of ``big`` with ``per_key`` (one row per key) where
+    ``hot`` lists keys that may hold a large share of ``big`` and is bounded
+    by construction (e.g. :func:`hot_keys`). Rows of hot keys join a
+    broadcast copy of their ``per_key`` rows inside the map task, so a hot
+    key is never gathered in one shuffle partition; all other rows take a
+    shuffle join. Equal to ``big.join(per_key, keys)``."""
+    hk = F.broadcast(hot.select(*keys))
+    per_hot = per_key.join(hk, keys, "left_semi")          # at most |hot| rows
+    hot_rows = big.join(F.broadcast(per_hot), keys, "inner")
+    cold_rows = big.join(hk, keys, "left_anti").join(per_key, keys, "inner")
+    return hot_rows.unionByName(cold_rows)
+
+
+def hot_keys_from_counts(counts: DataFrame, count_col: str, keys: list[str],
+                         min_share: float) -> DataFrame:
+    """Hot keys from a per-key count table: at most ``1 / min_share`` rows."""
+    if not 0 < min_share <= 1:
+        raise ValueError("min_share must be in (0, 1]")
+    total = counts.agg(F.sum(count_col)).scalar()
+    return counts.where(F.col(count_col) >= total * F.lit(min_share)).select(*keys)

@@ -105,3 +105,43 @@ def test_incremental_bounded_dedup_keeps_first_arrival_anchor(spark, tmp_path):
                                    ORDER_COLUMNS, "ingestion_timestamp", 72)
     want = sorted((r.source_sequence_number, r.ingestion_timestamp) for r in one_shot.collect())
     assert got == want == [(1, t0 + dt.timedelta(hours=73)), (1001, t0 + dt.timedelta(hours=1))]
+
+
+def test_bounded_dedup_hot_key_joins_map_side(spark):
+    """One event id holds a third of the rows. Its rows join their first
+    arrival through a broadcast of the (bounded) hot-key table inside the
+    map tasks; only the other keys go through the shuffle join. Broadcast
+    of the full per-key table is disabled, so that path must come from the
+    hot split itself."""
+    hot = spark.range(0, 30000).select(F.lit(0).cast("long").alias("event_id"),
+                                       F.col("id").alias("source_sequence_number"),
+                                       F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ingestion_timestamp"))
+    rest = spark.range(1, 60001).select(F.col("id").alias("event_id"),
+                                        F.col("id").alias("source_sequence_number"),
+                                        F.timestamp_seconds(F.col("id")).cast("timestamp_ntz").alias("ingestion_timestamp"))
+    df = hot.unionByName(rest).repartition(16)
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        out = dedup.dedup_bounded(df, ["event_id"], ["source_sequence_number", "ingestion_timestamp"],
+                                  "ingestion_timestamp", 72)
+        rows = out.collect()
+        final = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # hot key: arrivals span 30000 s < 72 h, so one survivor; the others are unique
+    assert len(rows) == 60001
+    assert [r for r in rows if r.event_id == 0][0].source_sequence_number == 29999
+    assert "BroadcastHashJoin" in final and "LeftAnti" in final and "SortMergeJoin" in final
+    assert "Window" not in final
+
+
+def test_sequence_index_without_broadcast(spark):
+    df = spark.range(0, 3000).select((F.col("id") % 50).alias("g"), F.col("id").alias("o"))
+    # over the row bound: no broadcast hint (AQE may still broadcast at runtime)
+    out = dedup.sequence_index(df, ["g"], ["o"], "i", num_partitions=5, max_broadcast_rows=1)
+    assert out.where(F.col("i") != F.floor(F.col("o") / 50)).count() == 0
