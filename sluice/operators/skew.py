@@ -61,18 +61,34 @@ def hot_keys(df: DataFrame, keys: list[str], min_share: float) -> DataFrame:
 
 
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], n_salts: int,
-                how: str = "inner", salt_by: list[str] | None = None) -> DataFrame:
-    """Equi-join where one key of ``big`` may hold a large share of rows.
-
-    ``big`` rows get salt = hash(``salt_by`` columns) mod n; ``small`` rows
-    are replicated once per salt value; the join runs on (keys, salt), so a
-    hot key is spread over ``n_salts`` tasks. Result equals the plain join
-    (inner or left with ``big`` on the left)."""
+                how: str = "inner", salt_by: list[str] | None = None,
+                hot: DataFrame | None = None) -> DataFrame:
+    """Equi-join where some keys of ``big`` may hold a large share of rows.
+
+    Rows of hot keys get salt = hash(``salt_by`` columns) mod ``n_salts``;
+    the ``small`` rows of those keys are replicated once per salt value; the
+    join runs on (keys, salt), so a hot key is spread over ``n_salts``
+    tasks. ``hot`` (bounded, e.g. :func:`hot_keys`) limits salting and
+    replication to the hot keys, so ``n_salts`` can be large; without it
+    every key is salted. Result equals the plain join (inner or left with
+    ``big`` on the left)."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("salted_join keeps big on the left: inner/left/semi/anti only")
     salt_by = salt_by or [c for c in big.columns if c not in keys] or keys
-    big_s = big.withColumn("_salt", salt_column(salt_by, n_salts))
-    small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
+    salt = salt_column(salt_by, n_salts)
+    fan = F.sequence(F.lit(0), F.lit(n_salts - 1))
+    if hot is None:
+        big_s = big.withColumn("_salt", salt)
+        small_s = small.withColumn("_salt", F.explode(fan))
+    else:
+        flag = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
+        big_s = (big.join(flag, keys, "left")
+                 .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
+                 .drop("_hot"))
+        small_s = (small.join(flag, keys, "left")
+                   .withColumn("_salt", F.explode(F.when(F.col("_hot"), fan)
+                                                  .otherwise(F.array(F.lit(0)))))
+                   .drop("_hot"))
     return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
 
 

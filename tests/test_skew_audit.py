@@ -16,8 +16,10 @@ def test_salted_join_equals_plain_join(t):
     big = t.select("event_id", "ingestion_timestamp", "game_id")
     a = skew.salted_join(big, dim, ["game_id"], 5)
     b = big.join(dim, "game_id")
-    assert a.count() == b.count() == 10134
+    h = skew.salted_join(big, dim, ["game_id"], 64, hot=skew.hot_keys(t, ["game_id"], 0.3))
+    assert a.count() == b.count() == h.count() == 10134
     assert audit.table_diff(a, b.select(*a.columns)).count() == 0
+    assert audit.table_diff(h, b.select(*h.columns)).count() == 0
 
 
 def test_two_phase_distinct_count_exact(t):
