@@ -24,7 +24,8 @@ def spark():
         b = b.config(k, v)
     s = b.config("spark.driver.memory", "8g").getOrCreate()
     s.sparkContext.setLogLevel("ERROR")
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sluice-test-ckpt-"))
+    from sluice.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(s)          # the configured shared folder; a temp one only if unset
     yield s
     s.stop()
 
