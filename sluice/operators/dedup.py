@@ -4,8 +4,8 @@ Identity is the dedup key (``event_id``); the ordering columns only pick the
 survivor. No operator here gathers a whole key group in one task: survivors
 are chosen by a combinable aggregate (map-side partials collapse a hot group
 to one row per map task), and per-key values that rows need back are joined
-on the key: rows of hot keys (bounded in number) join a broadcast copy of
-their per-key values map-side, the rest take a shuffle join.
+on the key, where rows of hot keys (bounded in number) are salted across
+many join tasks and only those keys' per-key rows are replicated.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import add_hours
-from sluice.operators.skew import hot_keys_from_counts, join_hot_split, join_small_checked
+from sluice.operators.skew import hot_keys_from_counts, join_small_checked, salted_join
 
 # Keys holding at least this share of the rows are joined map-side
 # (broadcast); there can be at most 1 / HOT_SHARE of them.
@@ -92,11 +92,16 @@ def first_seen(df: DataFrame, keys: list[str], time_col: str, weight: str | None
 
 def _tag_first_seen(df: DataFrame, keys: list[str], time_col: str, hot_share: float,
                     weight: str | None = None) -> DataFrame:
-    """Rows of ``df`` with their key's ``_first_seen``; hot keys are joined
-    map-side (see :func:`join_hot_split`)."""
+    """Rows of ``df`` with their key's ``_first_seen``, in one scan and one
+    shuffle join. Rows of hot keys (bounded in number) are salted over as
+    many join tasks as there are shuffle partitions, and only those keys'
+    per-key rows are replicated (see :func:`salted_join`)."""
     seen = first_seen(df, keys, time_col, weight)
     hot = hot_keys_from_counts(seen, "_rows", keys, hot_share)
-    return join_hot_split(df.drop(FIRST_SEEN), seen.select(*keys, FIRST_SEEN), keys, hot)
+    n = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    data = df.drop(FIRST_SEEN)
+    return salted_join(data, seen.select(*keys, FIRST_SEEN), keys, n, "inner",
+                       salt_by=[c for c in data.columns if c not in keys] or keys, hot=hot)
 
 
 def _in_window(time_col: str, window_hours: int) -> Column:

@@ -71,3 +71,12 @@ def test_completeness_statuses(spark):
     a = spark.createDataFrame([("d1", 3), ("d2", 1), ("d4", 5)], "d string, actual long")
     got = {r.d: r.status for r in audit.completeness(e, a, ["d"]).collect()}
     assert got == {"d1": "complete", "d2": "partial", "d3": "missing", "d4": "unexpected"}
+
+
+def test_join_hot_split_equals_plain_join(t):
+    per = t.groupBy("game_id").agg(F.min("event_timestamp").alias("first"))
+    hot = skew.hot_keys(t, ["game_id"], 0.3)
+    a = skew.join_hot_split(t.select("event_id", "game_id"), per, ["game_id"], hot)
+    b = t.select("event_id", "game_id").join(per, "game_id")
+    assert a.count() == 10134
+    assert audit.table_diff(a, b.select(*a.columns)).count() == 0
