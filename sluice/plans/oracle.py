@@ -33,7 +33,7 @@ base AS (
               ELSE '{"device": "PS5", "app_version": "1.2.0"}' END AS metadata,
          CASE WHEN event_id % 200 = 0
               THEN ['NullPointerException', 'TimeoutException', 'OutOfMemoryError'][event_id % 3 + 1]
-                   || ': game loop stalled' END AS stack_trace,
+                   || ': crash in frame update' END AS stack_trace,
          CAST(ts AS DATE) AS event_date
   FROM events
 ),

@@ -59,7 +59,7 @@ def _base_exprs() -> list[str]:
         "CAST(floor(event_id / 3) AS BIGINT) AS source_sequence_number",
         f"CASE WHEN ts >= {b} THEN '{META_AFTER}' ELSE '{META_BEFORE}' END AS metadata",
         f"CASE WHEN event_id % 200 = 0 THEN concat(element_at(array({excs}), "
-        "CAST(event_id % 3 + 1 AS INT)), ': game loop stalled') END AS stack_trace",
+        "CAST(event_id % 3 + 1 AS INT)), ': crash in frame update') END AS stack_trace",
         "to_date(ts) AS event_date",
     ]
 
