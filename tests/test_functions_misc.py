@@ -88,3 +88,12 @@ def test_binary_blob_catalog_dedups_content(spark, tmp_root):
             f.write(body)
     cat = scan.binary_blobs(spark, f"{tmp_root}/blobs", "*.png")
     assert cat.count() == 3 and cat.select("sha256").distinct().count() == 2
+
+
+def test_sizing_conf_scales_with_input():
+    from sluice.session import sizing_conf
+    small = sizing_conf(10 << 20)
+    big = sizing_conf(100 << 40)          # 100 TiB
+    assert small["spark.sql.shuffle.partitions"] == "8"
+    assert big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
+    assert int(sizing_conf(10 << 50)["spark.sql.shuffle.partitions"]) == 400_000
