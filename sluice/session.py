@@ -62,7 +62,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def sizing_conf(input_bytes: int, partition_bytes: int = 256 << 20,
-                scan_split_bytes: int = 512 << 20, max_partitions: int = 400_000) -> dict[str, str]:
+                scan_split_bytes: int = 512 << 20, max_partitions: int = 500_000) -> dict[str, str]:
     """SQL settings sized to the input so every shuffle partition and scan
     split fits comfortably in executor memory: the initial shuffle partition
     count gives ~``partition_bytes`` per partition at full input size (AQE

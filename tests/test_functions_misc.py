@@ -96,4 +96,4 @@ def test_sizing_conf_scales_with_input():
     big = sizing_conf(100 << 40)          # 100 TiB
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
-    assert int(sizing_conf(10 << 50)["spark.sql.shuffle.partitions"]) == 400_000
+    assert int(sizing_conf(10 << 50)["spark.sql.shuffle.partitions"]) == 500_000
