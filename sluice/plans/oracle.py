@@ -311,6 +311,8 @@ _CELLS = ("SELECT event_date, count(DISTINCT (producer_id, time_bucket(INTERVAL
           "AS n FROM telemetry GROUP BY event_date")
 
 ORACLE.update({
+    "schema_evolution": with_t("SELECT column_name AS field, 'same' AS status FROM (DESCRIBE SELECT * FROM telemetry) "
+                               "UNION ALL SELECT 'client_region', 'added'"),
     "stream_silver": with_t(f"SELECT {present_cols()} FROM silver", _DEDUP_BOUNDED_CTES),
     "first_partitions": with_t(f"SELECT {D('event_date')} AS event_date FROM (SELECT DISTINCT event_date "
                                "FROM telemetry) ORDER BY event_date LIMIT 5"),

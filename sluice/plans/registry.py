@@ -542,7 +542,34 @@ def stream_silver(spark, sf_dir):
     return present(spark.read.parquet(f"{root}/silver").select(*TCOLUMNS))
 
 
+def schema_evolution(spark, sf_dir):
+    """Two incremental runs over the same landing folder; between them a
+    producer starts writing an extra column. Each run logs the schema it
+    inferred; the comparison shows every field ``same`` and the new one
+    ``added`` (schema-on-read with ``mergeSchema``)."""
+    root = scratch_path(spark, "schema")
+    t = _t(spark, sf_dir)
+    last = t.agg(F.max("event_date")).first()[0]
+    landing = f"{root}/landing/player_events"
+    write_landing(t.where(F.col("event_date") < F.lit(last)), landing, ["event_date"], 2,
+                  ["event_id", "source_sequence_number", "ingestion_timestamp"])
+    contract = _landing_contract(root)
+    merged = contract_from_dict({**player_events_contract_dict(root), "name": "player_events",
+                                 "read_options": {"mergeSchema": "true"},
+                                 "bronze_path": contract.bronze_path,
+                                 "checkpoint_path": contract.checkpoint_path})
+    kw = dict(landing_root=f"{root}/landing")
+    first = incremental.ingest_incremental(spark, merged, **kw)
+    (t.where(F.col("event_date") == F.lit(last))
+     .withColumn("client_region", F.concat(F.lit("r"), (F.col("player_id") % 4).cast("string")))
+     .write.mode("append").partitionBy("event_date").parquet(landing))
+    second = incremental.ingest_incremental(spark, merged, **kw)
+    return incremental.schema_changes(spark, merged.checkpoint_path, first.run_id, second.run_id) \
+        .select("field", "status")
+
+
 QUERIES.update({
+    "schema_evolution": schema_evolution,
     "stream_silver": stream_silver,
     "zorder_layout": zorder_layout,
     "bronze_full_refresh": bronze_full_refresh,
