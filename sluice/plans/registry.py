@@ -14,7 +14,7 @@ from sluice.operators import audit, conformance, dedup, gold, quality, skew
 from sluice.plans.present import present
 from sluice.sources import scan
 from sluice.sources.contract import contract_from_dict
-from sluice.sources.telemetry import (CORRECTION_SEQ_SHIFT, DEDUP_WINDOW_H, DRIFT_BOUNDARY,
+from sluice.sources.telemetry import (DEDUP_WINDOW_H, DRIFT_BOUNDARY,
                                       ORDER_COLUMNS, START_DATE, load_telemetry,
                                       player_events_contract_dict, read_events, telemetry_base)
 
