@@ -41,7 +41,8 @@ class IncrementalResult:
     source: str
     run_id: str
     batches: list[dict] = field(default_factory=list)   # batchId, numInputRows
-    rows_added: int = 0
+    rows_read: int = 0      # rows the stream read (files already ingested included)
+    rows_added: int = 0     # growth of the Bronze table in this run
     total_rows: int = 0
 
     @property
@@ -147,6 +148,7 @@ def ingest_incremental(spark: SparkSession, contract: SourceContract,
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(landing_location(contract, landing_root))
     stamped = add_lineage(stream, contract.name, run_id)
+    before = read_bronze(spark, bronze, stamped.schema).count() if _exists(spark, bronze) else 0
     query = (stamped.writeStream
              .foreachBatch(_batch_writer(bronze, contract.partition_by, max_registry_broadcast))
              .option("checkpointLocation", f"{ckpt}/stream")
@@ -156,9 +158,10 @@ def ingest_incremental(spark: SparkSession, contract: SourceContract,
     batches = [{"batchId": p["batchId"], "numInputRows": p["numInputRows"]}
                for p in query.recentProgress]
     result = IncrementalResult(contract.name, run_id, batches)
-    result.rows_added = sum(b["numInputRows"] for b in batches)
+    result.rows_read = sum(b["numInputRows"] for b in batches)
     if _exists(spark, bronze):
         result.total_rows = read_bronze(spark, bronze, stamped.schema).count()
+    result.rows_added = result.total_rows - before
     return result
 
 

@@ -68,8 +68,10 @@ def test_incremental_exactly_once(spark, t, tmp_root):
     t.where(F.col("event_date") == F.lit(last)).write.mode("append").partitionBy("event_date").parquet(landing)
     third = incremental.ingest_incremental(spark, c, **kw)
     assert third.total_rows - rerun.total_rows == held_back
+    assert third.rows_added == held_back
     lost = incremental.ingest_incremental(spark, c, checkpoint=f"{tmp_root}/ck_lost", **kw)
     assert lost.total_rows == 1014          # lost checkpoint: registry prevents doubling
+    assert lost.rows_read == 1014 and lost.rows_added == 0
     bronze = incremental.read_bronze(spark, c.bronze_path)
     assert audit.table_diff(bronze.select(*COLUMNS), t.select(*COLUMNS)).count() == 0
 
