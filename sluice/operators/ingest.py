@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from sluice.operators.dedup import dedup_bounded
 from sluice.operators.lineage import add_lineage, new_run_id
 from sluice.sources.contract import SourceContract
-from sluice.sources.scan import read_source
+from sluice.sources.scan import file_inventory, read_source
 
 
 @dataclass(frozen=True)
@@ -101,8 +101,13 @@ def reprocess_open_partitions(spark: SparkSession, table_path: str, batch: DataF
         merged = dedup_bounded(batch, keys, order, time_col, window_h, keep_first_seen=True)
         write_table(merged, table_path, contract.partition_by, "overwrite", dynamic=True)
         return batch.limit(0)
-    # One scalar (the newest partition) decides the open horizon.
-    newest = existing.select(part).unionByName(batch.select(part)).agg(F.max(part)).first()[0]
+    # One scalar (the newest partition) decides the open horizon. The table's
+    # newest partition comes from its file listing (values are in the paths),
+    # so no data row is read for it.
+    listed = (file_inventory(spark, table_path, part)
+              .agg(F.max(F.col(part).cast("date"))).first()[0])
+    in_batch = batch.agg(F.max(F.col(part).cast("date"))).first()[0]
+    newest = max(d for d in (listed, in_batch) if d is not None)
     horizon = F.date_sub(F.lit(newest), open_days - 1)
     open_rows = batch.where(F.col(part) >= horizon)
     closed_rows = batch.where(F.col(part) < horizon)
