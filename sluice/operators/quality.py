@@ -119,10 +119,11 @@ def write_quarantined(df: DataFrame, rules: list[RowRule], path: str,
     """One scan, one write: rows land under ``_status=clean`` or
     ``_status=rejected`` (rejected rows carry ``_reasons``)."""
     flagged = flag_violations(df, rules, castable)
+    from sluice.operators.ingest import write_table
+
     out = flagged.withColumn(
         "_status", F.when(F.size("_reasons") > 0, "rejected").otherwise("clean"))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        .partitionBy("_status", *(partition_by or [])).parquet(path))
+    write_table(out, path, ["_status", *(partition_by or [])], "overwrite")
 
 
 def read_quarantined(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
