@@ -97,3 +97,29 @@ def test_sizing_conf_scales_with_input():
     assert small["spark.sql.shuffle.partitions"] == "8"
     assert big["spark.sql.shuffle.partitions"] == str((100 << 40) // (256 << 20))
     assert int(sizing_conf(10 << 50)["spark.sql.shuffle.partitions"]) == 500_000
+
+
+def test_conform_casts_adds_typed_nulls_and_keeps_extras(spark):
+    from sluice.operators.conformance import conform, conformance_report, typed_nulls
+    c = contract_from_dict({"name": "s", "format": "parquet", "landing_path": "s", "bronze_path": "b",
+                            "checkpoint_path": "c",
+                            "schema": [{"name": "id", "type": "long"}, {"name": "price", "type": "double"},
+                                       {"name": "missing_col", "type": "string"}]})
+    df = spark.createDataFrame([(1, "2.5", "x"), (2, "oops", "y")], "id int, price string, extra string")
+    rep = {r.column_name: r for r in conformance_report(df, c).collect()}
+    assert rep["id"].status == "castable" and rep["price"].status == "mismatch"
+    assert rep["price"].n_uncastable == 1 and rep["missing_col"].status == "missing"
+    assert rep["extra"].status == "extra"
+    out = conform(df, c)
+    assert dict(out.dtypes) == {"id": "bigint", "price": "double", "extra": "string", "missing_col": "string"}
+    assert [r.price for r in out.orderBy("id").collect()] == [2.5, None]
+    t = typed_nulls(df, {"n": "bigint", "id": "string"})
+    assert dict(t.dtypes)["n"] == "bigint" and dict(t.dtypes)["id"] == "int"
+
+
+def test_format_report_lines():
+    rows = [{"flag": "PASS", "name": "a", "observed": 0.0, "detail": "assert observed eq 0"},
+            {"flag": "WARN", "name": "b", "observed": None, "detail": "expected 1 +/- 0.1"}]
+    text = quality.format_report(rows).splitlines()
+    assert text[0].startswith("PASS  a") and "observed=0.0000" in text[0]
+    assert text[1].startswith("WARN  b") and "observed=NULL" in text[1]
