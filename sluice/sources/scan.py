@@ -57,9 +57,11 @@ def file_inventory(spark: SparkSession, root: str, partition_col: str | None = N
              .select(F.col("path"), F.col("length").alias("size_bytes"),
                      F.col("modificationTime").alias("modified_at")))
     if partition_col:
-        files = files.withColumn(
-            partition_col,
-            F.regexp_extract("path", f"{partition_col}=([^/]+)", 1))
+        # Folder names escape special characters as %XX; decode them (a
+        # literal '+' is kept, it is not an escaped space here).
+        raw = F.regexp_extract("path", f"{partition_col}=([^/]+)", 1)
+        files = files.withColumn(partition_col,
+                                 F.url_decode(F.regexp_replace(raw, "\\+", "%2B")))
     return files
 
 

@@ -89,3 +89,14 @@ def test_optimize_source_zorders_within_partitions(spark, tmp_root):
     # every file holds one partition value only
     per_file = z.groupBy(F.col("_metadata.file_path")).agg(F.count_distinct("p").alias("n"))
     assert per_file.where("n > 1").count() == 0
+
+
+def test_compact_in_place_with_escaped_partition_values(spark, tmp_root):
+    df = spark.range(0, 200).select("id", F.when(F.col("id") % 2 == 0, F.lit("a b:c+d"))
+                                    .otherwise(F.lit("plain")).alias("p"))
+    df.repartition(6).write.partitionBy("p").parquet(f"{tmp_root}/t")
+    inv = scan.file_inventory(spark, f"{tmp_root}/t", "p")
+    assert {r.p for r in inv.select("p").distinct().collect()} == {"a b:c+d", "plain"}
+    m = {r.p: r for r in maintain.compact(spark, f"{tmp_root}/t", "p", target_file_bytes=64 << 20).collect()}
+    assert m["a b:c+d"].compacted and m["a b:c+d"].files_after == 1
+    assert spark.read.parquet(f"{tmp_root}/t").count() == 200
