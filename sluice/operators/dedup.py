@@ -93,12 +93,14 @@ def first_seen(df: DataFrame, keys: list[str], time_col: str, weight: str | None
 def _tag_first_seen(df: DataFrame, keys: list[str], time_col: str, hot_share: float,
                     weight: str | None = None) -> DataFrame:
     """Rows of ``df`` with their key's ``_first_seen``, in one scan and one
-    shuffle join. Rows of hot keys (bounded in number) are salted over as
-    many join tasks as there are shuffle partitions, and only those keys'
+    shuffle join. Rows of hot keys (bounded in number) are salted over a
+    number of join tasks proportional to their share, and only those keys'
     per-key rows are replicated (see :func:`salted_join`)."""
     seen = first_seen(df, keys, time_col, weight)
-    hot = hot_keys_from_counts(seen, "_rows", keys, hot_share)
     n = max(8, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # each hot key gets ceil(share * n) salts: its slices are about one
+    # task's share, and all hot keys together replicate at most ~n rows
+    hot = hot_keys_from_counts(seen, "_rows", keys, hot_share, n_tasks=n)
     data = df.drop(FIRST_SEEN)
     return salted_join(data, seen.select(*keys, FIRST_SEEN), keys, n, "inner",
                        salt_by=[c for c in data.columns if c not in keys] or keys, hot=hot)

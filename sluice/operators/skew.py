@@ -65,30 +65,32 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], n_salts: int,
                 hot: DataFrame | None = None) -> DataFrame:
     """Equi-join where some keys of ``big`` may hold a large share of rows.
 
-    Rows of hot keys get salt = hash(``salt_by`` columns) mod ``n_salts``;
-    the ``small`` rows of those keys are replicated once per salt value; the
-    join runs on (keys, salt), so a hot key is spread over ``n_salts``
-    tasks. ``hot`` (bounded, e.g. :func:`hot_keys`) limits salting and
-    replication to the hot keys, so ``n_salts`` can be large; without it
-    every key is salted. Result equals the plain join (inner or left with
-    ``big`` on the left)."""
+    Rows of hot keys get salt = hash(``salt_by`` columns) mod the key's salt
+    count; the ``small`` rows of those keys are replicated once per salt
+    value; the join runs on (keys, salt), so a hot key is spread over that
+    many tasks. ``hot`` (bounded, e.g. :func:`hot_keys`) limits salting and
+    replication to the hot keys; an optional ``_salts`` column in it gives
+    each hot key its own salt count (else ``n_salts``). Without ``hot``
+    every key is salted ``n_salts`` ways. Result equals the plain join
+    (inner or left with ``big`` on the left)."""
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("salted_join keeps big on the left: inner/left/semi/anti only")
     salt_by = salt_by or [c for c in big.columns if c not in keys] or keys
-    salt = salt_column(salt_by, n_salts)
-    fan = F.sequence(F.lit(0), F.lit(n_salts - 1))
+    h = F.xxhash64(*[F.col(c) for c in salt_by])
     if hot is None:
-        big_s = big.withColumn("_salt", salt)
-        small_s = small.withColumn("_salt", F.explode(fan))
+        big_s = big.withColumn("_salt", F.pmod(h, F.lit(n_salts)).cast("int"))
+        small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))
     else:
-        flag = F.broadcast(hot.select(*keys).withColumn("_hot", F.lit(True)))
+        salts = F.col("_salts") if "_salts" in hot.columns else F.lit(n_salts)
+        flag = F.broadcast(hot.select(*keys, salts.cast("int").alias("_k")))
         big_s = (big.join(flag, keys, "left")
-                 .withColumn("_salt", F.when(F.col("_hot"), salt).otherwise(F.lit(0)))
-                 .drop("_hot"))
+                 .withColumn("_salt", F.when(F.col("_k") > 1, F.pmod(h, F.col("_k")))
+                             .otherwise(F.lit(0)).cast("int"))
+                 .drop("_k"))
         small_s = (small.join(flag, keys, "left")
-                   .withColumn("_salt", F.explode(F.when(F.col("_hot"), fan)
-                                                  .otherwise(F.array(F.lit(0)))))
-                   .drop("_hot"))
+                   .withColumn("_salt", F.explode(F.sequence(F.lit(0),
+                                                             F.coalesce(F.col("_k"), F.lit(1)) - 1)))
+                   .drop("_k"))
     return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
 
 
@@ -119,9 +121,16 @@ def join_hot_split(big: DataFrame, per_key: DataFrame, keys: list[str],
 
 
 def hot_keys_from_counts(counts: DataFrame, count_col: str, keys: list[str],
-                         min_share: float) -> DataFrame:
-    """Hot keys from a per-key count table: at most ``1 / min_share`` rows."""
+                         min_share: float, n_tasks: int | None = None) -> DataFrame:
+    """Hot keys from a per-key count table: at most ``1 / min_share`` rows.
+    With ``n_tasks``, each key also gets ``_salts`` = ceil(share * n_tasks):
+    enough salts for a slice of about one task's share, and the salts of all
+    hot keys add up to at most ``n_tasks`` + the number of hot keys."""
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
     total = counts.agg(F.sum(count_col)).scalar()
-    return counts.where(F.col(count_col) >= total * F.lit(min_share)).select(*keys)
+    hot = counts.where(F.col(count_col) >= total * F.lit(min_share))
+    if n_tasks is None:
+        return hot.select(*keys)
+    return hot.select(*keys, F.greatest(F.lit(1), F.ceil(F.col(count_col) * F.lit(n_tasks) / total))
+                      .cast("int").alias("_salts"))

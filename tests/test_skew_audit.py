@@ -80,3 +80,9 @@ def test_join_hot_split_equals_plain_join(t):
     b = t.select("event_id", "game_id").join(per, "game_id")
     assert a.count() == 10134
     assert audit.table_diff(a, b.select(*a.columns)).count() == 0
+
+
+def test_hot_key_salts_proportional_to_share(spark):
+    counts = spark.createDataFrame([(1, 600), (2, 300), (3, 100)], "k int, n long")
+    got = {r.k: r._salts for r in skew.hot_keys_from_counts(counts, "n", ["k"], 0.2, n_tasks=10).collect()}
+    assert got == {1: 6, 2: 3}            # 3 holds 10 % < 20 %: not hot; salts sum to <= 10 + keys
