@@ -102,13 +102,14 @@ def flush_cells(df: DataFrame, date_col: str, producer_col: str, time_col: str,
 
 def drift_census(df: DataFrame, json_col: str, date_col: str) -> DataFrame:
     """Per JSON key: first and last date seen, dates and rows carrying it.
-    Rows are first counted per (date, JSON text), so each distinct document
-    is parsed once per date rather than once per row."""
-    pre = df.groupBy(date_col, json_col).agg(F.count(F.lit(1)).alias("_n"))
-    keyed = pre.select(date_col, "_n", F.explode(json_keys(F.col(json_col))).alias("json_key"))
-    return keyed.groupBy("json_key").agg(
+    Keys are extracted in the scan and counted per (key, date) with map-side
+    partials, so only (key, date, count) triples are shuffled, never the
+    JSON text itself."""
+    keyed = df.select(date_col, F.explode(json_keys(F.col(json_col))).alias("json_key"))
+    per_day = keyed.groupBy("json_key", date_col).agg(F.count(F.lit(1)).alias("_n"))
+    return per_day.groupBy("json_key").agg(
         F.min(date_col).alias("first_date"), F.max(date_col).alias("last_date"),
-        F.count_distinct(date_col).alias("n_dates"), F.sum("_n").cast("long").alias("n_rows"))
+        F.count(F.lit(1)).alias("n_dates"), F.sum("_n").cast("long").alias("n_rows"))
 
 
 def file_stats(inventory: DataFrame, group_cols: list[str] | None = None,
