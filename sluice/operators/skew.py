@@ -76,7 +76,10 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], n_salts: int,
     if how not in ("inner", "left", "left_outer", "left_semi", "left_anti"):
         raise ValueError("salted_join keeps big on the left: inner/left/semi/anti only")
     salt_by = salt_by or [c for c in big.columns if c not in keys] or keys
-    h = F.xxhash64(*[F.col(c) for c in salt_by])
+    # The input partition id is mixed into the hash so that identical copies
+    # of a row (a hot group may be all copies) still spread over the salts;
+    # any assignment is correct because ``small`` carries every salt value.
+    h = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in salt_by])
     if hot is None:
         big_s = big.withColumn("_salt", F.pmod(h, F.lit(n_salts)).cast("int"))
         small_s = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n_salts - 1))))

@@ -144,3 +144,28 @@ def test_sequence_index_without_broadcast(spark):
     # over the row bound: no broadcast hint (AQE may still broadcast at runtime)
     out = dedup.sequence_index(df, ["g"], ["o"], "i", num_partitions=5, max_broadcast_rows=1)
     assert out.where(F.col("i") != F.floor(F.col("o") / 50)).count() == 0
+
+
+def test_identical_hot_copies_spread_over_salts(spark):
+    """A hot key whose rows are all byte-identical copies still spreads over
+    several join tasks, and the dedup result is exact."""
+    from sluice.operators import skew
+    ts = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    hot = spark.range(0, 20000).select(F.lit(0).cast("long").alias("event_id"),
+                                       F.lit(7).cast("long").alias("source_sequence_number"),
+                                       ts.alias("ingestion_timestamp"))
+    rest = spark.range(1, 20001).select(F.col("id").alias("event_id"), F.col("id").alias("source_sequence_number"),
+                                        ts.alias("ingestion_timestamp"))
+    df = hot.unionByName(rest).repartition(8)
+    per = df.groupBy("event_id").agg(F.count(F.lit(1)).alias("n"))
+    joined = skew.salted_join(df, per, ["event_id"], 8,
+                              hot=skew.hot_keys(df, ["event_id"], 0.1))
+    # the salt of the hot key's rows takes several values
+    salts = (df.where("event_id = 0").select(
+        F.pmod(F.xxhash64(F.spark_partition_id(), "source_sequence_number", "ingestion_timestamp"),
+               F.lit(8)).alias("s")).distinct().count())
+    assert salts > 1
+    assert joined.count() == 40000
+    out = dedup.dedup_bounded(df, ["event_id"], ["source_sequence_number", "ingestion_timestamp"],
+                              "ingestion_timestamp", 72)
+    assert out.count() == 20001
