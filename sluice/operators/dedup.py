@@ -41,7 +41,12 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = [*group_cols, *order_cols]
+    # Rows tied on (group, order) -- e.g. identical copies -- are numbered in
+    # any order; a hash of the row and its input partition as the last range
+    # key lets even a hot run of ties split across range partitions.
+    cols = df.columns
+    df = df.withColumn("_tie", F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in cols]))
+    keys = [*group_cols, *order_cols, "_tie"]
     ranged = (df.repartitionByRange(n, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_pid", F.spark_partition_id())
@@ -56,7 +61,7 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
     joined = join_small_checked(ranged, offsets, ["_pid", *group_cols], "inner",
                                 max_broadcast_rows)
     return (joined.withColumn(out_col, F.col("_base") + F.col("_pos") - F.col("_first"))
-            .drop("_pid", "_pos", "_first", "_base"))
+            .drop("_pid", "_pos", "_first", "_base", "_tie"))
 
 
 def _survivor(df: DataFrame, keys: list[str], order_cols: list[str]) -> DataFrame:

@@ -169,3 +169,13 @@ def test_identical_hot_copies_spread_over_salts(spark):
     out = dedup.dedup_bounded(df, ["event_id"], ["source_sequence_number", "ingestion_timestamp"],
                               "ingestion_timestamp", 72)
     assert out.count() == 20001
+
+
+def test_sequence_index_hot_run_of_ties_is_split_and_exact(spark):
+    df = spark.range(0, 6000).select(F.lit(1).alias("g"), F.lit(5).alias("o"), F.lit("x").alias("v")) \
+        .repartition(6)
+    out = dedup.sequence_index(df, ["g"], ["o"], "i", num_partitions=6)
+    idx = sorted(r.i for r in out.select("i").collect())
+    assert idx == list(range(6000))
+    per_part = out.groupBy(F.spark_partition_id().alias("p")).count().count()
+    assert per_part > 1
