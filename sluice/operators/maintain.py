@@ -156,9 +156,15 @@ def zorder(df: DataFrame, cols: list[str], num_files: int, bits: int = 8) -> Dat
     column: range-partition on the Z-value and sort inside partitions.
     Write the result with ``partitionBy`` as usual; Parquet min/max
     statistics then let filtered scans skip files."""
-    keyed = zorder_key(df, cols, bits)
-    return (keyed.repartitionByRange(num_files, "_zorder").sortWithinPartitions("_zorder")
-            .drop("_zorder"))
+    keyed = _with_tie(zorder_key(df, cols, bits), df.columns)
+    return (keyed.repartitionByRange(num_files, "_zorder", "_tie")
+            .sortWithinPartitions("_zorder", "_tie").drop("_zorder", "_tie"))
+
+
+def _with_tie(df: DataFrame, cols: list[str]) -> DataFrame:
+    """Tiebreaker for range partitioning: rows sharing one Z-value (a hot
+    value) still split across files."""
+    return df.withColumn("_tie", F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in cols]))
 
 
 def file_column_spans(spark: SparkSession, path: str, cols: list[str]) -> DataFrame:
@@ -189,9 +195,10 @@ def optimize_source(spark: SparkSession, contract, dst: str,
     inv = file_inventory(spark, src, part)
     total = inv.agg(F.sum("size_bytes")).first()[0] or 0
     n_files = max(1, -(-int(total) // int(target_file_bytes)))
-    keyed = zorder_key(table, list(contract.zorder_by), bits)
-    order = [part, "_zorder"] if part else ["_zorder"]
-    out = (keyed.repartitionByRange(n_files, *order).sortWithinPartitions(*order).drop("_zorder"))
+    keyed = _with_tie(zorder_key(table, list(contract.zorder_by), bits), table.columns)
+    order = ([part] if part else []) + ["_zorder", "_tie"]
+    out = (keyed.repartitionByRange(n_files, *order).sortWithinPartitions(*order)
+           .drop("_zorder", "_tie"))
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
     (w.partitionBy(part) if part else w).parquet(dst)
     _verify(table, spark.read.parquet(dst))

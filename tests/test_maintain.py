@@ -100,3 +100,10 @@ def test_compact_in_place_with_escaped_partition_values(spark, tmp_root):
     m = {r.p: r for r in maintain.compact(spark, f"{tmp_root}/t", "p", target_file_bytes=64 << 20).collect()}
     assert m["a b:c+d"].compacted and m["a b:c+d"].files_after == 1
     assert spark.read.parquet(f"{tmp_root}/t").count() == 200
+
+
+def test_zorder_splits_a_hot_value_across_files(spark, tmp_root):
+    df = spark.range(0, 8000).select(F.lit(3).alias("a"), F.lit(4).alias("b"), "id").repartition(4)
+    maintain.zorder(df, ["a", "b"], num_files=4, bits=4).write.parquet(f"{tmp_root}/z")
+    files = spark.read.parquet(f"{tmp_root}/z").select(F.col("_metadata.file_path")).distinct().count()
+    assert files > 1 and spark.read.parquet(f"{tmp_root}/z").count() == 8000
