@@ -52,12 +52,13 @@ weighted AS (
          ([5, 2, 1])[((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1)::INT]::DOUBLE AS weight
   FROM src),
 capped AS (
-  SELECT *, (2 * source_size)::DOUBLE AS cap,
+  SELECT *, (2 * source_size)::DOUBLE AS cap, row_number() OVER w AS nth,
          coalesce(sum(2 * source_size) OVER (w ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS before,
          sum(weight) OVER (w ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS free,
          (SELECT sum(source_size) FROM src) * 1.5::DOUBLE AS total
   FROM weighted WINDOW w AS (ORDER BY 2 * source_size / weight, source NULLS LAST)),
-levels AS (SELECT min((total - before) / free) FILTER (WHERE cap >= weight * ((total - before) / free)) AS level FROM capped),
+levels AS (SELECT arg_min((total - before) / free, nth) FILTER (WHERE cap >= weight * ((total - before) / free)) AS level
+           FROM capped),
 goal AS (
   SELECT source, source_size, least(cap, weight * level) AS target,
          CASE WHEN source_size > 0 THEN least(cap, weight * level) / source_size ELSE 0 END AS rate
