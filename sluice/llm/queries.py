@@ -20,6 +20,12 @@ def op3_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_pivot_topk(spark, sf_dir):
+    from sluice.llm.topk_search import top_k
+
+    return top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op8_token_counts(spark, sf_dir):
     from sluice.llm.token_counts import token_counts
 
@@ -34,11 +40,19 @@ def op9_minimax_shards(spark, sf_dir):
         F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op10_int8_vector_dedup(spark, sf_dir):
+    from sluice.llm.embedding_dedup import near_duplicate_vectors
+
+    return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op7_pivot_topk": op7_pivot_topk,
     "op8_token_counts": op8_token_counts,
     "op9_minimax_shards": op9_minimax_shards,
+    "op10_int8_vector_dedup": op10_int8_vector_dedup,
 }
 
 ORACLE = {
@@ -75,5 +89,34 @@ best AS (SELECT source, arg_min(i, (abs(taken - target), i)) AS draw FROM drawn
 SELECT j.doc_id, j.size, j.source_size, j.target,
        (j.size * (whole + (u[draw + 1] < rate - whole)::INT))::BIGINT AS taken
 FROM joined j JOIN best b ON j.source IS NOT DISTINCT FROM b.source
+""",
+    "op7_pivot_topk": r"""
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5
+""",
+    "op10_int8_vector_dedup": r"""
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: x::DOUBLE) AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_inner_product(list_transform(embedding, lambda x: x::DOUBLE),
+                           list_transform(embedding, lambda x: x::DOUBLE)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+  ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) AS (
+  SELECT vec_id, vec_id FROM embeddings
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
+       (SELECT min(b) FROM reach r WHERE r.a = e.vec_id) AS component_id,
+       e.vec_id = (SELECT min(b) FROM reach r WHERE r.a = e.vec_id) AS kept
+FROM embeddings e
 """,
 }
