@@ -20,6 +20,12 @@ def op3_best_fit_packing(spark, sf_dir):
     return pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_minhash_forest(spark, sf_dir):
+    from sluice.llm.minhash_forest import near_duplicate_texts
+
+    return near_duplicate_texts(table(spark, sf_dir, "documents"), shingle=4)
+
+
 def op7_pivot_topk(spark, sf_dir):
     from sluice.llm.topk_search import top_k
 
@@ -49,6 +55,7 @@ def op10_int8_vector_dedup(spark, sf_dir):
 QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_best_fit_packing": op3_best_fit_packing,
+    "op4_minhash_forest": op4_minhash_forest,
     "op7_pivot_topk": op7_pivot_topk,
     "op8_token_counts": op8_token_counts,
     "op9_minimax_shards": op9_minimax_shards,
@@ -118,5 +125,25 @@ SELECT e.vec_id, (SELECT count(*) FROM links l WHERE l.a = e.vec_id) AS n_links,
        (SELECT min(b) FROM reach r WHERE r.a = e.vec_id) AS component_id,
        e.vec_id = (SELECT min(b) FROM reach r WHERE r.a = e.vec_id) AS kept
 FROM embeddings e
+""",
+    "op4_minhash_forest": r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 4 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws) - 2), lambda i: array_to_string(ws[i:i + 3], ' '))) END AS sh
+  FROM w),
+t AS (SELECT doc_id, len(sh)::BIGINT AS n, unnest(sh) AS x FROM s),
+links AS (
+  SELECT p.doc_id AS a, q.doc_id AS b FROM t p JOIN t q ON p.x = q.x AND p.doc_id <> q.doc_id
+  GROUP BY p.doc_id, q.doc_id, p.n, q.n HAVING 100 * count(*) >= 80 * (p.n + q.n - count(*))),
+reach(a, b) AS (
+  SELECT doc_id, doc_id FROM documents
+  UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a)
+SELECT s.doc_id, len(sh)::BIGINT AS n_shingles, component_id, s.doc_id = component_id AS kept
+FROM s JOIN c ON s.doc_id = c.a
 """,
 }
