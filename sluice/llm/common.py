@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Sequence
+from pathlib import Path
 from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+import sluice
 from sluice.session import scratch_path
 
 #: Words are maximal runs of anything but space, tab, LF, VT, FF and CR.
@@ -17,6 +21,23 @@ WORD = r"[^\x20\x09-\x0D]+"
 BROADCAST_BYTES = 8 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package's modules to the Python workers, once per application
+    (Spark copies the archive from the driver to them)."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        root = Path(sluice.__file__).parent
+        path = Path(tempfile.mkdtemp(prefix="sluice-")) / "sluice.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(root.rglob("*.py")):
+                z.write(f, f.relative_to(root.parent))
+        spark.sparkContext.addPyFile(str(path))
+        _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

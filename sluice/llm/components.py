@@ -12,7 +12,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import materialise, ship
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,6 +74,7 @@ def _small_star(edges: DataFrame) -> DataFrame:
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """(node, component) of all nodes that have an edge to another one; the
     component is its smallest node. Ids are longs."""
+    ship(edges.sparkSession)
     plain = edges.select(F.col(a).cast("bigint").alias("a"), F.col(b).cast("bigint").alias("b")).where("a <> b")
     e = materialise(_ordered(plain.mapInArrow(_contract, "lo bigint, hi bigint"), "lo", "hi"), "edges")
 

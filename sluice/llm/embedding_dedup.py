@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import materialise, ship
 from sluice.llm.components import components, stars
 from sluice.llm.vectors import blob, unblob, valid_matrix
 
@@ -151,6 +151,7 @@ def near_duplicate_vectors(vectors: DataFrame, threshold: float = THRESHOLD, piv
                            tile: int = TILE, id_col: str = "vec_id", vector_col: str = "embedding",
                            label_col: str = "label") -> DataFrame:
     """vec_id, n_links, component_id, kept of every row. Positive thresholds."""
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).alias("vec_id"), F.col(vector_col).alias("embedding"),
                           F.col(label_col).alias("label"))
     rows = rows.withColumns({"k1": F.xxhash64("label", "embedding"), "k2": F.xxhash64("embedding", "label")})

@@ -36,7 +36,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.common import checked_broadcast, materialise
+from sluice.llm.common import checked_broadcast, materialise, ship
 from sluice.llm.components import components
 from sluice.llm.wordhash import grouped, mix, word_hashes
 
@@ -206,6 +206,7 @@ def _across(regions: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
 def near_duplicate_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
+    ship(docs.sparkSession)
     source = docs.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).alias("text"))
     signed = materialise(source.mapInArrow(
         partial(_sign, k=shingle), "doc_id bigint, n_shingles bigint, digest binary, signature binary"), "signed")

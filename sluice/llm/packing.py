@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import tokens
-from sluice.llm.common import gapless, materialise
+from sluice.llm.common import gapless, materialise, ship
 
 WORD_BPE = "word_bpe_49k.json"
 CAPACITY = 2048
@@ -161,6 +161,7 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, tokenizer: str | N
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id,
     offset. ``tokenizer`` is the path of a word-wise vocabulary file."""
+    ship(docs.sparkSession)
     path = tokenizer or tokens.default_path(WORD_BPE)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -26,6 +26,12 @@ def op4_minhash_forest(spark, sf_dir):
     return near_duplicate_texts(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op6_string_kernel_toxicity(spark, sf_dir):
+    from sluice.llm.toxicity import toxicity_scores
+
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_pivot_topk(spark, sf_dir):
     from sluice.llm.topk_search import top_k
 
@@ -56,6 +62,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_minhash_forest": op4_minhash_forest,
+    "op6_string_kernel_toxicity": op6_string_kernel_toxicity,
     "op7_pivot_topk": op7_pivot_topk,
     "op8_token_counts": op8_token_counts,
     "op9_minimax_shards": op9_minimax_shards,

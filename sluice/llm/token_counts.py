@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm import tokens
+from sluice.llm.common import ship
 
 BYTE_BPE = "byte_bpe_50k.json"
 LIMIT = 512
@@ -22,6 +23,7 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None, limit: int = LIM
                  text_col: str = "text") -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit for each row. ``tokenizer`` is the
     path of a byte-level vocabulary file that every executor has."""
+    ship(docs.sparkSession)
     path = tokenizer or tokens.default_path(BYTE_BPE)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sluice.llm.common import materialise
+from sluice.llm.common import materialise, ship
 from sluice.llm.vectors import blob, unblob, valid_matrix
 
 TOP = 5
@@ -205,6 +205,7 @@ def top_k(vectors: DataFrame, k: int = TOP, every: int = EVERY, pivots: int = PI
           id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose id is divisible by
     ``every``, its k highest integer inner products with rows of other ids."""
+    ship(vectors.sparkSession)
     rows = vectors.select(F.col(id_col).cast("bigint").alias("vec_id"), F.col(vector_col).alias("embedding"))
     ints = materialise(rows.where("vec_id is not null").mapInArrow(
         _integers, "vec_id bigint, dim int, norm2 bigint, vector binary"), "integer-vectors")
