@@ -41,7 +41,7 @@ from sluice.llm.wordhash import mix
 
 LENGTHS = (3, 4)
 GAP = 2
-DECAY = 0.5
+DECAY = 0.7
 BITS = 18            # subsequences are hashed to 2^BITS weights
 LONGEST = 24         # characters of a word read at once
 STRIDE = 12
@@ -190,6 +190,16 @@ def _surroundings(batches):
             names=["unit", "around"])
 
 
+def variants(word: str) -> list[str]:
+    """The word with one character more inside: what the machine shall bear."""
+    if len(word) < 4:
+        return []
+    places = range(1, len(word))
+    extra = "xaeiourstnlq0"
+    return [word[:i] + (word[i] if k % 2 else extra[hash_of(word + str(i)) % len(extra)]) + word[i:]
+            for k, i in enumerate(places)]
+
+
 def hash_of(text: str) -> int:
     from zlib import crc32
 
@@ -305,10 +315,12 @@ def train(labelled: DataFrame):
     negative = [r["unit"] for r in seen.orderBy(F.crc32(F.col("unit").cast("binary")), "unit").limit(NEGATIVES).collect()]
     negative = [u for u in negative if u not in set(positive)] or ["\x04"]
     weight_of = [log(1 + gain.get(u, 1.0)) for u in positive]
+    more = [(v, w / max(1, len(u) - 1)) for u, w in zip(positive, weight_of) for v in variants(u)]
     hard: list[str] = []
     for turn in range(3):
         marks = positive[:LANDMARKS // 2] + hard[-LANDMARKS // 4:] + negative[:LANDMARKS]
-        weight, bias = fit(positive, weight_of, negative + hard * 3, marks[:LANDMARKS])
+        weight, bias = fit(positive + [v for v, _ in more], weight_of + [w for _, w in more], negative + hard * 3,
+                           marks[:LANDMARKS])
         model = spark.sparkContext.broadcast(weight)          # 2^BITS floats
         top = sample.mapInArrow(partial(_highest, weight=model, bias=bias),
                                 "unit string, value double, toxic int")
