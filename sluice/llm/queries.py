@@ -7,6 +7,14 @@ from pyspark.sql import functions as F
 from sluice.llm.common import table
 
 
+def op1_warc_revisits(spark, sf_dir):
+    from sluice.llm.revisits import captures_of_pages, resolve_revisits
+
+    out = resolve_revisits(captures_of_pages(table(spark, sf_dir, "pages")))
+    lines = F.array_sort(F.transform(F.map_entries("headers"), lambda e: F.concat(e["key"], F.lit(": "), e["value"])))
+    return out.withColumn("headers", F.array_join(lines, "; "))
+
+
 def op2_source_mix(spark, sf_dir):
     from sluice.llm.mixing import plan_mix
 
@@ -59,6 +67,7 @@ def op10_int8_vector_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_warc_revisits": op1_warc_revisits,
     "op2_source_mix": op2_source_mix,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_minhash_forest": op4_minhash_forest,
@@ -70,6 +79,45 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_warc_revisits": r"""
+WITH bare AS (
+  SELECT page_id AS n, html,
+         regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z]+://(www\.|m\.)?', '') AS b FROM pages),
+parts AS (
+  SELECT n, html, regexp_replace(lower(regexp_extract(b, '^([^/?]*)', 1)), ':(80|443)$', '') AS host,
+         regexp_replace(regexp_extract(b, '^[^/?]*([^?]*)', 1), '/+$', '') AS path,
+         list_sort(list_filter(string_split(regexp_extract(b, '\?(.*)$', 1), '&'),
+                   lambda p: p <> '' AND NOT regexp_matches(p, '^(ref|sessionid|utm_[a-z]+)='))) AS asked
+  FROM bare),
+p AS (
+  SELECT n, n % 10 AS kind, '"' || md5(html) || '"' AS etag, md5(html) AS digest, octet_length(encode(html)) AS bytes,
+         't' || (n % 100) AS modified, n * 100 AS first, n * 100 + 50 + n % 13 * 700 AS later,
+         host || path || CASE WHEN len(asked) > 0 THEN '?' || array_to_string(asked, '&') ELSE '' END AS url_key
+  FROM parts),
+v AS (
+  SELECT 2 * n + 1 AS record_id, url_key, later, CASE WHEN kind < 7 THEN etag WHEN kind = 8 THEN '"other"' END AS tag,
+         CASE WHEN kind < 7 THEN 'W/' || etag WHEN kind = 8 THEN '"other"' END AS sent,
+         CASE WHEN kind = 7 THEN modified END AS modified, CASE WHEN kind < 3 THEN later + 1000 END AS expires FROM p),
+best AS (
+  SELECT v.record_id, max(2 * p.n) AS response_id FROM v JOIN p
+  ON p.url_key = v.url_key AND (p.first < v.later OR p.first = v.later AND 2 * p.n < v.record_id) GROUP BY 1),
+j AS (
+  SELECT v.*, r.digest, r.etag, r.modified AS r_modified, r.bytes, r.n, b.response_id,
+         CASE WHEN b.response_id IS NULL THEN 'no_response'
+              WHEN v.tag IS NOT NULL AND r.etag IS NOT NULL THEN CASE WHEN v.tag = r.etag THEN 'resolved' ELSE 'mismatch' END
+              WHEN v.modified IS NOT NULL THEN CASE WHEN v.modified = r.modified THEN 'resolved' ELSE 'mismatch' END
+              ELSE 'no_validator' END AS status
+  FROM v LEFT JOIN best b USING (record_id) LEFT JOIN p r ON 2 * r.n = b.response_id)
+SELECT record_id, url_key, status, response_id, CASE WHEN status = 'resolved' THEN digest END AS digest,
+  CASE WHEN status = 'resolved' THEN array_to_string(list_filter([
+      'cache-control: max-age=' || (n % 7), 'content-length: ' || bytes, 'content-type: text/html', 'date: ' || later,
+      'etag: ' || coalesce(sent, etag), 'expires: ' || expires, 'last-modified: ' || coalesce(modified, r_modified)],
+      lambda x: x IS NOT NULL), '; ')
+  ELSE array_to_string(list_filter([
+      'connection: close', 'content-length: 0', 'date: ' || later, 'etag: ' || sent, 'expires: ' || expires,
+      'last-modified: ' || modified], lambda x: x IS NOT NULL), '; ') END AS headers
+FROM j
+""",
     "op2_source_mix": r"""
 WITH sized AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size

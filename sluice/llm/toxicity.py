@@ -266,12 +266,21 @@ def _scored(texts: list, weight: np.ndarray, bias: float, memo: dict):
 _memos: dict = {}
 
 
+def _memo_of(weight: np.ndarray) -> dict[str, float]:
+    """The words that this worker has scored with these weights."""
+    key = hash(weight.tobytes())
+    if key not in _memos:
+        _memos.clear()
+        _memos[key] = {}
+    return _memos[key]
+
+
 def _score(batches, model, bias, slope, offset, lowest):
     """mapInArrow over (doc_id, held_out, text): the score."""
     import pyarrow as pa
 
     weight = model.value
-    memo = _memos.setdefault(id(weight), {}) if id(weight) in _memos or not _memos.clear() else {}
+    memo = _memo_of(weight)
     for batch in batches:
         got = np.array([lowest if v is None else v for v, _ in
                         _scored(batch.column(2).to_pylist(), weight, bias, memo)], dtype=np.float64)
@@ -359,9 +368,24 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
+def _keep(batches, column, model, bias, slope, offset, lowest, threshold):
+    """mapInArrow over whole rows: those that aren't predicted toxic."""
+    import pyarrow as pa
+
+    memo = _memo_of(model.value)
+    for batch in batches:
+        got = np.array([lowest if v is None else v for v, _ in
+                        _scored(batch.column(column).to_pylist(), model.value, bias, memo)], dtype=np.float64)
+        yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(slope * got + offset, -50, 50))) < threshold))
+
+
 def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic; rows with a null id stay."""
-    gone = toxicity_scores(docs, labels, threshold, id_col, text_col).where("predicted = 1").select(
-        F.col("doc_id").alias("gone__")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("gone__"), "left_anti")
+    """The rows of ``docs`` that aren't predicted toxic."""
+    model = train(training_rows(docs, labels, id_col, text_col))
+    if model is None:
+        return docs
+    weight, bias, slope, offset, lowest = model
+    return docs.mapInArrow(
+        partial(_keep, column=docs.columns.index(text_col), model=weight, bias=bias, slope=slope, offset=offset,
+                lowest=lowest, threshold=threshold), docs.schema)
