@@ -34,6 +34,12 @@ def op4_minhash_forest(spark, sf_dir):
     return near_duplicate_texts(table(spark, sf_dir, "documents"), shingle=4)
 
 
+def op5_trie_lm(spark, sf_dir):
+    from sluice.llm.trie_lm import score_documents
+
+    return score_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_string_kernel_toxicity(spark, sf_dir):
     from sluice.llm.toxicity import toxicity_scores
 
@@ -71,6 +77,7 @@ QUERIES = {
     "op2_source_mix": op2_source_mix,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_minhash_forest": op4_minhash_forest,
+    "op5_trie_lm": op5_trie_lm,
     "op6_string_kernel_toxicity": op6_string_kernel_toxicity,
     "op7_pivot_topk": op7_pivot_topk,
     "op8_token_counts": op8_token_counts,
