@@ -11,12 +11,9 @@ from pyspark.sql import functions as F
 
 # Vocabularies of the reference's telemetry producer, in its order.
 EVENT_TYPES = ["login", "logout", "purchase", "match_start", "match_end"]
-CRASH_EVENT_TYPE = "crash"
 EXCEPTIONS = ["NullPointerException", "TimeoutException", "OutOfMemoryError"]
 DEVICES = ["PS5", "PS4"]
 NETWORK_TYPES = ["wifi", "ethernet", "cellular"]
-ITEM_CATEGORIES = ["skin", "currency_pack", "battle_pass", "dlc", "loot_box"]
-CURRENCIES = ["USD", "EUR", "GBP", "JPY", "MXN"]
 
 
 def decode(code: Column, vocabulary: list[str]) -> Column:

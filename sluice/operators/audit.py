@@ -37,18 +37,19 @@ def late_rate(df: DataFrame, event_col: str, ingest_col: str,
              .withColumn("observed", F.try_divide(F.col("late_rows"), F.col("total_rows")))
 
 
-ROUTES = ("on_time", "late_open", "late_closed")
+ROUTES = ("on_time", "late_open", "late_closed", "no_time")
 
 
 def route_late(df: DataFrame, event_col: str, ingest_col: str, on_time_s: int = 300,
                open_hours: int = 72) -> DataFrame:
     """Tag each row: ``on_time`` (lag <= on_time_s), ``late_open`` (its
     event-date partition is still open: lag <= open_hours) or
-    ``late_closed`` (belongs to a closed partition -> side table)."""
+    ``late_closed`` (belongs to a closed partition -> side table). A row that
+    lacks one of the times is ``no_time`` and stays in the main table."""
     lag = seconds_between(F.col(event_col), F.col(ingest_col))
     route = (F.when(lag <= on_time_s, "on_time")
              .when(lag <= open_hours * 3600, "late_open")
-             .otherwise("late_closed"))
+             .when(lag.isNotNull(), "late_closed").otherwise("no_time"))
     return df.withColumn("route", route)
 
 
@@ -159,7 +160,11 @@ def attach_blob_pointer(rows: DataFrame, content_col: str, catalog: DataFrame) -
     content, NULL when the content has no blob."""
     keyed = rows.withColumn("_sha", sha256_hex(F.col(content_col)))
     cat = catalog.select(F.col("sha256").alias("_sha"), "blob_path")
-    return keyed.join(cat, "_sha", "left").drop("_sha")
+    # Rows without content (often most of them) don't go through the shuffle.
+    found = keyed.where(F.col("_sha").isNotNull()).join(cat, "_sha", "left").drop("_sha")
+    none = keyed.where(F.col("_sha").isNull()).drop("_sha").withColumn(
+        "blob_path", F.lit(None).cast(cat.schema["blob_path"].dataType))
+    return found.unionByName(none)
 
 
 def table_fingerprint(df: DataFrame, cols: list[str] | None = None) -> DataFrame:

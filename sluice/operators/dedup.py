@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.time import add_hours
-from sluice.operators.skew import hot_keys_from_counts, join_small_checked, salted_join
+from sluice.operators.skew import hot_keys_from_counts, null_safe_join, salted_join
 
 # Keys holding at least this share of the rows are joined map-side
 # (broadcast); there can be at most 1 / HOT_SHARE of them.
@@ -22,8 +22,7 @@ HOT_SHARE = 0.001
 
 
 def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
-                   out_col: str = "sequence_index", num_partitions: int | None = None,
-                   max_broadcast_rows: int = 2_000_000) -> DataFrame:
+                   out_col: str = "sequence_index", num_partitions: int | None = None) -> DataFrame:
     """0-based running index per group in ``order_cols`` order (what
     ``row_number() OVER (PARTITION BY g ORDER BY o) - 1`` gives), computed
     without putting a whole group in one task:
@@ -37,7 +36,7 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
 
     The numbered rows are checkpointed (shared checkpoint folder) so both
     passes see the same positions, also after an executor is lost, and the
-    data is shuffled once.
+    data is shuffled once. Rows with a NULL group are a group of their own.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -58,8 +57,7 @@ def sequence_index(df: DataFrame, group_cols: list[str], order_cols: list[str],
               .rowsBetween(Window.unboundedPreceding, -1))
     offsets = (stats.withColumn("_base", F.coalesce(F.sum("_n").over(before), F.lit(0)))
                .select("_pid", *group_cols, "_first", "_base"))
-    joined = join_small_checked(ranged, offsets, ["_pid", *group_cols], "inner",
-                                max_broadcast_rows)
+    joined = null_safe_join(ranged, offsets, ["_pid", *group_cols])
     return (joined.withColumn(out_col, F.col("_base") + F.col("_pos") - F.col("_first"))
             .drop("_pid", "_pos", "_first", "_base", "_tie"))
 
@@ -126,14 +124,21 @@ def dedup_bounded(df: DataFrame, keys: list[str], order_cols: list[str], time_co
 
     ``keep_first_seen`` adds ``_first_seen`` to the output (and it is read
     back from the input when present) so the dedup can be re-run
-    incrementally over already deduplicated rows plus new ones."""
+    incrementally over already deduplicated rows plus new ones. Rows with a
+    NULL key are one key's rows.
+
+    The tagged rows are read once: one aggregate keeps, per key, the best row
+    inside the window, and each distinct row outside it with its copies."""
     data = df.drop(FIRST_SEEN)
-    tagged = _tag_first_seen(df, keys, time_col, hot_share).withColumn(
-        "_inw", _in_window(time_col, window_hours))
+    tagged = _tag_first_seen(df, keys, time_col, hot_share)
     cols = data.columns + ([FIRST_SEEN] if keep_first_seen else [])
-    inside = _survivor(tagged.where(F.col("_inw")).select(*cols), keys, order_cols)
-    outside = tagged.where(~F.col("_inw")).select(*cols)
-    return inside.unionByName(outside)
+    rest = [*order_cols, *[c for c in cols if c not in keys and c not in order_cols]]
+    inside, packed = _in_window(time_col, window_hours), F.struct(*[F.col(c) for c in rest])
+    best = tagged.groupBy(*keys, F.when(~inside, packed).alias("_outside")).agg(
+        F.max(F.when(inside, packed)).alias("_inside"), F.count(F.lit(1)).alias("_copies"))
+    copies = F.when(F.col("_outside").isNull(), F.lit(1)).otherwise(F.col("_copies")).cast("int")
+    rows = best.select(*keys, F.explode(F.array_repeat(F.coalesce("_outside", "_inside"), copies)).alias("_w"))
+    return rows.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*cols)
 
 
 def duplicate_census(df: DataFrame, keys: list[str], seq_col: str, time_col: str,
@@ -150,23 +155,15 @@ def duplicate_census(df: DataFrame, keys: list[str], seq_col: str, time_col: str
     pre = df.groupBy(*keys, seq_col, time_col).agg(F.count(F.lit(1)).alias("_c"))
     tagged = _tag_first_seen(pre, keys, time_col, hot_share, weight="_c").withColumn(
         "_inw", _in_window(time_col, window_hours))
-    versions = (tagged.where(F.col("_inw")).groupBy(*keys, seq_col)
-                .agg(F.sum("_c").alias("_rows")))
+    versions = tagged.groupBy(*keys, seq_col, "_inw").agg(F.sum("_c").alias("_rows"))
+    inside = F.col("_inw")
     per_key = versions.groupBy(*keys).agg(
-        F.sum(F.col("_rows") - 1).alias("_ident"),
-        F.count_if(F.col("_rows") > 1).alias("_ident_versions"),
-        (F.count(F.lit(1)) - 1).alias("_corr"))
-    ident_corr = per_key.agg(
-        F.coalesce(F.sum("_ident"), F.lit(0)).cast("long").alias("identical_rows"),
-        F.count_if(F.col("_ident") > 0).alias("identical_keys"),
-        F.coalesce(F.sum("_corr"), F.lit(0)).cast("long").alias("correction_rows"),
-        F.count_if(F.col("_corr") > 0).alias("correction_keys"))
-    late = (tagged.where(~F.col("_inw")).groupBy(*keys).agg(F.sum("_c").alias("_late"))
-            .agg(F.coalesce(F.sum("_late"), F.lit(0)).cast("long").alias("late_rows"),
-                 F.count(F.lit(1)).alias("late_keys")))
-    stacked_a = ident_corr.select(F.expr(
-        "stack(2, 'identical', identical_rows, identical_keys, "
-        "'correction', correction_rows, correction_keys) AS (flavor, n_rows, n_keys)"))
-    stacked_b = late.select(F.lit("out_of_window").alias("flavor"),
-                            F.col("late_rows").alias("n_rows"), F.col("late_keys").alias("n_keys"))
-    return stacked_a.unionByName(stacked_b)
+        F.sum(F.when(inside, F.col("_rows") - 1).otherwise(0)).alias("_ident"),
+        (F.count_if(inside) - 1).alias("_corr"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_rows"))).alias("_late"))
+    totals = per_key.agg(*[a for n in ("ident", "corr", "late") for a in (
+        F.coalesce(F.sum(f"_{n}"), F.lit(0)).cast("long").alias(f"{n}_rows"),
+        F.count_if(F.col(f"_{n}") > 0).alias(f"{n}_keys"))])
+    return totals.select(F.expr(
+        "stack(3, 'identical', ident_rows, ident_keys, 'correction', corr_rows, corr_keys, "
+        "'out_of_window', late_rows, late_keys) AS (flavor, n_rows, n_keys)"))

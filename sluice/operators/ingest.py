@@ -7,9 +7,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.functions.time import add_hours
 from sluice.operators.dedup import dedup_bounded
 from sluice.operators.lineage import add_lineage, new_run_id
 from sluice.sources.contract import SourceContract
@@ -68,27 +70,52 @@ def ingest_all(spark: SparkSession, contracts: list[SourceContract],
             for c in sorted(contracts, key=lambda c: c.name)]
 
 
-def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+#: Conditions under which a table is absent; any other failure is raised.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The Parquet table at ``path``, its files' schemas merged (or with
+    ``schema``, reading no file), or None where there is none yet."""
+    reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     try:
-        return spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - AnalysisException: path missing / no files yet
-        return None
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ABSENT:
+            return None
+        raise
+
+
+MERGE_ID = "_merge_id"
 
 
 def reprocess_open_partitions(spark: SparkSession, table_path: str, batch: DataFrame,
                               contract: SourceContract, open_days: int = 3,
-                              time_col: str = "ingestion_timestamp") -> DataFrame:
+                              time_col: str = "ingestion_timestamp", merge_id: str | None = None,
+                              as_of=None) -> DataFrame:
     """Merge a new batch into the open (most recent ``open_days``) date
     partitions it touches, re-running bounded dedup over those partitions
     only, and rewrite just them (dynamic partition overwrite).
 
-    Returns the batch rows that belong to closed partitions; the caller
-    routes them to a side table instead of reopening history.
+    Returns the batch rows that belong to closed partitions or have no
+    partition value; the caller routes them to a side table instead of
+    reopening history.
+
+    ``as_of`` is the newest date, from which open partitions count; then the
+    first batch obeys the horizon like the others, and the result doesn't
+    depend on the order of batches. Without it, the newest date of table and
+    batch counts, and the first batch makes the table.
+
+    ``merge_id`` names the batch. A batch that is merged again under its name
+    (a replay) gives the same table: rows it left outside the window, which
+    are kept on purpose, are taken out before they come again; inside the
+    window the dedup itself is idempotent.
 
     The table keeps ``_first_seen`` per row (earliest arrival of its key),
     so a key whose first copy was deduplicated away in an earlier run keeps
     its window. All copies of a key share the event time, hence the
-    partition, so re-deduplicating one partition is exact.
+    partition, so re-deduplicating one partition is exact. Columns that only
+    the table or only the batch has are kept, NULL on the other side.
 
     The merged rows are checkpointed to the shared checkpoint folder before
     the overwrite, so the write never reads the files it replaces and a
@@ -96,29 +123,38 @@ def reprocess_open_partitions(spark: SparkSession, table_path: str, batch: DataF
     part = contract.partition_by[0]
     keys, order = list(contract.dedup_key), list(contract.order_by)
     window_h = contract.dedup_window_hours or 72
-    existing = _read_or_none(spark, table_path)
-    if existing is None:                       # first run: the table is the batch, deduplicated
-        merged = dedup_bounded(batch, keys, order, time_col, window_h, keep_first_seen=True)
+    if merge_id is not None:
+        batch = batch.withColumn(MERGE_ID, F.lit(merge_id))
+    existing = read_if_there(spark, table_path)
+    if existing is None and as_of is None:     # first run: the table is the batch, deduplicated
+        dated = batch.where(F.col(part).isNotNull())
+        merged = dedup_bounded(dated, keys, order, time_col, window_h, keep_first_seen=True)
         write_table(merged, table_path, contract.partition_by, "overwrite", dynamic=True)
-        return batch.limit(0)
-    # One scalar (the newest partition) decides the open horizon. The table's
-    # newest partition comes from its file listing (values are in the paths),
-    # so no data row is read for it.
-    listed = (file_inventory(spark, table_path, part)
-              .agg(F.max(F.col(part).cast("date"))).first()[0])
-    in_batch = batch.agg(F.max(F.col(part).cast("date"))).first()[0]
-    newest = max(d for d in (listed, in_batch) if d is not None)
-    horizon = F.date_sub(F.lit(newest), open_days - 1)
-    open_rows = batch.where(F.col(part) >= horizon)
-    closed_rows = batch.where(F.col(part) < horizon)
-    touched = open_rows.select(part).distinct()
-    current = (existing.where(F.col(part) >= horizon)          # static partition pruning
-               .join(touched, part, "left_semi"))              # only partitions the batch touches
-    if "_first_seen" not in current.columns:
-        current = current.withColumn("_first_seen", F.col(time_col))
-    current = current.select(*batch.columns, "_first_seen")
-    merged = dedup_bounded(current.unionByName(open_rows, allowMissingColumns=True), keys, order,
-                           time_col, window_h, keep_first_seen=True)
+        return batch.where(F.col(part).isNull())
+    if as_of is None:
+        # One scalar (the newest partition) decides the open horizon. The table's
+        # newest partition comes from its file listing (values are in the paths),
+        # so no data row is read for it.
+        listed = (file_inventory(spark, table_path, part)
+                  .agg(F.max(F.col(part).cast("date"))).first()[0])
+        in_batch = batch.agg(F.max(F.col(part).cast("date"))).first()[0]
+        as_of = max((d for d in (listed, in_batch) if d is not None), default=None)
+    horizon = F.date_sub(F.lit(as_of), open_days - 1)
+    is_open = F.coalesce(F.col(part) >= horizon, F.lit(False))
+    open_rows, closed_rows = batch.where(is_open), batch.where(~is_open)
+    if existing is None:
+        rows = open_rows
+    else:
+        touched = open_rows.select(part).distinct()
+        current = (existing.where(F.col(part) >= horizon)          # static partition pruning
+                   .join(touched, part, "left_semi"))              # only partitions the batch touches
+        if "_first_seen" not in current.columns:
+            current = current.withColumn("_first_seen", F.col(time_col))
+        if merge_id is not None and MERGE_ID in current.columns:
+            outside = F.col(time_col) > add_hours(F.col("_first_seen"), window_h)
+            current = current.where(~F.coalesce((F.col(MERGE_ID) == merge_id) & outside, F.lit(False)))
+        rows = current.unionByName(open_rows, allowMissingColumns=True)
+    merged = dedup_bounded(rows, keys, order, time_col, window_h, keep_first_seen=True)
     staged = merged.checkpoint(eager=True)
     write_table(staged, table_path, contract.partition_by, "overwrite", dynamic=True)
     return closed_rows

@@ -11,7 +11,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sluice.functions.time import ntz_to_instant
 from sluice.operators.audit import file_stats, table_fingerprint
 from sluice.sources.scan import file_inventory
 
@@ -43,6 +45,13 @@ def partition_file_stats(spark: SparkSession, path: str, part_col: str) -> DataF
     return file_stats(inv, [part_col])
 
 
+def partition_columns(spark: SparkSession, path: str) -> list[str]:
+    """Names of the partition folders under a table's path, from one file's path."""
+    one = spark.read.parquet(path).select(F.col("_metadata.file_path").alias("p")).first()
+    inside = one["p"].split(path.rstrip("/").rsplit("/", 1)[-1], 1)[-1] if one else ""
+    return [x.split("=", 1)[0] for x in inside.split("/") if "=" in x]
+
+
 def _verify(a: DataFrame, b: DataFrame) -> None:
     cols = sorted(a.columns)
     if sorted(b.columns) != cols:
@@ -69,6 +78,11 @@ def compact(spark: SparkSession, src: str, part_col: str, dst: str | None = None
     into several right-sized files, small ones are merged. Returns per
     partition: files and bytes before and after."""
     small_file_bytes = small_file_bytes or target_file_bytes // 2
+    if dst is None:
+        other = [c for c in partition_columns(spark, src) if c != part_col]
+        if other:
+            raise CompactionError(f"{src} has partition folders of {other} too; compacting it in place by "
+                                  f"{part_col} would mix two layouts. Give dst for a snapshot.")
     before = partition_file_stats(spark, src, part_col).select(
         part_col, F.col("n_files").alias("files_before"),
         F.col("total_bytes").alias("bytes_before"),
@@ -124,6 +138,8 @@ def range_bucket(col: Column, bounds: list) -> Column:
 def interleave_bits(buckets: list[Column], bits: int) -> Column:
     """Z-value: bit i of column j goes to position i * k + j (k columns)."""
     k = len(buckets)
+    if k * bits > 63:
+        raise ValueError(f"{k} columns of {bits} bits don't fit a 64-bit key; use fewer bits")
     z = F.lit(0).cast("long")
     for i in range(bits):
         for j, b in enumerate(buckets):
@@ -132,6 +148,25 @@ def interleave_bits(buckets: list[Column], bits: int) -> Column:
     return z
 
 
+def order_number(df: DataFrame, col: str) -> Column:
+    """A number that sorts like the column: itself, days or microseconds of
+    dates and times, the first six bytes of text and binary values."""
+    kind = df.schema[col].dataType
+    c = F.col(col)
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        first = F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0")
+        return F.conv(first, 16, 10).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.unix_micros(ntz_to_instant(c)).cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("double")
+    if isinstance(kind, T.BooleanType):
+        return c.cast("int").cast("double")
+    return c.cast("double")
+
+
 def zorder_key(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float = 0.001) -> DataFrame:
     """Add ``_zorder``: bit-interleaved range buckets of ``cols``. Bucket
     bounds are approximate quantiles (one distributed aggregate; the
@@ -140,13 +175,15 @@ def zorder_key(df: DataFrame, cols: list[str], bits: int = 8, rel_error: float =
         raise ValueError("zorder needs at least one column")
     n = 1 << bits
     probs = [i / n for i in range(1, n)]
-    quant = df.stat.approxQuantile(cols, probs, rel_error)
+    numbers = [order_number(df, c) for c in cols]
+    quant = df.select(*[x.alias(f"_q{i}") for i, x in enumerate(numbers)]).stat.approxQuantile(
+        [f"_q{i}" for i in range(len(cols))], probs, rel_error)
     buckets = []
-    for c, q in zip(cols, quant):
+    for c, q in zip(numbers, quant):
         bounds = sorted(set(q))
         # A column with few distinct values has fewer buckets than 2^bits:
         # stretch its ids over the whole range so its high bits still split.
-        b = range_bucket(F.col(c), bounds)
+        b = range_bucket(c, bounds)
         buckets.append(F.floor(b * F.lit(n) / F.lit(len(bounds) + 1)).cast("long"))
     return df.withColumn("_zorder", interleave_bits(buckets, bits))
 

@@ -76,11 +76,15 @@ def enforce(report: DataFrame) -> list[dict]:
 
 
 def format_report(rows: list[dict]) -> str:
-    out = []
-    for r in rows:
-        obs = "NULL" if r["observed"] is None else f"{r['observed']:.4f}"
-        out.append(f"{r['flag']:5} {r['name']:32} observed={obs}  ({r['detail']})")
-    return "\n".join(out)
+    """The report as text, one line per rule: its name and verdict, the value
+    (``-`` if there is none) and what was asked of it."""
+    width = max((len(r["name"]) for r in rows), default=0)
+
+    def line(r: dict) -> str:
+        value = "-" if r["observed"] is None else format(r["observed"], ".6g")
+        return f"{r['name'].ljust(width)} | {r['flag']} | {value} | {r['detail']}"
+
+    return "\n".join(map(line, rows))
 
 
 def _row_rule_violation(rule: RowRule) -> Column:

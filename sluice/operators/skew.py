@@ -60,10 +60,19 @@ def hot_keys(df: DataFrame, keys: list[str], min_share: float) -> DataFrame:
     return counts.where(F.col("_n") >= total * F.lit(min_share)).select(*keys)
 
 
+def null_safe_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` in which NULL equals NULL; the key columns come
+    once, from ``big``."""
+    right = small.withColumnsRenamed({k: f"_small_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_small_{k}")) for k in keys]
+    return big.join(right, same, how).drop(*[f"_small_{k}" for k in keys])
+
+
 def salted_join(big: DataFrame, small: DataFrame, keys: list[str], n_salts: int,
                 how: str = "inner", salt_by: list[str] | None = None,
                 hot: DataFrame | None = None) -> DataFrame:
-    """Equi-join where some keys of ``big`` may hold a large share of rows.
+    """Equi-join (NULL keys equal each other) where some keys of ``big`` may
+    hold a large share of rows.
 
     Rows of hot keys get salt = hash(``salt_by`` columns) mod the key's salt
     count; the ``small`` rows of those keys are replicated once per salt
@@ -86,15 +95,15 @@ def salted_join(big: DataFrame, small: DataFrame, keys: list[str], n_salts: int,
     else:
         salts = F.col("_salts") if "_salts" in hot.columns else F.lit(n_salts)
         flag = F.broadcast(hot.select(*keys, salts.cast("int").alias("_k")))
-        big_s = (big.join(flag, keys, "left")
+        big_s = (null_safe_join(big, flag, keys, "left")
                  .withColumn("_salt", F.when(F.col("_k") > 1, F.pmod(h, F.col("_k")))
                              .otherwise(F.lit(0)).cast("int"))
                  .drop("_k"))
-        small_s = (small.join(flag, keys, "left")
+        small_s = (null_safe_join(small, flag, keys, "left")
                    .withColumn("_salt", F.explode(F.sequence(F.lit(0),
                                                              F.coalesce(F.col("_k"), F.lit(1)) - 1)))
                    .drop("_k"))
-    return big_s.join(small_s, [*keys, "_salt"], how).drop("_salt")
+    return null_safe_join(big_s, small_s, [*keys, "_salt"], how).drop("_salt")
 
 
 def two_phase_aggregate(df: DataFrame, keys: list[str], salt: Column,

@@ -311,9 +311,25 @@ _CELLS = ("SELECT event_date, count(DISTINCT (producer_id, time_bucket(INTERVAL
           "AS n FROM telemetry GROUP BY event_date")
 
 ORACLE.update({
-    "schema_evolution": with_t("SELECT column_name AS field, 'same' AS status FROM (DESCRIBE SELECT * FROM telemetry) "
-                               "UNION ALL SELECT 'client_region', 'added'"),
-    "stream_silver": with_t(f"SELECT {present_cols()} FROM silver", _DEDUP_BOUNDED_CTES),
+    "schema_evolution": with_t(
+        "SELECT field, 'same' AS status, n_values FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM telemetry) "
+        "ON COLUMNS(*) INTO NAME field VALUE n_values) UNION ALL SELECT 'client_region', 'added', "
+        "count(*) FROM telemetry WHERE event_date = (SELECT max(event_date) FROM telemetry) "
+        "AND player_id IS NOT NULL"),
+    "exact_sample": with_t(
+        f"SELECT event_id, source_sequence_number, {TS('ingestion_timestamp')} AS ingestion_timestamp FROM telemetry "
+        f"ORDER BY sha256('42|' || event_id || '|' || source_sequence_number || '|' || {TS('ingestion_timestamp')}), "
+        "1, 2, 3 LIMIT 100"),
+    "table_fingerprint": with_t(
+        "SELECT count(*) AS n_rows, sum(h)::VARCHAR AS hash_sum, bit_xor(h) AS hash_xor FROM ("
+        "SELECT ('0x' || substr(sha256(concat_ws('|', coalesce(event_id::VARCHAR, '~'), coalesce(player_id::VARCHAR, '~'), "
+        "coalesce(source_sequence_number::VARCHAR, '~'), "
+        f"coalesce({TS('ingestion_timestamp')}, '~'), coalesce(metadata, '~'))), 1, 12))::BIGINT AS h FROM telemetry)"),
+    "stream_silver": with_t(
+        f"SELECT {present_cols()}, false AS side FROM silver "
+        "WHERE event_date > (SELECT max(event_date) FROM telemetry) - 3 "
+        f"UNION ALL SELECT {present_cols()}, true FROM telemetry "
+        "WHERE event_date <= (SELECT max(event_date) FROM telemetry) - 3", _DEDUP_BOUNDED_CTES),
     "first_partitions": with_t(f"SELECT {D('event_date')} AS event_date FROM (SELECT DISTINCT event_date "
                                "FROM telemetry) ORDER BY event_date LIMIT 5"),
     "late_closed_rows": with_t(f"SELECT {present_cols()} FROM telemetry WHERE {LAG} > 72 * 3600"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.codes import DEVICES, EVENT_TYPES, NETWORK_TYPES, decode
 from sluice.functions.json import json_key, json_object_text
-from sluice.functions.time import minute_stamp
+from sluice.functions.time import iso_timestamp_sql, minute_stamp
 from sluice.operators import audit, conformance, dedup, gold, quality, skew
 from sluice.plans.present import present
 from sluice.sources import scan
@@ -158,8 +158,9 @@ def join_sources(spark, sf_dir):
 
 def exact_sample(spark, sf_dir, n: int = 100, seed: int = 42):
     t = _t(spark, sf_dir).select("event_id", "source_sequence_number", "ingestion_timestamp")
-    h = F.xxhash64(F.lit(seed), *[F.col(c) for c in t.columns])
-    return present(t.orderBy(h, *t.columns).limit(n))
+    text = F.concat_ws("|", F.lit(str(seed)), "event_id", "source_sequence_number",
+                       iso_timestamp("ingestion_timestamp"))
+    return present(t.orderBy(F.sha2(text, 256), *t.columns).limit(n))
 
 
 def dictionary_decode(spark, sf_dir):
@@ -238,7 +239,19 @@ def table_diff(spark, sf_dir):
 
 
 def table_fingerprint(spark, sf_dir):
-    return audit.table_fingerprint(_t(spark, sf_dir))
+    """Rows, and sum and xor of the first 48 bits of each row's sha256: the
+    same in any order and file layout, and in any engine."""
+    t = _t(spark, sf_dir)
+    text = F.concat_ws("|", *[F.coalesce(c, F.lit("~")) for c in (
+        F.col("event_id").cast("string"), F.col("player_id").cast("string"),
+        F.col("source_sequence_number").cast("string"), iso_timestamp("ingestion_timestamp"), F.col("metadata"))])
+    return t.select(F.conv(F.substring(F.sha2(text, 256), 1, 12), 16, 10).cast("bigint").alias("h")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("h").cast("decimal(38,0)")).cast("string").alias("hash_sum"),
+        F.bit_xor("h").alias("hash_xor"))
+
+
+def iso_timestamp(col: str):
+    return F.expr(iso_timestamp_sql(col))
 
 
 # Expectations of the seeded defects (manifest values; the dedup and crash
@@ -479,13 +492,16 @@ def compact(spark, sf_dir):
     return m.select("event_date", "files_before", "files_after", "compacted")
 
 
-def _stream_landing(spark, sf_dir):
+def _stream_landing(spark, sf_dir, files_per_batch: int | None = None):
     root = scratch_path(spark, "stream")
     t = _t(spark, sf_dir)
     write_landing(t, f"{root}/landing", ["event_date"], 2,
                   ["event_id", "source_sequence_number", "ingestion_timestamp"])
     schema = spark.read.parquet(f"{root}/landing").schema
-    return root, spark.readStream.schema(schema).parquet(f"{root}/landing")
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return root, reader.parquet(f"{root}/landing")
 
 
 STREAM_DEDUP_COLUMNS = ["event_id", "player_id", "game_id", "producer_id", "event_timestamp",
@@ -500,10 +516,11 @@ def stream_dedup(spark, sf_dir):
 
 
 def stream_flush_counts(spark, sf_dir):
-    root, stream = _stream_landing(spark, sf_dir)
-    counts = late.flush_window_counts(stream, "ingestion_timestamp", ["producer_id"], 5, "72 hours")
-    late.run_update_query(counts, f"{root}/out", f"{root}/ckpt")
-    return present(late.read_latest(spark, f"{root}/out", ["flush_start", "producer_id"]))
+    """Flush windows of a stream drained in many micro-batches, late rows
+    (a side count) added back: equal to the batch count."""
+    root, stream = _stream_landing(spark, sf_dir, files_per_batch=5)
+    late.count_flush_windows(stream, f"{root}/out", f"{root}/ckpt", "ingestion_timestamp", ["producer_id"], 5, 72)
+    return present(late.read_flush_windows(spark, f"{root}/out", ["producer_id"]).drop("n_late"))
 
 
 def zorder_layout(spark, sf_dir):
@@ -527,9 +544,9 @@ def zorder_layout(spark, sf_dir):
 
 def stream_silver(spark, sf_dir):
     """Streaming Silver with corrections: the landing tree is drained in
-    several micro-batches, each merged into its open partitions with the
-    ordered bounded dedup. Every partition stays open here (10-year
-    horizon), so the result must equal the batch ``dedup_bounded``."""
+    several micro-batches, each merged into its open partitions (the newest
+    three dates) with the ordered bounded dedup; rows of closed partitions
+    go to the side table. Both come back, marked by ``side``."""
     root = scratch_path(spark, "silver")
     t = _t(spark, sf_dir)
     write_landing(t, f"{root}/landing", ["event_date"], 2,
@@ -537,16 +554,21 @@ def stream_silver(spark, sf_dir):
     schema = spark.read.parquet(f"{root}/landing").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 20).parquet(f"{root}/landing")
     contract = _landing_contract(root)
+    newest = t.agg(F.max("event_date")).first()[0]
     incremental.ingest_silver_stream(spark, stream, contract, f"{root}/silver", f"{root}/side",
-                                     f"{root}/ckpt", open_days=3650)
-    return present(spark.read.parquet(f"{root}/silver").select(*TCOLUMNS))
+                                     f"{root}/ckpt", open_days=3, as_of=newest)
+    silver = spark.read.parquet(f"{root}/silver").select(*TCOLUMNS, F.lit(False).alias("side"))
+    side = spark.read.schema(silver.drop("side").schema).parquet(f"{root}/side").select(
+        *TCOLUMNS, F.lit(True).alias("side"))
+    return present(silver.unionByName(side))
 
 
 def schema_evolution(spark, sf_dir):
     """Two incremental runs over the same landing folder; between them a
     producer starts writing an extra column. Each run logs the schema it
     inferred; the comparison shows every field ``same`` and the new one
-    ``added`` (schema-on-read with ``mergeSchema``)."""
+    ``added`` (schema-on-read with ``mergeSchema``), with the number of
+    values that the Bronze table shows of it."""
     root = scratch_path(spark, "schema")
     t = _t(spark, sf_dir)
     last = t.agg(F.max("event_date")).first()[0]
@@ -564,8 +586,12 @@ def schema_evolution(spark, sf_dir):
      .withColumn("client_region", F.concat(F.lit("r"), (F.col("player_id") % 4).cast("string")))
      .write.mode("append").partitionBy("event_date").parquet(landing))
     second = incremental.ingest_incremental(spark, merged, **kw)
-    return incremental.schema_changes(spark, merged.checkpoint_path, first.run_id, second.run_id) \
-        .select("field", "status")
+    changes = incremental.schema_changes(spark, merged.checkpoint_path, first.run_id, second.run_id)
+    bronze = incremental.read_bronze(spark, merged.bronze_path)
+    filled = bronze.agg(*[F.count(c).alias(c) for c in [*TCOLUMNS, "client_region"]]).select(
+        F.explode(F.map_from_arrays(F.array(*[F.lit(c) for c in [*TCOLUMNS, "client_region"]]),
+                                    F.array(*[F.col(c) for c in [*TCOLUMNS, "client_region"]]))).alias("field", "n_values"))
+    return changes.join(filled, "field").select("field", "status", "n_values")
 
 
 QUERIES.update({

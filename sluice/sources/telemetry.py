@@ -102,8 +102,8 @@ def player_events_contract_dict(root: str = "") -> dict:
         "name": "player_events",
         "format": "parquet",
         "landing_path": "player_events",
-        "bronze_path": f"{root}/bronze/player_events" if root else "bronze/player_events",
-        "checkpoint_path": f"{root}/checkpoints/player_events" if root else "checkpoints/player_events",
+        "bronze_path": f"{root or '/tables'}/bronze/player_events",
+        "checkpoint_path": f"{root or '/tables'}/checkpoints/player_events",
         "partition_by": ["event_date"],
         "schema": [
             {"name": "event_id", "type": "long"},
@@ -129,9 +129,8 @@ def player_events_contract_dict(root: str = "") -> dict:
                        "AND get_json_object(metadata, '$.network_type') IS NOT NULL"),
              "assert": {"op": "eq", "value": 0}},
             {"name": "hot_game_share", "severity": "soft",
-             "query": ("SELECT MAX(share) AS observed FROM ("
-                       "SELECT game_id, COUNT(*) / (SELECT COUNT(*) FROM bronze) AS share "
-                       "FROM bronze GROUP BY game_id)"),
+             "query": ("WITH per_game AS (SELECT COUNT(*) AS n FROM bronze GROUP BY game_id) "
+                       "SELECT MAX(n) / SUM(n) AS observed FROM per_game"),
              "expected": 0.37, "tolerance": 0.02},
             {"name": "late_arrival_rate", "severity": "soft",
              "query": ("SELECT SUM(CASE WHEN timestampdiff(SECOND, event_timestamp, "

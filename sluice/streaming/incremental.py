@@ -27,13 +27,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sluice.operators.ingest import read_if_there
 from sluice.operators.lineage import add_lineage, new_run_id
-from sluice.operators.skew import join_small_checked
+from sluice.operators.maintain import session_conf
 from sluice.sources.contract import SourceContract
 from sluice.sources.scan import landing_location, read_source
 
 REGISTRY_DIR = "_registry"
 SCHEMA_LOG_DIR = "_schema_log"
+KEPT_PROGRESS = 1_000_000     # micro-batches of one run whose progress is kept
 
 
 @dataclass
@@ -53,34 +55,28 @@ class IncrementalResult:
 REGISTRY_SCHEMA = "_source_file string, ingest_run string, ingest_batch long"
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    """A readable Parquet folder at ``path`` (schema given, so only the
-    folder is listed; no file is opened)."""
-    try:
-        spark.read.schema("_x string").parquet(path)
-        return True
-    except Exception:  # noqa: BLE001 - AnalysisException: PATH_NOT_FOUND
-        return False
-
-
 def read_registry(spark: SparkSession, bronze_path: str) -> DataFrame | None:
     """Files already ingested, per run and batch (written after the data)."""
-    path = f"{bronze_path.rstrip('/')}/{REGISTRY_DIR}"
-    try:
-        return spark.read.schema(REGISTRY_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - no registry yet
-        return None
+    return read_if_there(spark, f"{bronze_path.rstrip('/')}/{REGISTRY_DIR}", REGISTRY_SCHEMA)
 
 
 def read_bronze(spark: SparkSession, bronze_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The incremental Bronze table: every batch directory, with the
-    run/batch directory columns dropped. Give ``schema`` (the stream's) so
-    a table whose batches were all empty still reads."""
-    r = spark.read
+    """The incremental Bronze table: every committed batch directory (one
+    with a registry entry), with the run/batch directory columns dropped.
+    Without ``schema`` the files' schemas are merged, so a column that came
+    later shows, NULL in earlier rows. Give ``schema`` (the stream's) so a
+    table whose batches were all empty still reads."""
+    root = bronze_path.rstrip("/")
     if schema is not None:
-        r = r.schema(T.StructType(list(schema.fields) + [
-            T.StructField("ingest_run", T.StringType()), T.StructField("ingest_batch", T.LongType())]))
-    return r.parquet(bronze_path).drop("ingest_run", "ingest_batch")
+        table = spark.read.schema(T.StructType(list(schema.fields) + [
+            T.StructField("ingest_run", T.StringType()), T.StructField("ingest_batch", T.LongType())])).parquet(root)
+    else:
+        table = spark.read.option("mergeSchema", "true").parquet(root)
+    committed = read_registry(spark, root)
+    if committed is None:
+        return table.limit(0).drop("ingest_run", "ingest_batch")
+    committed = committed.select("ingest_run", "ingest_batch").distinct()
+    return table.join(committed, ["ingest_run", "ingest_batch"], "left_semi").drop("ingest_run", "ingest_batch")
 
 
 def _log_schema(spark: SparkSession, checkpoint: str, run_id: str, schema: T.StructType) -> None:
@@ -101,7 +97,7 @@ def schema_changes(spark: SparkSession, checkpoint: str, run_a: str, run_b: str)
     return j.withColumn("status", status)
 
 
-def _batch_writer(bronze_path: str, partition_by: tuple[str, ...], max_registry_broadcast: int):
+def _batch_writer(bronze_path: str, partition_by: tuple[str, ...]):
     root = bronze_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -112,8 +108,7 @@ def _batch_writer(bronze_path: str, partition_by: tuple[str, ...], max_registry_
         if registry is not None:
             others = (registry.where(~((F.col("ingest_run") == qid) & (F.col("ingest_batch") == batch_id)))
                       .select("_source_file").distinct())
-            new = join_small_checked(batch, others, ["_source_file"], "left_anti",
-                                     max_registry_broadcast)
+            new = batch.join(others, "_source_file", "left_anti")      # AQE broadcasts a small registry
         target = f"{root}/ingest_run={qid}/ingest_batch={batch_id}"
         out = new.hint("rebalance", *partition_by) if partition_by else new
         w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
@@ -132,8 +127,8 @@ def _batch_writer(bronze_path: str, partition_by: tuple[str, ...], max_registry_
 
 def ingest_incremental(spark: SparkSession, contract: SourceContract,
                        landing_root: str | None = None, bronze_path: str | None = None,
-                       checkpoint: str | None = None, max_files_per_trigger: int | None = None,
-                       max_registry_broadcast: int = 5_000_000) -> IncrementalResult:
+                       checkpoint: str | None = None,
+                       max_files_per_trigger: int | None = None) -> IncrementalResult:
     """Drain the landing folder's unseen files into Bronze and stop."""
     bronze = (bronze_path or contract.bronze_path).rstrip("/")
     ckpt = (checkpoint or contract.checkpoint_path).rstrip("/")
@@ -148,18 +143,21 @@ def ingest_incremental(spark: SparkSession, contract: SourceContract,
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(landing_location(contract, landing_root))
     stamped = add_lineage(stream, contract.name, run_id)
-    before = read_bronze(spark, bronze, stamped.schema).count() if _exists(spark, bronze) else 0
-    query = (stamped.writeStream
-             .foreachBatch(_batch_writer(bronze, contract.partition_by, max_registry_broadcast))
-             .option("checkpointLocation", f"{ckpt}/stream")
-             .trigger(availableNow=True)
-             .start())
-    query.awaitTermination()
+    there = lambda: read_if_there(spark, bronze, stamped.schema) is not None
+    before = read_bronze(spark, bronze, stamped.schema).count() if there() else 0
+    # Every batch is reported, not only the newest hundred.
+    with session_conf(spark, spark__sql__streaming__numRecentProgressUpdates=KEPT_PROGRESS):
+        query = (stamped.writeStream
+                 .foreachBatch(_batch_writer(bronze, contract.partition_by))
+                 .option("checkpointLocation", f"{ckpt}/stream")
+                 .trigger(availableNow=True)
+                 .start())
+        query.awaitTermination()
     batches = [{"batchId": p["batchId"], "numInputRows": p["numInputRows"]}
                for p in query.recentProgress]
     result = IncrementalResult(contract.name, run_id, batches)
     result.rows_read = sum(b["numInputRows"] for b in batches)
-    if _exists(spark, bronze):
+    if there():
         result.total_rows = read_bronze(spark, bronze, stamped.schema).count()
     result.rows_added = result.total_rows - before
     return result
@@ -167,16 +165,18 @@ def ingest_incremental(spark: SparkSession, contract: SourceContract,
 
 def ingest_silver_stream(spark: SparkSession, stream: DataFrame, contract: SourceContract,
                          silver_path: str, side_path: str, checkpoint: str, open_days: int = 3,
-                         time_col: str = "ingestion_timestamp") -> None:
+                         time_col: str = "ingestion_timestamp", as_of=None) -> None:
     """Streaming bounded dedup that honours corrections: every micro-batch
     is merged into the open partitions it touches with the ordered,
-    windowed dedup (``reprocess_open_partitions``); rows for closed
-    partitions are appended to ``side_path`` under their batch id."""
+    windowed dedup (``reprocess_open_partitions``), under its own name, so a
+    replayed batch changes nothing; rows for closed partitions are appended
+    to ``side_path`` under their batch id. See there for ``as_of``."""
     from sluice.operators.ingest import reprocess_open_partitions
 
     def merge(batch: DataFrame, batch_id: int) -> None:
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "adhoc"
         closed = reprocess_open_partitions(batch.sparkSession, silver_path, batch, contract,
-                                           open_days, time_col)
+                                           open_days, time_col, f"{query}-{batch_id}", as_of)
         closed.write.mode("overwrite").parquet(f"{side_path}/side_batch={batch_id}")
 
     q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

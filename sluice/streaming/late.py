@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.functions.time import instant_to_ntz, ntz_to_instant
+from sluice.functions.time import add_hours, floor_minutes, instant_to_ntz, ntz_to_instant
+from sluice.operators.ingest import read_if_there
 
 
 def with_event_watermark(stream: DataFrame, time_col: str, delay: str = "72 hours",
@@ -57,6 +58,37 @@ def read_latest(spark: SparkSession, path: str, key_cols: list[str]) -> DataFram
     return best.select(*key_cols, *[F.col(f"_v.{c}").alias(c) for c in value_cols])
 
 
+def count_flush_windows(stream: DataFrame, path: str, checkpoint: str, time_col: str, group_cols: list[str],
+                        minutes: int = 5, delay_hours: int = 72) -> None:
+    """Window counts of a stream that lose no row: every micro-batch adds its
+    own counts, in a directory of its own (a replay replaces it). Rows more
+    than ``delay_hours`` behind the newest time of earlier batches, and rows
+    without a time, are counted apart, as ``late`` (the side table): their
+    windows are closed. :func:`read_flush_windows` adds both up."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        marks = read_if_there(spark, f"{path}/newest", "newest timestamp_ntz, sink_batch long")
+        newest = None if marks is None else marks.where(F.col("sink_batch") < batch_id).agg(F.max("newest")).first()[0]
+        batch.agg(F.max(time_col).alias("newest")).write.mode("overwrite").parquet(f"{path}/newest/sink_batch={batch_id}")
+        t = F.col(time_col)
+        behind = F.lit(False) if newest is None else add_hours(t, delay_hours) < F.lit(newest)
+        (batch.groupBy(floor_minutes(t, minutes).alias("flush_start"), *group_cols,
+                       F.coalesce(behind, F.lit(True)).alias("late"))
+         .agg(F.count(F.lit(1)).alias("n_rows")).write.mode("overwrite").parquet(f"{path}/counts/sink_batch={batch_id}"))
+
+    q = (stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+
+
+def read_flush_windows(spark: SparkSession, path: str, group_cols: list[str]) -> DataFrame:
+    """Counts per window and group, late rows added back (``n_late`` of them)."""
+    t = spark.read.parquet(f"{path}/counts")
+    return t.groupBy("flush_start", *group_cols).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum(F.when(F.col("late"), F.col("n_rows")).otherwise(0)).alias("n_late"))
+
+
 def run_append_query(stream: DataFrame, path: str, checkpoint: str) -> None:
     """Drain a stateless or watermarked-append stream into Parquet via
     foreachBatch (batch-addressed directories, replay-safe). Read it back
