@@ -12,10 +12,13 @@ that tree: two sets of similarity 0.8 share one in some tree with probability
    copies that gives each a few neighbours, not all pairs. The pairs are
    confirmed on the full shingle sets.
 2. The confirmed links give components. Regions whose classes are all in one
-   component need nothing more. In any other region, each class outside its
-   largest component meets all classes of other components. So every pair that
-   shares a region of any tree ends in one component or has been compared on
-   full sets; nothing is capped.
+   component need nothing more. In any other region of up to ``LIGHT``
+   classes, each class outside its largest component meets all classes of
+   other components. Larger ones are joined where they share classes, dealt
+   into tiles by hash, and every two tiles of such a cluster meet: all pairs are
+   compared on full sets in one sparse product, which returns stars that span
+   the links, not pairs. So every pair that shares a region of any tree ends in
+   one component or has been compared on full sets; nothing is capped.
 
 Only ids and keys are sorted; texts go to the pairs that ask for them.
 
@@ -37,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import checked_broadcast, materialise, ship
-from sluice.llm.components import components
+from sluice.llm.components import components, stars
 from sluice.llm.wordhash import grouped, mix, word_hashes
 
 SHINGLE = 5
@@ -45,6 +48,9 @@ PERCENT = 80
 TREES = 16
 BASE = 3
 KEY = 8              # signature values in a key: BASE of the region, the rest to go deeper
+LIGHT = 64           # classes of a region that are paired one by one
+TILE = 100_000       # shingles in a tile of a larger region
+COLUMNS = 4096       # shingles multiplied at a time
 NEIGHBOUR_TREES = 4  # trees whose neighbours are compared first
 
 _rng = np.random.default_rng(20240917)
@@ -170,6 +176,75 @@ def _confirm(batches, k: int, percent: int):
                 pa.array(keep, pa.bool_()))
 
 
+def _similar(left: list[np.ndarray], right: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the similar pairs of two lists of sets, by the product
+    of their shingle matrices (shingles of one set alone don't count)."""
+    sets = [*left, *right]
+    size = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(len(sets)), size)
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    _, column = np.unique(column[shared], return_inverse=True)
+    owner = owner[shared]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    n = len(left)
+    both = np.zeros((n, len(right)), dtype=np.float32)
+    for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [at, at + COLUMNS])
+        m = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+        m[owner[a:b], column[a:b] - at] = 1
+        both += m[:n] @ m[n:].T
+    union = size[:n, None] + size[None, n:] - both
+    return np.nonzero(100 * both.astype(np.float64) >= percent * union)
+
+
+def _tiles_meet(batches, k: int, percent: int):
+    """mapInPandas over pairs of tiles: stars that span the similar pairs."""
+    import pandas as pd
+
+    with np.errstate(over="ignore"):
+        for pairs in batches:
+            for r in pairs.itertuples(index=False):
+                ids, sets = [], []
+                for docs in (r.docs, r.docs_r):
+                    ids.append(np.array([d["id"] for d in docs], dtype=np.int64))
+                    sets.append([s for a, b in grouped([d["text"].encode() for d in docs])
+                                 for s in shingles([d["text"].encode() for d in docs[a:b]], k)])
+                i, j = _similar(*sets, percent)
+                u, v = stars(ids[0][i], ids[1][j])
+                yield pd.DataFrame({"a": u, "b": v})
+
+
+def _clusters_met(regions: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) that span all similar pairs of the large regions."""
+    first = regions.groupBy("region").agg(F.min("rep").alias("first"))
+    spokes = regions.join(first.withColumnRenamed("region", "g"), F.col("region") == F.col("g")).select(
+        F.col("first").alias("a"), F.col("rep").alias("b"))
+    cluster = materialise(components(spokes), "clusters")
+    member = regions.groupBy("rep").agg(F.max("n").alias("n"))
+    member = member.join(cluster, F.col("rep") == F.col("node")).select("rep", "n", "component")
+    total = member.groupBy("component").agg(F.sum("n").alias("total")).select(
+        F.col("component").alias("c"), F.ceil(F.col("total") / TILE).alias("tiles"))
+    dealt = materialise(member.join(total, F.col("component") == F.col("c")).select(
+        "rep", "component", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("tile")), "dealt")
+    some = texts.join(checked_broadcast(dealt.select("rep"), 16), F.col("id") == F.col("rep"), "left_semi")
+    some = some.groupBy("id").agg(F.min("text").alias("text"))
+    tiles = materialise(
+        dealt.join(some, F.col("rep") == F.col("id")).groupBy("component", "tile").agg(
+            F.collect_list(F.struct("id", "text")).alias("docs")), "text-tiles")
+    about = tiles.select("component", "tile")
+    pairs = about.join(about.select(F.col("component").alias("component_r"), F.col("tile").alias("tile_r")),
+                       (F.col("component") == F.col("component_r")) & (F.col("tile") <= F.col("tile_r")))
+    left = tiles.select(F.col("component").alias("c"), F.col("tile").alias("t"), "docs")
+    right = tiles.select(F.col("component").alias("c_r"), F.col("tile").alias("t_r"), F.col("docs").alias("docs_r"))
+    return materialise(
+        pairs.join(left, (F.col("component") == F.col("c")) & (F.col("tile") == F.col("t")))
+        .join(right, (F.col("component_r") == F.col("c_r")) & (F.col("tile_r") == F.col("t_r")))
+        .select("docs", "docs_r")
+        .mapInPandas(partial(_tiles_meet, k=k, percent=percent), "a bigint, b bigint"), "cluster-links")
+
+
 def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """Those of the (distinct) pairs whose full sets are similar. Only the
     texts that take part are moved."""
@@ -185,22 +260,26 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
         .mapInArrow(partial(_confirm, k=k, percent=percent), "a bigint, b bigint"), "confirmed")
 
 
-def _across(regions: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Pairs in one region but in different components. In a region, classes
-    outside its largest component meet the others."""
+def _across(regions: DataFrame, comps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Regions with several components: of the light ones the pairs between
+    components (classes outside the largest meet the others), and the members
+    of the others."""
     member = materialise(regions.select("region", "rep", "n").join(
         comps.select(F.col("node").alias("m"), F.col("component").alias("c")), F.col("rep") == F.col("m"), "left")
         .select("region", "rep", "n", F.coalesce("c", "rep").alias("c")), "members")
     mixed = member.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("region").agg(
-        F.max(F.struct("size", "c"))["c"].alias("largest"), F.count(F.lit(1)).alias("parts")).where("parts > 1")
-    member = materialise(member.join(mixed.select(F.col("region").alias("g"), "largest"),
-                                     F.col("region") == F.col("g")).drop("g"), "mixed-regions")
+        F.max(F.struct("size", "c"))["c"].alias("largest"), F.count(F.lit(1)).alias("parts"),
+        F.sum("size").alias("size")).where("parts > 1")
+    every = materialise(member.join(mixed.select(F.col("region").alias("g"), "largest", "size"),
+                                    F.col("region") == F.col("g")).drop("g"), "mixed-regions")
+    member = every.where(F.col("size") <= LIGHT)
     few = member.where("c <> largest").select(F.col("region").alias("s"), F.col("rep").alias("rep2"),
                                               F.col("n").alias("n2"), F.col("c").alias("c2"))
     met = member.join(few, (F.col("region") == F.col("s")) & (F.col("c") != F.col("c2"))
                       & ((F.col("c") == F.col("largest")) | (F.col("rep") < F.col("rep2")))
                       & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
-    return met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+    pairs = met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
+    return pairs, every.where(F.col("size") > LIGHT).select("region", "rep", "n")
 
 
 def near_duplicate_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
@@ -223,7 +302,8 @@ def near_duplicate_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int =
     near = regions.where(F.col("follower").isNotNull() & (F.col("tree") < NEIGHBOUR_TREES)).select(
         F.least("rep", "follower").alias("a"), F.greatest("rep", "follower").alias("b")).where("a < b").distinct()
     comps = materialise(components(_confirmed(near, texts, shingle, percent)), "components")
-    rest = _confirmed(_across(regions, comps, percent), texts, shingle, percent)
+    pairs, large = _across(regions, comps, percent)
+    rest = _confirmed(pairs, texts, shingle, percent).union(_clusters_met(large, texts, shingle, percent))
     by_class = _merged(comps, rest)
     to_class = classes.select(F.col("digest").alias("d"), "rep").join(
         by_class, F.col("rep") == F.col("node"), "left").select(
