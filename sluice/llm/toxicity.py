@@ -50,7 +50,8 @@ TOXIC_ROWS = 3000
 CLEAN_ROWS = 24000
 CANDIDATES = 20000   # words of toxic documents looked up in clean ones
 POSITIVES = 600
-NEGATIVES = 8000
+VARIED = 200         # of them also learnt with one character more
+NEGATIVES = 6000
 EVIDENCE = 20.0      # least log-likelihood gain of a training word
 MEMO = 300_000
 THRESHOLD = 0.3
@@ -118,32 +119,35 @@ def values(words: list[str], weight: np.ndarray, bias: float) -> np.ndarray:
     return np.maximum.reduceat(out, first) if len(flat) else out
 
 
-def _dense(words: list[str]) -> np.ndarray:
-    out = np.zeros((len(words), 1 << BITS), dtype=np.float32)
-    keys, w = subsequences([x[:LONGEST] for x in words])
-    for i in range(len(words)):
-        np.add.at(out[i], keys[i], w[i])
-    return out
+def _similarities(of: list[str], to: list[str]):
+    """The kernel of words and landmarks, a landmark at a time, and its
+    features spread out."""
+    keys, weights = subsequences([x[:LONGEST] for x in of])
+    own, own_weights = subsequences([x[:LONGEST] for x in to])
+    kernel = np.empty((len(of), len(to)))
+    spread = np.zeros(1 << BITS, dtype=np.float32)
+    for j in range(len(to)):
+        spread[:] = 0
+        np.add.at(spread, own[j], own_weights[j])
+        for at in range(0, len(of), 2000):
+            part = slice(at, at + 2000)
+            kernel[part, j] = np.einsum("ij,ij->i", spread[keys[part]], weights[part])
+    return kernel, own, own_weights
 
 
-def fit(positive: list[str], weight_of: list[float], negative: list[str], landmarks: list[str]):
+def fit(positive: list[str], weight_of: list[float], negative: list[str], hard: list[str], landmarks: list[str]):
     """One weight per subsequence and a bias: squared-hinge machine on the
     Nystroem features of the landmarks, by Newton steps."""
-    base = _dense(landmarks)
-    gram = (base @ base.T).astype(np.float64)
-    power, turn = np.linalg.eigh(gram)
+    gram, _, _ = _similarities(landmarks, landmarks)
+    power, turn = np.linalg.eigh((gram + gram.T) / 2)
     use = power > 1e-6 * power.max()
     root = turn[:, use] / np.sqrt(power[use])
-    words = positive + negative
-    kernel = np.empty((len(words), len(landmarks)))
-    for at in range(0, len(words), 1000):
-        keys, w = subsequences([x[:LONGEST] for x in words[at:at + 1000]])
-        for j in range(len(landmarks)):
-            kernel[at:at + 1000, j] = (base[j][keys] * w).sum(axis=1)
-    x = np.hstack([kernel @ root, np.ones((len(words), 1))])
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
+    kernel, own, own_weights = _similarities(positive + negative + hard, landmarks)
+    x = np.hstack([kernel @ root, np.ones((len(kernel), 1))])
+    n0 = len(negative) + 3 * len(hard)
+    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative) + len(hard))])
     pos = np.asarray(weight_of, dtype=np.float64)
-    cost = np.concatenate([pos / pos.sum(), np.full(len(negative), 3 / max(1, len(negative)))]) * 1000
+    cost = 1000 * np.concatenate([pos / pos.sum(), np.full(len(negative), 3 / n0), np.full(len(hard), 9 / n0)])
     u = np.zeros(x.shape[1])
     ridge = np.full(len(u), 0.05)
     ridge[-1] = 1e-6
@@ -154,7 +158,10 @@ def fit(positive: list[str], weight_of: list[float], negative: list[str], landma
         if np.allclose(new, u, atol=1e-8):
             break
         u = new
-    return ((root @ u[:-1]) @ base).astype(np.float32), float(u[-1])
+    weight = np.zeros(1 << BITS, dtype=np.float64)
+    for share, k, w in zip(root @ u[:-1], own, own_weights):
+        np.add.at(weight, k, share * w)
+    return weight.astype(np.float32), float(u[-1])
 
 
 def logistic(values_: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
@@ -324,11 +331,11 @@ def train(labelled: DataFrame):
     negative = [r["unit"] for r in seen.orderBy(F.crc32(F.col("unit").cast("binary")), "unit").limit(NEGATIVES).collect()]
     negative = [u for u in negative if u not in set(positive)] or ["\x04"]
     weight_of = [log(1 + gain.get(u, 1.0)) for u in positive]
-    more = [(v, w / max(1, len(u) - 1)) for u, w in zip(positive, weight_of) for v in variants(u)]
+    more = [(v, w / max(1, len(u) - 1)) for u, w in list(zip(positive, weight_of))[:VARIED] for v in variants(u)]
     hard: list[str] = []
     for turn in range(3):
         marks = positive[:LANDMARKS // 2] + hard[-LANDMARKS // 4:] + negative[:LANDMARKS]
-        weight, bias = fit(positive + [v for v, _ in more], weight_of + [w for _, w in more], negative + hard * 3,
+        weight, bias = fit(positive + [v for v, _ in more], weight_of + [w for _, w in more], negative, hard,
                            marks[:LANDMARKS])
         model = spark.sparkContext.broadcast(weight)          # 2^BITS floats
         top = sample.mapInArrow(partial(_highest, weight=model, bias=bias),
