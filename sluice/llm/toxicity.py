@@ -297,15 +297,13 @@ def _score(batches, model, bias, slope, offset, lowest):
 
 
 def train(labelled: DataFrame):
-    """``labelled`` has id, text and toxic (0 or 1). The model: broadcast
+    """``labelled`` has id, text and toxic (0 or 1), as many rows as
+    ``training_rows`` takes at most. The model: broadcast
     weights, bias, slope, offset, lowest value; None without both classes."""
     spark = labelled.sparkSession
     ship(spark)
-    by_hash = [F.xxhash64("id"), F.col("id")]
-    toxic = labelled.where("toxic = 1").orderBy(*by_hash).limit(TOXIC_ROWS)
-    clean = labelled.where("toxic = 0").orderBy(*by_hash).limit(CLEAN_ROWS)
-    sample = materialise(toxic.union(clean).select("text", "toxic")
-                         .repartition(max(1, spark.sparkContext.defaultParallelism)), "toxicity-sample")
+    sample = materialise(labelled.select("text", "toxic").repartition(
+        max(1, spark.sparkContext.defaultParallelism)), "toxicity-sample")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return None
@@ -352,11 +350,19 @@ def train(labelled: DataFrame):
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Labelled documents outside the held-out quarter."""
-    marked = labels.where("toxic in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").alias("label_id")).agg(
-        F.max("toxic").cast("int").alias("toxic"))
-    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where(crc_of_id(F.col("id")) % 4 != 2)
-    return known.join(marked, F.col("id") == F.col("label_id")).select("id", "text", "toxic")
+    """id, text and label of the documents to train on: labelled, outside the
+    held-out quarter, at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` by the hash of
+    the id. Only ids are shuffled; the chosen ones, whose number is bounded,
+    are broadcast to the documents."""
+    ids = docs.select(F.col(id_col).alias("id")).where(F.col("id").isNotNull()).distinct()
+    marked = (labels.where("toxic in (0, 1) and doc_id is not null").where(crc_of_id(F.col("doc_id")) % 4 != 2)
+              .groupBy(F.col("doc_id").alias("label_id")).agg(F.max("toxic").cast("int").alias("toxic")))
+    marked = materialise(marked.join(ids, F.col("label_id") == F.col("id"), "left_semi"), "toxicity-labels")
+    by_hash = [F.xxhash64("label_id"), F.col("label_id")]
+    chosen = marked.where("toxic = 1").orderBy(*by_hash).limit(TOXIC_ROWS).union(
+        marked.where("toxic = 0").orderBy(*by_hash).limit(CLEAN_ROWS))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    return rows.join(F.broadcast(chosen), F.col("id") == F.col("label_id")).select("id", "text", "toxic")
 
 
 def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
