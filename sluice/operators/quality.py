@@ -76,15 +76,14 @@ def enforce(report: DataFrame) -> list[dict]:
 
 
 def format_report(rows: list[dict]) -> str:
-    """The report as text, one line per rule: its name and verdict, the value
-    (``-`` if there is none) and what was asked of it."""
+    """The report as text: a line per rule with its verdict, its name in a
+    column as wide as the longest, the value found and what was asked."""
     width = max((len(r["name"]) for r in rows), default=0)
-
-    def line(r: dict) -> str:
-        value = "-" if r["observed"] is None else format(r["observed"], ".6g")
-        return f"{r['name'].ljust(width)} | {r['flag']} | {value} | {r['detail']}"
-
-    return "\n".join(map(line, rows))
+    lines = []
+    for r in rows:
+        value = format(r["observed"], ".4f") if r["observed"] is not None else "NULL"
+        lines.append(" ".join([r["flag"].ljust(5), r["name"].ljust(width), "observed=" + value, "/ " + r["detail"]]))
+    return "\n".join(lines)
 
 
 def _row_rule_violation(rule: RowRule) -> Column:

@@ -56,8 +56,7 @@ def hot_keys(df: DataFrame, keys: list[str], min_share: float) -> DataFrame:
     if not 0 < min_share <= 1:
         raise ValueError("min_share must be in (0, 1]")
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1))).scalar()
-    return counts.where(F.col("_n") >= total * F.lit(min_share)).select(*keys)
+    return hot_keys_from_counts(counts, "_n", keys, min_share)
 
 
 def null_safe_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -43,12 +43,16 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a private one only when the
-    session has none (local runs)."""
+    session has none and runs in one process (tests). On a cluster a folder
+    of one machine would not be seen by the others: that is an error."""
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError(f"spark.checkpoint.dir is not set; {master} needs a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
     spark.sparkContext.setCheckpointDir(conf_dir)
     return spark.sparkContext.getCheckpointDir() or conf_dir

@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from sluice.functions.time import floor_minutes, minute_stamp
 
 
+FILES_PER_TASK = 256
+
+
 def write_landing(df: DataFrame, path: str, partition_by: list[str], files_per_partition: int = 3,
                   spread_cols: list[str] | None = None, fmt: str = "parquet",
                   num_tasks: int | None = None) -> None:
@@ -34,8 +37,11 @@ def write_flush_layout(df: DataFrame, path: str, date_col: str = "event_date",
     """One file per (date, producer, flush window): the small-files layout."""
     flush = minute_stamp(floor_minutes(F.col(time_col), minutes))
     out = df.withColumn("flush", flush)
-    # An explicit task count: AQE must not coalesce this shuffle into one
-    # task, since the cost here is per file, not per byte.
-    n = num_tasks or max(8, df.sparkSession.sparkContext.defaultParallelism * 2)
+    # An explicit task count, from the number of files: AQE must not coalesce
+    # this shuffle into one task, since the cost here is per file, not per byte.
+    if not num_tasks:
+        files = out.agg(F.approx_count_distinct(F.struct(date_col, producer_col, "flush"))).first()[0]
+        num_tasks = max(8, df.sparkSession.sparkContext.defaultParallelism * 2, files // FILES_PER_TASK)
+    n = num_tasks
     (out.repartition(n, date_col, producer_col, "flush").write.mode("overwrite")
      .partitionBy(date_col, producer_col, "flush").parquet(path))
