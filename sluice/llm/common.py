@@ -73,7 +73,7 @@ def checked_broadcast(df: DataFrame, row_bytes: int) -> DataFrame:
 
 
 def gapless(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str, rows: int,
-            per_task: int = 4096) -> DataFrame:
+            per_task: int = 1024) -> DataFrame:
     """Add ``name``: 0, 1, 2, ... without gaps inside each group, in no set
     order, with no group in one task. Rows of a group are dealt by a hash of
     ``order`` into buckets of about ``per_task`` of the ``rows`` rows; a
