@@ -351,3 +351,20 @@ ORACLE.update({
         f"SELECT {TS('time_bucket(INTERVAL 5 MINUTE, ingestion_timestamp)')} AS flush_start, producer_id, "
         "count(*) AS n_rows FROM telemetry GROUP BY 1, 2"),
 })
+
+#: The same over the clean rows only (queries refined_*).
+_CLEAN_CTES = ("clean AS (SELECT * FROM telemetry WHERE player_id <> 5),"
+               + _DEDUP_BOUNDED_CTES.replace("FROM telemetry", "FROM clean"))
+
+ORACLE.update({
+    "refined_rejects": with_t(
+        f"SELECT {present_cols()}, 'player_id:not_null' AS _reasons FROM "
+        "(SELECT * REPLACE (NULL::BIGINT AS player_id) FROM telemetry WHERE player_id = 5)"),
+    "refined_silver": with_t(f"SELECT {present_cols()} FROM silver", _CLEAN_CTES),
+    **{f"refined_{name}": ORACLE[f"gold_{name}"].replace(_DEDUP_BOUNDED_CTES, _CLEAN_CTES)
+       for name in ("daily_events", "daily_rates", "player_activity")},
+    "refined_duplicate_rates": with_t(
+        f"SELECT {D('event_date')} AS event_date, sum(n)::BIGINT AS n_rows, count(*) AS n_keys, "
+        "sum(n - 1)::DOUBLE / sum(n) AS duplicate_rate FROM (SELECT event_date, event_id, count(*) AS n FROM telemetry "
+        "WHERE player_id <> 5 GROUP BY ALL) GROUP BY event_date"),
+})

@@ -563,6 +563,43 @@ def stream_silver(spark, sf_dir):
     return present(silver.unionByName(side))
 
 
+def _refined(spark, sf_dir):
+    """The tables that a contract run writes over the telemetry, in which the
+    player 5 is unknown; the contract wants a player."""
+    from sluice.operators.refine import refine
+
+    root = scratch_path(spark, "refined")
+    raw = player_events_contract_dict(root)
+    raw["quality_rules"] = [*raw["quality_rules"], {"column": "player_id", "rule": "not_null"}]
+    bronze = _t(spark, sf_dir).withColumn("player_id", F.nullif(F.col("player_id"), F.lit(5)))
+    return refine(spark, contract_from_dict(raw), bronze, root).tables
+
+
+def refined_rejects(spark, sf_dir):
+    _, rejects = quality.read_quarantined(spark, _refined(spark, sf_dir)["checked"])
+    return present(rejects.select(*TCOLUMNS, F.array_join("_reasons", ",").alias("_reasons")))
+
+
+def refined_silver(spark, sf_dir):
+    return present(spark.read.parquet(_refined(spark, sf_dir)["silver"]).select(*TCOLUMNS))
+
+
+def refined_daily_events(spark, sf_dir):
+    return present(spark.read.parquet(_refined(spark, sf_dir)["daily_events"]))
+
+
+def refined_daily_rates(spark, sf_dir):
+    return present(spark.read.parquet(_refined(spark, sf_dir)["daily_rates"]))
+
+
+def refined_player_activity(spark, sf_dir):
+    return present(spark.read.parquet(_refined(spark, sf_dir)["player_activity"]))
+
+
+def refined_duplicate_rates(spark, sf_dir):
+    return present(spark.read.parquet(_refined(spark, sf_dir)["duplicate_rates"]))
+
+
 def schema_evolution(spark, sf_dir):
     """Two incremental runs over the same landing folder; between them a
     producer starts writing an extra column. Each run logs the schema it
@@ -595,6 +632,12 @@ def schema_evolution(spark, sf_dir):
 
 
 QUERIES.update({
+    "refined_rejects": refined_rejects,
+    "refined_silver": refined_silver,
+    "refined_daily_events": refined_daily_events,
+    "refined_daily_rates": refined_daily_rates,
+    "refined_player_activity": refined_player_activity,
+    "refined_duplicate_rates": refined_duplicate_rates,
     "schema_evolution": schema_evolution,
     "stream_silver": stream_silver,
     "zorder_layout": zorder_layout,

@@ -1,5 +1,6 @@
-"""Command line: ingest every source contract of a folder (name order),
-then run each source's aggregate quality rules over its Bronze table.
+"""Command line: ingest every source contract of a folder (name order), run
+each source's aggregate quality rules over its Bronze table, and refine it:
+row rules send rows to the rejects, clean rows become Silver and Gold.
 
     python -m sluice.run --contracts contracts/ --landing-root /data/landing [--incremental]
 
@@ -16,6 +17,7 @@ from pyspark.sql import SparkSession
 
 from sluice.operators.ingest import ingest_full_refresh
 from sluice.operators.quality import enforce, evaluate_rules, format_report
+from sluice.operators.refine import refine
 from sluice.session import ensure_checkpoint_dir
 from sluice.sources.contract import load_contracts
 from sluice.streaming.incremental import ingest_incremental, read_bronze
@@ -49,6 +51,9 @@ def main(argv: list[str] | None = None) -> int:
             table = spark.read.parquet(c.bronze_path)
         if c.aggregate_rules:
             print(format_report(enforce(evaluate_rules(table, list(c.aggregate_rules)))))
+        if c.row_rules or c.dedup_key:
+            done = refine(spark, c, table)
+            print(f"{c.name}: {done.clean} clean, {done.rejects} rejected, Silver {done.silver}")
     return 0
 
 

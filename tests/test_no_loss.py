@@ -160,3 +160,17 @@ def test_blob_pointer_of_rows_without_content(spark):
     store = rows.where("id = 1").select(F.sha2("text", 256).alias("sha256"), F.lit("p").alias("blob_path"))
     got = {r.id: r.blob_path for r in audit.attach_blob_pointer(rows, "text", store).collect()}
     assert got == {1: "p", 2: None, 3: None}
+
+
+def test_refine_twice_gives_the_same_tables(spark, t, tmp_root):
+    from sluice.operators.refine import refine
+
+    holed = t.withColumn("event_id", F.nullif("event_id", F.lit(7)))
+    c = contract(tmp_root)
+    first = refine(spark, c, holed)
+    assert first.rejects == holed.where("event_id is null").count() > 0
+    assert first.rejects + first.clean == t.count()
+    tables = {k: spark.read.parquet(p).checkpoint() for k, p in first.tables.items()}
+    second = refine(spark, c, holed)
+    for k, p in second.tables.items():
+        assert audit.table_diff(tables[k], spark.read.parquet(p)).count() == 0
