@@ -35,6 +35,7 @@ from sluice.sources.scan import landing_location, read_source
 
 REGISTRY_DIR = "_registry"
 SCHEMA_LOG_DIR = "_schema_log"
+REGISTRY_BYTES = 8 << 20      # a registry whose paths are longer in all is joined by shuffle
 KEPT_PROGRESS = 1_000_000     # micro-batches of one run whose progress is kept
 
 
@@ -97,7 +98,7 @@ def schema_changes(spark: SparkSession, checkpoint: str, run_a: str, run_b: str)
     return j.withColumn("status", status)
 
 
-def _batch_writer(bronze_path: str, partition_by: tuple[str, ...]):
+def _batch_writer(bronze_path: str, partition_by: tuple[str, ...], broadcast_bytes: int = REGISTRY_BYTES):
     root = bronze_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
@@ -108,7 +109,8 @@ def _batch_writer(bronze_path: str, partition_by: tuple[str, ...]):
         if registry is not None:
             others = (registry.where(~((F.col("ingest_run") == qid) & (F.col("ingest_batch") == batch_id)))
                       .select("_source_file").distinct())
-            new = batch.join(others, "_source_file", "left_anti")      # AQE broadcasts a small registry
+            size = others.agg(F.sum(F.octet_length("_source_file"))).first()[0] or 0
+            new = batch.join(F.broadcast(others) if size <= broadcast_bytes else others, "_source_file", "left_anti")
         target = f"{root}/ingest_run={qid}/ingest_batch={batch_id}"
         out = new.hint("rebalance", *partition_by) if partition_by else new
         w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")

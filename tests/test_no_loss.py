@@ -3,6 +3,7 @@ one side only, NULL partitions, late rows, uncommitted batches."""
 
 from __future__ import annotations
 
+import time
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -125,7 +126,10 @@ def test_uncommitted_batches_and_evolved_columns(spark, t, tmp_root):
 
 
 def test_flush_counts_over_many_batches_lose_nothing(spark, t, tmp_root):
-    write_landing(t, f"{tmp_root}/landing", ["event_date"], 2, ["event_id", "ingestion_timestamp"])
+    newer = F.col("event_date") >= F.lit(date(2024, 1, 15))       # the older half lands after the newer one
+    write_landing(t.where(newer), f"{tmp_root}/landing", ["event_date"], 2, ["event_id", "ingestion_timestamp"])
+    time.sleep(1.5)
+    t.where(~newer).write.mode("append").partitionBy("event_date").parquet(f"{tmp_root}/landing")
     schema = spark.read.parquet(f"{tmp_root}/landing").schema
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 5).parquet(f"{tmp_root}/landing")
     late.count_flush_windows(stream, f"{tmp_root}/out", f"{tmp_root}/ckpt", "ingestion_timestamp", ["producer_id"])
