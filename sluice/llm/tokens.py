@@ -27,7 +27,7 @@ import numpy as np
 
 CHUNK = 32_768
 OVERLAP = 256
-MEMO = 1_000_000       # pieces kept by a worker; then it starts afresh
+MEMO = 700_000         # pieces kept by a worker; then it starts afresh
 
 ASCII_SPACE = " \t\n\x0b\x0c\r"
 #: White space in Unicode's or in Python's sense beyond ASCII_SPACE.
