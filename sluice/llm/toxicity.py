@@ -1,24 +1,34 @@
 """Toxicity by a subsequence string-kernel support vector machine.
 
-The kernel compares two words by the character subsequences of length 3 and 4
-that they share; a subsequence may skip up to ``GAP`` characters, each at the
-price of ``DECAY``. Inserted, dropped or swapped characters thus cost a word
-only some of its subsequences. The machine is trained in the Nystroem space of
-``LANDMARKS`` landmark words (squared hinge loss). As a word's subsequences
-can be listed, the trained function is one weight per (hashed) subsequence,
-and a text's score is that of its highest word, through a logistic curve
-fitted on whole documents.
-
-Training words come from labelled documents: words that stand in toxic
-documents in many different surroundings (copies of one text count once), and
-far less in clean ones, against words of clean documents; twice the clean words
-that score highest are added. Fitting uses at most ``TOXIC_ROWS`` and
-``CLEAN_ROWS`` labelled documents, taken by the hash of their id. Scoring reads
-all words of all texts; words of over ``LONGEST`` characters are read in
-overlapping windows, and runs of single characters also as one word.
-
-Nulls: null and empty texts and such without letters or digits get the score of
-the lowest kernel value, and are clean. Null ids are kept; they train nothing.
+The kernel compares two spans of text by the character subsequences of length
+3 and 4 that they share, inside words and across white space; a subsequence may
+skip up to ``GAP`` characters, each at the price of ``DECAY``. Inserted, dropped
+or swapped characters and spaces thus cost a span only some of its
+subsequences. A span's subsequences can be listed, so the trained function is
+one weight per (hashed) subsequence.
+
+Training is by labelled documents (of equal texts once); there is no word list.
+
+1. Every subsequence gets the shrunk log ratio of its share among toxic
+   documents. All count, so rare inflections of a stem add up.
+2. A toxic document is known to hold some toxic span, a clean one none. Of each
+   toxic document the highest spans are positive; spans of clean documents by
+   hash, and the highest ones, are negative. A squared-hinge machine is fitted
+   to them (and to the positive ones with a letter or a space more) in the
+   Nystroem space of ``LANDMARKS`` spans and the log ratios, and the spans are
+   chosen again with it, ``TURNS`` times.
+3. Two logistic curves give a document's score: one of its highest span alone
+   (one insult is enough, however short the text), one also of how much of it
+   lies in positive spans (evidence by count). The higher one counts.
+
+Fitting uses at most ``TOXIC_ROWS`` and ``CLEAN_ROWS`` labelled documents, taken
+by the hash of their id. Training and scoring read the same spans: those of
+``WIDTHS`` characters from every character of every text, in lower case, with
+letters and digits only, one space between words, and runs of three or more
+single characters as one word.
+
+Nulls: null and empty texts and such without letters or digits get the lowest
+value of the fitted rows and no evidence. Null ids are kept; they train nothing.
 Labels that are null or neither 0 nor 1 are left out, and of repeated labels the
 highest counts. Without a toxic or without a clean label every score is 0.
 Empty tables give no rows; other columns are ignored, and ``clean_documents``
@@ -30,127 +40,223 @@ from __future__ import annotations
 import re
 from functools import partial
 from itertools import combinations
-from math import exp, log
+from math import log
+from zlib import crc32
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.common import crc_of_id, materialise, ship
-from sluice.llm.wordhash import mix
 
 LENGTHS = (3, 4)
 GAP = 2
 DECAY = 0.7
 BITS = 18            # subsequences are hashed to 2^BITS weights
-LONGEST = 24         # characters of a word read at once
-STRIDE = 12
+WIDTHS = (10, 24)    # characters of a span: about a word, and a few words
 LANDMARKS = 256
 TOXIC_ROWS = 3000
 CLEAN_ROWS = 24000
-CANDIDATES = 20000   # words of toxic documents looked up in clean ones
-POSITIVES = 600
-VARIED = 200         # of them also learnt with one character more
-NEGATIVES = 6000
-EVIDENCE = 20.0      # least log-likelihood gain of a training word
-MEMO = 300_000
+NEGATIVES = 5000     # spans of clean documents by hash
+HARD = 2000          # highest spans of clean documents, added each turn
+TURNS = 2
+OTHERS = 4           # narrow spans above 0 of a toxic document that are positive too
+POSITIVES = 6000     # of these, by hash
+VARIED = 3000        # positive spans also learnt with a letter or a space more
+SHRINK = 5.0         # documents that a subsequence's share is pulled to the mean by
+PIECE = 1 << 18      # characters read at once
 THRESHOLD = 0.3
 
-_NOT_WORD = re.compile(r"[\W_]+")
 _SHAPES = [(0, *c) for p in LENGTHS for c in combinations(range(1, p + GAP), p - 1)]
-_SINGLES = re.compile(r"(?<!\S)\S(?:[ \t\n\r\x0b\x0c]+\S(?!\S)){2,}")
+_REACH = max(s[-1] for s in _SHAPES)
+_NOT_WORD = re.compile(r"[^\w\s]+|_+")
+_SINGLES = re.compile(r"(?<!\S)\S(?:\s+\S(?!\S)){2,}")
 
 
-def units(text: str | None) -> list[str]:
-    """The distinct words of a text, letters and digits only."""
-    text = (text or "").lower()
-    return list(_of_words(set(text.split()), text))
+def _price(shape: tuple) -> float:
+    return DECAY ** (shape[-1] + 1 - len(shape))
 
 
-def _of_words(words: set[str], text: str) -> set[str]:
-    out = {w if w.isalnum() else _NOT_WORD.sub("", w) for w in words}
-    for run in _SINGLES.findall(text):
-        out.add(_NOT_WORD.sub("", run))
-    out.discard("")
-    return out
+_ENERGY = {z: sum(_price(s) ** 2 for s in _SHAPES if s[-1] == z) for z in {s[-1] for s in _SHAPES}}
+_LEAST = 6 * sum(_ENERGY.values())        # a span's norm is that of six characters at least
 
 
-def windows(word: str) -> list[str]:
-    if len(word) <= LONGEST:
-        return [word]
-    return [word[i:i + LONGEST] for i in range(0, len(word) - LONGEST + STRIDE, STRIDE)]
+def reading(text: str | None) -> str:
+    """Words of letters and digits with a space around each."""
+    text = _NOT_WORD.sub("", (text or "").lower())
+    text = _SINGLES.sub(lambda m: "".join(m.group().split()), text)
+    words = " ".join(text.split())
+    return f" {words} " if words else ""
 
 
-def subsequences(words: list[str]):
-    """(hashed features, their weights) of each word: matrices with a row per
-    word; features that a word doesn't have weigh 0. The weights of a row have
-    the norm 1."""
-    width = max(map(len, words)) + 2
-    marked = ["\x02" + w + "\x03" for w in words]
-    chars = np.zeros((len(words), width + max(s[-1] for s in _SHAPES)), dtype=np.uint64)
-    flat = np.frombuffer("".join(marked).encode("utf-32-le"), dtype="<u4")
-    size = np.array([len(m) for m in marked])
-    row = np.repeat(np.arange(len(words)), size)
-    chars[row, np.arange(len(flat)) - np.repeat(np.cumsum(size) - size, size)] = flat
-    keys, weights = [], []
+def hashed(chars: np.ndarray, n: int):
+    """(shape, hash of the subsequence that starts at each of the first n
+    places) along the last axis."""
+    known: dict[tuple, np.ndarray] = {}
+
+    def key(shape):
+        if shape not in known:
+            at = chars[..., shape[-1]:shape[-1] + n]
+            k = key(shape[:-1]) + at if len(shape) > 1 else at.copy()
+            k *= np.uint32(0x9E3779B1)
+            k ^= k >> np.uint32(15)
+            known[shape] = k
+        return known[shape]
+
     for shape in _SHAPES:
-        key = np.zeros((len(words), width), dtype=np.uint64)
-        for k in shape:
-            key = key * np.uint64(0x100000001B3) + chars[:, k:k + width]
-        keys.append(mix(key * np.uint64(8) + np.uint64(len(shape))) >> np.uint64(64 - BITS))
-        weights.append((chars[:, shape[-1]:shape[-1] + width] > 0) * np.float32(DECAY ** (shape[-1] + 1 - len(shape))))
-    keys = np.concatenate(keys, axis=1).astype(np.int32)
-    weights = np.concatenate(weights, axis=1).astype(np.float32)
-    norm = np.sqrt(np.einsum("ij,ij->i", weights, weights))
-    return keys, weights / np.maximum(norm, 1e-9)[:, None]
-
-
-def values(words: list[str], weight: np.ndarray, bias: float) -> np.ndarray:
-    """The machine's value of each word (its highest window)."""
-    parts = [windows(w) for w in words]
-    flat = [p for ps in parts for p in ps]
-    out = np.empty(len(flat))
-    order = sorted(range(len(flat)), key=lambda i: len(flat[i]))
-    for at in range(0, len(flat), 2000):
-        some = order[at:at + 2000]
-        keys, w = subsequences([flat[i] for i in some])
-        out[some] = (weight[keys] * w).sum(axis=1) + bias
-    first = np.cumsum([0] + [len(p) for p in parts[:-1]])
-    return np.maximum.reduceat(out, first) if len(flat) else out
-
-
-def _similarities(of: list[str], to: list[str]):
-    """The kernel of words and landmarks, a landmark at a time, and its
-    features spread out."""
-    keys, weights = subsequences([x[:LONGEST] for x in of])
-    own, own_weights = subsequences([x[:LONGEST] for x in to])
-    kernel = np.empty((len(of), len(to)))
+        k = (key(shape) + np.uint32(len(shape))) * np.uint32(0x85EBCA6B)
+        yield shape, (k >> np.uint32(32 - BITS)).astype(np.int32)
+
+
+def _packed(pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Characters of all pieces with zeros between, start and size of each."""
+    gap = "\0" * _REACH
+    flat = gap + "".join(p + gap for p in pieces)
+    size = np.array([len(p) for p in pieces], dtype=np.int64)
+    return (np.frombuffer(flat.encode("utf-32-le", "surrogatepass"), dtype="<u4"),
+            np.cumsum(size + _REACH) - size, size)
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0.0], np.cumsum(x, dtype=np.float64)])
+
+
+def _spans(pieces: list[str], weight: np.ndarray, bias: float):
+    """The characters, and for each piece's places one after another: the
+    place, and the values of the spans of ``WIDTHS`` from there."""
+    chars, start, size = _packed(pieces)
+    n = len(chars) - _REACH
+    there = chars > 0
+    by_last = {z: np.zeros(n, dtype=np.float32) for z in _ENERGY}
+    for shape, k in hashed(chars, n):
+        by_last[shape[-1]] += weight[k] * np.float32(_price(shape))
+    value, energy = np.zeros(n, dtype=np.float32), np.zeros(n, dtype=np.float32)
+    for z, v in by_last.items():
+        whole = there[:n] & there[z:z + n]
+        value += v * whole
+        energy += np.float32(_ENERGY[z]) * whole
+    value, energy = _sums(value), _sums(energy)
+    end = np.repeat(start + size, size)
+    at = np.arange(size.sum()) + np.repeat(start - (np.cumsum(size) - size), size)
+    out = []
+    for width in WIDTHS:
+        to = np.minimum(np.minimum(at + width, end), n)
+        out.append((value[to] - value[at]) / np.sqrt(np.maximum(energy[to] - energy[at], _LEAST)) + bias)
+    return chars, at, out
+
+
+def measured(texts: list, weight: np.ndarray, bias: float, spans: bool = False):
+    """(highest value, evidence, its span or None) of each text; None for a
+    text without words. Evidence is the sum of the positive values of the
+    narrow spans, per width."""
+    found: list = [None] * len(texts)
+    over = max(WIDTHS) + _REACH
+
+    def flush(group):
+        pieces = [p for _, p, _ in group]
+        chars, at, values = _spans(pieces, weight, bias)
+        first = 0
+        for i, p, own in group:
+            part = slice(first, first + min(own, len(p)))
+            w = max(range(len(WIDTHS)), key=lambda j: values[j][part].max())
+            best = int(values[w][part].argmax()) + first
+            top, hits = float(values[w][best]), float(np.maximum(values[0][part], 0).sum()) / WIDTHS[0]
+            first += len(p)
+            old = found[i]
+            span = old[2] if old else None
+            if spans and (not old or top > old[0]):
+                span = (WIDTHS[w], _cut(chars[at[best]:at[best] + WIDTHS[w] + _REACH]))
+            found[i] = (max(top, old[0]) if old else top, hits + (old[1] if old else 0.0), span)
+
+    group, size = [], 0
+    for i, text in enumerate(texts):
+        text = reading(text)
+        for a in range(0, len(text), PIECE):
+            group.append((i, text[a:a + PIECE + over], PIECE))
+            size += len(group[-1][1])
+            if size >= PIECE:
+                flush(group)
+                group, size = [], 0
+    if group:
+        flush(group)
+    return found
+
+
+def _cut(chars: np.ndarray) -> str:
+    """The characters before the first zero."""
+    zero = np.flatnonzero(chars == 0)
+    return chars[:zero[0] if len(zero) else len(chars)].tobytes().decode("utf-32-le", "surrogatepass")
+
+
+def subsequences(spans: list[tuple[int, str]]):
+    """(hashed features, their weights) of spans (width, characters, with those
+    that the last subsequences reach): matrices with a row per span, weights of
+    norm 1 (less for spans of few characters)."""
+    width = max(WIDTHS)
+    chars = np.zeros((len(spans), width + _REACH), dtype=np.uint32)
+    for row, (_, text) in zip(chars, spans):
+        row[:len(text)] = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    inside = np.arange(width) < np.array([w for w, _ in spans])[:, None]
+    keys, weights = [], []
+    for shape, k in hashed(chars, width):
+        keys.append(k)
+        weights.append(((chars[:, shape[-1]:shape[-1] + width] > 0) & inside) * np.float32(_price(shape)))
+    keys, weights = np.concatenate(keys, axis=1), np.concatenate(weights, axis=1)
+    norm = np.sqrt(np.maximum(np.einsum("ij,ij->i", weights, weights), _LEAST))
+    return keys, weights / norm[:, None].astype(np.float32)
+
+
+def _similarities(of: list, to: list, prior: np.ndarray):
+    """The kernel of spans and landmarks, a landmark at a time, the value of
+    the spans by ``prior``, and the landmarks' features."""
+    own, own_weights = subsequences(to)
+    kernel, value = np.empty((len(of), len(to))), np.empty(len(of))
     spread = np.zeros(1 << BITS, dtype=np.float32)
-    for j in range(len(to)):
-        spread[:] = 0
-        np.add.at(spread, own[j], own_weights[j])
-        for at in range(0, len(of), 2000):
-            part = slice(at, at + 2000)
-            kernel[part, j] = np.einsum("ij,ij->i", spread[keys[part]], weights[part])
-    return kernel, own, own_weights
-
-
-def fit(positive: list[str], weight_of: list[float], negative: list[str], hard: list[str], landmarks: list[str]):
-    """One weight per subsequence and a bias: squared-hinge machine on the
-    Nystroem features of the landmarks, by Newton steps."""
-    gram, _, _ = _similarities(landmarks, landmarks)
+    for at in range(0, len(of), 2000):
+        part = slice(at, at + 2000)
+        keys, weights = subsequences(of[part])
+        value[part] = np.einsum("ij,ij->i", prior[keys], weights)
+        for j in range(len(to)):
+            np.add.at(spread, own[j], own_weights[j])
+            kernel[part, j] = np.einsum("ij,ij->i", spread[keys], weights)
+            spread[own[j]] = 0
+    return kernel, value, own, own_weights
+
+
+def variants(spans: list, most: int) -> list:
+    """Up to ``most`` of the spans with a letter or a space more inside: what
+    the machine shall bear."""
+    each = max(1, min(12, most // max(1, len(spans))))
+    out = []
+    for w, t in _spread(spans, most):
+        h = hash_of(t)
+        for i in range(each if len(t) > 5 else 0):
+            at = 2 + (h + i * 7) % (min(w, len(t)) - 3)
+            extra = " " if (h + i) % 2 else "xaeiourstnlq0"[(h // 64 + i) % 13]
+            if " " not in t[at - 1:at + 1]:
+                out.append((w, (t[:at] + extra + t[at:])[:w + _REACH]))
+    return out
+
+
+def fit(positive: list, varied: list, negative: list, hard: list, landmarks: list, prior: np.ndarray):
+    """One weight per subsequence, a bias, and the values of the positive and
+    varied spans: squared-hinge machine on the
+    Nystroem features of the landmarks and the value by ``prior``, by Newton
+    steps."""
+    gram, _, _, _ = _similarities(landmarks, landmarks, prior)
     power, turn = np.linalg.eigh((gram + gram.T) / 2)
     use = power > 1e-6 * power.max()
     root = turn[:, use] / np.sqrt(power[use])
-    kernel, own, own_weights = _similarities(positive + negative + hard, landmarks)
-    x = np.hstack([kernel @ root, np.ones((len(kernel), 1))])
+    kernel, value, own, own_weights = _similarities(positive + varied + negative + hard, landmarks, prior)
+    scale = max(float(value.std()), 1e-6)
+    x = np.hstack([kernel @ root, value[:, None] / scale, np.ones((len(kernel), 1))])
     n0 = len(negative) + 3 * len(hard)
-    y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative) + len(hard))])
-    pos = np.asarray(weight_of, dtype=np.float64)
-    cost = 1000 * np.concatenate([pos / pos.sum(), np.full(len(negative), 3 / n0), np.full(len(hard), 9 / n0)])
+    y = np.concatenate([np.ones(len(positive) + len(varied)), -np.ones(len(negative) + len(hard))])
+    cost = 1000 * np.concatenate([np.full(len(positive), 1 / len(positive)), np.full(len(varied), 1 / max(1, len(varied))),
+                                  np.full(len(negative), 3 / n0), np.full(len(hard), 9 / n0)])
     u = np.zeros(x.shape[1])
-    ridge = np.full(len(u), 0.05)
-    ridge[-1] = 1e-6
+    ridge = np.full(len(u), 5.0)
+    ridge[-2:] = 0.05, 1e-6
     for _ in range(30):
         active = y * (x @ u) < 1
         xa, ca = x[active], cost[active]
@@ -158,195 +264,198 @@ def fit(positive: list[str], weight_of: list[float], negative: list[str], hard:
         if np.allclose(new, u, atol=1e-8):
             break
         u = new
-    weight = np.zeros(1 << BITS, dtype=np.float64)
-    for share, k, w in zip(root @ u[:-1], own, own_weights):
+    weight = prior.astype(np.float64) * (u[-2] / scale)
+    for share, k, w in zip(root @ u[:-2], own, own_weights):
         np.add.at(weight, k, share * w)
-    return weight.astype(np.float32), float(u[-1])
+    return weight.astype(np.float32), float(u[-1]), (x @ u)[:len(positive) + len(varied)]
 
 
-def logistic(values_: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and offset of Platt's curve with his smoothed targets."""
+def logistic(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Slopes and offset of Platt's curve with his smoothed targets."""
     n1, n0 = labels.sum(), (1 - labels).sum()
     goal = np.where(labels == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x = np.column_stack([values_, np.ones(len(values_))])
-    w = np.array([1.0, log((n1 + 1) / (n0 + 1))])
+    x = np.column_stack([features, np.ones(len(features))])
+    w = np.zeros(x.shape[1])
+    w[0], w[-1] = 1.0, log((n1 + 1) / (n0 + 1))
+    ridge = 1e-2 * np.eye(len(w))
+
+    def loss(w):
+        z = x @ w
+        return (np.logaddexp(0, z) - goal * z).sum() + w @ ridge @ w / 2
+
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -50, 50)))
-        step = np.linalg.solve((x * (p * (1 - p) + 1e-12)[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (goal - p))
-        w = w + np.clip(step, -2, 2)
+        step = np.linalg.solve((x * (p * (1 - p) + 1e-12)[:, None]).T @ x + ridge, x.T @ (goal - p) - ridge @ w)
+        while loss(w + step) > loss(w) and np.abs(step).max() >= 1e-9:
+            step /= 2
+        w = w + step
         if np.abs(step).max() < 1e-9:
             break
-    return float(w[0]), float(w[1])
+    return w
+
+
+def hash_of(text: str) -> int:
+    return crc32(text.encode("utf-8", "surrogatepass"))
 
 
-def _surroundings(batches):
-    """mapInArrow over texts of toxic documents: (unit, hash of the words around it)."""
+def _presence(batches):
+    """mapInArrow over (text, toxic): of each subsequence the number of clean
+    and of toxic documents with it, a row per task."""
     import pyarrow as pa
 
+    count = np.zeros((2, 1 << BITS), dtype=np.int32)
     for batch in batches:
-        seen = set()
-        for text in batch.column(0).to_pylist():
-            words = (text or "").lower().split()
-            for a, w, b in zip(["", *words], words, [*words[1:], ""]):
-                for u in _of_words({w}, ""):
-                    seen.add((u, hash_of(a + " " + b)))
-            for u in _of_words(set(), text or ""):
-                seen.add((u, hash_of(text[:100])))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([u for u, _ in seen], pa.string()), pa.array([h for _, h in seen], pa.int64())],
-            names=["unit", "around"])
+        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            seen = np.zeros(1 << BITS, dtype=bool)
+            text = reading(text)
+            for a in range(0, len(text), PIECE):
+                chars, _, _ = _packed([text[a:a + PIECE + _REACH]])
+                n = len(chars) - _REACH
+                for shape, k in hashed(chars, n):
+                    seen[k[(chars[:n] > 0) & (chars[shape[-1]:shape[-1] + n] > 0)]] = True
+            count[toxic] += seen
+    yield pa.RecordBatch.from_arrays([pa.array([count.tobytes()], pa.binary())], names=["count"])
+
+
+def _some(batches):
+    """mapInArrow over texts of clean documents: a span of each width, at a
+    place by hash."""
+    import pyarrow as pa
 
+    for batch in batches:
+        out = []
+        for text in batch.column(0).to_pylist():
+            text = reading(text)
+            if text:
+                at = hash_of(text)
+                out += [(w, text[at // 7 ** i % len(text):][:w + _REACH]) for i, w in enumerate(WIDTHS)]
+        yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in out], pa.int32()),
+                                          pa.array([t for _, t in out], pa.string())], names=["width", "span"])
 
-def variants(word: str) -> list[str]:
-    """The word with one character more inside: what the machine shall bear."""
-    if len(word) < 4:
-        return []
-    places = range(1, len(word))
-    extra = "xaeiourstnlq0"
-    return [word[:i] + (word[i] if k % 2 else extra[hash_of(word + str(i)) % len(extra)]) + word[i:]
-            for k, i in enumerate(places)]
 
+def _highest(batches, weight, bias):
+    """mapInArrow over (text, toxic): the highest span, its value, the evidence."""
+    import pyarrow as pa
 
-def hash_of(text: str) -> int:
-    from zlib import crc32
+    for batch in batches:
+        got = [m or (None, 0.0, (None, None)) for m in measured(batch.column(0).to_pylist(), weight.value, bias, True)]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([m[2][0] for m in got], pa.int32()), pa.array([m[2][1] for m in got], pa.string()),
+             pa.array([m[0] for m in got], pa.float64()), pa.array([m[1] for m in got], pa.float64()),
+             batch.column(1)], names=["width", "span", "value", "evidence", "toxic"])
 
-    return crc32(text.encode())
 
+def curves(value: np.ndarray, evidence: np.ndarray, labels: np.ndarray, learnt: np.ndarray):
+    """The curve of the value, and that of value and evidence. For the first,
+    toxic documents have the values of the ``learnt`` spans, evenly taken, not
+    of their highest ones alone: in a short text any of them may stand by itself."""
+    alone = value.copy()
+    alone[labels == 1] = np.quantile(learnt, (np.arange(int(labels.sum())) + 0.5) / labels.sum())
+    return logistic(alone[:, None], labels), logistic(np.column_stack([value, np.log1p(evidence)]), labels)
 
-def _hits(batches, wanted: frozenset):
-    """mapInArrow over texts of clean documents: the wanted units in each."""
-    import pyarrow as pa
 
-    for batch in batches:
-        out = [u for t in batch.column(0).to_pylist() for u in wanted.intersection(units(t))]
-        yield pa.RecordBatch.from_arrays([pa.array(out, pa.string())], names=["unit"])
+def curved(value: np.ndarray, evidence: np.ndarray, curve: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    alone, counted = curve
+    x = np.maximum(value * alone[0] + alone[1], value * counted[0] + np.log1p(evidence) * counted[1] + counted[2])
+    return 1 / (1 + np.exp(-np.clip(x, -50, 50)))
 
 
-def _some(batches, part: int):
-    """mapInArrow over texts of clean documents: one in ``part`` of the words, by hash."""
+def _others(batches, weight, bias):
+    """mapInArrow over texts of toxic documents: up to ``OTHERS`` narrow spans
+    above 0 that start in different pairs of widths, so that the insults beside
+    the highest one are learnt too."""
     import pyarrow as pa
 
+    wide, over = 2 * WIDTHS[0], max(WIDTHS) + _REACH
     for batch in batches:
-        out = {u for t in batch.column(0).to_pylist() for u in units(t) if hash_of(u) % part == 0}
-        yield pa.RecordBatch.from_arrays([pa.array(list(out), pa.string())], names=["unit"])
+        out = []
+        for text in batch.column(0).to_pylist():
+            text, found = reading(text), []
+            for a in range(0, len(text), PIECE):
+                chars, at, values = _spans([text[a:a + PIECE + over]], weight.value, bias)
+                first = np.arange(0, len(at), wide)
+                for i, high in zip(first, np.maximum.reduceat(values[0], first)):
+                    if high > 0:
+                        place = at[i + int(values[0][i:i + wide].argmax())]
+                        found.append((float(high), _cut(chars[place:place + WIDTHS[0] + _REACH])))
+            out += [t for _, t in sorted(found, reverse=True)[:OTHERS]]
+        yield pa.RecordBatch.from_arrays([pa.array([WIDTHS[0]] * len(out), pa.int32()), pa.array(out, pa.string())],
+                                         names=["width", "span"])
 
 
-def _highest(batches, weight, bias):
-    """mapInArrow over (text, toxic): the highest unit and its value."""
-    import pyarrow as pa
+def _scores(texts: list, weight, bias: float, curve: tuple, lowest: float) -> np.ndarray:
+    got = [m or (lowest, 0.0, None) for m in measured(texts, weight.value, bias)]
+    return curved(np.array([m[0] for m in got]), np.array([m[1] for m in got]), curve)
 
-    weight = weight.value
-    memo: dict[str, float] = {}
-    for batch in batches:
-        unit, value = [], []
-        for got in _scored(batch.column(0).to_pylist(), weight, bias, memo):
-            unit.append(got[1])
-            value.append(got[0])
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(unit, pa.string()), pa.array(value, pa.float64()), batch.column(1)],
-            names=["unit", "value", "toxic"])
-
-
-def _scored(texts: list, weight: np.ndarray, bias: float, memo: dict):
-    """(highest value, its unit) of each text; (None, None) without words."""
-    at = 0
-    while at < len(texts):
-        group, size = [], 0
-        while at < len(texts) and size < 1 << 20:
-            group.append(units(texts[at]))
-            size += len(texts[at] or "")
-            at += 1
-        new = list({u for us in group for u in us if u not in memo})
-        if len(memo) + len(new) > MEMO:
-            memo.clear()
-            new = list({u for us in group for u in us})
-        if new:
-            memo.update(zip(new, values(new, weight, bias).tolist()))
-        for us in group:
-            if us:
-                best = max(us, key=memo.__getitem__)
-                yield memo[best], best
-            else:
-                yield None, None
-
-
-_memos: dict = {}
-
-
-def _memo_of(weight: np.ndarray) -> dict[str, float]:
-    """The words that this worker has scored with these weights."""
-    key = hash(weight.tobytes())
-    if key not in _memos:
-        _memos.clear()
-        _memos[key] = {}
-    return _memos[key]
-
-
-def _score(batches, model, bias, slope, offset, lowest):
+
+def _score(batches, **model):
     """mapInArrow over (doc_id, held_out, text): the score."""
     import pyarrow as pa
 
-    weight = model.value
-    memo = _memo_of(weight)
     for batch in batches:
-        got = np.array([lowest if v is None else v for v, _ in
-                        _scored(batch.column(2).to_pylist(), weight, bias, memo)], dtype=np.float64)
-        score = 1 / (1 + np.exp(-np.clip(slope * got + offset, -50, 50)))
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(score)],
-                                         names=["doc_id", "held_out", "score"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(_scores(batch.column(2).to_pylist(), **model))],
+            names=["doc_id", "held_out", "score"])
+
+
+def log_ratios(clean: np.ndarray, toxic: np.ndarray, share: float) -> np.ndarray:
+    """Log ratio of a subsequence's share of toxic documents to that of all,
+    pulled to 0 where few documents have it."""
+    return (np.log((toxic + SHRINK * share) / (clean + toxic + SHRINK)) - log(share)).astype(np.float32)
 
 
-def train(labelled: DataFrame):
+def train(labelled: DataFrame) -> dict | None:
     """``labelled`` has id, text and toxic (0 or 1), as many rows as
-    ``training_rows`` takes at most. The model: broadcast
-    weights, bias, slope, offset, lowest value; None without both classes."""
+    ``training_rows`` takes at most. The model: broadcast weights, bias, curve
+    and lowest value; None without both classes."""
     spark = labelled.sparkSession
     ship(spark)
-    sample = materialise(labelled.select("text", "toxic").repartition(
-        max(1, spark.sparkContext.defaultParallelism)), "toxicity-sample")
+    tasks = max(1, min(24, spark.sparkContext.defaultParallelism))      # of a bounded sample
+    sample = materialise(labelled.select("text", "toxic").dropDuplicates().repartition(tasks), "toxicity-sample")
     n = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not n.get(1) or not n.get(0):
         return None
-    toxic, clean = (sample.where(F.col("toxic") == k).select("text") for k in (1, 0))
-    found = (toxic.mapInArrow(_surroundings, "unit string, around bigint").distinct()
-             .groupBy("unit").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "unit").limit(CANDIDATES))
-    inside = {r["unit"]: r["n"] for r in found.collect()}
-    hits = clean.mapInArrow(partial(_hits, wanted=frozenset(inside)), "unit string").groupBy("unit").agg(
-        F.count(F.lit(1)).alias("n"))
-    outside = {r["unit"]: r["n"] for r in hits.collect()}                     # at most CANDIDATES rows
-    prior = n[1] / (n[0] + n[1])
-    gain = {}
-    for u, t in inside.items():
-        c = outside.get(u, 0)
-        share = t / (t + c)
-        if share > 0.9:
-            gain[u] = t * log(share / prior) + (c * log((1 - share) / (1 - prior)) if c else 0)
-    positive = sorted((u for u in gain if gain[u] >= EVIDENCE), key=lambda u: (-gain[u], u))[:POSITIVES]
-    if not positive:
-        positive = sorted(gain, key=lambda u: (-gain[u], u))[:20] or sorted(inside)[:20]
-    seen = sample.where("toxic = 0").select("text").mapInArrow(
-        partial(_some, part=max(1, n[0] // 100)), "unit string").distinct()
-    negative = [r["unit"] for r in seen.orderBy(F.crc32(F.col("unit").cast("binary")), "unit").limit(NEGATIVES).collect()]
-    negative = [u for u in negative if u not in set(positive)] or ["\x04"]
-    weight_of = [log(1 + gain.get(u, 1.0)) for u in positive]
-    more = [(v, w / max(1, len(u) - 1)) for u, w in list(zip(positive, weight_of))[:VARIED] for v in variants(u)]
-    hard: list[str] = []
-    for turn in range(3):
-        marks = positive[:LANDMARKS // 2] + hard[-LANDMARKS // 4:] + negative[:LANDMARKS]
-        weight, bias = fit(positive + [v for v, _ in more], weight_of + [w for _, w in more], negative, hard,
-                           marks[:LANDMARKS])
-        model = spark.sparkContext.broadcast(weight)          # 2^BITS floats
-        top = sample.mapInArrow(partial(_highest, weight=model, bias=bias),
-                                "unit string, value double, toxic int")
-        if turn == 2:
-            rows = top.select("value", "toxic").toPandas()    # a row per sampled document
+    count = np.zeros((2, 1 << BITS))
+    for r in sample.mapInArrow(_presence, "count binary").toLocalIterator():      # a row per task
+        count += np.frombuffer(r["count"], dtype=np.int32).reshape(2, -1)
+    prior = log_ratios(*count, n[1] / (n[0] + n[1]))
+    by_hash = [F.crc32(F.col("span").cast("binary")), F.col("span"), F.col("width")]
+
+    def spans(df):
+        return [(r["width"], r["span"]) for r in df.select("width", "span").collect()]
+
+    some = sample.where("toxic = 0").select("text").mapInArrow(_some, "width int, span string").distinct()
+    negative = spans(some.orderBy(*by_hash).limit(NEGATIVES)) or [(WIDTHS[0], "")]
+    weight, bias, hard = prior, 0.0, []
+    for turn in range(TURNS + 1):
+        shared = spark.sparkContext.broadcast(weight)         # 2^BITS floats
+        top = materialise(sample.mapInArrow(
+            partial(_highest, weight=shared, bias=bias),
+            "width int, span string, value double, evidence double, toxic int"), "toxicity-spans")
+        if turn == TURNS:
             break
-        worst = top.where("toxic = 0 and unit is not null").groupBy("unit").agg(F.max("value").alias("v"))
-        worst = worst.orderBy(F.desc("v"), "unit").limit(2000).collect()
-        hard += [r["unit"] for r in worst if r["unit"] not in set(positive) | set(hard)]
-    lowest = min(-1.0, float(rows["value"].min()))
-    slope, offset = logistic(rows["value"].fillna(lowest).to_numpy(), rows["toxic"].to_numpy(dtype=np.float64))
-    return model, bias, slope, offset, lowest
+        words = top.where("span is not null")
+        positive = spans(words.where("toxic = 1").orderBy(*by_hash))
+        if not positive:
+            return None
+        others = sample.where("toxic = 1").select("text").mapInArrow(
+            partial(_others, weight=shared, bias=bias), "width int, span string").distinct()
+        positive = sorted(set(positive) | set(spans(others.orderBy(*by_hash).limit(POSITIVES))),
+                          key=lambda x: (hash_of(x[1]), x)) if turn else positive
+        hard += spans(words.where("toxic = 0").orderBy(F.desc("value"), "span").limit(HARD))
+        marks = _spread(positive, LANDMARKS // 2) + _spread(hard, LANDMARKS // 4)
+        marks += _spread(negative, LANDMARKS - len(marks))
+        weight, bias, learnt = fit(positive, variants(positive, VARIED), negative, hard, marks, prior)
+    rows = top.select("value", "evidence", "toxic").toPandas()                    # a row per sampled document
+    lowest = float(rows["value"].min())
+    curve = curves(rows["value"].fillna(lowest).to_numpy(), rows["evidence"].to_numpy(),
+                   rows["toxic"].to_numpy(dtype=np.float64), learnt)
+    return {"weight": shared, "bias": bias, "curve": curve, "lowest": min(lowest, -1.0)}
+
+
+def _spread(spans: list, n: int) -> list:
+    """``n`` of the spans, evenly from first to last."""
+    return spans if len(spans) <= n else [spans[i * len(spans) // n] for i in range(n)]
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -375,21 +484,16 @@ def toxicity_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     if model is None:
         scored = rows.select("doc_id", "held_out", F.lit(0.0).alias("score"))
     else:
-        weight, bias, slope, offset, lowest = model
-        scored = rows.mapInArrow(partial(_score, model=weight, bias=bias, slope=slope, offset=offset, lowest=lowest),
-                                 f"doc_id {kind}, held_out boolean, score double")
+        scored = rows.mapInArrow(partial(_score, **model), f"doc_id {kind}, held_out boolean, score double")
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
 
 
-def _keep(batches, column, model, bias, slope, offset, lowest, threshold):
+def _keep(batches, column, threshold, **model):
     """mapInArrow over whole rows: those that aren't predicted toxic."""
     import pyarrow as pa
 
-    memo = _memo_of(model.value)
     for batch in batches:
-        got = np.array([lowest if v is None else v for v, _ in
-                        _scored(batch.column(column).to_pylist(), model.value, bias, memo)], dtype=np.float64)
-        yield batch.filter(pa.array(1 / (1 + np.exp(-np.clip(slope * got + offset, -50, 50))) < threshold))
+        yield batch.filter(pa.array(_scores(batch.column(column).to_pylist(), **model) < threshold))
 
 
 def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
@@ -398,7 +502,5 @@ def clean_documents(docs: DataFrame, labels: DataFrame, threshold: float = THRES
     model = train(training_rows(docs, labels, id_col, text_col))
     if model is None:
         return docs
-    weight, bias, slope, offset, lowest = model
     return docs.mapInArrow(
-        partial(_keep, column=docs.columns.index(text_col), model=weight, bias=bias, slope=slope, offset=offset,
-                lowest=lowest, threshold=threshold), docs.schema)
+        partial(_keep, column=docs.columns.index(text_col), threshold=threshold, **model), docs.schema)

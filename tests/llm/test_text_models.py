@@ -207,6 +207,25 @@ def test_toxicity_on_held_out_rows_and_obfuscations(spark):
     assert all(again[i] == pytest.approx(got[i].score, abs=1e-6) for i in truth)
 
 
+def test_toxicity_of_rare_inflections(spark):
+    rnd = random.Random(8)
+    syllables = "ta ri mo len ka su per vi do na fe lor".split()
+    word = lambda least=1: "".join(rnd.choices(syllables, k=rnd.randint(least, 3)))
+    rows, labels, truth = [], [], {}
+    for i in range(900):
+        w = [word() for _ in range(30)]
+        if toxic := i % 9 == 0:                       # a stem whose inflections hardly repeat
+            w[rnd.randrange(30)] = "zwogub" + word(2)
+        rows.append((i, " ".join(w), "en", "s", 1))
+        truth[i] = int(toxic)
+        labels.append((i, 1, int(toxic)))
+    got = {r.doc_id: r for r in toxicity.toxicity_scores(
+        documents(spark, rows), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()}
+    held = [i for i in truth if got[i].held_out]
+    assert sum(truth[i] for i in held) > 10
+    assert all(got[i].predicted == truth[i] for i in held)
+
+
 def test_toxicity_without_labels(spark):
     docs = documents(spark)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
