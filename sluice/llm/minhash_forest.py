@@ -15,7 +15,7 @@ that tree: two sets of similarity 0.8 share one in some tree with probability
    component need nothing more. In any other region of up to ``LIGHT``
    classes, each class outside its largest component meets all classes of
    other components. Larger ones are joined where they share classes, dealt
-   into tiles by hash, and every two tiles of such a cluster meet: all pairs are
+   into tiles by hash (bounded in shingles and in texts), and every two tiles of such a cluster meet: all pairs are
    compared on full sets in one sparse product, which returns stars that span
    the links, not pairs. So every pair that shares a region of any tree ends in
    one component or has been compared on full sets; nothing is capped.
@@ -50,6 +50,7 @@ BASE = 3
 KEY = 8              # signature values in a key: BASE of the region, the rest to go deeper
 LIGHT = 64           # classes of a region that are paired one by one
 TILE = 100_000       # shingles in a tile of a larger region
+TILE_TEXTS = 1024    # texts in a tile, on average, and multiplied at a time at most
 COLUMNS = 4096       # shingles multiplied at a time
 NEIGHBOUR_TREES = 4  # trees whose neighbours are compared first
 
@@ -211,9 +212,21 @@ def _tiles_meet(batches, k: int, percent: int):
                     ids.append(np.array([d["id"] for d in docs], dtype=np.int64))
                     sets.append([s for a, b in grouped([d["text"].encode() for d in docs])
                                  for s in shingles([d["text"].encode() for d in docs[a:b]], k)])
-                i, j = _similar(*sets, percent)
-                u, v = stars(ids[0][i], ids[1][j])
-                yield pd.DataFrame({"a": u, "b": v})
+                for x in range(0, len(sets[0]), TILE_TEXTS):
+                    for y in range(0, len(sets[1]), TILE_TEXTS):
+                        i, j = _similar(sets[0][x:x + TILE_TEXTS], sets[1][y:y + TILE_TEXTS], percent)
+                        u, v = stars(ids[0][x + i], ids[1][y + j])
+                        yield pd.DataFrame({"a": u, "b": v})
+
+
+def _dealt(member: DataFrame) -> DataFrame:
+    """rep, component, tile: a component's members dealt by hash into tiles of
+    about ``TILE`` shingles and ``TILE_TEXTS`` texts at most."""
+    total = member.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("texts")).select(
+        F.col("component").alias("c"),
+        F.greatest(F.ceil(F.col("total") / TILE), F.ceil(F.col("texts") / TILE_TEXTS)).alias("tiles"))
+    return member.join(total, F.col("component") == F.col("c")).select(
+        "rep", "component", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("tile"))
 
 
 def _clusters_met(regions: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
@@ -224,10 +237,7 @@ def _clusters_met(regions: DataFrame, texts: DataFrame, k: int, percent: int) ->
     cluster = materialise(components(spokes), "clusters")
     member = regions.groupBy("rep").agg(F.max("n").alias("n"))
     member = member.join(cluster, F.col("rep") == F.col("node")).select("rep", "n", "component")
-    total = member.groupBy("component").agg(F.sum("n").alias("total")).select(
-        F.col("component").alias("c"), F.ceil(F.col("total") / TILE).alias("tiles"))
-    dealt = materialise(member.join(total, F.col("component") == F.col("c")).select(
-        "rep", "component", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("tile")), "dealt")
+    dealt = materialise(_dealt(member), "dealt")
     some = texts.join(checked_broadcast(dealt.select("rep"), 16), F.col("id") == F.col("rep"), "left_semi")
     some = some.groupBy("id").agg(F.min("text").alias("text"))
     tiles = materialise(

@@ -170,6 +170,23 @@ def test_elias_fano(values, universe):
     assert trie_lm.EliasFano(parts, len(values)).get(np.arange(len(values))).tolist() == values
 
 
+def test_tiles_of_many_short_texts(spark, monkeypatch):
+    member = spark.range(6000).select(F.col("id").alias("rep"), F.lit(2).cast("long").alias("n"),
+                                      F.lit(0).cast("long").alias("component"))
+    tiles = minhash_forest._dealt(member).groupBy("component", "tile").count().collect()
+    assert sum(r["count"] for r in tiles) == 6000 and max(r["count"] for r in tiles) < 1300
+    sizes, similar = [], minhash_forest._similar
+    monkeypatch.setattr(minhash_forest, "_similar",
+                        lambda a, b, p: sizes.append(max(len(a), len(b))) or similar(a, b, p))
+    import pandas as pd
+
+    docs = [{"id": i, "text": f"all rights reserved by x{i // 2}"} for i in range(3000)]
+    got = pd.concat(minhash_forest._tiles_meet([pd.DataFrame([{"docs": docs, "docs_r": docs[::-1]}])], 4, 80))
+    assert max(sizes) <= 1024
+    links = {(min(p), max(p)) for p in zip(got["a"].tolist(), got["b"].tolist()) if p[0] != p[1]}
+    assert links == {(i, i + 1) for i in range(0, 3000, 2)}
+
+
 def toxic_tables(spark, n=900, seed=2):
     rnd = random.Random(seed)
     syllables = "ta ri mo len ka su per vi do na fe lor".split()
