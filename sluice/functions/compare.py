@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-OPS = ("eq", "ge", "le")
+#: The comparisons that a rule may ask for.
+OPS = ("eq", "le", "ge")
 
 
 def compare(op: str, observed: Column, value) -> Column:
     """Whether ``observed`` stands to ``value`` as a rule's ``op`` demands."""
-    match op:
-        case "eq":
-            return observed.between(value, value)
-        case "ge":
-            return ~(observed < F.lit(value))
-        case "le":
-            return ~(observed > F.lit(value))
+    if op == "eq":
+        return observed == F.lit(value)
+    if op == "le":
+        return observed <= F.lit(value)
+    if op == "ge":
+        return observed >= F.lit(value)
     raise ValueError(f"a rule can't compare by {op!r}, only by {', '.join(OPS)}")
 
 

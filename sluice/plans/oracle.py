@@ -102,17 +102,17 @@ def _rule_sql(name, sev, obs_sql, passed_sql, flag_fail, detail):
 QUALITY_REPORT = with_t(" UNION ALL ".join([
     _rule_sql("schema_drift_before_boundary", "hard",
               f"SELECT count(*) AS o FROM telemetry WHERE event_date < DATE '2024-01-16' AND {HAS_KEY}",
-              "CAST(o AS DOUBLE) = 0.0", "FAIL", "assert observed eq 0"),
+              "CAST(o AS DOUBLE) = 0.0", "FAIL", "has to be eq 0"),
     _rule_sql("hot_game_share", "soft",
               "SELECT max(n)::DOUBLE / (SELECT count(*) FROM telemetry) AS o "
               "FROM (SELECT game_id, count(*) AS n FROM telemetry GROUP BY game_id)",
-              "abs(CAST(o AS DOUBLE) - 0.37::DOUBLE) <= 0.02::DOUBLE", "WARN", "expected 0.37 +/- 0.02"),
+              "abs(CAST(o AS DOUBLE) - 0.37::DOUBLE) <= 0.02::DOUBLE", "WARN", "0.02 or less away from 0.37"),
     _rule_sql("late_arrival_rate", "soft",
               f"SELECT sum(CASE WHEN {LAG} > 300 THEN 1 ELSE 0 END)::DOUBLE / count(*) AS o FROM telemetry",
-              "abs(CAST(o AS DOUBLE) - 0.025::DOUBLE) <= 0.01::DOUBLE", "WARN", "expected 0.025 +/- 0.01"),
+              "abs(CAST(o AS DOUBLE) - 0.025::DOUBLE) <= 0.01::DOUBLE", "WARN", "0.01 or less away from 0.025"),
     _rule_sql("duplicate_rate", "soft",
               "SELECT (count(*) - count(DISTINCT event_id))::DOUBLE / count(*) AS o FROM telemetry",
-              "abs(CAST(o AS DOUBLE) - 0.01::DOUBLE) <= 0.005::DOUBLE", "WARN", "expected 0.01 +/- 0.005"),
+              "abs(CAST(o AS DOUBLE) - 0.01::DOUBLE) <= 0.005::DOUBLE", "WARN", "0.005 or less away from 0.01"),
 ]))
 
 _Q_IN = "q AS (SELECT * REPLACE (nullif(player_id, 5) AS player_id) FROM telemetry)"

@@ -118,8 +118,8 @@ def test_conform_casts_adds_typed_nulls_and_keeps_extras(spark):
 
 
 def test_format_report_lines():
-    rows = [{"flag": "PASS", "name": "a", "observed": 0.0, "detail": "assert observed eq 0"},
-            {"flag": "WARN", "name": "b", "observed": None, "detail": "expected 1 +/- 0.1"}]
+    rows = [{"flag": "PASS", "name": "a", "observed": 0.0, "detail": "has to be eq 0"},
+            {"flag": "WARN", "name": "b", "observed": None, "detail": "0.1 or less away from 1"}]
     text = quality.format_report(rows).splitlines()
     assert text[0].startswith("PASS  a") and "observed=0.0000" in text[0]
     assert text[1].startswith("WARN  b") and "observed=NULL" in text[1]

@@ -71,11 +71,10 @@ def test_exact_sample_is_exact_repeatable_subset(spark):
     assert set(a) <= set(full.collect())
     # brute force: hash every row of the table, order all of them on the
     # driver, keep the first 100 -- must be the same rows
-    raw = load_telemetry(spark, SF01).select("event_id", "source_sequence_number", "ingestion_timestamp")
-    hashed = raw.select(F.xxhash64(F.lit(42), *[F.col(c) for c in raw.columns]).alias("h"), *raw.columns)
-    every = sorted(hashed.collect(), key=lambda r: (r.h, r.event_id, r.source_sequence_number,
-                                                    r.ingestion_timestamp))[:100]
-    assert [r.event_id for r in every] == [r.event_id for r in a]
+    from hashlib import sha256
+    every = sorted(full.collect(), key=lambda r: (sha256("|".join(
+        ["42", str(r.event_id), str(r.source_sequence_number), str(r.ingestion_timestamp)]).encode()).hexdigest(), r))
+    assert [r.event_id for r in every[:100]] == [r.event_id for r in a]
 
 
 def test_zorder_layout_narrows_spans(spark):
