@@ -64,7 +64,8 @@ OTHERS = 4           # narrow spans above 0 of a toxic document that are positiv
 POSITIVES = 6000     # of these, by hash
 VARIED = 3000        # positive spans also learnt with a letter or a space more
 SHRINK = 5.0         # documents that a subsequence's share is pulled to the mean by
-PIECE = 1 << 18      # characters read at once
+PIECE = 1 << 16      # characters read at once
+ROWS = 256           # texts that are Python strings at once
 THRESHOLD = 0.3
 
 _SHAPES = [(0, *c) for p in LENGTHS for c in combinations(range(1, p + GAP), p - 1)]
@@ -93,18 +94,18 @@ def hashed(chars: np.ndarray, n: int):
     """(shape, hash of the subsequence that starts at each of the first n
     places) along the last axis."""
     known: dict[tuple, np.ndarray] = {}
-
-    def key(shape):
-        if shape not in known:
-            at = chars[..., shape[-1]:shape[-1] + n]
-            k = key(shape[:-1]) + at if len(shape) > 1 else at.copy()
-            k *= np.uint32(0x9E3779B1)
-            k ^= k >> np.uint32(15)
-            known[shape] = k
-        return known[shape]
-
+    longest = max(LENGTHS)
     for shape in _SHAPES:
-        k = (key(shape) + np.uint32(len(shape))) * np.uint32(0x85EBCA6B)
+        for end in range(1, len(shape) + 1):              # its prefixes, from the shortest
+            start = shape[:end]
+            if start not in known:
+                at = chars[..., start[-1]:start[-1] + n]
+                k = known[start[:-1]] + at if end > 1 else at.copy()
+                k *= np.uint32(0x9E3779B1)
+                k ^= k >> np.uint32(15)
+                known[start] = k
+        k = known[shape] if len(shape) < longest else known.pop(shape)      # no prefix of another
+        k = (k + np.uint32(len(shape))) * np.uint32(0x85EBCA6B)
         yield shape, (k >> np.uint32(32 - BITS)).astype(np.int32)
 
 
@@ -172,11 +173,12 @@ def measured(texts: list, weight: np.ndarray, bias: float, spans: bool = False):
     for i, text in enumerate(texts):
         text = reading(text)
         for a in range(0, len(text), PIECE):
-            group.append((i, text[a:a + PIECE + over], PIECE))
-            size += len(group[-1][1])
-            if size >= PIECE:
+            piece = text[a:a + PIECE + over]
+            if group and size + len(piece) > PIECE:
                 flush(group)
                 group, size = [], 0
+            group.append((i, piece, PIECE))
+            size += len(piece)
     if group:
         flush(group)
     return found
@@ -294,6 +296,14 @@ def logistic(features: np.ndarray, labels: np.ndarray) -> np.ndarray:
     return w
 
 
+def few_rows(batches):
+    """The batches cut to ``ROWS`` rows, so that few texts are Python strings
+    at once."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS):
+            yield batch.slice(at, ROWS)
+
+
 def hash_of(text: str) -> int:
     return crc32(text.encode("utf-8", "surrogatepass"))
 
@@ -304,7 +314,7 @@ def _presence(batches):
     import pyarrow as pa
 
     count = np.zeros((2, 1 << BITS), dtype=np.int32)
-    for batch in batches:
+    for batch in few_rows(batches):
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             seen = np.zeros(1 << BITS, dtype=bool)
             text = reading(text)
@@ -322,7 +332,7 @@ def _some(batches):
     place by hash."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in few_rows(batches):
         out = []
         for text in batch.column(0).to_pylist():
             text = reading(text)
@@ -337,7 +347,7 @@ def _highest(batches, weight, bias):
     """mapInArrow over (text, toxic): the highest span, its value, the evidence."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in few_rows(batches):
         got = [m or (None, 0.0, (None, None)) for m in measured(batch.column(0).to_pylist(), weight.value, bias, True)]
         yield pa.RecordBatch.from_arrays(
             [pa.array([m[2][0] for m in got], pa.int32()), pa.array([m[2][1] for m in got], pa.string()),
@@ -367,7 +377,7 @@ def _others(batches, weight, bias):
     import pyarrow as pa
 
     wide, over = 2 * WIDTHS[0], max(WIDTHS) + _REACH
-    for batch in batches:
+    for batch in few_rows(batches):
         out = []
         for text in batch.column(0).to_pylist():
             text, found = reading(text), []
@@ -392,7 +402,7 @@ def _score(batches, **model):
     """mapInArrow over (doc_id, held_out, text): the score."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in few_rows(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), batch.column(1), pa.array(_scores(batch.column(2).to_pylist(), **model))],
             names=["doc_id", "held_out", "score"])
@@ -492,7 +502,7 @@ def _keep(batches, column, threshold, **model):
     """mapInArrow over whole rows: those that aren't predicted toxic."""
     import pyarrow as pa
 
-    for batch in batches:
+    for batch in few_rows(batches):
         yield batch.filter(pa.array(_scores(batch.column(column).to_pylist(), **model) < threshold))
 
 
