@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sluice.llm.common import table
+from sluice.llm.common import WORD, table
 
 
 def op1_warc_revisits(spark, sf_dir):
@@ -72,6 +72,49 @@ def op10_int8_vector_dedup(spark, sf_dir):
     return near_duplicate_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op11_embedding_whitening(spark, sf_dir):
+    from sluice.llm.whitening import whiten
+
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_best_fit_windows(spark, sf_dir):
+    from sluice.llm.windows import pack_windows
+
+    return pack_windows(table(spark, sf_dir, "documents"))
+
+
+def with_planted_repeats(docs):
+    """doc_id and text: as the contract of op13 wants it, in every tenth document
+    (by the id's crc32) the words from a place on repeat with a period."""
+    words = F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(f"({WORD})"), 1)
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    rows = docs.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), F.floor(h / 10).alias("g"))
+    n = F.size("w")
+    start = F.expr("cast(g % size(w) as int)")
+    period = F.expr("cast(1 + (size(w) - cast(g % size(w) as int)) div (3 + g % 8) as int)")
+    spread = F.transform("w", lambda x, i: F.when(i < F.col("a"), x).otherwise(
+        F.get("w", F.col("a") + F.pmod(i - F.col("a"), F.col("p")))))
+    planted = rows.withColumns({"a": F.when(n > 0, start), "p": F.when(n > 0, period)})
+    return planted.select("doc_id", F.when(n > 0, F.array_join(spread, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark, sf_dir):
+    from sluice.llm.runs import periodic_runs
+
+    found = periodic_runs(with_planted_repeats(table(spark, sf_dir, "documents")))
+    # Runs are in order of start and period, so the first of equal exponents stays.
+    best = F.aggregate("runs", F.lit(None).cast("struct<start: bigint, length: bigint, period: bigint>"), lambda b, r: F.when(
+        b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]),
+                                                  F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("(1000 * best.length) div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(line, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_warc_revisits": op1_warc_revisits,
     "op2_source_mix": op2_source_mix,
@@ -83,6 +126,9 @@ QUERIES = {
     "op8_token_counts": op8_token_counts,
     "op9_minimax_shards": op9_minimax_shards,
     "op10_int8_vector_dedup": op10_int8_vector_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
+    "op12_best_fit_windows": op12_best_fit_windows,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE = {
