@@ -74,12 +74,12 @@ def ingest_all(spark: SparkSession, contracts: list[SourceContract],
 ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
 
 
-def read_if_there(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+def read_if_there(spark: SparkSession, path: str, schema=None, **options) -> DataFrame | None:
     """The Parquet table at ``path``, its files' schemas merged (or with
     ``schema``, reading no file), or None where there is none yet."""
     reader = spark.read.option("mergeSchema", "true") if schema is None else spark.read.schema(schema)
     try:
-        return reader.parquet(path)
+        return reader.options(**options).parquet(path)
     except AnalysisException as e:
         if e.getCondition() in ABSENT:
             return None

@@ -42,8 +42,8 @@ def main(argv: list[str] | None = None) -> int:
     for c in sorted(contracts, key=lambda c: c.name):
         if args.incremental:
             r = ingest_incremental(spark, c, landing_root=args.landing_root)
-            batches = ", ".join(f"batch {b['batchId']}: {b['numInputRows']} rows" for b in r.batches)
-            print(f"{c.name}: {batches or 'no micro-batch ran: no new files'}; total {r.total_rows}")
+            news = "no new files" if r.no_new_files else f"{r.rows_added} rows added in {r.n_batches} micro-batches"
+            print(f"{c.name}: {news}; total {r.total_rows}")
             table = read_bronze(spark, c.bronze_path)
         else:
             r = ingest_full_refresh(spark, c, landing_root=args.landing_root)

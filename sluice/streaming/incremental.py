@@ -3,67 +3,113 @@
 A file-source stream (``availableNow``: drain what is there, then stop)
 feeds ``foreachBatch``. Each micro-batch is written to its own directory
 ``<bronze>/ingest_run=<query id>/ingest_batch=<batch id>/`` with overwrite,
-after a left-anti join on ``_source_file`` against the file registry of all
-*other* batches. Then the batch's file list is added to the registry
-(``<bronze>/_registry``, written after the data, keyed the same way).
+without the files that other committed batches have already ingested. Then come
+its files into the registry, and last its progress row, which commits it:
 
-* crash after the write, before the commit: the batch is replayed with the
-  same id and overwrites its own directory -> no duplicates;
+* ``<bronze>/_registry/bucket=<b>/ingest_run=/ingest_batch=``: the files, by a
+  hash of their path. A micro-batch reads only the buckets of its own files, and
+  looks its (few) files up in them with a broadcast: the history isn't shuffled.
+* ``<bronze>/_progress/ingest_run=/ingest_batch=``: rows read and added, files.
+  What a run added and what the table holds are sums over these rows; Bronze
+  itself isn't counted.
+
+What that gives:
+
+* crash before the progress row: the batch isn't visible; it is replayed with
+  the same id and overwrites its own directory -> no duplicates;
 * rerun with nothing new: no batch runs, nothing is added;
-* checkpoint lost: a new query id, but every file already in the registry
+* checkpoint lost: a new query id, but every file of a committed batch
   is filtered out -> no doubling (the reference silently doubles);
 * Spark's own Parquet streaming sink is avoided: with a lost checkpoint
   its ``_spark_metadata`` log makes it drop new data silently.
 
-A file's identity is its path: a rewritten file under the same path is not
-read again.
+A file's identity is its path: a rewritten file under the same path is
+not read again.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.operators.ingest import read_if_there
 from sluice.operators.lineage import add_lineage, new_run_id
-from sluice.operators.maintain import session_conf
 from sluice.sources.contract import SourceContract
 from sluice.sources.scan import landing_location, read_source
 
 REGISTRY_DIR = "_registry"
+PROGRESS_DIR = "_progress"
+COMPACTIONS_DIR = "_compactions"
 SCHEMA_LOG_DIR = "_schema_log"
-REGISTRY_BYTES = 8 << 20      # a registry whose paths are longer in all is joined by shuffle
-KEPT_PROGRESS = 1_000_000     # micro-batches of one run whose progress is kept
+REGISTRY_BUCKETS = 256
+BROADCAST_BYTES = 8 << 20      # files whose paths are longer in all are joined by shuffle
+
+REGISTRY_SCHEMA = "_source_file string, n_rows long, bucket int, ingest_run string, ingest_batch long"
+PROGRESS_SCHEMA = ("run_id string, rows_read long, rows_added long, n_files long, "
+                   "ingest_run string, ingest_batch long")
+COMPACTIONS_SCHEMA = "replaced_file string, ingest_batch long, ingest_run string"
 
 
 @dataclass
 class IncrementalResult:
     source: str
     run_id: str
-    batches: list[dict] = field(default_factory=list)   # batchId, numInputRows
+    n_batches: int = 0
     rows_read: int = 0      # rows the stream read (files already ingested included)
     rows_added: int = 0     # growth of the Bronze table in this run
     total_rows: int = 0
 
     @property
     def no_new_files(self) -> bool:
-        return not self.batches or all(b["numInputRows"] == 0 for b in self.batches)
+        return self.rows_read == 0
+
+
+def bucket_of(path: Column) -> Column:
+    return F.pmod(F.xxhash64(path), F.lit(REGISTRY_BUCKETS)).cast("int")
+
+
+def read_registry(spark: SparkSession, bronze_path: str, buckets: list[int] | None = None) -> DataFrame | None:
+    """Files of all batches, also of those not committed; only the directories
+    of ``buckets`` are listed if given."""
+    root = f"{bronze_path.rstrip('/')}/{REGISTRY_DIR}"
+    path = root if buckets is None else f"{root}/bucket={{{','.join(map(str, buckets))}}}"
+    return read_if_there(spark, path, REGISTRY_SCHEMA, basePath=root)
 
 
-REGISTRY_SCHEMA = "_source_file string, ingest_run string, ingest_batch long"
+def read_progress(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """One row per committed micro-batch: run id, rows read and added, files."""
+    return read_if_there(spark, f"{bronze_path.rstrip('/')}/{PROGRESS_DIR}", PROGRESS_SCHEMA)
 
 
-def read_registry(spark: SparkSession, bronze_path: str) -> DataFrame | None:
-    """Files already ingested, per run and batch (written after the data)."""
-    return read_if_there(spark, f"{bronze_path.rstrip('/')}/{REGISTRY_DIR}", REGISTRY_SCHEMA)
+def read_compactions(spark: SparkSession, bronze_path: str) -> DataFrame | None:
+    """Files that a compaction has replaced, with the directory (run and bin) of
+    the file that took their place."""
+    return read_if_there(spark, f"{bronze_path.rstrip('/')}/{COMPACTIONS_DIR}", COMPACTIONS_SCHEMA)
+
+
+DIRECTORIES = ["ingest_run", "ingest_batch"]
+
+
+def only_live(files: DataFrame, spark: SparkSession, bronze_path: str, path_col: str) -> DataFrame:
+    """Rows of ``files`` (with the directory columns and a file path) that lie in
+    a committed directory and in no file that a compaction has replaced."""
+    committed, compacted = read_progress(spark, bronze_path), read_compactions(spark, bronze_path)
+    if committed is None:
+        return files.limit(0)
+    live = committed.select(*DIRECTORIES)
+    if compacted is None:
+        return files.join(live.distinct(), DIRECTORIES, "left_semi")
+    live = live.unionByName(compacted.select(*DIRECTORIES)).distinct()
+    replaced = compacted.select(F.col("replaced_file").alias(path_col))
+    return files.join(live, DIRECTORIES, "left_semi").join(replaced, path_col, "left_anti")
 
 
 def read_bronze(spark: SparkSession, bronze_path: str, schema: T.StructType | None = None) -> DataFrame:
-    """The incremental Bronze table: every committed batch directory (one
-    with a registry entry), with the run/batch directory columns dropped.
+    """The incremental Bronze table: every committed batch directory, compacted
+    files instead of those they replaced, without the directory columns.
     Without ``schema`` the files' schemas are merged, so a column that came
     later shows, NULL in earlier rows. Give ``schema`` (the stream's) so a
     table whose batches were all empty still reads."""
@@ -73,11 +119,8 @@ def read_bronze(spark: SparkSession, bronze_path: str, schema: T.StructType | No
             T.StructField("ingest_run", T.StringType()), T.StructField("ingest_batch", T.LongType())])).parquet(root)
     else:
         table = spark.read.option("mergeSchema", "true").parquet(root)
-    committed = read_registry(spark, root)
-    if committed is None:
-        return table.limit(0).drop("ingest_run", "ingest_batch")
-    committed = committed.select("ingest_run", "ingest_batch").distinct()
-    return table.join(committed, ["ingest_run", "ingest_batch"], "left_semi").drop("ingest_run", "ingest_batch")
+    table = table.withColumn("_bronze_file", F.col("_metadata.file_path"))
+    return only_live(table, spark, root, "_bronze_file").drop(*DIRECTORIES, "_bronze_file")
 
 
 def _log_schema(spark: SparkSession, checkpoint: str, run_id: str, schema: T.StructType) -> None:
@@ -98,31 +141,51 @@ def schema_changes(spark: SparkSession, checkpoint: str, run_a: str, run_b: str)
     return j.withColumn("status", status)
 
 
-def _batch_writer(bronze_path: str, partition_by: tuple[str, ...], broadcast_bytes: int = REGISTRY_BYTES):
+def _already_ingested(spark: SparkSession, root: str, files: DataFrame, buckets: list[int], run: str, batch_id: int,
+                      broadcast_bytes: int) -> DataFrame | None:
+    """Those of the ``files`` that another committed batch has ingested; None
+    if there is no history in their buckets. Not larger than ``files``."""
+    history, committed = read_registry(spark, root, buckets) if buckets else None, read_progress(spark, root)
+    if history is None or committed is None:
+        return None
+    mine = (F.col("ingest_run") == run) & (F.col("ingest_batch") == batch_id)
+    others = (history.where(F.col("bucket").isin(buckets) & ~mine)
+              .join(committed.select(*DIRECTORIES), DIRECTORIES, "left_semi").select("_source_file"))
+    size = files.agg(F.sum(F.octet_length("_source_file"))).first()[0] or 0
+    own = files.select("_source_file")
+    if size > broadcast_bytes:
+        return others.join(own, "_source_file", "left_semi").distinct()
+    return F.broadcast(others.join(F.broadcast(own), "_source_file", "left_semi").distinct())
+
+
+def _batch_writer(bronze_path: str, partition_by: tuple[str, ...], broadcast_bytes: int = BROADCAST_BYTES,
+                  run_id: str | None = None):
     root = bronze_path.rstrip("/")
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         qid = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "adhoc"
-        registry = read_registry(spark, root)
-        new = batch
-        if registry is not None:
-            others = (registry.where(~((F.col("ingest_run") == qid) & (F.col("ingest_batch") == batch_id)))
-                      .select("_source_file").distinct())
-            size = others.agg(F.sum(F.octet_length("_source_file"))).first()[0] or 0
-            new = batch.join(F.broadcast(others) if size <= broadcast_bytes else others, "_source_file", "left_anti")
-        target = f"{root}/ingest_run={qid}/ingest_batch={batch_id}"
+        # Rows per file: counted from the files' footers, no column is read.
+        files = (batch.groupBy("_source_file").agg(F.count(F.lit(1)).alias("n_rows"))
+                 .withColumn("bucket", bucket_of(F.col("_source_file"))).checkpoint(eager=True))
+        buckets = sorted(r[0] for r in files.select("bucket").distinct().collect())      # at most REGISTRY_BUCKETS
+        seen = _already_ingested(spark, root, files, buckets, qid, batch_id, broadcast_bytes)
+        new = batch if seen is None else batch.join(seen, "_source_file", "left_anti")
+        added = files if seen is None else files.join(seen, "_source_file", "left_anti")
         out = new.hint("rebalance", *partition_by) if partition_by else new
-        w = out.write.mode("overwrite").option("partitionOverwriteMode", "static")
+        written = Observation()
+        w = (out.observe(written, F.count(F.lit(1)).alias("rows")).write.mode("overwrite")
+             .option("partitionOverwriteMode", "static"))
         if partition_by:
             w = w.partitionBy(*partition_by)
-        w.parquet(target)
-        # An empty batch writes no data file; an explicit schema still reads it
-        # (as empty) and the registry entry is then an empty file.
-        files = (spark.read.schema("_source_file string").parquet(target)
-                 .select("_source_file").distinct())
-        (files.coalesce(1).write.mode("overwrite")
-         .parquet(f"{root}/{REGISTRY_DIR}/ingest_run={qid}/ingest_batch={batch_id}"))
+        w.parquet(f"{root}/ingest_run={qid}/ingest_batch={batch_id}")
+        here = {"ingest_run": F.lit(qid), "ingest_batch": F.lit(batch_id)}
+        (added.withColumns(here).repartition(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("bucket", *here).parquet(f"{root}/{REGISTRY_DIR}"))
+        (files.agg(F.lit(run_id or qid).alias("run_id"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows_read"),
+                   F.lit(written.get["rows"]).cast("long").alias("rows_added"), F.count(F.lit(1)).alias("n_files"))
+         .coalesce(1).write.mode("overwrite")
+         .parquet(f"{root}/{PROGRESS_DIR}/ingest_run={qid}/ingest_batch={batch_id}"))
 
     return write_batch
 
@@ -144,24 +207,19 @@ def ingest_incremental(spark: SparkSession, contract: SourceContract,
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.load(landing_location(contract, landing_root))
-    stamped = add_lineage(stream, contract.name, run_id)
-    there = lambda: read_if_there(spark, bronze, stamped.schema) is not None
-    before = read_bronze(spark, bronze, stamped.schema).count() if there() else 0
-    # Every batch is reported, not only the newest hundred.
-    with session_conf(spark, spark__sql__streaming__numRecentProgressUpdates=KEPT_PROGRESS):
-        query = (stamped.writeStream
-                 .foreachBatch(_batch_writer(bronze, contract.partition_by))
-                 .option("checkpointLocation", f"{ckpt}/stream")
-                 .trigger(availableNow=True)
-                 .start())
-        query.awaitTermination()
-    batches = [{"batchId": p["batchId"], "numInputRows": p["numInputRows"]}
-               for p in query.recentProgress]
-    result = IncrementalResult(contract.name, run_id, batches)
-    result.rows_read = sum(b["numInputRows"] for b in batches)
-    if there():
-        result.total_rows = read_bronze(spark, bronze, stamped.schema).count()
-    result.rows_added = result.total_rows - before
+    (add_lineage(stream, contract.name, run_id).writeStream
+     .foreachBatch(_batch_writer(bronze, contract.partition_by, run_id=run_id))
+     .option("checkpointLocation", f"{ckpt}/stream")
+     .trigger(availableNow=True).start().awaitTermination())
+    result = IncrementalResult(contract.name, run_id)
+    progress = read_progress(spark, bronze)
+    if progress is not None:
+        mine = F.col("run_id") == run_id
+        row = progress.agg(F.count_if(mine).alias("batches"), F.sum("rows_added").alias("total"),
+                           *[F.coalesce(F.sum(F.when(mine, F.col(c))), F.lit(0)).alias(c)
+                             for c in ("rows_read", "rows_added")]).first()
+        result.n_batches, result.total_rows = row["batches"], row["total"]
+        result.rows_read, result.rows_added = row["rows_read"], row["rows_added"]
     return result
 
 
