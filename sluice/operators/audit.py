@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice.functions.hashing import fingerprint_aggs, sha256_hex
@@ -188,6 +188,94 @@ def table_diff(a: DataFrame, b: DataFrame, cols: list[str] | None = None) -> Dat
                       F.abs("_n").cast("long").alias("n_copies"))
 
 
+def hash_tree(df: DataFrame, part_col: str, key_cols: list[str], cols: list[str] | None = None,
+              n_buckets: int = 256) -> DataFrame:
+    """Leaves of a two-level hash tree: a fingerprint per partition value and
+    bucket of the key's hash. One aggregate; map tasks send at most a row per
+    partition and bucket. Written beside a table, it spares the table's scan in
+    later diffs."""
+    bucket = F.pmod(F.xxhash64(*key_cols), F.lit(n_buckets)).cast("int")
+    return df.groupBy(part_col, bucket.alias("bucket")).agg(*fingerprint_aggs(cols or df.columns))
+
+
+def tree_roots(leaves: DataFrame, part_col: str) -> DataFrame:
+    """The tree's upper level: a fingerprint per partition value."""
+    return leaves.groupBy(part_col).agg(
+        F.sum("n_rows").alias("n_rows"), F.sum(F.col("hash_sum").cast("decimal(38,0)")).cast("string").alias("hash_sum"),
+        F.bit_xor("hash_xor").alias("hash_xor"))
+
+
+_FINGERPRINT = ["n_rows", "hash_sum", "hash_xor"]
+
+
+def _unequal(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """Keys (NULL equal to NULL) whose fingerprints differ, or that one side lacks."""
+    both = a.select(*keys, *_FINGERPRINT, F.lit(1).alias("_side")).unionByName(
+        b.select(*keys, *_FINGERPRINT, F.lit(2).alias("_side")))
+    seen = both.groupBy(*keys, *_FINGERPRINT).agg(F.count_distinct("_side").alias("_sides"))
+    return seen.where(F.col("_sides") < 2).select(*keys).distinct()
+
+
+def partition_diff(a_tree: DataFrame, b_tree: DataFrame, part_col: str) -> DataFrame:
+    """Per partition value, from the trees alone: rows of both sides, buckets
+    that differ and whether the partitions are equal."""
+    differing = _unequal(a_tree, b_tree, [part_col, "bucket"]).groupBy(part_col).agg(F.count(F.lit(1)).alias("n_differ"))
+    rows = (a_tree.select(part_col, F.col("n_rows").alias("rows_a"), F.lit(0).cast("long").alias("rows_b"))
+            .unionByName(b_tree.select(part_col, F.lit(0).cast("long").alias("rows_a"), F.col("n_rows").alias("rows_b")))
+            .groupBy(part_col).agg(F.sum("rows_a").alias("rows_a"), F.sum("rows_b").alias("rows_b")))
+    found = differing.withColumnRenamed(part_col, "_part")
+    n = F.coalesce(F.col("n_differ"), F.lit(0))
+    return rows.join(found, F.col(part_col).eqNullSafe(F.col("_part")), "left").select(
+        part_col, "rows_a", "rows_b", n.alias("buckets_differing"), (n == 0).alias("is_equal"))
+
+
+def tree_diff(a: DataFrame, b: DataFrame, part_col: str, key_cols: list[str], cols: list[str] | None = None,
+              n_buckets: int = 256, a_tree: DataFrame | None = None, b_tree: DataFrame | None = None) -> DataFrame:
+    """:func:`table_diff` of two large tables that mostly agree: fingerprints of
+    partitions and buckets are compared first, and only rows of differing buckets
+    are shuffled; differing partitions reach the scans as a partition filter.
+    Trees written beside the tables spare the first scans."""
+    cols = cols or a.columns
+    a_tree = hash_tree(a, part_col, key_cols, cols, n_buckets) if a_tree is None else a_tree
+    b_tree = hash_tree(b, part_col, key_cols, cols, n_buckets) if b_tree is None else b_tree
+    differing = _unequal(a_tree, b_tree, [part_col, "bucket"]).checkpoint(eager=True)
+    parts = differing.select(part_col).distinct().limit(MAX_FILTER_PARTS + 1).collect()
+
+    def touched(df: DataFrame) -> DataFrame:
+        if len(parts) <= MAX_FILTER_PARTS:
+            values = [r[0] for r in parts if r[0] is not None]
+            hit = F.col(part_col).isin(values) if values else F.lit(False)
+            df = df.where(hit | F.col(part_col).isNull() if len(values) < len(parts) else hit)
+        bucket = F.pmod(F.xxhash64(*key_cols), F.lit(n_buckets)).cast("int")
+        same = differing.select(F.col(part_col).alias("_part"), F.col("bucket").alias("_bucket"))
+        keyed = df.withColumn("_b", bucket)
+        return keyed.join(same, F.col(part_col).eqNullSafe(F.col("_part")) & (F.col("_b") == F.col("_bucket")),
+                          "left_semi").drop("_b")
+
+    return table_diff(touched(a), touched(b), cols)
+
+
+MAX_FILTER_PARTS = 1000       # partition values written into a scan's filter
+
+
+def missing_intervals(expected: DataFrame, actual: DataFrame, group_cols: list[str], at_col: str) -> DataFrame:
+    """Gaps and islands over a grid of expected files: per group, each stretch of
+    expected cells in a row (by ``at_col``) that did not arrive, with its first
+    and last cell, the number of cells and of the group's cells. Both inputs have
+    one row per cell; cells that arrived but weren't expected play no part."""
+    keys = [*group_cols, at_col]
+    found = actual.select(*[F.col(k).alias(f"_{k}") for k in keys]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+    cells = expected.select(*keys).distinct().join(found.withColumn("_found", F.lit(True)), same, "left").withColumn(
+        "_missing", F.col("_found").isNull())
+    nth = F.row_number().over(Window.partitionBy(*group_cols).orderBy(at_col))
+    nth_missing = F.row_number().over(Window.partitionBy(*group_cols, "_missing").orderBy(at_col))
+    islands = cells.select(*keys, "_missing", (nth - nth_missing).alias("_island")).where("_missing")
+    return islands.groupBy(*group_cols, "_island").agg(
+        F.min(at_col).alias("first_missing"), F.max(at_col).alias("last_missing"),
+        F.count(F.lit(1)).alias("n_missing")).drop("_island")
+
+
 def predicted_tasks(total_bytes: int, n_files: int, max_partition_bytes: int = 128 << 20,
                     open_cost_bytes: int = 4 << 20) -> int:
     """Driver-side form of the packing estimate, for reports and tests."""

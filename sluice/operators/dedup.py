@@ -141,6 +141,75 @@ def dedup_bounded(df: DataFrame, keys: list[str], order_cols: list[str], time_co
     return rows.select(*keys, *[F.col(f"_w.{c}").alias(c) for c in rest]).select(*cols)
 
 
+STATE = "_state"
+FILTER_BYTES = 64 << 20        # a filter of more bits than this holds isn't broadcast
+_BITMAP_BITS = 32_768          # of Spark's bitmap functions
+_ROOMY = 16                    # bits of the filter per repeated key
+
+
+def repeated_keys_filter(df: DataFrame, keys: list[str], filter_bytes: int = FILTER_BYTES) -> tuple[DataFrame, int] | None:
+    """A set of key hashes that repeat, as (bitmaps by bucket, bits in all).
+    A key that occurs twice is in it for certain; one in ``_ROOMY`` of the others,
+    at most, is taken for one of them. Only 8-byte hashes are shuffled, once per
+    key and map task. None if the repeated keys are too many for a filter of
+    ``filter_bytes`` to tell keys apart."""
+    hashes = df.select(F.xxhash64(*keys).alias("_h")).groupBy("_h").agg(F.count(F.lit(1)).alias("_n"))
+    repeated = hashes.where(F.col("_n") > 1).select("_h").checkpoint(eager=True)
+    n = repeated.count()
+    bits = _BITMAP_BITS
+    while bits < _ROOMY * n and bits < 8 * filter_bytes:
+        bits *= 2
+    if bits < 2 * n:
+        return None
+    place = F.pmod(F.col("_h"), F.lit(bits)) + 1
+    bitmaps = repeated.groupBy(F.bitmap_bucket_number(place).alias("_bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("_bits"))
+    return bitmaps, bits
+
+
+def may_repeat(df: DataFrame, keys: list[str], found: tuple[DataFrame, int] | None, out_col: str) -> DataFrame:
+    """Add whether a row's key may be in the filter (always, without one)."""
+    if found is None:
+        return df.withColumn(out_col, F.lit(True))
+    bitmaps, bits = found
+    place = F.pmod(F.xxhash64(*keys), F.lit(bits)) + 1
+    at = F.bitmap_bit_position(place)
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    bit = F.floor(byte / F.pow(F.lit(2), at % 8)).cast("int") % 2
+    joined = df.withColumn("_bucket", F.bitmap_bucket_number(place)).join(F.broadcast(bitmaps), "_bucket", "left")
+    return joined.withColumn(out_col, F.coalesce(bit == 1, F.lit(False))).drop("_bucket", "_bits")
+
+
+def write_bounded(df: DataFrame, path: str, keys: list[str], order_cols: list[str], time_col: str,
+                  window_hours: int = 72, partition_by: list[str] | tuple[str, ...] = (),
+                  filter_bytes: int = FILTER_BYTES) -> DataFrame:
+    """The rows of :func:`dedup_bounded`, written. The input is read twice: once
+    for the filter of repeated keys (key columns only), once to write every row,
+    those whose key occurs once at their final place, without any shuffle, the
+    others aside; these few are then deduplicated and written too. A row that the
+    filter takes for a copy by mistake is its own survivor.
+
+    The table has a folder per state (``single``, ``copy``, ``survivor``);
+    :func:`read_bounded` reads single rows and survivors."""
+    root = path.rstrip("/")
+    tagged = may_repeat(df, keys, repeated_keys_filter(df, keys, filter_bytes), "_again")
+    states = tagged.withColumn(STATE, F.when(F.col("_again"), "copy").otherwise("single")).drop("_again")
+    (states.write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .partitionBy(STATE, *partition_by).parquet(root))
+    spark = df.sparkSession
+    schema = states.schema
+    copies = spark.read.schema(schema).parquet(root).where(F.col(STATE) == "copy").drop(STATE)
+    survivors = dedup_bounded(copies, keys, order_cols, time_col, window_hours)
+    w = survivors.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{root}/{STATE}=survivor")
+    return spark.read.schema(schema).parquet(root).where(F.col(STATE) != "copy").select(*df.columns)
+
+
+def read_bounded(spark, path: str) -> DataFrame:
+    """The table that :func:`write_bounded` wrote."""
+    return spark.read.parquet(path).where(F.col(STATE) != "copy").drop(STATE)
+
+
 def duplicate_census(df: DataFrame, keys: list[str], seq_col: str, time_col: str,
                      window_hours: int = 72, hot_share: float = HOT_SHARE) -> DataFrame:
     """Extra copies by flavor, always three rows (flavor, n_rows, n_keys):

@@ -11,8 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.operators import gold
-from sluice.operators.dedup import dedup_bounded
-from sluice.operators.ingest import write_table
+from sluice.operators.dedup import write_bounded
 from sluice.operators.quality import read_quarantined, write_quarantined
 from sluice.sources.contract import SourceContract
 
@@ -61,8 +60,7 @@ def refine(spark: SparkSession, contract: SourceContract, bronze: DataFrame, roo
     silver_path = f"{root}/silver/{name}"
     keys = list(contract.dedup_key)
     order = list(contract.order_by) or [time_col]
-    write_table(dedup_bounded(clean, keys, order, time_col, contract.dedup_window_hours or 72), silver_path, parts)
-    silver = spark.read.parquet(silver_path)
+    silver = write_bounded(clean, silver_path, keys, order, time_col, contract.dedup_window_hours or 72, parts)
     result.silver, result.tables["silver"] = silver.count(), silver_path
     if EVENT_COLUMNS <= set(silver.columns):
         for table, df in (("daily_events", gold.daily_events(silver)), ("daily_rates", gold.daily_rates(silver)),

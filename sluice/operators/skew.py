@@ -7,6 +7,8 @@ retried task puts every row in the same place again.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,33 @@ def hot_keys(df: DataFrame, keys: list[str], min_share: float) -> DataFrame:
     return hot_keys_from_counts(counts, "_n", keys, min_share)
 
 
+SKETCH_ERROR = 3.5            # a frequent-items sketch of m counters errs by at most 3.5 / m of the rows
+SKETCH_LIMIT = 1_000_000      # counters that Spark's sketch can have
+
+
+def frequent_keys(df: DataFrame, keys: list[str], min_share: float) -> DataFrame:
+    """Keys with at least ``min_share`` of all rows, and their exact number of
+    rows (``n_rows``), without shuffling the keys: every map task keeps a
+    frequent-items sketch of a bounded number of counters over the keys' hashes,
+    the sketches are merged, and only the rows of the (few) candidates are
+    counted exactly. A key above the share can't be missing: the sketch has
+    enough counters that its error is below a quarter of the share. NULL is a
+    key like others."""
+    if not 0 < min_share <= 1:
+        raise ValueError("min_share must be in (0, 1]")
+    counters = 1 << max(8, math.ceil(math.log2(4 * SKETCH_ERROR / min_share)))
+    if counters > SKETCH_LIMIT:
+        raise ValueError(f"a share of {min_share} needs a sketch of more than {SKETCH_LIMIT} counters; use hot_keys")
+    hashed = F.xxhash64(*keys)
+    row = df.agg(F.call_function("approx_top_k", hashed, F.lit(counters), F.lit(counters)).alias("top"),
+                 F.count(F.lit(1)).alias("n")).select(
+        "n", F.transform(F.filter("top", lambda x: x["count"] >= F.col("n") * F.lit(min_share / 2)),
+                         lambda x: x["item"]).alias("items")).first()
+    items = row["items"] or []                       # at most 2 / min_share
+    exact = df.where(hashed.isin(items) if items else F.lit(False)).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
+    return exact.where(F.col("n_rows") >= F.lit(min_share) * F.lit(row["n"]))
+
+
 def null_safe_join(big: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Equi-join on ``keys`` in which NULL equals NULL; the key columns come
     once, from ``big``."""
