@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,13 +25,19 @@ def parse_json_fields(text: Column, fields: dict[str, str]) -> Column:
     return F.from_json(text, ddl)
 
 
+def json_string(text: Column) -> Column:
+    """A JSON string with its quotes; what JSON can't hold is escaped."""
+    inside = F.to_json(F.struct(text.alias("v")))                 # {"v":"..."}
+    return F.substring(inside, F.lit(6), F.length(inside) - 6)
+
+
 def json_object_text(pairs: list[tuple[str, Column]]) -> Column:
     """Exact-bytes JSON object text ``{"k": "v", "k2": "v2"}`` from string
     columns, in the given key order. A pair whose value is NULL is left out,
     so one builder covers both the pre- and post-drift shapes.
     ``to_json`` would drop the spaces, so the text is concatenated."""
     parts = [
-        F.when(v.isNotNull(), F.concat(F.lit(f'"{k}": "'), v, F.lit('"')))
+        F.when(v.isNotNull(), F.concat(F.lit(f"{json.dumps(k, ensure_ascii=False)}: "), json_string(v)))
         for k, v in pairs
     ]
     return F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}"))

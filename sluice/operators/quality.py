@@ -19,36 +19,63 @@ class QualityError(Exception):
     """One or more hard rules failed."""
 
 
+def _verdict(rule: AggregateRule, observed: Column) -> list[Column]:
+    """The report's columns for a rule and its value. No value (no rows to take
+    it from) is a failure, reported as such."""
+    observed = observed.cast("double")
+    if rule.severity == "hard":
+        passed = F.coalesce(compare(rule.op, observed, float(rule.value)), F.lit(False))
+        detail = F.when(observed.isNull(), F.lit(rule.detail + " (no value)")).otherwise(F.lit(rule.detail))
+    else:
+        passed = F.coalesce(within_tolerance(observed, rule.expected, rule.tolerance), F.lit(False))
+        detail = F.lit(rule.detail)
+    flag = F.when(passed, "PASS").otherwise("FAIL" if rule.severity == "hard" else "WARN")
+    return [F.lit(rule.name).alias("name"), F.lit(rule.severity).alias("severity"), observed.alias("observed"),
+            passed.alias("passed"), flag.alias("flag"), detail.alias("detail")]
+
+
 def _rule_row(spark: SparkSession, rule: AggregateRule) -> DataFrame:
-    if rule.severity not in ("hard", "soft"):
-        raise ContractError(f"[{rule.name}] unknown severity {rule.severity!r}")
+    """A rule with a query of its own."""
     if "observed" not in spark.sql(rule.query).columns:
         raise ContractError(f"[{rule.name}] rule query must return a column named observed")
     # Wrapped as a scalar subquery: exactly one report row per rule. A query
     # with no rows gives NULL (reported, not a crash); more than one row is
     # an error raised by Spark.
     q = rule.query.strip().rstrip(";")
-    result = spark.sql(f"SELECT (SELECT observed FROM ({q}) AS _rule) AS observed")
-    observed = F.col("observed").cast("double")
-    if rule.severity == "hard":
-        passed = F.coalesce(compare(rule.op, observed, float(rule.value)), F.lit(False))
-        flag = F.when(passed, "PASS").otherwise("FAIL")
+    return spark.sql(f"SELECT (SELECT observed FROM ({q}) AS _rule) AS observed").select(
+        *_verdict(rule, F.col("observed")))
+
+
+def _metric_rows(table: DataFrame, rules: list[AggregateRule]) -> DataFrame:
+    """All rules with a metric, from one scan. Grouping sets count the rows per
+    group of every rule's ``per`` columns, and the empty set has the metrics over
+    rows; a second, small aggregate takes the metrics over groups."""
+    sets = [(), *dict.fromkeys(r.per for r in rules if r.per)]
+    cols = list(dict.fromkeys(c for s in sets for c in s))
+    over_rows = {f"_m{i}": F.expr(r.metric) for i, r in enumerate(rules) if not r.per}
+    aggs = [F.count(F.lit(1)).alias("_n"), *[m.alias(n) for n, m in over_rows.items()]]
+    if cols:
+        kept = table.withColumns({f"_by{i}": F.col(c) for i, c in enumerate(cols)})
+        by = [f"_by{i}" for i in range(len(cols))]
+        grouped = kept.groupingSets([[f"_by{cols.index(c)}" for c in s] for s in sets], *by).agg(
+            F.grouping_id().alias("_gid"), *aggs)
+        gid = {s: sum(1 << (len(cols) - 1 - i) for i, c in enumerate(cols) if c not in s) for s in sets}
+        # The counts of each set under a name of their own, NULL on other sets' rows.
+        grouped = grouped.withColumns({f"_n{k}": F.when(F.col("_gid") == gid[s], F.col("_n")) for k, s in enumerate(sets)})
+        whole = F.col("_gid") == gid[()]
     else:
-        passed = F.coalesce(within_tolerance(observed, rule.expected, rule.tolerance), F.lit(False))
-        flag = F.when(passed, "PASS").otherwise("WARN")
-    detail = F.lit(rule.detail)
-    if rule.severity == "hard":
-        detail = F.when(observed.isNull(), F.lit(rule.detail + " (no value)")).otherwise(detail)
-    return result.select(
-        F.lit(rule.name).alias("name"), F.lit(rule.severity).alias("severity"),
-        observed.alias("observed"), passed.alias("passed"), flag.alias("flag"),
-        detail.alias("detail"))
+        grouped, whole = table.agg(*aggs), F.lit(True)
+    values = [F.expr(r.metric.replace("{n}", f"_n{sets.index(r.per)}")) if r.per
+              else F.max(F.when(whole, F.col(f"_m{i}"))) for i, r in enumerate(rules)]
+    one = grouped.agg(*[v.cast("double").alias(f"_v{i}") for i, v in enumerate(values)])
+    return one.select(F.inline(F.array(*[F.struct(*_verdict(r, F.col(f"_v{i}"))) for i, r in enumerate(rules)])))
 
 
 def evaluate_rules(table: DataFrame, rules: list[AggregateRule], view: str = "bronze",
                    extra_views: dict[str, DataFrame] | None = None) -> DataFrame:
     """Every rule as one row of a single report DataFrame (one Spark job for
-    all rules). Read-only over the table, so two runs give the same report.
+    all rules). Rules with a metric share one scan, those with a query have
+    their own. Read-only over the table, so two runs give the same report.
     ``extra_views`` registers more views for rules that need them, e.g. the
     table's file inventory (``bronze_files``) for a small-files rule."""
     if not rules:
@@ -60,7 +87,9 @@ def evaluate_rules(table: DataFrame, rules: list[AggregateRule], view: str = "br
     table.createOrReplaceTempView(view)
     for name, df in (extra_views or {}).items():
         df.createOrReplaceTempView(name)
-    rows = [_rule_row(spark, r) for r in rules]
+    metrics = [r for r in rules if r.metric]
+    rows = [_metric_rows(table, metrics)] if metrics else []
+    rows += [_rule_row(spark, r) for r in rules if not r.metric]
     return reduce(DataFrame.unionAll, rows)
 
 

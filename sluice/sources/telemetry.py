@@ -124,22 +124,18 @@ def player_events_contract_dict(root: str = "") -> dict:
             {"column": "event_id", "rule": "not_null"},
             {"column": "event_timestamp", "rule": "not_null"},
             {"name": "schema_drift_before_boundary", "severity": "hard",
-             "query": ("SELECT COUNT(*) AS observed FROM bronze "
-                       f"WHERE event_date < DATE'{b}' "
-                       "AND get_json_object(metadata, '$.network_type') IS NOT NULL"),
+             "metric": (f"count_if(event_date < DATE'{b}' "
+                        "AND get_json_object(metadata, '$.network_type') IS NOT NULL)"),
              "assert": {"op": "eq", "value": 0}},
             {"name": "hot_game_share", "severity": "soft",
-             "query": ("WITH per_game AS (SELECT COUNT(*) AS n FROM bronze GROUP BY game_id) "
-                       "SELECT MAX(n) / SUM(n) AS observed FROM per_game"),
+             "per": "game_id", "metric": "max({n}) / sum({n})",
              "expected": 0.37, "tolerance": 0.02},
             {"name": "late_arrival_rate", "severity": "soft",
-             "query": ("SELECT SUM(CASE WHEN timestampdiff(SECOND, event_timestamp, "
-                       "ingestion_timestamp) > 300 THEN 1 ELSE 0 END) / COUNT(*) AS observed "
-                       "FROM bronze"),
+             "metric": ("count_if(timestampdiff(SECOND, event_timestamp, ingestion_timestamp) > 300) "
+                        "/ nullif(count(*), 0)"),
              "expected": 0.025, "tolerance": 0.01},
             {"name": "duplicate_rate", "severity": "soft",
-             "query": ("SELECT (COUNT(*) - COUNT(DISTINCT event_id)) / NULLIF(COUNT(*), 0) "
-                       "AS observed FROM bronze"),
+             "per": "event_id", "metric": "(sum({n}) - count({n})) / sum({n})",
              "expected": 0.01, "tolerance": 0.005},
         ],
     }
