@@ -307,7 +307,7 @@ FROM (VALUES
 
 _BRONZE = with_t(f"SELECT {present_cols()}, 'player_events' AS _source_name, "
                  f"{D('event_date')} AS source_partition FROM telemetry")
-_CELLS = ("SELECT event_date, count(DISTINCT (producer_id, time_bucket(INTERVAL 60 MINUTE, ingestion_timestamp))) "
+_CELLS = ("SELECT event_date, count(DISTINCT (producer_id, time_bucket(INTERVAL 5 MINUTE, ingestion_timestamp))) "
           "AS n FROM telemetry GROUP BY event_date")
 
 ORACLE.update({
@@ -325,11 +325,6 @@ ORACLE.update({
         "SELECT ('0x' || substr(sha256(concat_ws('|', coalesce(event_id::VARCHAR, '~'), coalesce(player_id::VARCHAR, '~'), "
         "coalesce(source_sequence_number::VARCHAR, '~'), "
         f"coalesce({TS('ingestion_timestamp')}, '~'), coalesce(metadata, '~'))), 1, 12))::BIGINT AS h FROM telemetry)"),
-    "stream_silver": with_t(
-        f"SELECT {present_cols()}, false AS side FROM silver "
-        "WHERE event_date > (SELECT max(event_date) FROM telemetry) - 3 "
-        f"UNION ALL SELECT {present_cols()}, true FROM telemetry "
-        "WHERE event_date <= (SELECT max(event_date) FROM telemetry) - 3", _DEDUP_BOUNDED_CTES),
     "first_partitions": with_t(f"SELECT {D('event_date')} AS event_date FROM (SELECT DISTINCT event_date "
                                "FROM telemetry) ORDER BY event_date LIMIT 5"),
     "late_closed_rows": with_t(f"SELECT {present_cols()} FROM telemetry WHERE {LAG} > 72 * 3600"),
@@ -344,9 +339,7 @@ ORACLE.update({
     "landing_file_counts": with_t(f"SELECT {D('event_date')} AS event_date, n AS n_files FROM ({_CELLS})"),
     "compact": with_t(f"SELECT {D('event_date')} AS event_date, n AS files_before, 1::BIGINT AS files_after, "
                       f"true AS compacted FROM ({_CELLS})"),
-    "stream_dedup": with_t(
-        f"SELECT DISTINCT event_id, player_id, game_id, producer_id, {TS('event_timestamp')} AS event_timestamp, "
-        f"{D('event_date')} AS event_date FROM telemetry"),
+    "stream_dedup": ORACLE["dedup_bounded"],
     "stream_flush_counts": with_t(
         f"SELECT {TS('time_bucket(INTERVAL 5 MINUTE, ingestion_timestamp)')} AS flush_start, producer_id, "
         "count(*) AS n_rows FROM telemetry GROUP BY 1, 2"),
@@ -368,3 +361,72 @@ ORACLE.update({
         "sum(n - 1)::DOUBLE / sum(n) AS duplicate_rate FROM (SELECT event_date, event_id, count(*) AS n FROM telemetry "
         "WHERE player_id <> 5 GROUP BY ALL) GROUP BY event_date"),
 })
+
+# Five dates land at a time (a drop); see the registered queries.
+_DAY = "date_diff('day', DATE '2024-01-01', event_date)"
+_DELIVERED = f"""
+d AS (SELECT *, {_DAY} // 5 * 2 + CASE WHEN event_id % 300 = 5 AND event_type = 'match_end' THEN 1 ELSE 0 END AS n
+      FROM telemetry),
+m AS (SELECT n, max(max(event_date)) OVER (ORDER BY n) AS newest, n = min(n) OVER () AS is_first FROM d GROUP BY n),
+routed AS (SELECT d.* EXCLUDE (n), NOT is_first AND event_date <= newest - 3 AS side FROM d JOIN m USING (n)),
+opened AS (SELECT * EXCLUDE (side) FROM routed WHERE NOT side),"""
+
+_VERSION_B = """
+a AS (SELECT * FROM telemetry),
+b AS (SELECT * REPLACE (
+        CASE WHEN day(event_date) = 11 AND event_id % 30 = 2 THEN 'altered' ELSE event_type END AS event_type,
+        CASE WHEN day(event_date) = 23 AND event_id % 25 = 3 THEN '?' ELSE stack_trace END AS stack_trace)
+      FROM (SELECT * FROM telemetry WHERE NOT (day(event_date) = 5 AND event_id % 50 = 0)
+            UNION ALL SELECT * FROM telemetry WHERE day(event_date) = 17 AND event_id % 40 = 1)),
+diff AS (SELECT *, 'only_in_a' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)
+         UNION ALL SELECT *, 'only_in_b' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a))"""
+
+ORACLE.update({
+    "stream_silver": with_t(
+        f"SELECT {present_cols()}, false AS side FROM silver "
+        f"UNION ALL SELECT {present_cols()}, true FROM routed WHERE side",
+        _DELIVERED + _DEDUP_BOUNDED_CTES.replace("FROM telemetry", "FROM opened")),
+    "stream_late_split": with_t(
+        "SELECT n AS micro_batch, count(*) AS n_rows, count(*) FILTER (WHERE late) AS n_late, "
+        "count(*) FILTER (WHERE NOT late) AS written_on_time, count(*) FILTER (WHERE late) AS written_late "
+        "FROM (SELECT d.n, coalesce(ingestion_timestamp < clock - INTERVAL 24 HOUR, false) AS late "
+        "FROM d JOIN m USING (n)) GROUP BY n",
+        f"d AS (SELECT *, dense_rank() OVER (ORDER BY {_DAY} // 5) - 1 AS n FROM telemetry), "
+        "m AS (SELECT n, max(max(ingestion_timestamp)) OVER (ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING "
+        "AND 1 PRECEDING) AS clock FROM d GROUP BY n)"),
+    "silver_written": ORACLE["dedup_bounded"],
+    "hot_keys": with_t("SELECT game_id, event_type, count(*) AS n_rows FROM telemetry GROUP BY ALL "
+                       "HAVING count(*) >= 0.05::DOUBLE * (SELECT count(*) FROM telemetry)"),
+    "tree_diff": with_t(f"SELECT {present_cols()}, side, count(*) AS n_copies FROM diff GROUP BY ALL", _VERSION_B),
+    "partition_diff": with_t(
+        f"SELECT {D('event_date')} AS event_date, (SELECT count(*) FROM a WHERE a.event_date = x.event_date) AS rows_a, "
+        "(SELECT count(*) FROM b WHERE b.event_date = x.event_date) AS rows_b, "
+        "event_date NOT IN (SELECT event_date FROM diff) AS is_equal "
+        "FROM (SELECT DISTINCT event_date FROM telemetry) x", _VERSION_B),
+    "ingest_progress": with_t(
+        "SELECT 1 AS run, n - held AS rows_read, n - held AS rows_added FROM c UNION ALL SELECT 2, 0, 0 FROM c "
+        "UNION ALL SELECT 3, held, held FROM c UNION ALL SELECT 4, n, 0 FROM c",
+        "c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_date = (SELECT max(event_date) FROM telemetry)) "
+        "AS held FROM telemetry)"),
+    "bronze_compacted": _BRONZE,
+    "bronze_compacted_files": with_t(f"SELECT {D('event_date')} AS event_date, count(*) AS n_rows, 1::BIGINT AS n_files "
+                                     "FROM telemetry GROUP BY event_date"),
+    "landing_gaps": with_t(
+        f"SELECT {D('event_date')} AS event_date, producer_id, strftime(min(fs), '%Y%m%dT%H%M') AS first_missing, "
+        "strftime(max(fs), '%Y%m%dT%H%M') AS last_missing, count(*) AS n_missing FROM ("
+        "SELECT *, nth - row_number() OVER (PARTITION BY event_date, producer_id ORDER BY fs) AS island "
+        "FROM n WHERE missing) GROUP BY event_date, producer_id, island",
+        "c AS (SELECT DISTINCT event_date, producer_id, time_bucket(INTERVAL 5 MINUTE, ingestion_timestamp) AS fs "
+        "FROM telemetry), n AS (SELECT *, row_number() OVER (PARTITION BY event_date, producer_id ORDER BY fs) AS nth, "
+        "epoch(fs)::BIGINT // 300 // 3 % 40 = producer_id AS missing FROM c)"),
+    "type_drift": """SELECT * FROM (VALUES
+  ('event_id', 'bigint', 'bigint', 'same'), ('player_id', 'int,bigint,string', 'string', 'widened'),
+  ('source_sequence_number', 'int,bigint', 'bigint', 'widened'), ('event_date', 'date', 'date', 'same'),
+  ('stack_trace', 'string', 'string', 'partial')) AS v(field, types, widened, status)""",
+    "drift_rescue": with_t(
+        "SELECT event_id, CASE WHEN NOT unfit THEN player_id END AS player_id, source_sequence_number, "
+        "CASE WHEN day(event_date) > 10 THEN stack_trace END AS stack_trace, NULL::VARCHAR AS metadata, "
+        f"{D('event_date')} AS event_date, CASE WHEN unfit THEN '{{\"player_id\":\"p-' || player_id || '\"}}' END AS rescued "
+        "FROM (SELECT *, day(event_date) > 20 AND event_id % 50 = 0 AS unfit FROM telemetry)"),
+    "json_round_trip": "SELECT doc_id, source, sha256('\"\\' || chr(10) || chr(9) || text) AS text_sha FROM documents",
+})

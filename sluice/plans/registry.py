@@ -9,14 +9,17 @@ from pyspark.sql import functions as F
 
 from sluice.functions.codes import DEVICES, EVENT_TYPES, NETWORK_TYPES, decode
 from sluice.functions.json import json_key, json_object_text
-from sluice.functions.time import iso_timestamp_sql, minute_stamp
-from sluice.operators import audit, conformance, dedup, gold, quality, skew
+from sluice.functions.time import floor_minutes, iso_timestamp_sql, minute_stamp, ntz_to_instant
+from sluice.operators import audit, bronze_compaction, conformance, dedup, gold, ingest, maintain, quality, skew
 from sluice.plans.present import present
+from sluice.session import scratch_path
 from sluice.sources import scan
 from sluice.sources.contract import contract_from_dict
-from sluice.sources.telemetry import (DEDUP_WINDOW_H, DRIFT_BOUNDARY,
+from sluice.sources.landing import write_flush_layout, write_landing
+from sluice.sources.telemetry import (COLUMNS as TCOLUMNS, DEDUP_WINDOW_H, DRIFT_BOUNDARY,
                                       ORDER_COLUMNS, START_DATE, load_telemetry,
                                       player_events_contract_dict, read_events, telemetry_base)
+from sluice.streaming import bounded, incremental, late
 
 KEY = ["event_id"]
 N_SALTS = 8
@@ -215,8 +218,13 @@ def silver_metadata(spark, sf_dir):
 
 
 def _silver(spark, sf_dir):
-    return dedup.dedup_bounded(_t(spark, sf_dir), KEY, ORDER_COLUMNS, "ingestion_timestamp",
-                               DEDUP_WINDOW_H)
+    """The written Silver table: rows whose key occurs once bypass the shuffle."""
+    return dedup.write_bounded(_t(spark, sf_dir), scratch_path(spark, "silver-table"), KEY, ORDER_COLUMNS,
+                               "ingestion_timestamp", DEDUP_WINDOW_H)
+
+
+def silver_written(spark, sf_dir):
+    return present(_silver(spark, sf_dir))
 
 
 def gold_daily_events(spark, sf_dir):
@@ -234,8 +242,39 @@ def gold_player_activity(spark, sf_dir):
 def table_diff(spark, sf_dir):
     t = _t(spark, sf_dir)
     latest = dedup.dedup_latest(t, KEY, ORDER_COLUMNS)
-    bounded = dedup.dedup_bounded(t, KEY, ORDER_COLUMNS, "ingestion_timestamp", DEDUP_WINDOW_H)
-    return present(audit.table_diff(bounded, latest))
+    return present(audit.table_diff(_silver(spark, sf_dir), latest))
+
+
+def hot_keys(spark, sf_dir):
+    """Keys with a twentieth of the rows or more, from merged sketches."""
+    return skew.frequent_keys(_t(spark, sf_dir), ["game_id", "event_type"], 0.05)
+
+
+def _two_versions(spark, sf_dir):
+    """The telemetry, written, and a version in which on four dates rows are
+    missing, changed or doubled."""
+    root = scratch_path(spark, "versions")
+    t = _t(spark, sf_dir)
+    day, e = F.dayofmonth("event_date"), F.col("event_id")
+    copies = F.when((day == 5) & (e % 50 == 0), 0).when((day == 17) & (e % 40 == 1), 2).otherwise(1)
+    changed = (t.withColumn("event_type", F.when((day == 11) & (e % 30 == 2), F.lit("altered")).otherwise(F.col("event_type")))
+               .withColumn("stack_trace", F.when((day == 23) & (e % 25 == 3), F.lit("?")).otherwise(F.col("stack_trace")))
+               .withColumn("_copies", copies).select(*t.columns, F.explode(F.array_repeat(F.lit(0), F.col("_copies"))).alias("_c"))
+               .drop("_c"))
+    ingest.write_table(t, f"{root}/a", ["event_date"])
+    ingest.write_table(changed, f"{root}/b", ["event_date"])
+    return [spark.read.parquet(f"{root}/{x}").select(*t.columns) for x in "ab"]
+
+
+def tree_diff(spark, sf_dir):
+    a, b = _two_versions(spark, sf_dir)
+    return present(audit.tree_diff(a, b, "event_date", KEY))
+
+
+def partition_diff(spark, sf_dir):
+    a, b = _two_versions(spark, sf_dir)
+    trees = [audit.hash_tree(x, "event_date", KEY) for x in (a, b)]
+    return present(audit.partition_diff(*trees, "event_date").drop("buckets_differing"))
 
 
 def table_fingerprint(spark, sf_dir):
@@ -373,7 +412,11 @@ QUERIES = {
     "gold_daily_events": gold_daily_events,
     "gold_daily_rates": gold_daily_rates,
     "gold_player_activity": gold_player_activity,
+    "silver_written": silver_written,
+    "hot_keys": hot_keys,
     "table_diff": table_diff,
+    "tree_diff": tree_diff,
+    "partition_diff": partition_diff,
     "table_fingerprint": table_fingerprint,
     "first_partitions": first_partitions,
     "late_closed_rows": late_closed_rows,
@@ -385,13 +428,6 @@ QUERIES = {
 # compaction). Each works in a fresh folder under the session's shared
 # checkpoint root (spark.checkpoint.dir).
 
-from sluice.operators import ingest, maintain  # noqa: E402
-from sluice.session import scratch_path  # noqa: E402
-from sluice.sources.landing import write_flush_layout, write_landing  # noqa: E402
-from sluice.streaming import incremental, late  # noqa: E402
-from sluice.functions.time import ntz_to_instant  # noqa: E402
-from sluice.sources.telemetry import COLUMNS as TCOLUMNS  # noqa: E402
-
 
 def _landing_contract(root: str, name: str = "player_events", partition_by=("event_date",)):
     raw = player_events_contract_dict(root)
@@ -417,27 +453,63 @@ def bronze_full_refresh(spark, sf_dir):
     return _bronze_view(spark.read.parquet(res.path))
 
 
-def bronze_incremental(spark, sf_dir):
+def _incremental_runs(spark, sf_dir, compacted: bool = False):
     """Held-back date, several micro-batches, a no-op rerun, the held-back
-    date landing later, and a lost checkpoint: Bronze must still hold every
-    landed row exactly once."""
+    date landing later, and a lost checkpoint; the table is compacted in
+    between if asked to. The contract, and the runs' results."""
     root = scratch_path(spark, "incr")
     t = _t(spark, sf_dir)
     last = t.agg(F.max("event_date")).first()[0]
     landing = f"{root}/landing/player_events"
     spread = ["event_id", "source_sequence_number", "ingestion_timestamp"]
-    write_landing(t.where(F.col("event_date") < F.lit(last)), landing, ["event_date"], 2, spread)
+    write_landing(t.where(F.col("event_date") < F.lit(last)), landing, ["event_date"], 2, spread, num_tasks=32)
     contract = _landing_contract(root)
     kw = dict(landing_root=f"{root}/landing")
-    incremental.ingest_incremental(spark, contract, max_files_per_trigger=16, **kw)
-    incremental.ingest_incremental(spark, contract, **kw)                       # nothing new
+    runs = [incremental.ingest_incremental(spark, contract, max_files_per_trigger=16, **kw)]
+    if compacted:
+        bronze_compaction.compact_bronze(spark, contract.bronze_path)
+    runs.append(incremental.ingest_incremental(spark, contract, **kw))          # nothing new
     (t.where(F.col("event_date") == F.lit(last)).write.mode("append")
      .partitionBy("event_date").parquet(landing))                               # late partition
-    incremental.ingest_incremental(spark, contract, **kw)
-    incremental.ingest_incremental(spark, contract, checkpoint=f"{root}/checkpoints/lost", **kw)
+    runs.append(incremental.ingest_incremental(spark, contract, **kw))
+    if compacted:
+        bronze_compaction.compact_bronze(spark, contract.bronze_path)
+    runs.append(incremental.ingest_incremental(spark, contract, checkpoint=f"{root}/checkpoints/lost", **kw))
+    return contract, runs
+
+
+def bronze_incremental(spark, sf_dir):
+    """After all these runs, Bronze holds every landed row exactly once."""
+    contract, _ = _incremental_runs(spark, sf_dir)
     return _bronze_view(incremental.read_bronze(spark, contract.bronze_path))
 
 
+def ingest_progress(spark, sf_dir):
+    """Rows that each run read and added, from the progress that its
+    micro-batches left; a run without one has read nothing."""
+    contract, runs = _incremental_runs(spark, sf_dir)
+    numbered = spark.createDataFrame([(i + 1, r.run_id) for i, r in enumerate(runs)], "run int, run_id string")
+    progress = incremental.read_progress(spark, contract.bronze_path).groupBy("run_id").agg(
+        F.sum("rows_read").alias("rows_read"), F.sum("rows_added").alias("rows_added"))
+    return numbered.join(progress, "run_id", "left").na.fill(0).select("run", "rows_read", "rows_added")
+
+
+def bronze_compacted(spark, sf_dir):
+    """The same runs over a table that is compacted twice in between."""
+    contract, _ = _incremental_runs(spark, sf_dir, compacted=True)
+    return _bronze_view(incremental.read_bronze(spark, contract.bronze_path))
+
+
+def bronze_compacted_files(spark, sf_dir):
+    """Rows and live files per partition of the compacted table."""
+    contract, _ = _incremental_runs(spark, sf_dir, compacted=True)
+    files = bronze_compaction.live_files(spark, contract.bronze_path).groupBy("partition").agg(
+        F.count(F.lit(1)).alias("n_files"))
+    rows = incremental.read_bronze(spark, contract.bronze_path).groupBy("event_date").agg(F.count(F.lit(1)).alias("n_rows"))
+    part = F.concat(F.lit("event_date="), F.col("event_date").cast("string"))
+    return present(rows.join(files, files["partition"] == part).select("event_date", "n_rows", "n_files"))
+
+
 def bronze_second_source(spark, sf_dir):
     """A second source with another schema, onboarded by contract alone."""
     root = scratch_path(spark, "orders")
@@ -455,21 +527,30 @@ def bronze_second_source(spark, sf_dir):
     return present(b.select(*orders.columns, "_source_name"))
 
 
-# Flush grid of the registered layout queries. The producer flushes every
-# 5 minutes; writing that grid costs ~0.1 s per file on a local disk, so the
-# registered queries use an hourly grid (same operators, fewer files) and
-# tests cover the 5-minute grid at sf0.001.
-REGISTERED_FLUSH_MINUTES = 60
-_LANDINGS: dict = {}
+FLUSH_MINUTES = 5             # how often a producer flushes
+
+
+def _flush_landing(spark, sf_dir, rows: DataFrame | None = None) -> str:
+    """A landing tree as the producers leave it: a file per date, producer and flush."""
+    path = f"{scratch_path(spark, 'flush')}/landing"
+    write_flush_layout(_t(spark, sf_dir) if rows is None else rows, path, minutes=FLUSH_MINUTES)
+    return path
 
 
-def _flush_landing(spark, sf_dir) -> str:
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _LANDINGS:
-        root = scratch_path(spark, "flush")
-        write_flush_layout(_t(spark, sf_dir), f"{root}/landing", minutes=REGISTERED_FLUSH_MINUTES)
-        _LANDINGS[key] = f"{root}/landing"
-    return _LANDINGS[key]
+def landing_gaps(spark, sf_dir):
+    """Stretches of flushes that never arrived: every producer leaves out three
+    flushes in a row of each hundred and twenty. Expected is a file per cell of
+    the events' grid; found is what the landing tree lists."""
+    t = _t(spark, sf_dir)
+    cells = audit.flush_cells(t, "event_date", "producer_id", "ingestion_timestamp", FLUSH_MINUTES)
+    flush = floor_minutes(F.col("ingestion_timestamp"), FLUSH_MINUTES)
+    number = F.floor(F.unix_micros(ntz_to_instant(flush)) / F.lit(FLUSH_MINUTES * 60_000_000))
+    left_out = F.floor(number / 3) % 40 == F.col("producer_id")
+    inventory = scan.file_inventory(spark, _flush_landing(spark, sf_dir, t.where(~left_out)), "flush")
+    found = inventory.select(F.to_date(F.regexp_extract("path", "event_date=([^/]+)", 1)).alias("event_date"),
+                             F.regexp_extract("path", "producer_id=([^/]+)", 1).cast("long").alias("producer_id"), "flush")
+    expected = cells.select("event_date", "producer_id", minute_stamp(F.col("flush_start")).alias("flush"))
+    return present(audit.missing_intervals(expected, found, ["event_date", "producer_id"], "flush"))
 
 
 def landing_file_counts(spark, sf_dir):
@@ -504,15 +585,42 @@ def _stream_landing(spark, sf_dir, files_per_batch: int | None = None):
     return root, reader.parquet(f"{root}/landing")
 
 
-STREAM_DEDUP_COLUMNS = ["event_id", "player_id", "game_id", "producer_id", "event_timestamp",
-                        "event_date"]
+#: The landing tree's files come in any order: a row may be as late as the tree is long.
+DISORDER_HOURS = 40 * 24
 
 
 def stream_dedup(spark, sf_dir):
-    root, stream = _stream_landing(spark, sf_dir)
-    deduped = late.dedup_within_watermark(stream, ["event_id"], "event_timestamp", "72 hours")
-    late.run_append_query(deduped.select(*STREAM_DEDUP_COLUMNS), f"{root}/out", f"{root}/ckpt")
-    return present(spark.read.parquet(f"{root}/out").drop("sink_batch"))
+    """The bounded deduplication by keyed state: files in no order, five per
+    micro-batch, all columns, corrections and copies outside the window."""
+    root, stream = _stream_landing(spark, sf_dir, files_per_batch=5)
+    schema = stream.schema
+    bounded.split_by_clock(stream, f"{root}/bronze", f"{root}/ckpt-split", "ingestion_timestamp", DISORDER_HOURS)
+    rows = bounded.on_time_stream(spark, f"{root}/bronze", schema, max_files=20)
+    bounded.run_keyed_dedup(rows, f"{root}/out", f"{root}/ckpt-dedup", KEY, ORDER_COLUMNS, "ingestion_timestamp",
+                            DEDUP_WINDOW_H, delay_hours=DISORDER_HOURS)
+    out = bounded.read_deduplicated(spark, f"{root}/out", schema, KEY, ORDER_COLUMNS, "ingestion_timestamp")
+    return present(out.select(*TCOLUMNS))
+
+
+DROP_DAYS = 5
+
+
+def stream_late_split(spark, sf_dir):
+    """Five dates land at a time, in order, a micro-batch each. Rows more than
+    a day behind the newest time of earlier micro-batches are late and go to
+    the side table: the accounts of each micro-batch and what was written."""
+    root = scratch_path(spark, "late")
+    t = _t(spark, sf_dir).withColumn("drop", F.floor(F.datediff("event_date", F.lit(START_DATE)) / DROP_DAYS).cast("int"))
+    schema = t.drop("drop").schema
+    drops = sorted(r[0] for r in t.select("drop").distinct().collect())
+    for d in drops:
+        t.where(F.col("drop") == d).drop("drop").write.parquet(f"{root}/landing/drop={d}")
+        bounded.split_by_clock(spark.readStream.schema(schema).parquet(f"{root}/landing/*"), f"{root}/bronze",
+                               f"{root}/ckpt", "ingestion_timestamp", 24)
+    rows = bounded.read_split(spark, f"{root}/bronze", schema).groupBy("sink_batch").agg(
+        F.count_if(~F.col(bounded.LATE)).alias("written_on_time"), F.count_if(F.col(bounded.LATE)).alias("written_late"))
+    return bounded.read_accounts(spark, f"{root}/bronze").join(rows, "sink_batch").select(
+        F.col("sink_batch").alias("micro_batch"), "n_rows", "n_late", "written_on_time", "written_late")
 
 
 def stream_flush_counts(spark, sf_dir):
@@ -543,20 +651,21 @@ def zorder_layout(spark, sf_dir):
 
 
 def stream_silver(spark, sf_dir):
-    """Streaming Silver with corrections: the landing tree is drained in
-    several micro-batches, each merged into its open partitions (the newest
-    three dates) with the ordered bounded dedup; rows of closed partitions
-    go to the side table. Both come back, marked by ``side``."""
+    """Streaming Silver with corrections. Five dates land at a time; a second
+    delivery brings some of their rows after the others. Every delivery is a
+    micro-batch, merged into the open partitions (the newest three dates that
+    have landed so far) with the ordered bounded dedup; rows of closed
+    partitions go to the side table. Both come back, marked by ``side``."""
     root = scratch_path(spark, "silver")
-    t = _t(spark, sf_dir)
-    write_landing(t, f"{root}/landing", ["event_date"], 2,
-                  ["event_id", "source_sequence_number", "ingestion_timestamp"])
-    schema = spark.read.parquet(f"{root}/landing").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 20).parquet(f"{root}/landing")
+    day = F.datediff("event_date", F.lit(START_DATE))
+    second = (F.col("event_id") % 300 == 5) & (F.col("event_type") == "match_end")
+    t = _t(spark, sf_dir).withColumn("drop", (F.floor(day / DROP_DAYS) * 2 + second.cast("int")).cast("int"))
+    schema = t.drop("drop").schema
     contract = _landing_contract(root)
-    newest = t.agg(F.max("event_date")).first()[0]
-    incremental.ingest_silver_stream(spark, stream, contract, f"{root}/silver", f"{root}/side",
-                                     f"{root}/ckpt", open_days=3, as_of=newest)
+    for d in sorted(r[0] for r in t.select("drop").distinct().collect()):
+        t.where(F.col("drop") == d).drop("drop").write.parquet(f"{root}/landing/drop={d}")
+        stream = spark.readStream.schema(schema).parquet(f"{root}/landing/*")
+        incremental.ingest_silver_stream(spark, stream, contract, f"{root}/silver", f"{root}/side", f"{root}/ckpt", open_days=3)
     silver = spark.read.parquet(f"{root}/silver").select(*TCOLUMNS, F.lit(False).alias("side"))
     side = spark.read.schema(silver.drop("side").schema).parquet(f"{root}/side").select(
         *TCOLUMNS, F.lit(True).alias("side"))
@@ -581,7 +690,7 @@ def refined_rejects(spark, sf_dir):
 
 
 def refined_silver(spark, sf_dir):
-    return present(spark.read.parquet(_refined(spark, sf_dir)["silver"]).select(*TCOLUMNS))
+    return present(dedup.read_bounded(spark, _refined(spark, sf_dir)["silver"]).select(*TCOLUMNS))
 
 
 def refined_daily_events(spark, sf_dir):
@@ -631,7 +740,56 @@ def schema_evolution(spark, sf_dir):
     return changes.join(filled, "field").select("field", "status", "n_values")
 
 
+def _drifted(spark, sf_dir):
+    """Three deliveries of a source whose columns drift: narrow numbers and no
+    stack trace, then as declared, then player ids as text, some of them no
+    numbers. Their schemas by delivery, and their rows, widened."""
+    root = scratch_path(spark, "drift")
+    t = _t(spark, sf_dir).select("event_id", "player_id", "source_sequence_number", "stack_trace", "event_date")
+    day = F.dayofmonth("event_date")
+    text = F.when(F.col("event_id") % 50 == 0, F.concat(F.lit("p-"), F.col("player_id"))).otherwise(F.col("player_id").cast("string"))
+    t.where(day <= 10).withColumns({"player_id": F.col("player_id").cast("int"),
+                                    "source_sequence_number": F.col("source_sequence_number").cast("int")}) \
+        .drop("stack_trace").write.parquet(f"{root}/1")
+    t.where((day > 10) & (day <= 20)).write.parquet(f"{root}/2")
+    t.where(day > 20).withColumn("player_id", text).write.parquet(f"{root}/3")
+    groups = [[f"{root}/{i}"] for i in (1, 2, 3)]
+    schemas = {str(i + 1): spark.read.parquet(*g).schema for i, g in enumerate(groups)}
+    return schemas, conformance.read_drifted(spark, groups)
+
+
+def type_drift(spark, sf_dir):
+    schemas, _ = _drifted(spark, sf_dir)
+    return spark.createDataFrame(conformance.type_drift(schemas), "field string, types string, widened string, status string")
+
+
+def drift_rescue(spark, sf_dir):
+    """The drifted rows by the contract's types; a value that doesn't fit is NULL
+    in its column and kept beside."""
+    _, rows = _drifted(spark, sf_dir)
+    out = conformance.conform_rescued(rows, contract_from_dict(player_events_contract_dict()))
+    return present(out.select("event_id", "player_id", "source_sequence_number", "stack_trace", "metadata", "event_date",
+                              F.col(conformance.RESCUED).alias("rescued")))
+
+
+def json_round_trip(spark, sf_dir):
+    """Texts with quotes, backslashes and line breaks through JSON text and back."""
+    d = _documents(spark, sf_dir)
+    odd = F.concat(F.lit('"\\\n\t'), F.col("text"))
+    built = json_object_text([("source", F.col("source")), ("text", odd)])
+    back = F.from_json(built, "source string, text string")
+    return d.select("doc_id", back["source"].alias("source"), F.sha2(back["text"], 256).alias("text_sha"))
+
+
 QUERIES.update({
+    "type_drift": type_drift,
+    "drift_rescue": drift_rescue,
+    "json_round_trip": json_round_trip,
+    "ingest_progress": ingest_progress,
+    "bronze_compacted": bronze_compacted,
+    "bronze_compacted_files": bronze_compacted_files,
+    "landing_gaps": landing_gaps,
+    "stream_late_split": stream_late_split,
     "refined_rejects": refined_rejects,
     "refined_silver": refined_silver,
     "refined_daily_events": refined_daily_events,
