@@ -11,10 +11,12 @@ URL with a third of all records lies over many partitions. In each partition a
 window carries the last response on; a summary of one row per partition and
 URL carries it across partitions. Only headers and digests move, no payload.
 
-Nulls: records without a URL, or revisits without an earlier response, have the
-status ``no_response``; without a validator on either side, ``no_validator``; with
-others, ``mismatch``. A null time sorts first. Records of the same URL and time
-go by id; repeated records are each resolved. Null headers count as none.
+Nulls: revisits without a URL, a time or an earlier response have the status
+``no_response``; without a validator on either side, ``no_validator``; with
+others, ``mismatch``. A response without a URL or a time is no one's earlier one.
+Records that are neither response nor revisit (requests, metadata, a null kind)
+come out as they are, with the status ``not_a_revisit``. Records of the same URL
+and time go by id; repeated records are each resolved. Null headers count as none.
 Header names are compared in lower case. Empty tables give no rows; columns
 other than ``COLUMNS`` are ignored.
 """
@@ -59,19 +61,22 @@ def _tag(headers: Column) -> Column:
 
 
 def resolve_revisits(records: DataFrame) -> DataFrame:
-    """One row per revisit: record_id, url_key, status, response_id, digest
-    and headers of the resolved record (those of the 304 if unresolved)."""
+    """One row per record that isn't a response: record_id, url_key, status,
+    response_id, digest and headers of the resolved record (its own if
+    unresolved)."""
     rows = records.select(
-        "record_id", canonical_url(F.col("url")).alias("key"), "time", (F.col("kind") == "response").alias("full"),
+        "record_id", canonical_url(F.col("url")).alias("key"), "time",
+        F.coalesce(F.col("kind") == "response", F.lit(False)).alias("full"),
+        F.coalesce(F.col("kind") == "revisit", F.lit(False)).alias("revisit"),
         F.col("digest"), _lower_keys(F.coalesce("headers", F.create_map().cast("map<string,string>"))).alias("headers"))
     order = [F.col("key").asc_nulls_first(), F.col("time").asc_nulls_first(), F.col("record_id").asc_nulls_first()]
     dealt = materialise(
         rows.repartitionByRange(*order).withColumn("part", F.spark_partition_id()), "captures")
-    response = F.when(F.col("full"), F.struct("record_id", "digest", "headers"))
+    response = F.when(F.col("full") & F.col("time").isNotNull(), F.struct("record_id", "digest", "headers"))
     last = materialise(
-        dealt.where("full and key is not null").groupBy("part", "key").agg(
+        dealt.where("full and key is not null and time is not null").groupBy("part", "key").agg(
             F.max_by(F.struct("record_id", "digest", "headers"),
-                     F.struct(F.col("time").isNotNull(), F.col("time"), F.col("record_id"))).alias("last")), "last-responses")
+                     F.struct("time", "record_id")).alias("last")), "last-responses")
     parts = dealt.where("key is not null").select("part", "key").distinct()
     across = Window.partitionBy("key").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     carried = parts.join(last, ["part", "key"], "left").select(
@@ -81,12 +86,12 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     seen = dealt.withColumn("before", F.last(response, ignorenulls=True).over(inside)).where("not full")
     both = seen.join(carried, (F.col("part") == F.col("p")) & (F.col("key") == F.col("k")), "left")
     r = F.coalesce("before", "carried")
-    both = both.withColumn("r", F.when(F.col("key").isNotNull(), r))
+    both = both.withColumn("r", F.when(F.col("key").isNotNull() & F.col("time").isNotNull() & F.col("revisit"), r))
     mine, theirs = F.col("headers"), F.col("r.headers")
     tags = mine["etag"].isNotNull() & theirs["etag"].isNotNull()
     times = mine["last-modified"].isNotNull() & theirs["last-modified"].isNotNull()
     same = F.when(tags, _tag(mine) == _tag(theirs)).when(times, mine["last-modified"] == theirs["last-modified"])
-    status = (F.when(F.col("r").isNull(), "no_response").when(same.isNull(), "no_validator")
+    status = (F.when(~F.col("revisit"), "not_a_revisit").when(F.col("r").isNull(), "no_response").when(same.isNull(), "no_validator")
               .when(same, "resolved").otherwise("mismatch"))
     update = F.map_filter(mine, lambda k, v: k.isin(*PERMITTED))
     merged = F.map_concat(F.map_filter(theirs, lambda k, v: ~F.map_contains_key(update, k)), update)
@@ -124,4 +129,4 @@ def captures_of_pages(pages: DataFrame) -> DataFrame:
                 ETag=F.when(kind < 7, F.concat(F.lit("W/"), etag)).when(kind == 8, F.lit('"other"')),
                 Last_Modified=F.when(kind == 7, modified),
                 Expires=F.when(kind < 3, (later + 1000).cast("string"))).alias("headers"))
-    return pages.where("page_id is not null").select(F.explode(F.array(response, revisit)).alias("c")).select("c.*")
+    return pages.select(F.explode(F.array(response, revisit)).alias("c")).select("c.*")

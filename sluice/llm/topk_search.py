@@ -13,8 +13,9 @@ itself, which gives a first k-th best score. It then visits only annuli, and in
 them only the sorted run of distances, that the triangle inequality
 |d(q,p) - d(p,x)| <= d(q,x) allows to reach that score. So the result is exact.
 
-Nulls: vectors that are null, empty, or hold null or non-finite components or
-components beyond ``LARGEST`` / 256, and rows without an id take no part.
+Nulls: vectors that are null, empty, or hold null or non-finite components, and
+rows without an id take no part; nor do vectors whose products might not fit a
+long (of d dimensions: with a component beyond 2^22 / sqrt(d), 524,288 for 64).
 Vectors meet only those of their own length. A query doesn't meet rows of its
 own id; an id given twice is one candidate, with its best score. Empty tables
 give no rows; other columns are ignored.
@@ -37,7 +38,7 @@ SCALE = 256
 PIVOTS = 32
 BLOCK = 1024
 QUERY_BATCH = 512
-LARGEST = 1 << 24
+LARGEST2 = 1 << 60      # of the dimension times a squared component
 NEVER = -(1 << 62)
 
 
@@ -56,7 +57,7 @@ def _integers(batches):
         ids = batch.column("vec_id").to_numpy(zero_copy_only=False)
         for dim, (rows, m) in valid_matrix(batch.column("embedding")).items():
             v = np.floor(SCALE * m)
-            fine = np.abs(v).max(axis=1) <= LARGEST
+            fine = np.abs(v).max(axis=1) <= np.sqrt(LARGEST2 / dim)
             v = v[fine].astype(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids[rows[fine]].astype(np.int64)), pa.array(np.full(len(v), dim, dtype=np.int32)),

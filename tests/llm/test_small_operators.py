@@ -203,10 +203,16 @@ def test_revisits(spark):
         (6, "revisit", "http://a.example/x?a=1&b=2", 5, None, {"etag": '"e"'}),
         (7, "revisit", "http://a.example/x?a=1&b=2", 50, None, None), (8, "revisit", None, 50, None, {"etag": '"e"'}),
         (9, "response", None, 1, "d9", {"etag": '"e"'}), (10, "revisit", "http://b.example/", None, None, {}),
-        (2, "revisit", "https://a.example/x?a=1&b=2", 20, None, {"etag": 'W/"e"', "Date": "20", "Content-Type": "no"})]
+        (2, "revisit", "https://a.example/x?a=1&b=2", 20, None, {"etag": 'W/"e"', "Date": "20", "Content-Type": "no"}),
+        (11, None, "http://a.example/x?a=1&b=2", 60, None, {"etag": '"g"'}),
+        (12, "request", "http://a.example/x?a=1&b=2", 60, None, {"Host": "a"}),
+        (13, "response", "http://c.example/", None, "d13", {"etag": '"c"'}),
+        (14, "revisit", "http://c.example/", 9, None, {"etag": '"c"'}), (None, "revisit", "http://a.example/x?a=1&b=2", 60, None, None)]
     got = revisits.resolve_revisits(spark.createDataFrame(rows, schema).withColumn("key", F.lit("clash")))
     by = {r.record_id: r for r in got.collect()}
-    assert got.count() == 8
+    assert got.count() == 12
+    assert by[11].status == by[12].status == "not_a_revisit" and by[11].response_id is None
+    assert by[12].headers == {"host": "a"} and by[14].status == "no_response" and by[None].status == "no_validator"
     assert by[2].status == "resolved" and by[2].response_id == 1 and by[2].digest == "d1"
     assert by[2].headers == {"etag": 'W/"e"', "date": "20", "content-type": "t", "vary": "v"}
     assert by[4].status == "mismatch" and by[4].response_id == 3 and by[4].headers == {"etag": '"e"'}
@@ -216,6 +222,21 @@ def test_revisits(spark):
     assert revisits.resolve_revisits(spark.createDataFrame([], schema)).count() == 0
 
 
+def test_pages_without_an_id_stay(spark):
+    from conftest import duck
+    from sluice.llm.queries import ORACLE
+
+    pages = spark.createDataFrame([(1, "http://a.example/x", "h"), (None, "http://a.example/x", "h"), (None, None, None),
+                                   (4, "http://a.example/x", None)], "page_id long, url string, html string")
+    got = revisits.resolve_revisits(revisits.captures_of_pages(pages)).collect()
+    con = duck("/root/testdata/sf0.001")
+    con.register("frame", pages.toPandas().astype({"page_id": "Int64"}))
+    want = con.sql("WITH pages AS (SELECT page_id::BIGINT AS page_id, url, html FROM frame), "
+                   + ORACLE["op1_warc_revisits"].strip()[len("WITH "):]).fetchall()
+    assert sorted([(r.record_id, r.url_key, r.status, r.response_id, r.digest) for r in got], key=repr) == \
+        sorted([w[:5] for w in want], key=repr) and len(got) == 4
+
+
 def test_a_hot_url_lies_over_many_partitions(spark):
     n = 4000
     rows = spark.range(n).select(

@@ -80,3 +80,15 @@ def test_top_k_equals_brute_force(spark):
         got = topk_search.top_k(df, block=block, pivots=6)
         assert sorted(map(tuple, got.collect())) == sorted(want)
     assert topk_search.top_k(df.limit(0)).count() == 0
+
+
+def test_top_k_of_large_components(spark):
+    rows = [(i, [float(np.float32(i * 1000.0)), 70000.0 + i, -3.0], 1) for i in range(0, 120, 5)]
+    got = topk_search.top_k(spark.createDataFrame(rows, SCHEMA), block=4, pivots=3).collect()
+    ints = [(i, [math.floor(256 * x) for x in v]) for i, v, _ in rows]
+    want = []
+    for q, v in ints:
+        if q % 50 == 0:
+            best = sorted(((sum(a * b for a, b in zip(v, x)), -i) for i, x in ints if i != q), reverse=True)[:5]
+            want += [(q, n + 1, -i, s) for n, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, got)) == sorted(want)
