@@ -1,10 +1,10 @@
 """Language-model scores from an n-gram trie with Elias-Fano pointers.
 
-Level 1 holds the words (sorted 64-bit hashes, counts); a level k holds the
-n-grams of k words seen at least ``LEAST`` times, sorted by (parent, word): the
-word ids of each parent side by side, the smoothed probability quantised to 16
-bits, and monotone pointers from a parent to its first child in Elias-Fano
-form. A look-up takes the parent's range from two pointers and searches the
+Level 1 holds the words (sorted 64-bit hashes, counts); level 2 all pairs of
+words, level 3 the triples seen at least twice (``LEAST``), sorted by (parent,
+word): the word ids of each parent side by side, the smoothed probability
+quantised to 16 bits, and monotone pointers from a parent to its first child in
+Elias-Fano form. A look-up takes the parent's range from two pointers and searches the
 word in it. Levels are cut into shards by key; a shard is a set of files in the
 shared checkpoint folder, which workers memory-map: nothing of the model
 passes through the driver but each shard's size and borders.
@@ -18,10 +18,10 @@ over kept hw, rest(h) being what the kept ones leave; p(w) is add-one over the
 vocabulary and one unknown word. Codes are rounded down, so no mass is gained.
 
 Counting moves, per task and shard, one sorted run of distinct keys with their
-counts. Shard borders are quantiles of the keys of a bounded sample of
-documents, on (parent, word), so a frequent word is cut into several shards;
-they only balance the work. Trigrams are counted where their first two words
-are kept.
+counts. Shard borders are quantiles of the keys of a sample of about
+``SAMPLE_DOCS`` documents, on (parent, word), so a frequent word is cut into several shards;
+they only balance the work. N-grams that have to be seen twice are counted where
+their parent was seen twice: the others can't be.
 
 Nulls: a null text is empty (one token, the end); a null id counts as the empty
 text in the split. Without training rows the scores are those of the one
@@ -44,7 +44,8 @@ from sluice.llm.common import crc_of_id, shared_folder, ship
 from sluice.llm.wordhash import grouped, word_hashes
 
 ORDER = 3
-LEAST = 2
+LEAST = {2: 1}       # times that n-grams of so many words are seen to be kept; others ``LEAST_LONG``
+LEAST_LONG = 2
 STEP = 4000.0        # codes per factor of ten
 END = np.uint64(1)   # the hash that stands for the end of a text
 FLUSH = 2_000_000    # keys that a counting task holds
@@ -61,25 +62,45 @@ def encode(p: np.ndarray) -> np.ndarray:
 _DECODED = np.append(10 ** (-np.arange(65535) / STEP), 0.0)
 
 
+def pack_bits(values: np.ndarray, bits: int) -> np.ndarray:
+    """Numbers of ``bits`` bits side by side, as bytes, with eight more to read
+    whole words from any place."""
+    out = [np.zeros(0, dtype=np.uint8)]
+    for a in range(0, len(values), 1 << 16):                  # 2^16 numbers end at a whole byte
+        some = values[a:a + (1 << 16), None].astype(np.uint64) >> np.arange(bits, dtype=np.uint64)
+        out.append(np.packbits((some & np.uint64(1)).astype(np.uint8), axis=None, bitorder="little"))
+    return np.concatenate([*out, np.zeros(8, dtype=np.uint8)])
+
+
+def unpack_bits(data: np.ndarray, i: np.ndarray, bits: int) -> np.ndarray:
+    """The i-th numbers of ``pack_bits``."""
+    at = i * bits
+    word = np.zeros(len(i), dtype=np.uint64)
+    for b in range((bits + 14) // 8):
+        word |= data[at // 8 + b].astype(np.uint64) << np.uint64(8 * b)
+    return ((word >> (at % 8).astype(np.uint64)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+
 class EliasFano:
-    """A monotone sequence below ``universe``: the low bits of each number
-    (whole bytes), the high ones in unary, and the ones before each word."""
+    """A monotone sequence below ``universe``: the low bits of each number, as
+    many as the logarithm of universe / count, the high ones in unary, and the
+    ones before each word. About two bits more than the low ones per number."""
 
     @staticmethod
     def build(values: np.ndarray, universe: int) -> dict[str, np.ndarray]:
         n = max(1, len(values))
-        low = 8 * (max(0, int(universe // n).bit_length() - 1) // 8)
-        lows = np.ascontiguousarray(values.astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :low // 8]
-        at = (values.astype(np.uint64) >> np.uint64(low)).astype(np.int64) + np.arange(len(values))
+        low = min(48, max(0, int(universe // n).bit_length() - 1))
+        values = values.astype(np.uint64)
+        at = (values >> np.uint64(low)).astype(np.int64) + np.arange(len(values))
         words = np.zeros((int(at[-1]) if len(at) else 0) // 64 + 1, dtype=np.uint64)
         np.bitwise_or.at(words, at // 64, np.uint64(1) << (at % 64).astype(np.uint64))
         before = np.cumsum(np.bitwise_count(words).astype(np.int64)) - np.bitwise_count(words)
-        return {"low": np.ascontiguousarray(lows), "bits": words, "before": before.astype(np.uint32),
+        return {"low": pack_bits(values, low), "bits": words, "before": before.astype(np.uint32),
                 "shift": np.array([low], dtype=np.int64)}
 
     def __init__(self, parts: dict[str, np.ndarray], n: int):
         self.bits, self.before, self.shift = parts["bits"], parts["before"], int(parts["shift"][0])
-        self.low = parts["low"].reshape(n, -1) if self.shift else None
+        self.low = parts["low"]
 
     def get(self, i: np.ndarray) -> np.ndarray:
         """The i-th numbers: select of the i-th one, vectorised."""
@@ -94,10 +115,7 @@ class EliasFano:
             left = np.where(up, left - ones, left)
             place += np.where(up, np.uint64(half), np.uint64(0))
         out = (word * 64 + place.astype(np.int64) - i) << self.shift
-        if self.shift:
-            for b in range(self.shift // 8):
-                out += self.low[i, b].astype(np.int64) << (8 * b)
-        return out
+        return out + unpack_bits(self.low, i, self.shift) if self.shift else out
 
 
 def _save(folder: str, name: str, parts: dict[str, np.ndarray]) -> None:
@@ -316,9 +334,10 @@ def _count_words(batches, shards: int):
                         else np.zeros(len(k), dtype=np.int64))
 
 
-def _contexts(texts: list[bytes], words: Words, levels: list[Level], begin: int, upto: int):
+def _contexts(texts: list[bytes], words: Words, levels: list[Level], begin: int, upto: int, least: int = 1):
     """ids, counts, tokens per text, and for each level the parent of each
-    token (-1: not kept) and, below ``upto``, node and probability."""
+    token (-1: not kept) and, below ``upto``, node and probability; with
+    ``least``, the last level's nodes are those seen so often."""
     hashes, sizes = _tokens(texts)
     ids, counts = words.find(hashes)
     first = np.cumsum(sizes) - sizes
@@ -329,7 +348,10 @@ def _contexts(texts: list[bytes], words: Words, levels: list[Level], begin: int,
     for k, level in enumerate(levels[:upto]):
         use = np.flatnonzero((parent >= 0) & (ids >= 0))
         node, p = np.full(len(ids), -1, dtype=np.int64), np.zeros(len(ids))
-        node[use], p[use] = level.find(parent[use], ids[use])
+        often = least > 1 and k == upto - 1
+        node[use], p[use] = level.find(parent[use], ids[use], probability=not often)
+        if often:
+            node[p < least] = -1
         out.append((parent, node, p))
         parent = np.empty_like(node)
         parent[1:] = node[:-1]
@@ -337,12 +359,22 @@ def _contexts(texts: list[bytes], words: Words, levels: list[Level], begin: int,
     return ids, counts, sizes, out, parent
 
 
+def least_of(k: int) -> int:
+    return LEAST.get(k, LEAST_LONG)
+
+
+def _parents(texts: list[bytes], words: Words, levels: list[Level], begin: int):
+    """ids and parents of the next level's n-grams."""
+    ids, _, _, _, parent = _contexts(texts, words, levels, begin, len(levels), least_of(len(levels) + 2))
+    return ids, parent
+
+
 def _count_grams(batches, model: Model, borders: np.ndarray):
     words, levels = opened(model)
 
     def pieces():
         for _, _, _, texts in _texts(batches, 0):
-            ids, _, _, _, parent = _contexts(texts, words, levels, model.begin, len(levels))
+            ids, parent = _parents(texts, words, levels, model.begin)
             use = (parent >= 0) & (ids >= 0)
             k, c = np.unique((parent[use] * model.width + ids[use]).astype(np.uint64), return_counts=True)
             yield k, c.astype(np.uint32)
@@ -357,7 +389,7 @@ def _sample_grams(batches, model: Model):
     words, levels = opened(model)
     for batch, _, _, texts in _texts(batches, 0):
         for t in texts:
-            ids, _, _, _, parent = _contexts([t], words, levels, model.begin, len(levels))
+            ids, parent = _parents([t], words, levels, model.begin)
             use = (parent >= 0) & (ids >= 0)
             keys = (parent[use] * model.width + ids[use])
             keys = keys[::max(1, len(keys) // SAMPLE_KEYS)]
@@ -388,7 +420,7 @@ def _write_grams(rows, folder: str, k: int, width: int):
     shard = int(rows["shard"].iat[0])
     keys, counts = _merged(rows)
     once, twice = int((counts == 1).sum()), int((counts == 2).sum())
-    keep = counts >= LEAST
+    keep = counts >= least_of(k)
     keys, counts = keys[keep].astype(np.int64), counts[keep]
     about = {"shard": shard, "n": len(keys), "once": once, "twice": twice, "first": -1, "first_parent": -1,
              "last_parent": -1}
@@ -396,7 +428,8 @@ def _write_grams(rows, folder: str, k: int, width: int):
         parent, word = np.divmod(keys, width)
         a, b = int(parent[0]), int(parent[-1])
         starts = np.searchsorted(parent, np.arange(a, b + 2))
-        _save(folder, f"{k}-{shard}", {"word": word.astype(np.uint32), "count": counts}
+        small = np.uint32 if counts.max() < 1 << 32 else np.int64
+        _save(folder, f"{k}-{shard}", {"word": word.astype(np.uint32), "count": counts.astype(small)}
               | EliasFano.build(starts, len(keys) + 1))
         about |= {"first": int(keys[0]), "first_parent": a, "last_parent": b}
     return pd.DataFrame([about])
@@ -453,8 +486,7 @@ def train(texts: DataFrame, order: int = ORDER) -> Model:
     for k in range(2, order + 1):
         if not model.tokens:
             break
-        part = max(1, model.docs // SAMPLE_DOCS)
-        some = texts.where(F.pmod(F.xxhash64("text"), F.lit(part)) == 0).limit(4 * SAMPLE_DOCS)
+        some = texts.sample(fraction=min(1.0, SAMPLE_DOCS / max(1, model.docs)), seed=k)     # sets borders only
         keys = some.mapInArrow(partial(_sample_grams, model=model), "key bigint").toPandas()["key"].to_numpy()
         borders = np.unique(np.quantile(keys, np.arange(1, shards) / shards, method="lower")).astype(np.uint64) \
             if len(keys) else np.empty(0, dtype=np.uint64)

@@ -105,8 +105,8 @@ def brute_lm(rows):
     c1 = Counter(w for t in train for w in t)
     n, v = sum(c1.values()), len(c1)
     c2 = Counter(b for t in train for b in zip(["<s>", *t], t))
-    k2 = {g: c for g, c in c2.items() if c >= 2}
-    c3 = Counter(b for t in train for b in zip(["<s>", *t], t, t[1:]) if b[:2] in k2)
+    k2 = c2
+    c3 = Counter(b for t in train for b in zip(["<s>", *t], t, t[1:]) if c2[b[:2]] >= 2)
     k3 = {g: c for g, c in c3.items() if c >= 2}
 
     def discount(counts):
@@ -164,9 +164,14 @@ def test_trie_without_rows_or_training(spark):
 
 
 @pytest.mark.parametrize("values, universe", [([0], 1), ([0, 0, 5, 5, 9], 10), (sorted(random.Random(1).choices(range(1 << 40), k=999)), 1 << 40),
-                                               (list(range(5000)), 5000)])
+                                               (list(range(5000)), 5000),
+                                               *[(sorted(random.Random(r).choices(range(70000 * r), k=70000)), 70000 * r)
+                                                 for r in (2, 100, 200, 300)]])
 def test_elias_fano(values, universe):
     parts = trie_lm.EliasFano.build(np.array(values), universe)
+    if len(values) > 5000:       # low bits and two more, and a word's count
+        bits = 8 * sum(parts[k].nbytes for k in ("low", "bits", "before")) / len(values)
+        assert bits < math.log2(universe / len(values)) + 4
     assert trie_lm.EliasFano(parts, len(values)).get(np.arange(len(values))).tolist() == values
 
 
