@@ -12,37 +12,42 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice.session import scratch_path
+
 STRATEGIES = ("auto", "broadcast", "merge", "shuffle_hash")
 
 
-def fits_rows(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. Stops reading after
-    ``max_rows + 1`` rows, so the check itself is bounded."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def written_bytes(df: DataFrame) -> int:
+    """Bytes of the files that ``df`` reads."""
+    files = df.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size")).distinct()
+    return files.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
 
 
 def join_small_checked(big: DataFrame, small: DataFrame, on, how: str = "inner",
-                       max_broadcast_rows: int = 1_000_000) -> DataFrame:
-    """Broadcast ``small`` only after proving its row count is bounded;
+                       max_broadcast_bytes: int = 64 << 20) -> DataFrame:
+    """Broadcast ``small`` only if its bytes, once written, are few enough;
     otherwise leave the choice to Catalyst/AQE (sort-merge, with runtime
-    broadcast conversion and skew splitting)."""
-    if fits_rows(small, max_broadcast_rows):
-        return big.join(F.broadcast(small), on, how)
-    return big.join(small, on, how)
+    broadcast conversion and skew splitting). It is computed once: the join
+    reads what was measured."""
+    spark = small.sparkSession
+    path = scratch_path(spark, "small-side")
+    small.write.parquet(path)
+    small = spark.read.schema(small.schema).parquet(path)
+    return big.join(F.broadcast(small) if written_bytes(small) <= max_broadcast_bytes else small, on, how)
 
 
 def join_sources(left: DataFrame, right: DataFrame, on, how: str = "inner",
-                 strategy: str = "auto", max_broadcast_rows: int = 1_000_000) -> DataFrame:
+                 strategy: str = "auto", max_broadcast_bytes: int = 64 << 20) -> DataFrame:
     """Join two sources with an explicit strategy.
 
     * ``auto``: Catalyst picks from statistics; AQE re-plans at runtime.
-    * ``broadcast``: broadcast ``right`` if its row count is within
-      ``max_broadcast_rows``; beyond that fall back to sort-merge.
+    * ``broadcast``: broadcast ``right`` if it has at most
+      ``max_broadcast_bytes``; beyond that fall back to sort-merge.
     * ``merge`` / ``shuffle_hash``: force that shuffle join."""
     if strategy not in STRATEGIES:
         raise ValueError(f"unknown join strategy {strategy!r}; expected one of {STRATEGIES}")
     if strategy == "broadcast":
-        return join_small_checked(left, right, on, how, max_broadcast_rows)
+        return join_small_checked(left, right, on, how, max_broadcast_bytes)
     if strategy in ("merge", "shuffle_hash"):
         return left.join(right.hint(strategy), on, how)
     return left.join(right, on, how)

@@ -113,6 +113,11 @@ QUALITY_REPORT = with_t(" UNION ALL ".join([
     _rule_sql("duplicate_rate", "soft",
               "SELECT (count(*) - count(DISTINCT event_id))::DOUBLE / count(*) AS o FROM telemetry",
               "abs(CAST(o AS DOUBLE) - 0.01::DOUBLE) <= 0.005::DOUBLE", "WARN", "0.005 or less away from 0.01"),
+    _rule_sql("producers", "hard", "SELECT count(DISTINCT producer_id) AS o FROM telemetry",
+              "CAST(o AS DOUBLE) >= 3.0", "FAIL", "has to be ge 3"),
+    _rule_sql("crash_rate", "hard",
+              "SELECT count(*) FILTER (WHERE event_type = 'crash')::DOUBLE / count(*) AS o FROM telemetry",
+              "CAST(o AS DOUBLE) <= 0.02::DOUBLE", "FAIL", "has to be le 0.02"),
 ]))
 
 _Q_IN = "q AS (SELECT * REPLACE (nullif(player_id, 5) AS player_id) FROM telemetry)"
@@ -336,7 +341,7 @@ ORACLE.update({
     "bronze_incremental": _BRONZE,
     "bronze_second_source": (f"SELECT * REPLACE ({TS('o_orderdate')} AS o_orderdate), 'orders' AS _source_name "
                              "FROM orders"),
-    "landing_file_counts": with_t(f"SELECT {D('event_date')} AS event_date, n AS n_files FROM ({_CELLS})"),
+    "landing_file_counts": with_t(f"SELECT {D('event_date')} AS event_date, n AS n_files, n AS n_small_files FROM ({_CELLS})"),
     "compact": with_t(f"SELECT {D('event_date')} AS event_date, n AS files_before, 1::BIGINT AS files_after, "
                       f"true AS compacted FROM ({_CELLS})"),
     "stream_dedup": ORACLE["dedup_bounded"],
@@ -404,8 +409,9 @@ ORACLE.update({
         "event_date NOT IN (SELECT event_date FROM diff) AS is_equal "
         "FROM (SELECT DISTINCT event_date FROM telemetry) x", _VERSION_B),
     "ingest_progress": with_t(
-        "SELECT 1 AS run, n - held AS rows_read, n - held AS rows_added FROM c UNION ALL SELECT 2, 0, 0 FROM c "
-        "UNION ALL SELECT 3, held, held FROM c UNION ALL SELECT 4, n, 0 FROM c",
+        "SELECT 1 AS run, n - held AS rows_read, n - held AS rows_added, n - held AS rows_stamped FROM c "
+        "UNION ALL SELECT 2, 0, 0, 0 FROM c UNION ALL SELECT 3, held, held, held FROM c "
+        "UNION ALL SELECT 4, n, 0, 0 FROM c",
         "c AS (SELECT count(*) AS n, count(*) FILTER (WHERE event_date = (SELECT max(event_date) FROM telemetry)) "
         "AS held FROM telemetry)"),
     "bronze_compacted": _BRONZE,
@@ -430,3 +436,20 @@ ORACLE.update({
         "FROM (SELECT *, day(event_date) > 20 AND event_id % 50 = 0 AS unfit FROM telemetry)"),
     "json_round_trip": "SELECT doc_id, source, sha256('\"\\' || chr(10) || chr(9) || text) AS text_sha FROM documents",
 })
+
+ORACLE.update({
+    "order_cents": "SELECT o_orderkey, t // 10 + CASE WHEN t % 10 > 5 OR t % 10 = 5 AND t // 10 % 2 = 1 THEN 1 ELSE 0 END "
+                   "AS cents FROM (SELECT o_orderkey, round(o_totalprice * 100)::BIGINT * 15 AS t FROM orders)",
+    "quality_text": QUALITY_REPORT.replace("WITH base", "WITH base", 1).replace(
+        "SELECT 'schema_drift_before_boundary' AS name",
+        "SELECT rpad(flag, 5, ' ') || ' ' || rpad(name, 28, ' ') || ' observed=' || printf('%.4f', observed) || ' / ' || detail "
+        "AS line FROM (SELECT 'schema_drift_before_boundary' AS name", 1) + ")",
+    "ingest_every_source": with_t(
+        "SELECT 'orders' AS source, count(*) AS n_rows, count(DISTINCT o_orderpriority) AS n_partitions, 'PASS' AS small_files "
+        "FROM orders UNION ALL SELECT 'player_events', count(*), count(DISTINCT event_date), 'PASS' FROM telemetry"),
+    "table_by_name": "SELECT o_orderpriority, count(*) AS n_rows, sum(o_orderkey)::BIGINT AS key_sum FROM orders GROUP BY 1",
+    "binary_blob_scan": (
+        "SELECT (doc_id % 64)::INT AS shelf, sum(strlen(text) + 1)::BIGINT AS n_bytes, "
+        "sha256(string_agg(text || chr(10), '' ORDER BY doc_id)) AS sha256 FROM documents WHERE text IS NOT NULL GROUP BY 1"),
+    "optimized_bronze": _BRONZE,
+})

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.codes import DEVICES, EVENT_TYPES, NETWORK_TYPES, decode
+from sluice.functions.compare import round_cents
 from sluice.functions.json import json_key, json_object_text
 from sluice.functions.time import floor_minutes, iso_timestamp_sql, minute_stamp, ntz_to_instant
 from sluice.operators import audit, bronze_compaction, conformance, dedup, gold, ingest, maintain, quality, skew
@@ -143,7 +144,7 @@ def _game_dimension(t: DataFrame) -> DataFrame:
 def salted_join(spark, sf_dir):
     t = _t(spark, sf_dir)
     big = t.select("event_id", "source_sequence_number", "ingestion_timestamp", "game_id")
-    hot = skew.hot_keys(t, ["game_id"], 0.25)          # at most 4 keys by construction
+    hot = skew.frequent_keys(t, ["game_id"], 0.25).select("game_id")       # at most 4 keys by construction
     out = skew.salted_join(big, _game_dimension(t), ["game_id"], N_SALTS,
                            salt_by=["event_id", "source_sequence_number", "ingestion_timestamp"],
                            hot=hot)
@@ -486,12 +487,16 @@ def bronze_incremental(spark, sf_dir):
 
 def ingest_progress(spark, sf_dir):
     """Rows that each run read and added, from the progress that its
-    micro-batches left; a run without one has read nothing."""
+    micro-batches left (a run without one has read nothing), and the rows of
+    the table that bear its id."""
     contract, runs = _incremental_runs(spark, sf_dir)
     numbered = spark.createDataFrame([(i + 1, r.run_id) for i, r in enumerate(runs)], "run int, run_id string")
+    stamped = incremental.read_bronze(spark, contract.bronze_path).groupBy(F.col("_batch_id").alias("run_id")).agg(
+        F.count(F.lit(1)).alias("rows_stamped"))
     progress = incremental.read_progress(spark, contract.bronze_path).groupBy("run_id").agg(
         F.sum("rows_read").alias("rows_read"), F.sum("rows_added").alias("rows_added"))
-    return numbered.join(progress, "run_id", "left").na.fill(0).select("run", "rows_read", "rows_added")
+    return numbered.join(progress, "run_id", "left").join(stamped, "run_id", "left").na.fill(0).select(
+        "run", "rows_read", "rows_added", "rows_stamped")
 
 
 def bronze_compacted(spark, sf_dir):
@@ -554,9 +559,10 @@ def landing_gaps(spark, sf_dir):
 
 
 def landing_file_counts(spark, sf_dir):
-    """Files per date partition of the producer's flush-split landing tree."""
+    """Files and small files per date partition of the producer's flush-split
+    landing tree."""
     inv = scan.file_inventory(spark, _flush_landing(spark, sf_dir), "event_date")
-    return inv.groupBy("event_date").agg(F.count(F.lit(1)).alias("n_files"))
+    return audit.file_stats(inv, ["event_date"]).select("event_date", "n_files", "n_small_files")
 
 
 def small_files_audit(spark, sf_dir):
@@ -740,6 +746,81 @@ def schema_evolution(spark, sf_dir):
     return changes.join(filled, "field").select("field", "status", "n_values")
 
 
+def order_cents(spark, sf_dir):
+    """Three halves of an order's price, rounded to cents half to even."""
+    halves = (F.round(F.col("o_totalprice") * 100).cast("bigint") * 15).cast("decimal(20,3)") / F.lit(1000).cast("decimal(4,0)")
+    exact = halves.cast("decimal(20,3)")
+    return _table(spark, sf_dir, "orders").select(
+        "o_orderkey", (round_cents(exact) * 100).cast("bigint").alias("cents"))
+
+
+def quality_text(spark, sf_dir):
+    """The report that a contract run prints; a failed hard rule would raise."""
+    rows = quality.enforce(quality_report(spark, sf_dir))
+    return spark.createDataFrame([(line,) for line in quality.format_report(rows).splitlines()], "line string")
+
+
+def _orders_contract(root: str, folder: str = "orders"):
+    return contract_from_dict({
+        "name": "orders", "format": "parquet", "landing_path": folder, "bronze_path": f"{root}/bronze/orders",
+        "checkpoint_path": f"{root}/checkpoints/orders", "partition_by": ["o_orderpriority"]})
+
+
+def ingest_every_source(spark, sf_dir):
+    """Rows that an ingest of all contracts wrote, and the files of the tables:
+    none has more than a few per partition, by a rule over the file list."""
+    root = scratch_path(spark, "all")
+    write_landing(_table(spark, sf_dir, "orders"), f"{root}/landing/orders", ["o_orderpriority"], 2, ["o_orderkey"])
+    write_landing(_t(spark, sf_dir), f"{root}/landing/player_events", ["event_date"], 2, ["event_id"])
+    parts = {"orders": "o_orderpriority", "player_events": "event_date"}
+    done = ingest.ingest_all(spark, [_landing_contract(root), _orders_contract(root)], f"{root}/landing")
+    rule = contract_from_dict({
+        "name": "files", "format": "parquet", "landing_path": "x", "bronze_path": "x", "checkpoint_path": "x",
+        "quality_rules": [{"name": "small_files", "severity": "hard", "assert": {"op": "le", "value": 4},
+                           "query": "SELECT max(n) AS observed FROM (SELECT count(*) AS n FROM bronze_files GROUP BY part)"}]})
+    rows = []
+    for r in done:
+        files = scan.file_inventory(spark, r.path, parts[r.source]).withColumnRenamed(parts[r.source], "part")
+        report = quality.enforce(quality.evaluate_rules(spark.read.parquet(r.path), list(rule.aggregate_rules),
+                                                        extra_views={"bronze_files": files}))
+        rows.append((r.source, r.rows, files.select("part").distinct().count(), report[0]["flag"]))
+    return spark.createDataFrame(rows, "source string, n_rows bigint, n_partitions bigint, small_files string")
+
+
+def table_by_name(spark, sf_dir):
+    """Bronze of the orders, registered in the catalog and read by its name."""
+    root = scratch_path(spark, "named")
+    write_landing(_table(spark, sf_dir, "orders"), f"{root}/landing/orders", ["o_orderpriority"], 2, ["o_orderkey"])
+    done = ingest.ingest_full_refresh(spark, _orders_contract(root), landing_root=f"{root}/landing")
+    name = "orders_" + root.rsplit("-", 1)[-1]
+    spark.catalog.createTable(name, done.path, "parquet")
+    spark.catalog.recoverPartitions(name)
+    by_name = scan.register_view(scan.read_table(spark, name), f"{name}_view")
+    return by_name.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("o_orderkey").alias("key_sum"))
+
+
+def binary_blob_scan(spark, sf_dir):
+    """Catalog of blob files: texts of 64 shelves, a file each."""
+    root = scratch_path(spark, "blobs")
+    shelf = F.pmod(F.col("doc_id"), F.lit(64)).cast("int")
+    texts = _documents(spark, sf_dir).where("text is not null").select("doc_id", "text", shelf.alias("shelf"))
+    (texts.repartition(64, "shelf").sortWithinPartitions("shelf", "doc_id").drop("doc_id")
+     .write.partitionBy("shelf").text(root))
+    return scan.binary_blobs(spark, root, "*.txt").select(
+        F.regexp_extract("path", "shelf=([0-9]+)", 1).cast("int").alias("shelf"), "n_bytes", "sha256")
+
+
+def optimized_bronze(spark, sf_dir):
+    """Bronze after its contract's Z-order: the same rows, clustered."""
+    root = scratch_path(spark, "zorder-bronze")
+    write_landing(_t(spark, sf_dir), f"{root}/landing/player_events", ["event_date"], 2, ["event_id"])
+    raw = {**player_events_contract_dict(root), "zorder_by": ["player_id", "ingestion_timestamp"]}
+    contract = contract_from_dict(raw)
+    ingest.ingest_full_refresh(spark, contract, landing_root=f"{root}/landing")
+    maintain.optimize_source(spark, contract, f"{root}/optimized", bits=4)
+    return _bronze_view(spark.read.parquet(f"{root}/optimized"))
+
+
 def _drifted(spark, sf_dir):
     """Three deliveries of a source whose columns drift: narrow numbers and no
     stack trace, then as declared, then player ids as text, some of them no
@@ -782,6 +863,12 @@ def json_round_trip(spark, sf_dir):
 
 
 QUERIES.update({
+    "order_cents": order_cents,
+    "quality_text": quality_text,
+    "ingest_every_source": ingest_every_source,
+    "table_by_name": table_by_name,
+    "binary_blob_scan": binary_blob_scan,
+    "optimized_bronze": optimized_bronze,
     "type_drift": type_drift,
     "drift_rescue": drift_rescue,
     "json_round_trip": json_round_trip,

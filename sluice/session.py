@@ -66,14 +66,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def sizing_conf(input_bytes: int, partition_bytes: int = 256 << 20,
-                scan_split_bytes: int = 512 << 20, max_partitions: int = 500_000) -> dict[str, str]:
+                scan_split_bytes: int = 512 << 20) -> dict[str, str]:
     """SQL settings sized to the input so every shuffle partition and scan
     split fits comfortably in executor memory: the initial shuffle partition
     count gives ~``partition_bytes`` per partition at full input size (AQE
     coalesces down when stages are smaller), scans split at
     ``scan_split_bytes``, and AQE targets ``partition_bytes`` when it
     coalesces, splits skew or rebalances writes."""
-    parts = max(8, min(max_partitions, -(-int(input_bytes) // int(partition_bytes))))
+    parts = max(8, -(-int(input_bytes) // int(partition_bytes)))
     return {
         "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),

@@ -137,5 +137,10 @@ def player_events_contract_dict(root: str = "") -> dict:
             {"name": "duplicate_rate", "severity": "soft",
              "per": "event_id", "metric": "(sum({n}) - count({n})) / sum({n})",
              "expected": 0.01, "tolerance": 0.005},
+            {"name": "producers", "severity": "hard", "per": "producer_id", "metric": "count({n})",
+             "assert": {"op": "ge", "value": 3}},
+            {"name": "crash_rate", "severity": "hard",
+             "metric": "count_if(event_type = 'crash') / nullif(count(*), 0)",
+             "assert": {"op": "le", "value": 0.02}},
         ],
     }

@@ -9,9 +9,10 @@ from conftest import SF001
 from sluice.plans.registry import QUERIES
 
 # Queries that write files while being built are covered by their own tests.
-WRITES = {"bronze_full_refresh", "bronze_incremental", "bronze_second_source",
-          "landing_file_counts", "small_files_audit", "compact", "stream_dedup",
-          "stream_flush_counts", "stream_silver", "zorder_layout", "producer_sequence"}
+WRITES = {"bronze_full_refresh", "bronze_incremental", "bronze_second_source", "bronze_compacted",
+          "bronze_compacted_files", "ingest_progress", "ingest_every_source", "table_by_name", "optimized_bronze",
+          "binary_blob_scan", "landing_file_counts", "landing_gaps", "small_files_audit", "compact", "stream_dedup",
+          "stream_flush_counts", "stream_late_split", "stream_silver", "zorder_layout", "producer_sequence"}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
              "FlatMapGroupsInPandas", "MapInPandas"]
 

@@ -30,7 +30,7 @@ def test_metric_rules_share_a_scan(spark):
     t = load_telemetry(spark, SF001)
     rules = list(contract_from_dict(player_events_contract_dict()).aggregate_rules)
     report = quality.evaluate_rules(t, rules)
-    assert len(rules) == 4 and scans(report) == 1
+    assert len(rules) == 6 and scans(report) == 1
     alone = contract([{"name": "n", "severity": "hard", "query": "SELECT COUNT(*) AS observed FROM bronze",
                        "assert": {"op": "ge", "value": 1}}]).aggregate_rules
     both = quality.evaluate_rules(t, [*rules, *alone])

@@ -38,9 +38,9 @@ def test_hot_keys_bounded(t):
 
 def test_join_strategies(spark, t):
     dim = t.groupBy("game_id").agg(F.count(F.lit(1)).alias("n"))
-    b = skew.join_sources(t, dim, ["game_id"], strategy="broadcast", max_broadcast_rows=10)
+    b = skew.join_sources(t, dim, ["game_id"], strategy="broadcast")
     assert "BroadcastHashJoin" in b._jdf.queryExecution().executedPlan().toString()
-    fallback = skew.join_sources(t, dim, ["game_id"], strategy="broadcast", max_broadcast_rows=2)
+    fallback = skew.join_sources(t, dim, ["game_id"], strategy="broadcast", max_broadcast_bytes=2)
     m = skew.join_sources(t, dim, ["game_id"], strategy="merge")
     assert "SortMergeJoin" in m._jdf.queryExecution().sparkPlan().toString()
     assert b.count() == fallback.count() == m.count() == 10134
