@@ -14,11 +14,20 @@ that tree: two sets of similarity 0.8 share one in some tree with probability
 2. The confirmed links give components. Regions whose classes are all in one
    component need nothing more. In any other region of up to ``LIGHT``
    classes, each class outside its largest component meets all classes of
-   other components. Larger ones are joined where they share classes, dealt
-   into tiles by hash (bounded in shingles and in texts), and every two tiles of such a cluster meet: all pairs are
-   compared on full sets in one sparse product, which returns stars that span
-   the links, not pairs. So every pair that shares a region of any tree ends in
-   one component or has been compared on full sets; nothing is capped.
+   other components.
+3. Regions of more classes are too dense for their depth. Their classes, and
+   no others, enter trees of the next depth of ``DEEPER``, as many as two sets
+   of the similarity need to share a region of some but for ``MISS``; step 2
+   is done in these regions, and so on. So depth follows density: texts that
+   share a header part, and the work stays in proportion to the texts.
+4. What is dense at the last depth is joined where regions share classes, dealt
+   into tiles by hash (bounded in shingles and in texts), and every two tiles
+   of such a cluster meet: all pairs are compared on full sets in one sparse
+   product, which returns stars that span the links, not pairs.
+
+Nothing is capped. A pair is missed only if it shares no region of some depth
+that it has to reach: each time with a probability of about 1e-5 for pairs just
+similar, less for others.
 
 Only ids and keys are sorted; texts go to the pairs that ask for them.
 
@@ -34,6 +43,7 @@ from __future__ import annotations
 
 from functools import partial
 from hashlib import blake2b
+from math import ceil, log, log1p
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -48,6 +58,9 @@ PERCENT = 80
 TREES = 16
 BASE = 3
 KEY = 8              # signature values in a key: BASE of the region, the rest to go deeper
+DEEPER = (6, 10)     # depths of the trees that classes of denser regions enter
+MISS = 1e-5          # of pairs just similar, those that share no region of such a depth
+MOST_TREES = 128     # a depth that needs more (for low similarities) isn't entered
 LIGHT = 64           # classes of a region that are paired one by one
 TILE = 100_000       # shingles in a tile of a larger region
 TILE_TEXTS = 1024    # texts in a tile, on average, and multiplied at a time at most
@@ -85,15 +98,23 @@ def shingles(texts: list[bytes], k: int) -> list[np.ndarray]:
     return out
 
 
-def signature(values: np.ndarray) -> np.ndarray:
-    """The 32-bit MinHash values of a set."""
-    least = np.full(len(_A), 0xFFFFFFFF, dtype=np.uint32)
-    for at in range(0, len(values), 4096):
-        part = values[at:at + 4096, None]
-        least = np.minimum(least, ((part * _A + _B) >> np.uint64(32)).min(axis=0).astype(np.uint32))
+def signature(values: np.ndarray, a: np.ndarray = _A, b: np.ndarray = _B) -> np.ndarray:
+    """The 32-bit MinHash values of a set, one per multiplier of ``a``."""
+    least = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32)
+    step = max(1, 200_000 // len(a))
+    for at in range(0, len(values), step):
+        part = values[at:at + step, None]
+        least = np.minimum(least, ((part * a + b) >> np.uint64(32)).min(axis=0).astype(np.uint32))
     return least
 
 
+def trees_of(depth: int, percent: int) -> int:
+    """Trees of a depth such that two sets of the similarity share a region of
+    at least one of them but for ``MISS``."""
+    share = (percent / 100) ** depth
+    return 1 if share >= 1 else ceil(log(MISS) / log1p(-share))
+
+
 def _sign(batches, k: int):
     """mapInArrow over (doc_id, text): set size, digest of the set, signature."""
     import pyarrow as pa
@@ -160,6 +181,29 @@ def _regions(batches, percent: int):
          pa.array(follower[keep], mask=~close[keep])], names=["tree", "region", "rep", "n", "follower"])
 
 
+def _deep(batches, k: int, depth: int, trees: int):
+    """mapInArrow over (rep, text): its region in every tree of a depth."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng([20240917, depth])
+    a = rng.integers(1, 1 << 63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    b = rng.integers(0, 1 << 63, trees * depth, dtype=np.uint64)
+    with np.errstate(over="ignore"):
+        start = mix(np.arange(trees, dtype=np.uint64) + np.uint64(depth << 32))
+        for batch in batches:
+            reps, texts = batch.column(0).to_numpy(), batch.column(1).cast(pa.binary()).to_pylist()
+            for x, y in grouped(texts):
+                sets = shingles(texts[x:y], k)
+                least = np.stack([signature(s, a, b) for s in sets]).reshape(-1, trees, depth).astype(np.uint64)
+                region = np.tile(start, (len(sets), 1))
+                for j in range(depth):
+                    region = mix(region + least[:, :, j])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(region.reshape(-1).view(np.int64)), pa.array(np.repeat(reps[x:y], trees)),
+                     pa.array(np.repeat(np.array([len(s) for s in sets], dtype=np.int64), trees))],
+                    names=["region", "rep", "n"])
+
+
 def _confirm(batches, k: int, percent: int):
     """mapInArrow over (a, b, text_a, text_b): the pairs that are similar."""
     import pyarrow as pa
@@ -277,11 +321,12 @@ def _across(regions: DataFrame, comps: DataFrame, percent: int) -> tuple[DataFra
     member = materialise(regions.select("region", "rep", "n").join(
         comps.select(F.col("node").alias("m"), F.col("component").alias("c")), F.col("rep") == F.col("m"), "left")
         .select("region", "rep", "n", F.coalesce("c", "rep").alias("c")), "members")
-    mixed = member.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("region").agg(
+    mixed = materialise(member.groupBy("region", "c").agg(F.count(F.lit(1)).alias("size")).groupBy("region").agg(
         F.max(F.struct("size", "c"))["c"].alias("largest"), F.count(F.lit(1)).alias("parts"),
-        F.sum("size").alias("size")).where("parts > 1")
-    every = materialise(member.join(mixed.select(F.col("region").alias("g"), "largest", "size"),
-                                    F.col("region") == F.col("g")).drop("g"), "mixed-regions")
+        F.sum("size").alias("size")).where("parts > 1").select(F.col("region").alias("g"), "largest", "size"),
+        "mixed")
+    every = materialise(member.join(checked_broadcast(mixed, 64), F.col("region") == F.col("g")).drop("g"),
+                        "mixed-regions")
     member = every.where(F.col("size") <= LIGHT)
     few = member.where("c <> largest").select(F.col("region").alias("s"), F.col("rep").alias("rep2"),
                                               F.col("n").alias("n2"), F.col("c").alias("c2"))
@@ -292,6 +337,15 @@ def _across(regions: DataFrame, comps: DataFrame, percent: int) -> tuple[DataFra
     return pairs, every.where(F.col("size") > LIGHT).select("region", "rep", "n")
 
 
+def _deeper(dense: DataFrame, texts: DataFrame, k: int, depth: int, trees: int) -> DataFrame:
+    """region, rep, n of the dense regions' classes in the trees of a depth."""
+    wanted = materialise(dense.select(F.col("rep").alias("w")).distinct(), "dense")
+    some = texts.join(checked_broadcast(wanted, 16), F.col("id") == F.col("w"), "left_semi")
+    return materialise(
+        some.groupBy("id").agg(F.min("text").alias("text")).mapInArrow(
+            partial(_deep, k=k, depth=depth, trees=trees), "region bigint, rep bigint, n bigint"), f"depth-{depth}")
+
+
 def near_duplicate_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id",
                          text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
@@ -313,8 +367,17 @@ def near_duplicate_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int =
         F.least("rep", "follower").alias("a"), F.greatest("rep", "follower").alias("b")).where("a < b").distinct()
     comps = materialise(components(_confirmed(near, texts, shingle, percent)), "components")
     pairs, large = _across(regions, comps, percent)
-    rest = _confirmed(pairs, texts, shingle, percent).union(_clusters_met(large, texts, shingle, percent))
-    by_class = _merged(comps, rest)
+    links = _confirmed(pairs, texts, shingle, percent)
+    for depth in DEEPER:
+        trees = trees_of(depth, percent)
+        if trees > MOST_TREES or large.isEmpty():
+            break
+        comps = materialise(_merged(comps, links), "components")
+        pairs, large = _across(_deeper(large, texts, shingle, depth, trees), comps, percent)
+        links = _confirmed(pairs, texts, shingle, percent)
+    if not large.isEmpty():
+        links = links.union(_clusters_met(large, texts, shingle, percent))
+    by_class = _merged(comps, links)
     to_class = classes.select(F.col("digest").alias("d"), "rep").join(
         by_class, F.col("rep") == F.col("node"), "left").select(
         "d", F.coalesce("component", "rep").alias("component"))

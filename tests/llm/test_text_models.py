@@ -86,6 +86,47 @@ def test_near_duplicates_equal_brute_force(spark, light, monkeypatch):
         assert got == brute_near(rows, k, 80)
 
 
+def test_texts_under_one_header_part_at_greater_depths(spark, monkeypatch):
+    """Texts that share two thirds of their words are dense at the first depth;
+    the next ones part them, and their near copies are found all the same."""
+    rnd = random.Random(8)
+    header = [f"h{i}" for i in range(60)]
+    rows = []
+    for i in range(0, 600, 2):
+        own = [f"w{rnd.randrange(10**6)}" for _ in range(30)]
+        rows += [(i, " ".join(header + own)), (i + 1, " ".join(header + own[:-2] + [f"z{i}", "end"]))]
+    dense, tiled = [], []
+    deeper, met = minhash_forest._deeper, minhash_forest._clusters_met
+
+    def count(seen, members):
+        seen.append(members.select("rep").distinct().count())
+        return members
+
+    monkeypatch.setattr(minhash_forest, "_deeper", lambda m, *a: deeper(count(dense, m), *a))
+    monkeypatch.setattr(minhash_forest, "_clusters_met", lambda m, *a: met(count(tiled, m), *a))
+    docs = documents(spark, [(i, t, "en", "s", 1) for i, t in rows])
+    got = sorted(map(tuple, minhash_forest.near_duplicate_texts(docs, shingle=4).collect()))
+    assert got == brute_near(rows, 4, 80) and {r[2] for r in got} == set(range(0, 600, 2))
+    assert dense[0] > 500 and sum(tiled) < 300, (dense, tiled)
+
+
+def test_trees_of_a_depth():
+    for depth in minhash_forest.DEEPER:
+        trees = minhash_forest.trees_of(depth, 80)
+        assert trees <= minhash_forest.MOST_TREES and (1 - 0.8 ** depth) ** trees <= minhash_forest.MISS
+    assert minhash_forest.trees_of(6, 100) == 1 and minhash_forest.trees_of(10, 50) > minhash_forest.MOST_TREES
+    import pyarrow as pa
+
+    rnd = random.Random(1)
+    own = [[f"w{rnd.randrange(1000)}" for _ in range(50)] for _ in range(3)]
+    texts = [" ".join(w) for w in (own[0], own[0], own[0][:-1] + ["x"], own[1], own[2])]
+    batch = pa.RecordBatch.from_pydict({"rep": pa.array(range(5), pa.int64()), "text": texts})
+    got = pa.Table.from_batches(minhash_forest._deep([batch], 4, 6, 38)).to_pandas()
+    by = {i: set(g["region"]) for i, g in got.groupby("rep")}
+    assert got.groupby("rep")["n"].first().tolist() == [47, 47, 47, 47, 47] and len(by[0]) == 38
+    assert by[0] == by[1] and by[0] & by[2] and not by[0] & by[3] and not by[3] & by[4]
+
+
 def test_near_duplicates_odd_rows(spark):
     got = minhash_forest.near_duplicate_texts(documents(spark), shingle=4).collect()
     assert len(got) == len(doc_rows())
