@@ -15,15 +15,16 @@ that tree: two sets of similarity 0.8 share one in some tree with probability
    component need nothing more. In any other region of up to ``LIGHT``
    classes, each class outside its largest component meets all classes of
    other components.
-3. Regions of more classes are too dense for their depth. Their classes, and
-   no others, enter trees of the next depth of ``DEEPER``, as many as two sets
-   of the similarity need to share a region of some but for ``MISS``; step 2
-   is done in these regions, and so on. So depth follows density: texts that
-   share a header part, and the work stays in proportion to the texts.
-4. What is dense at the last depth is joined where regions share classes, dealt
-   into tiles by hash (bounded in shingles and in texts), and every two tiles
-   of such a cluster meet: all pairs are compared on full sets in one sparse
+3. Regions of more classes are joined where they share classes. Such a cluster
+   is dealt into tiles by hash (bounded in shingles and in texts), and every two
+   of its tiles meet: all pairs are compared on full sets in one sparse
    product, which returns stars that span the links, not pairs.
+4. A cluster of more than ``DENSE`` tiles is too dense for its depth, as its
+   products would grow with its square. Its classes, and no others, enter trees
+   of the next depth of ``DEEPER``, as many as two sets of the similarity need
+   to share a region of some but for ``MISS``; steps 2 and 3 are done in these
+   regions, and so on. So depth follows density: texts that share a header part.
+   What is dense at the last depth meets in tiles all the same.
 
 Nothing is capped. A pair is missed only if it shares no region of some depth
 that it has to reach: each time with a probability of about 1e-5 for pairs just
@@ -61,7 +62,8 @@ KEY = 8              # signature values in a key: BASE of the region, the rest t
 DEEPER = (6, 10)     # depths of the trees that classes of denser regions enter
 MISS = 1e-5          # of pairs just similar, those that share no region of such a depth
 MOST_TREES = 128     # a depth that needs more (for low similarities) isn't entered
-LIGHT = 64           # classes of a region that are paired one by one
+LIGHT = 64           # classes of a region that are paired one by one; fewer where there are more trees
+DENSE = 16           # tiles of a cluster that meet without going deeper: each text moves that often at most
 TILE = 100_000       # shingles in a tile of a larger region
 TILE_TEXTS = 1024    # texts in a tile, on average, and multiplied at a time at most
 COLUMNS = 4096       # shingles multiplied at a time
@@ -264,24 +266,28 @@ def _tiles_meet(batches, k: int, percent: int):
 
 
 def _dealt(member: DataFrame) -> DataFrame:
-    """rep, component, tile: a component's members dealt by hash into tiles of
-    about ``TILE`` shingles and ``TILE_TEXTS`` texts at most."""
+    """rep, component, tile, tiles: a component's members dealt by hash into
+    tiles of about ``TILE`` shingles and ``TILE_TEXTS`` texts at most."""
     total = member.groupBy("component").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("texts")).select(
         F.col("component").alias("c"),
         F.greatest(F.ceil(F.col("total") / TILE), F.ceil(F.col("texts") / TILE_TEXTS)).alias("tiles"))
     return member.join(total, F.col("component") == F.col("c")).select(
-        "rep", "component", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("tile"))
+        "rep", "component", F.pmod(F.xxhash64("rep"), F.col("tiles")).alias("tile"), "tiles")
 
 
-def _clusters_met(regions: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
-    """Links (a, b) that span all similar pairs of the large regions."""
+def _clusters(regions: DataFrame) -> DataFrame:
+    """The classes of large regions, dealt into the tiles of their cluster."""
     first = regions.groupBy("region").agg(F.min("rep").alias("first"))
     spokes = regions.join(first.withColumnRenamed("region", "g"), F.col("region") == F.col("g")).select(
         F.col("first").alias("a"), F.col("rep").alias("b"))
     cluster = materialise(components(spokes), "clusters")
     member = regions.groupBy("rep").agg(F.max("n").alias("n"))
     member = member.join(cluster, F.col("rep") == F.col("node")).select("rep", "n", "component")
-    dealt = materialise(_dealt(member), "dealt")
+    return materialise(_dealt(member), "dealt")
+
+
+def _clusters_met(dealt: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
+    """Links (a, b) that span all similar pairs of each cluster."""
     some = texts.join(checked_broadcast(dealt.select("rep"), 16), F.col("id") == F.col("rep"), "left_semi")
     some = some.groupBy("id").agg(F.min("text").alias("text"))
     tiles = materialise(
@@ -314,7 +320,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> Data
         .mapInArrow(partial(_confirm, k=k, percent=percent), "a bigint, b bigint"), "confirmed")
 
 
-def _across(regions: DataFrame, comps: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+def _across(regions: DataFrame, comps: DataFrame, percent: int, light: int) -> tuple[DataFrame, DataFrame]:
     """Regions with several components: of the light ones the pairs between
     components (classes outside the largest meet the others), and the members
     of the others."""
@@ -327,14 +333,14 @@ def _across(regions: DataFrame, comps: DataFrame, percent: int) -> tuple[DataFra
         "mixed")
     every = materialise(member.join(checked_broadcast(mixed, 64), F.col("region") == F.col("g")).drop("g"),
                         "mixed-regions")
-    member = every.where(F.col("size") <= LIGHT)
+    member = every.where(F.col("size") <= light)
     few = member.where("c <> largest").select(F.col("region").alias("s"), F.col("rep").alias("rep2"),
                                               F.col("n").alias("n2"), F.col("c").alias("c2"))
     met = member.join(few, (F.col("region") == F.col("s")) & (F.col("c") != F.col("c2"))
                       & ((F.col("c") == F.col("largest")) | (F.col("rep") < F.col("rep2")))
                       & (100 * F.least("n", "n2") >= percent * F.greatest("n", "n2")))
     pairs = met.select(F.least("rep", "rep2").alias("a"), F.greatest("rep", "rep2").alias("b")).distinct()
-    return pairs, every.where(F.col("size") > LIGHT).select("region", "rep", "n")
+    return pairs, every.where(F.col("size") > light).select("region", "rep", "n")
 
 
 def _deeper(dense: DataFrame, texts: DataFrame, k: int, depth: int, trees: int) -> DataFrame:
@@ -366,17 +372,22 @@ def near_duplicate_texts(docs: DataFrame, shingle: int = SHINGLE, percent: int =
     near = regions.where(F.col("follower").isNotNull() & (F.col("tree") < NEIGHBOUR_TREES)).select(
         F.least("rep", "follower").alias("a"), F.greatest("rep", "follower").alias("b")).where("a < b").distinct()
     comps = materialise(components(_confirmed(near, texts, shingle, percent)), "components")
-    pairs, large = _across(regions, comps, percent)
+    pairs, large = _across(regions, comps, percent, LIGHT)
     links = _confirmed(pairs, texts, shingle, percent)
-    for depth in DEEPER:
-        trees = trees_of(depth, percent)
-        if trees > MOST_TREES or large.isEmpty():
+    depths = [d for d in DEEPER if trees_of(d, percent) <= MOST_TREES]
+    while not large.isEmpty():
+        dealt = _clusters(large)
+        few = dealt.where(F.col("tiles") <= DENSE) if depths else dealt
+        links = links.union(_clusters_met(few, texts, shingle, percent))
+        dense = dealt.where(F.col("tiles") > DENSE)
+        if not depths or dense.isEmpty():
             break
+        depth = depths.pop(0)
+        trees = trees_of(depth, percent)
         comps = materialise(_merged(comps, links), "components")
-        pairs, large = _across(_deeper(large, texts, shingle, depth, trees), comps, percent)
+        pairs, large = _across(_deeper(dense, texts, shingle, depth, trees), comps, percent,
+                               max(2, LIGHT * TREES // trees))
         links = _confirmed(pairs, texts, shingle, percent)
-    if not large.isEmpty():
-        links = links.union(_clusters_met(large, texts, shingle, percent))
     by_class = _merged(comps, links)
     to_class = classes.select(F.col("digest").alias("d"), "rep").join(
         by_class, F.col("rep") == F.col("node"), "left").select(
