@@ -17,16 +17,19 @@ State of a key: the earliest time seen, the best row that is certainly inside
 the window, and rows that may still fall out of it because an earlier copy may
 come. As soon as the watermark has passed the earliest time, that is final and
 one row is all that is kept. Every change emits the key's best row anew; rows
-certainly outside the window are emitted once, as they come. An event-time timer
-ends the state ``lifetime_hours`` after the earliest time. Until then the result
-is that of :func:`sluice.operators.dedup.dedup_bounded`; a copy that comes later
-still starts a window of its own.
+certainly outside the window are emitted once, as they come. A key's event-time
+timer ends its state ``lifetime_hours`` after the earliest time; keys of a hash
+bucket share a state value and Spark's timer, set to the first of theirs, since
+the cost of a call of the state function is by far larger than that of a key.
+Until then the result is that of :func:`sluice.operators.dedup.dedup_bounded`; a
+copy that comes later still starts a window of its own.
 """
 
 from __future__ import annotations
 
 import pickle
 import threading
+import zlib
 from collections.abc import Iterator
 from decimal import Decimal
 
@@ -238,38 +241,58 @@ class KeyState:
 
 _OUT = "row array<string>, first_seen long, generation long, inside boolean"
 _STATE = "state binary"
+#: Groups of keys that share a state value, unless told otherwise. A call of the
+#: state function costs about a millisecond however few rows it gets.
+BUCKETS = 1 << 13
 
 
-def _stepper(places: list[tuple[int, str]], window_us: int, lifetime_us: int):
+def _stepper(places: list[tuple[int, str]], n_keys: int, window_us: int, lifetime_us: int):
     import pandas as pd
 
-    def step(key, chunks: Iterator, state) -> Iterator:
-        if state.hasTimedOut:
+    def step(bucket, chunks: Iterator, state) -> Iterator:
+        now_ms = state.getCurrentWatermarkMs()
+        watermark = now_ms * 1000
+        # key -> what is kept of it and when its timer ends (milliseconds)
+        keys: dict[tuple, tuple[tuple, int]] = pickle.loads(zlib.decompress(state.get[0])) if state.exists else {}
+        touched: dict[tuple, KeyState] = {}
+        newest: dict[tuple, int] = {}
+        best: dict[tuple, list] = {}
+        if not state.hasTimedOut:
+            # A chunk at a time: rows of one key don't meet in memory beyond what is undecided.
+            for chunk in chunks:
+                rows_of: dict[tuple, list] = {}
+                for row, clock in zip(chunk["_row"], chunk[CLOCK].to_numpy("datetime64[us]").astype("int64").tolist()):
+                    row = list(row)
+                    key = tuple(row[1:1 + n_keys])
+                    rows_of.setdefault(key, []).append(row)
+                    newest[key] = max(newest.get(key, watermark), clock)
+                out = []
+                for key, rows in rows_of.items():
+                    known = touched.get(key)
+                    if known is None:
+                        known = touched[key] = KeyState(watermark, places, window_us, keys.get(key, (None,))[0])
+                    for row, inside in known.take(rows, watermark):
+                        if inside:
+                            best[key] = row
+                        else:
+                            out.append((row, known.first, known.generation))
+                if out:
+                    rows, first, generation = zip(*out)
+                    yield pd.DataFrame({"row": rows, "first_seen": first, "generation": generation, "inside": False})
+            if best:
+                of = [touched[key] for key in best]
+                yield pd.DataFrame({"row": [*best.values()], "first_seen": pd.array([k.first for k in of], dtype="Int64"),
+                                    "generation": [k.generation for k in of], "inside": True})
+        # Timers that have ended take their keys along, unless rows of the key have just come.
+        left = {key: kept for key, kept in keys.items() if key not in touched and kept[1] >= now_ms}
+        for key, known in touched.items():
+            end = (known.first if known.first is not None else newest[key]) + lifetime_us   # rows without a time: from now
+            left[key] = known.kept(), max(end, watermark + 1000) // 1000
+        if not left:
             state.remove()
             return
-        watermark = state.getCurrentWatermarkMs() * 1000
-        kept = pickle.loads(state.get[0]) if state.exists else None
-        known = KeyState(watermark, places, window_us, kept)
-        # A chunk at a time: rows of one key don't meet in memory beyond what is undecided.
-        emitted: dict = {}
-        now = watermark
-        for chunk in chunks:
-            out, best = [], None
-            now = max(now, int(chunk[CLOCK].max().value // 1000))
-            for row, inside in known.take([list(r) for r in chunk["_row"]], watermark):
-                if inside:
-                    best = row
-                else:
-                    out.append(row)
-            emitted["best"] = best if best is not None else emitted.get("best")
-            if out:
-                yield pd.DataFrame({"row": out, "first_seen": known.first, "generation": known.generation, "inside": False})
-        if emitted.get("best") is not None:
-            yield pd.DataFrame({"row": [emitted["best"]], "first_seen": pd.array([known.first], dtype="Int64"),
-                                "generation": known.generation, "inside": True})
-        state.update((pickle.dumps(known.kept()),))
-        end = (known.first if known.first is not None else now) + lifetime_us      # rows without a time: from now
-        state.setTimeoutTimestamp(max(end, watermark + 1000) // 1000)
+        state.update((zlib.compress(pickle.dumps(left), 1),))
+        state.setTimeoutTimestamp(max(min(end for _, end in left.values()), now_ms + 1))
 
     return step
 
@@ -282,25 +305,27 @@ def _layout(schema: T.StructType, keys: list[str], order_cols: list[str], time_c
 
 
 def dedup_updates(rows: DataFrame, keys: list[str], order_cols: list[str], time_col: str, window_hours: int = 72,
-                  lifetime_hours: int = 144, delay_hours: int = 72) -> DataFrame:
+                  lifetime_hours: int = 144, delay_hours: int = 72, buckets: int = BUCKETS) -> DataFrame:
     """A stream of updates from a stream of rows with their ``_clock``: rows as
     texts, the key's first time, its generation and whether the row is inside
-    the window (then it takes the place of the one before)."""
+    the window (then it takes the place of the one before). Keys are dealt into
+    ``buckets`` by their hash; the number has to stay with the checkpoint."""
     schema = T.StructType([f for f in rows.schema.fields if f.name != CLOCK])
     names, places = _layout(schema, keys, order_cols, time_col)
     time = F.col(time_col)
     micros = epoch_micros(time) if isinstance(schema[time_col].dataType, T.TimestampNTZType) else F.unix_micros(time)
     packed = rows.select(
-        *[F.col(k).alias(f"_key{i}") for i, k in enumerate(keys)], ntz_to_instant(F.col(CLOCK)).alias(CLOCK),
+        F.pmod(F.xxhash64(*[as_text(k, schema[k].dataType) for k in keys]), F.lit(buckets)).alias("_bucket"), ntz_to_instant(F.col(CLOCK)).alias(CLOCK),
         F.array(micros.cast("string"), *[as_text(c, schema[c].dataType) for c in names]).alias("_row"))
     return (packed.withWatermark(CLOCK, f"{int(delay_hours)} hours")
-            .groupBy(*[f"_key{i}" for i in range(len(keys))])
-            .applyInPandasWithState(_stepper(places, window_hours * HOUR, lifetime_hours * HOUR), _OUT, _STATE,
+            .groupBy("_bucket")
+            .applyInPandasWithState(_stepper(places, len(keys), window_hours * HOUR, lifetime_hours * HOUR), _OUT, _STATE,
                                     "update", GroupStateTimeout.EventTimeTimeout))
 
 
 def run_keyed_dedup(rows: DataFrame, path: str, checkpoint: str, keys: list[str], order_cols: list[str], time_col: str,
-                    window_hours: int = 72, lifetime_hours: int = 144, delay_hours: int = 72) -> Account:
+                    window_hours: int = 72, lifetime_hours: int = 144, delay_hours: int = 72,
+                    buckets: int = BUCKETS) -> Account:
     """Drain a stream of rows on time into the updates under ``path``, a folder
     per micro-batch. The account has what was read and dropped."""
     spark = rows.sparkSession
@@ -309,7 +334,7 @@ def run_keyed_dedup(rows: DataFrame, path: str, checkpoint: str, keys: list[str]
     def write(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/sink_batch={batch_id}")
 
-    updates = dedup_updates(rows, keys, order_cols, time_col, window_hours, lifetime_hours, delay_hours)
+    updates = dedup_updates(rows, keys, order_cols, time_col, window_hours, lifetime_hours, delay_hours, buckets)
     spark.streams.addListener(account)
     try:
         (updates.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)

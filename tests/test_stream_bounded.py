@@ -120,6 +120,29 @@ def test_replayed_batch_and_empty_stream(spark, t, tmp_root):
     assert bounded.read_late(spark, f"{tmp_root}/bronze", schema).count() == 0
 
 
+def test_keys_share_a_state_value_but_not_a_timer(spark, tmp_root):
+    """One bucket for all keys: the state of key 1 has ended by the time its next
+    row comes, that of key 2 has not, in the same value."""
+    schema = "event_id long, source_sequence_number long, ingestion_timestamp timestamp_ntz"
+    t0 = datetime(2024, 3, 1)
+    drops = [[(1, 0), (2, 100), *((k, 100) for k in range(10, 60))], [(3, 200)], [(4, 210)], [(5, 220)], [(1, 215), (2, 201)]]
+    for i, drop in enumerate(drops):
+        df = spark.createDataFrame([(k, i, t0 + timedelta(hours=h)) for k, h in drop], schema)
+        df.coalesce(1).write.parquet(f"{tmp_root}/landing/p={i}")
+        bounded.split_by_clock(spark.readStream.schema(df.schema).parquet(f"{tmp_root}/landing/*"), f"{tmp_root}/bronze",
+                               f"{tmp_root}/c1", TIME, 24)
+        rows = bounded.on_time_stream(spark, f"{tmp_root}/bronze", df.schema, 1)
+        account = bounded.run_keyed_dedup(rows, f"{tmp_root}/out", f"{tmp_root}/c2", KEY, ORDER_COLUMNS, TIME,
+                                          lifetime_hours=144, delay_hours=24, buckets=1)
+        assert account.state_rows == 1 and account.dropped == 0
+    out = bounded.read_deduplicated(spark, f"{tmp_root}/out", df.schema, KEY, ORDER_COLUMNS, TIME, keep_first_seen=True)
+    hours = (F.unix_timestamp("_first_seen") - F.unix_timestamp(F.lit(t0))) / 3600
+    got = {(r[0], r[1]): r[2] for r in out.select("event_id", "source_sequence_number", hours).collect()}
+    assert len(got) == 57
+    assert (got[1, 0], got[1, 4]) == (0, 215)          # a window of its own
+    assert (got[2, 0], got[2, 4]) == (100, 100)        # outside the window that is still known
+
+
 def test_rows_that_no_text_holds_are_refused(spark):
     df = spark.createDataFrame([(1, [1], datetime(2024, 1, 1), datetime(2024, 1, 1))],
                                "event_id long, a array<int>, ingestion_timestamp timestamp_ntz, _clock timestamp_ntz")
