@@ -215,12 +215,36 @@ def file_column_spans(spark: SparkSession, path: str, cols: list[str]) -> DataFr
     return per.withColumns({f"{c}_span": F.col(f"{c}_max") - F.col(f"{c}_min") for c in cols})
 
 
-def optimize_source(spark: SparkSession, contract, dst: str,
-                    target_file_bytes: int = 1 << 30, bits: int = 8) -> DataFrame:
+#: Bytes of rows, as a sort holds them, that one task of a Z-order is given.
+TASK_BYTES = 256 << 20
+
+
+def sorted_bytes(df: DataFrame) -> int:
+    """About how many bytes all rows take in a sort: a word per column and what
+    texts, binary and nested values hold. Parquet files tell little of that:
+    encoded, a row may take a twentieth of it."""
+    sizes = []
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            sizes.append(F.octet_length(c))
+        elif isinstance(f.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            sizes.append(F.octet_length(F.to_json(F.struct(c))))
+    words = 8 * (len(df.columns) + 6)               # header, Z-value, tie and the sort's pointers
+    row = F.lit(words).cast("long")
+    for x in sizes:
+        row = row + F.coalesce(x, F.lit(0)) + 8
+    return int(df.agg(F.sum(row)).first()[0] or 0)
+
+
+def optimize_source(spark: SparkSession, contract, dst: str, target_file_bytes: int = 1 << 30, bits: int = 8,
+                    task_bytes: int = TASK_BYTES) -> DataFrame:
     """Per-contract maintenance of a Bronze table into snapshot ``dst``:
     Z-order by ``contract.zorder_by`` when declared (clustering inside each
     partition; files never cross partitions), otherwise bin-packing
-    compaction. Returns per-partition files and bytes before and after; the
+    compaction. A Z-order deals the rows to as many tasks as files of
+    ``target_file_bytes`` need, and to more where a task would have to sort more
+    than ``task_bytes`` of rows; files are then smaller. Returns per-partition files and bytes before and after; the
     row count and fingerprint are verified equal before returning."""
     src = contract.bronze_path
     part = contract.partition_by[0] if contract.partition_by else None
@@ -231,7 +255,7 @@ def optimize_source(spark: SparkSession, contract, dst: str,
     table = spark.read.parquet(src)
     inv = file_inventory(spark, src, part)
     total = inv.agg(F.sum("size_bytes")).first()[0] or 0
-    n_files = max(1, -(-int(total) // int(target_file_bytes)))
+    n_files = max(1, -(-int(total) // int(target_file_bytes)), -(-sorted_bytes(table) // int(task_bytes)))
     keyed = _with_tie(zorder_key(table, list(contract.zorder_by), bits), table.columns)
     order = ([part] if part else []) + ["_zorder", "_tie"]
     out = (keyed.repartitionByRange(n_files, *order).sortWithinPartitions(*order)

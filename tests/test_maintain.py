@@ -102,6 +102,24 @@ def test_compact_in_place_with_escaped_partition_values(spark, tmp_root):
     assert spark.read.parquet(f"{tmp_root}/t").count() == 200
 
 
+def test_optimize_source_sorts_little_in_a_task(spark, tmp_root):
+    """Rows of long, alike texts: small files, but much to sort."""
+    from sluice.operators.ingest import write_table
+    from sluice.sources.contract import contract_from_dict
+    df = spark.range(0, 4000).select(F.lit(1).alias("p"), (F.col("id") % 97).alias("a"), F.repeat(F.lit("x"), 1000).alias("s"),
+                                     F.array(F.lit("y")).alias("l"))
+    write_table(df, f"{tmp_root}/b", ["p"])
+    assert 4_000_000 < maintain.sorted_bytes(spark.read.parquet(f"{tmp_root}/b")) < 6_000_000
+    c = contract_from_dict({"name": "s", "format": "parquet", "landing_path": "l", "bronze_path": f"{tmp_root}/b",
+                            "checkpoint_path": "c", "schema": [{"name": "a", "type": "long"}],
+                            "partition_by": ["p"], "zorder_by": ["a"]})
+    m = maintain.optimize_source(spark, c, f"{tmp_root}/z", task_bytes=1 << 20).collect()
+    assert len(m) == 1 and m[0].bytes_before < 1 << 20 and 4 <= m[0].files_after <= 6
+    assert spark.read.parquet(f"{tmp_root}/z").count() == 4000
+    maintain.optimize_source(spark, c, f"{tmp_root}/one")
+    assert scan.file_inventory(spark, f"{tmp_root}/one").count() == 1
+
+
 def test_zorder_splits_a_hot_value_across_files(spark, tmp_root):
     df = spark.range(0, 8000).select(F.lit(3).alias("a"), F.lit(4).alias("b"), "id").repartition(4)
     maintain.zorder(df, ["a", "b"], num_files=4, bits=4).write.parquet(f"{tmp_root}/z")
