@@ -7,39 +7,20 @@ and order-independent fingerprint as the input before it is reported."""
 
 from __future__ import annotations
 
-from contextlib import contextmanager
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sluice.functions.time import ntz_to_instant
 from sluice.operators.audit import file_stats, table_fingerprint
-from sluice.sources.scan import file_inventory
+from sluice.session import session_conf
+from sluice.sources.scan import LISTING, file_inventory
 
 
 class CompactionError(RuntimeError):
     """The compacted data does not match its input."""
 
 
-@contextmanager
-def session_conf(spark: SparkSession, **settings):
-    """Temporarily set SQL confs (dotted names given with '__' for '.')."""
-    old = {}
-    for k, v in settings.items():
-        key = k.replace("__", ".")
-        old[key] = spark.conf.get(key, None)
-        spark.conf.set(key, str(v))
-    try:
-        yield
-    finally:
-        for key, v in old.items():
-            if v is None:
-                spark.conf.unset(key)
-            else:
-                spark.conf.set(key, v)
-
-
 def partition_file_stats(spark: SparkSession, path: str, part_col: str) -> DataFrame:
     inv = file_inventory(spark, path, part_col)
     return file_stats(inv, [part_col])
@@ -90,7 +71,8 @@ def compact(spark: SparkSession, src: str, part_col: str, dst: str | None = None
     # Materialise the "before" listing (one row per partition) now: the
     # rewrite below replaces the files it describes.
     before = before.checkpoint(eager=True)
-    table = spark.read.parquet(src)
+    with session_conf(spark, **LISTING):
+        table = spark.read.parquet(src)
     if dst is None:
         # Few rows (one per partition): the list of partitions to rewrite.
         dirty = [r[0] for r in before.where(F.col("_small") >= min_files).select(part_col).collect()]

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -86,3 +87,21 @@ def sizing_conf(input_bytes: int, partition_bytes: int = 256 << 20,
 def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
     for k, v in conf.items():
         spark.conf.set(k, v)
+
+
+@contextmanager
+def session_conf(spark: SparkSession, **settings):
+    """Temporarily set SQL confs (dotted names given with '__' for '.')."""
+    old = {}
+    for k, v in settings.items():
+        key = k.replace("__", ".")
+        old[key] = spark.conf.get(key, None)
+        spark.conf.set(key, str(v))
+    try:
+        yield
+    finally:
+        for key, v in old.items():
+            if v is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, v)

@@ -34,7 +34,9 @@ def write_landing(df: DataFrame, path: str, partition_by: list[str], files_per_p
 def write_flush_layout(df: DataFrame, path: str, date_col: str = "event_date",
                        producer_col: str = "producer_id", time_col: str = "ingestion_timestamp",
                        minutes: int = 5, num_tasks: int | None = None) -> None:
-    """One file per (date, producer, flush window): the small-files layout."""
+    """One file per (date, producer, flush window): the small-files layout.
+    Tasks move their files to the final place themselves; the driver would move
+    them one by one. A write that fails may so leave some of its files behind."""
     flush = minute_stamp(floor_minutes(F.col(time_col), minutes))
     out = df.withColumn("flush", flush)
     # An explicit task count, from the number of files: AQE must not coalesce
@@ -44,4 +46,5 @@ def write_flush_layout(df: DataFrame, path: str, date_col: str = "event_date",
         num_tasks = max(8, df.sparkSession.sparkContext.defaultParallelism * 2, files // FILES_PER_TASK)
     n = num_tasks
     (out.repartition(n, date_col, producer_col, "flush").write.mode("overwrite")
+     .option("mapreduce.fileoutputcommitter.algorithm.version", "2")
      .partitionBy(date_col, producer_col, "flush").parquet(path))

@@ -6,9 +6,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice.functions.hashing import sha256_hex
+from sluice.session import session_conf
 from sluice.sources.contract import SUPPORTED_FORMATS, ContractError, SourceContract
 
 
+#: Folders are listed by one job, a task per folder of the first level that has
+#: several. By default every folder of over 32 folders starts a job of its own,
+#: one after the other.
+LISTING = {"spark__sql__sources__parallelPartitionDiscovery__threshold": 1}
+
+
 def read_source(spark: SparkSession, contract: SourceContract, landing_root: str | None = None,
                 schema=None) -> DataFrame:
     """Batch scan of a source's own landing subtree, format from the contract,
@@ -50,12 +57,13 @@ def file_inventory(spark: SparkSession, root: str, partition_col: str | None = N
     """One row per data file under ``root``: path, size in bytes, modification
     time and (optionally) the Hive partition value parsed from the path.
     Only file metadata is read: the binary content column is pruned."""
-    files = (spark.read.format("binaryFile")
-             .option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", glob)
-             .load(root)
-             .select(F.col("path"), F.col("length").alias("size_bytes"),
-                     F.col("modificationTime").alias("modified_at")))
+    with session_conf(spark, **LISTING):
+        listed = (spark.read.format("binaryFile")
+                  .option("recursiveFileLookup", "true")
+                  .option("pathGlobFilter", glob)
+                  .load(root))
+    files = listed.select(F.col("path"), F.col("length").alias("size_bytes"),
+                          F.col("modificationTime").alias("modified_at"))
     if partition_col:
         # Folder names escape special characters as %XX; decode them (a
         # literal '+' is kept, it is not an escaped space here).

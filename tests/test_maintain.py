@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -27,6 +29,22 @@ def test_five_minute_flush_layout_file_count(spark, flush_tree):
     assert stats.predicted_scan_tasks == audit.predicted_tasks(stats.total_bytes, 1001)
 
 
+def test_inventory_lists_a_deep_tree_with_one_job(spark, tmp_root):
+    for x in (f"d={d}/p={p}/f={f}" for d in range(3) for p in range(2) for f in range(40)):
+        (at := Path(tmp_root, x)).mkdir(parents=True)
+        (at / "a.parquet").write_bytes(b"x")
+    key = "spark.sql.sources.parallelPartitionDiscovery.threshold"
+    before = spark.conf.get(key)
+    spark.sparkContext.setJobGroup(tmp_root, "listing")
+    try:
+        inv = scan.file_inventory(spark, tmp_root, "d")
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(tmp_root)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(jobs) == 1 and spark.conf.get(key) == before
+    assert {r.d: r.n for r in inv.groupBy("d").agg(F.count("path").alias("n")).collect()} == {"0": 80, "1": 80, "2": 80}
+
+
 def test_compact_snapshot_one_file_per_date_same_fingerprint(spark, flush_tree, tmp_root):
     path, _ = flush_tree
     m = maintain.compact(spark, path, "event_date", dst=f"{tmp_root}/snap", target_file_bytes=64 << 20)
