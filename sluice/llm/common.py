@@ -10,6 +10,7 @@ from urllib.parse import unquote, urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 import sluice
 from sluice.session import scratch_path
@@ -77,7 +78,9 @@ def gapless(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str
     """Add ``name``: 0, 1, 2, ... without gaps inside each group, in no set
     order, with no group in one task. Rows of a group are dealt by a hash of
     ``order`` into buckets of about ``per_task`` of the ``rows`` rows; a
-    bucket's offset comes from the counts. ``df`` should be materialised."""
+    bucket's offset comes from the counts, which are broadcast as long as they
+    are few: the rows are then shuffled and sorted once, for the numbers alone.
+    ``df`` should be materialised."""
     buckets = max(1, -(-rows // per_task))
     b, at = f"{name}__bucket", f"{name}__at"
     df = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)))
@@ -86,7 +89,9 @@ def gapless(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str
     offsets = counts.select(*[F.col(g).alias(f"{g}__r") for g in group], F.col(b).alias(f"{b}__r"),
                             F.coalesce(F.sum("n__").over(before), F.lit(0)).alias(at))
     same = [F.col(g).eqNullSafe(F.col(f"{g}__r")) for g in group] + [F.col(b) == F.col(f"{b}__r")]
-    out = df.join(offsets, same, "left")
+    sized = all(isinstance(df.schema[g].dataType, T.NumericType) for g in group)      # a text may have any size
+    few = sized and counts.count() * 16 * (len(group) + 3) <= BROADCAST_BYTES
+    out = df.join(F.broadcast(offsets) if few else offsets, same, "left")
     inside = Window.partitionBy(*group, b).orderBy(*order)
     return (out.withColumn(name, F.col(at) + F.row_number().over(inside) - 1)
             .drop(b, f"{b}__r", at, *[f"{g}__r" for g in group]))

@@ -30,6 +30,7 @@ from sluice.llm.common import gapless, materialise, ship
 WORD_BPE = "word_bpe_49k.json"
 CAPACITY = 2048
 END_ID = 0
+ROWS = 500           # texts that are Python objects at once
 
 
 class OpenBins:
@@ -119,22 +120,24 @@ def cut_pieces(batches, path: str, capacity: int):
     ids_of = tokens.memo(tokens.WordIds, path)
     end = np.array([END_ID], dtype="<u4").tobytes()
     step = 4 * capacity
-    for batch in batches:
-        texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
-        row, piece, start, length, crc = [], [], [], [], []
-        for i, data in enumerate(ids_of.encode(texts)):
-            data += end
-            for p, at in enumerate(range(0, len(data), step)):
-                part = data[at:at + step]
-                row.append(i)
-                piece.append(p)
-                start.append(at // 4)
-                length.append(len(part) // 4)
-                crc.append(zlib.crc32(part))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
-             pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
-            names=["doc_id", "piece", "start", "length", "ids_crc32"])
+    for whole in batches:
+        for first in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(first, ROWS)
+            texts = [t or b"" for t in batch.column(1).cast(pa.binary()).to_pylist()]
+            row, piece, start, length, crc = [], [], [], [], []
+            for i, data in enumerate(ids_of.encode(texts)):
+                data += end
+                for p, at in enumerate(range(0, len(data), step)):
+                    part = data[at:at + step]
+                    row.append(i)
+                    piece.append(p)
+                    start.append(at // 4)
+                    length.append(len(part) // 4)
+                    crc.append(zlib.crc32(part))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row, pa.int64())), pa.array(piece, pa.int32()),
+                 pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(crc, pa.int64())],
+                names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def place(batches, plan: np.ndarray):

@@ -165,6 +165,33 @@ ODD = ["", " ", "\n\n", "it's 12a\t\t b\x1c c ", "é\xa0 ü\n\n  x", "ab <|endof
        "don't they'll  'tis", "Σίσυφος ΣΑΣ ᾳ ﬁ ½ ²", "é ́x", "漢字 かな 😀😀", "a.b,c; (d)... !!", "  a　 b"]
 
 
+def test_few_texts_are_python_objects_at_once():
+    import pyarrow as pa
+    from sluice.llm import tokens
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1200)), pa.array(["a few words"] * 1200)], names=["doc_id", "text"])
+    out = list(packing.cut_pieces([batch], tokens.default_path(packing.WORD_BPE), 64))
+    assert [b.num_rows for b in out] == [500, 500, 200]
+    assert [x for b in out for x in b.column("doc_id").to_pylist()] == [*range(1200)]
+
+
+def test_gapless_shuffles_rows_once_while_offsets_are_few(spark):
+    from sluice.llm import common
+    df = spark.range(3000).select("id", (F.col("id") % 7).alias("g")).unionByName(
+        spark.range(50).select("id", F.lit(None).cast("long").alias("g"))).localCheckpoint()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = common.gapless(df, ["g"], ["id"], "n", 430, per_task=50)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        rows = out.collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    for g in [*range(7), None]:
+        n = sorted(r.n for r in rows if r.g == g)
+        assert n == [*range(len(n))] and len(n) >= 50
+
+
 @pytest.mark.parametrize("text", ODD + [t for _, t, *_ in doc_rows() if t])
 def test_memoised_encoding_is_the_library_s(text):
     byte, word = tokens.default_path("byte_bpe_50k.json"), tokens.default_path("word_bpe_49k.json")
